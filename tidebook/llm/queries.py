@@ -11,6 +11,23 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
+from .ngram_join import ngram_classes
+from .packing import pack_documents, public_file
+from .toxicity import fit_on_labels, held_out, score
+
+
+TOXIC_FROM = 0.3
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    scored = score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_classes(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +43,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
 }
 
 ORACLES: dict[str, str] = {
