@@ -24,8 +24,6 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,80 +33,16 @@ from pyspark.sql.window import Window
 
 from .common import Scratch, whole_text
 from .hashing import groups
+from .tokens import encoder
 
 SEQUENCE = 1024
 END_ID = 2
-CACHE_WORDS = 400_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 # --- tokens ---------------------------------------------------------------------------------------
 
 
-class Encoder:
-    """Token ids of whole texts by a byte-level BPE file of the tokenizers library.
-
-    Such a tokenizer first cuts a text into words and encodes each by itself, so a word that occurs again
-    takes its ids from a bounded cache.  Texts with characters for which Python's classes might differ from
-    the tokenizer's go through the tokenizer whole.
-    """
-
-    #: The tokenizer's word pattern, written for code points below 0x590 (their letters, digits and white space).
-    PATTERN = (
-        r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_²³¹¼-¾]+| ?[\d²³¹¼-¾]+"
-        r"| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-    )
-    UNSURE = "[^\x00-\x1b\x20-֏]"
-
-    def __init__(self, path: str):
-        import os
-        import re
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.split, self.unsure = re.compile(self.PATTERN).findall, re.compile(self.UNSURE).search
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.lengths, self.ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        self.n_ids = 0
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and each text's number of them."""
-        parts = [[t] if self.unsure(t) else self.split(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.clear()
-        new = list(dict.fromkeys(w for w in chain.from_iterable(parts) if w not in self.known))
-        if new:
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            n = np.fromiter(map(len, found), np.int64, len(found))
-            self.starts.append(self.n_ids + np.cumsum(n) - n)
-            self.lengths.append(n)
-            self.ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(n.sum())))
-            self.n_ids += int(n.sum())
-            for x in (self.starts, self.lengths, self.ids):
-                x[:] = [np.concatenate(x)]
-        starts, lengths, ids = self.starts[0], self.lengths[0], self.ids[0]
-        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
-        n = lengths[which]
-        at = np.cumsum(n) - n
-        out = ids[np.repeat(starts[which] - at, n) + np.arange(int(n.sum()))]
-        per_text = np.zeros(len(parts) + 1, np.int64)
-        np.cumsum([len(p) for p in parts], out=per_text[1:])
-        ends = np.append(at, len(out))[per_text]
-        return out, np.diff(ends)
-
-
-@lru_cache(2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def cut(n: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: all full but maybe the first."""
     first = n % most or most
@@ -138,17 +72,6 @@ def _pieces(tokenizer: Callable[[], str], sequence: int, end_id: int, keep_ids:
     return run
 
 
-def public_file(name: str) -> Callable[[], str]:
-    """Where an installed vocabulary file lies, asked on the executor that reads it."""
-
-    def find() -> str:
-        import public_tokenizers
-
-        return public_tokenizers.path(name)
-
-    return find
-
-
 def tokenise(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs -> pieces: doc_id, piece, start, length, ids_crc32 and, with keep_ids, ids."""
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))

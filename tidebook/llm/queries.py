@@ -12,7 +12,8 @@ from .exact_dedup import exact_dedup
 from .line_dedup import line_dedup
 from .mixing import mix
 from .ngram_join import ngram_classes
-from .packing import pack_documents, public_file
+from .packing import pack_documents
+from .tokens import public_file
 from .toxicity import fit_on_labels, held_out, score
 
 
