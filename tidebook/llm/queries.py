@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .fingerprints import fingerprint_neighbours
 from .line_dedup import line_dedup
 from .mixing import mix
 from .ngram_join import ngram_classes
@@ -48,6 +49,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_file("byte_bpe_50k.json"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
