@@ -88,11 +88,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words [^\\x20\\x09-\\x0D]+ (A-Z lower-cased) of all rows, and the rows' bounds in them."""
+def words_at(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words [^\\x20\\x09-\\x0D]+ of all rows, A-Z lower-cased: all bytes, the words' bounds in them, their hashes,
+    and the rows' bounds in the words."""
     data, rows = bytes_of(text)
     if not len(data):
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(text) + 1, dtype=np.int64)
+        none = np.zeros(0, dtype=np.int64)
+        return data, none, none, np.zeros(0, dtype=np.uint64), np.zeros(len(text) + 1, dtype=np.int64)
+    data = _LOWER[data]
     solid = ~_BLANK[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
@@ -103,7 +106,13 @@ def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     ends[:-1] &= ~solid[1:]
     ends[at - 1] = solid[at - 1]
     start, stop = np.flatnonzero(first), np.flatnonzero(ends) + 1
-    return mix(Rolling(_LOWER[data]).of(start, stop) + (stop - start).astype(np.uint64)), np.searchsorted(start, rows)
+    return data, start, stop, mix(Rolling(data).of(start, stop) + (stop - start).astype(np.uint64)), np.searchsorted(start, rows)
+
+
+def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all rows, and the rows' bounds in them."""
+    _, _, _, hashes, rows = words_at(text)
+    return hashes, rows
 
 
 def shingle_sets(text: pa.Array, n: int) -> Iterator[np.ndarray]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lm_scoring
 from .common import table
 from .exact_dedup import exact_dedup
 from .fingerprints import fingerprint_neighbours
@@ -53,6 +54,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = lm_scoring.lm_scores(docs, public_file("byte_bpe_50k.json"), learn_from=~lm_scoring.held_out())
+    return out.withColumn("held_out", lm_scoring.held_out())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -61,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {
