@@ -15,6 +15,7 @@ from .line_dedup import line_dedup
 from .mixing import mix
 from .ngram_join import ngram_classes
 from .packing import pack_documents
+from .revisits import captures_of_pages, resolve_revisits
 from .tokens import public_file
 from .toxicity import fit_on_labels, held_out, score
 
@@ -60,6 +61,12 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("held_out", lm_scoring.held_out())
 
 
+def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resolve_revisits(captures_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return out.select("record_id", "response_id", "outcome", F.array_join(lines, "\n").alias("merged_headers"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -69,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_revisits": op10_revisits,
 }
 
 ORACLES: dict[str, str] = {
@@ -102,4 +110,35 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op10_revisits": r"""
+        WITH u AS (
+          SELECT page_id, html, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages
+        ), parts AS (
+          SELECT page_id, html,
+            regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^www\.', '') AS host,
+            regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+            list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT
+              regexp_matches(lower(p), '^(utm_[a-z]+|ref|sessionid|phpsessid|jsessionid|sid|fbclid|gclid)(=|$)'))) AS asked
+          FROM u
+        ), c AS (
+          SELECT page_id, CASE WHEN len(asked) > 0 THEN host || path || '?' || array_to_string(asked, '&') ELSE host || path END AS page,
+            page_id * 10 AS at, page_id * 10 + 5 + (page_id % 7) * 400 AS again,
+            '"' || substr(md5(html), 1, 16) || '"' AS tag, 'day ' || (page_id % 97) AS lm, strlen(html) AS size
+          FROM pages_in
+        ), m AS (
+          SELECT r.page_id, r.tag, r.lm, max(f.page_id) AS full_id
+          FROM c r LEFT JOIN c f ON f.page = r.page AND f.at < r.again GROUP BY 1, 2, 3
+        ), j AS (
+          SELECT m.page_id, m.full_id, f.size, f.tag AS ftag, f.lm AS flm, m.tag, m.lm,
+            CASE WHEN m.page_id % 11 = 0 THEN 'no_validator'
+                 WHEN m.page_id % 5 = 0 THEN CASE WHEN m.lm = f.lm THEN 'resolved' ELSE 'mismatch' END
+                 WHEN m.tag = f.tag THEN 'resolved' ELSE 'mismatch' END AS outcome
+          FROM m JOIN c f ON f.page_id = m.full_id
+        )
+        SELECT page_id * 2 + 1 AS record_id, full_id * 2 AS response_id, outcome,
+          CASE WHEN outcome = 'resolved' THEN
+            'cache-control: max-age=' || (page_id % 13) || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10) ||
+            'etag: ' || CASE WHEN page_id % 5 = 0 THEN ftag ELSE 'W/' || tag END || chr(10) || 'last-modified: ' || flm END AS merged_headers
+        FROM j
+    """.replace("pages_in", "parts"),
 }
