@@ -15,6 +15,7 @@ from .line_dedup import line_dedup
 from .mixing import mix
 from .ngram_join import ngram_classes
 from .packing import pack_documents
+from .repeats import repeated_spans
 from .revisits import captures_of_pages, resolve_revisits
 from .tokens import public_file
 from .toxicity import fit_on_labels, held_out, score
@@ -34,6 +35,11 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return repeated_spans(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -70,6 +76,7 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_repeats": op3_repeats,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_mixing": op5_mixing,
     "op6_line_dedup": op6_line_dedup,
