@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,15 +94,14 @@ def _lists(wanted: np.ndarray, sizes: tuple[int, ...], bits: int):
     return run
 
 
-def likelihood_ratio(p: pd.Series, n: pd.Series, pos: int, neg: int) -> np.ndarray:
-    """G of the table (holds it or not) x (class)."""
-    p, n = p.to_numpy(float), n.to_numpy(float)
+def likelihood_ratio(p: Column, n: Column, pos: int, neg: int) -> Column:
+    """G of the table (holds the n-gram or not) x (class), of p and n documents that hold it."""
     total = pos + neg
-    g = np.zeros(len(p))
-    for seen, whole, side in ((p, pos, p + n), (n, neg, p + n), (pos - p, pos, total - p - n), (neg - n, neg, total - p - n)):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g += np.where(seen > 0, seen * np.log(seen * total / (whole * side)), 0.0)
-    return 2 * g
+
+    def cell(seen: Column, whole: int, side: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * float(total) / (float(whole) * side))).otherwise(0.0)
+
+    return 2 * (cell(p, pos, p + n) + cell(n, neg, p + n) + cell(pos - p, pos, total - p - n) + cell(neg - n, neg, total - p - n))
 
 
 def fit_logistic(x_row: np.ndarray, x_col: np.ndarray, x: np.ndarray, y: np.ndarray, n_cols: int, l2: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -146,23 +144,20 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_features: int = MAX_F
         if not pos or not neg:
             return Model(np.zeros(1 << bits), prior, sizes, bits)
         counted = sample.mapInArrow(_count(sizes, bits), "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        # At most one row per bucket comes to the driver, and only those seen in three documents.
-        seen = counted.filter(F.col("pos") + F.col("neg") >= 3).toPandas()
-        seen["g"] = likelihood_ratio(seen["pos"], seen["neg"], pos, neg)
-        seen = seen[seen["g"] >= min_g].sort_values(["g", "bucket"], ascending=[False, True]).head(max_features)
-        if seen.empty:
+        told = counted.withColumn("g", likelihood_ratio(F.col("pos"), F.col("neg"), pos, neg)).filter(F.col("g") >= min_g)
+        chosen = told.orderBy(F.col("g").desc(), "bucket").limit(max_features).select("bucket", "pos", "neg").toArrow()
+        if not chosen.num_rows:
             return Model(np.zeros(1 << bits), prior, sizes, bits)
+        bucket, p, n = (chosen.column(c).to_numpy() for c in ("bucket", "pos", "neg"))
         ratio = np.zeros(1 << bits)
-        ratio[seen["bucket"]] = np.log((seen["pos"] + 1) / (pos + 2)) - np.log((seen["neg"] + 1) / (neg + 2))
-        lists = sample.mapInArrow(_lists(ratio != 0, sizes, bits), "label long, buckets array<int>").toPandas()
+        ratio[bucket] = np.log((p + 1) / (pos + 2)) - np.log((n + 1) / (neg + 2))
+        lists = sample.mapInArrow(_lists(ratio != 0, sizes, bits), "label long, buckets array<int>").toArrow().combine_chunks()
     finally:
         sample.unpersist()
-    lists["buckets"] = lists["buckets"].map(lambda x: np.asarray(x, dtype=np.int64))
-    lists = lists.assign(first=lists["buckets"].map(lambda x: tuple(x[:50].tolist()))).sort_values(["label", "first"])
-    sizes_of = lists["buckets"].map(len).to_numpy()
-    col = np.concatenate([*lists["buckets"], np.zeros(0, np.int32)]).astype(np.int64)
-    used, col = np.unique(col, return_inverse=True)
-    w, b = fit_logistic(np.repeat(np.arange(len(lists)), sizes_of), col, ratio[used][col], lists["label"].to_numpy(float), len(used))
+    held = lists.column("buckets").combine_chunks()
+    sizes_of = np.diff(held.offsets.to_numpy())
+    used, col = np.unique(held.values.to_numpy()[held.offsets[0].as_py() : held.offsets[-1].as_py()].astype(np.int64), return_inverse=True)
+    w, b = fit_logistic(np.repeat(np.arange(len(sizes_of)), sizes_of), col, ratio[used][col], lists.column("label").to_numpy().astype(float), len(used))
     weights = np.zeros(1 << bits)
     weights[used] = w * ratio[used]
     return Model(weights, b, sizes, bits)
@@ -184,6 +179,23 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return given.mapInArrow(_score(model), "doc_id long, score double")
 
 
+def _score_along(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in groups(batch, batch.num_columns - 1):
+                score = model(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score)], names=[*part.schema.names[:-1], "toxicity"])
+
+    return run
+
+
+def with_score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """docs with one more column, toxicity; no shuffle."""
+    own = docs.drop("toxicity")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema)
+    return own.select("*", whole_text(text_col).alias("text of toxicity")).mapInArrow(_score_along(model), f"{schema}, toxicity double")
+
+
 def held_out(id_col: str = "doc_id", fold: int = 2, folds: int = 4) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == fold, F.lit(False))
 
