@@ -23,9 +23,10 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """One row per row of docs: doc_id, text (what stays), n_lines, n_dropped."""
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of docs: doc_id, text (what stays), n_lines, n_dropped, and the columns to carry along."""
+    along = F.struct(*[F.col(c) for c in carry] or [F.lit(None).alias("none")]).alias("along")
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"), along)
     given = given.withColumn("did", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("row_key", F.xxhash64("text"))
     lines = F.split("text", "\n", -1)
     digests = F.transform(lines, lambda x: F.when(F.length(x) >= min_chars, line_key(x)))
@@ -55,5 +56,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept).alias("text"),
             n_lines.cast("long").alias("n_lines"),
             F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
+            *[F.col("along")[c].alias(c) for c in carry],
         )
     )
