@@ -171,6 +171,7 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     scratch = Scratch(pieces.sparkSession, "packing")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     by = [F.col("length").desc(), F.col("doc_id").asc_nulls_last(), F.col("piece")]
+    pieces = scratch.keep(pieces, "pieces")  # sampling the splitters would make them twice
     ordered = pieces.repartitionByRange(*by).sortWithinPartitions(*by)
     ranked = scratch.keep(ordered.mapInArrow(_rank, f"{schema}, part int, local_rank long"), "ranked")
     # A partition holds neighbouring lengths: this table has a row per partition and one per length at most.
