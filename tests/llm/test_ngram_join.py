@@ -73,3 +73,19 @@ def test_linked_sizes_share_a_class():
                 key = (first <= large).sum() - 1
                 differ = (small + large) * (den - num) // (den + num)
                 assert blocks[key] > differ or (differ == 0 and blocks[key] == 0)
+
+
+def test_clusters_of_many_blocks_give_the_same_classes(spark, monkeypatch):
+    from tidebook.llm import ngram_join
+
+    r = random.Random(11)
+    base = [f"w{k}" for k in range(220)]
+    rows = []
+    for k in range(60):
+        own = list(base)
+        for _ in range(r.choice([1, 2, 4, 9])):
+            own[r.randrange(len(own))] = f"x{r.randint(0, 40)}"
+        rows.append((k, " ".join(own[: len(own) - r.choice([0, 0, 10, 25])]), "en", "s", 1, "x"))
+    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 7)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_classes(spark.createDataFrame(rows, DOCS), 3, 90, 100).collect()}
+    assert got == brute(rows, 3, 90, 100)

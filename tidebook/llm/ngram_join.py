@@ -4,27 +4,23 @@ Two documents link when den * |x & y| >= num * |x | y|.  That bounds how many n-
 |x ^ y| <= (|x| + |y|) * (den - num) / (den + num).
 
 Blocking.  Sizes fall into classes such that linked documents lie in one class or in neighbouring ones.
-For a class with at most h differing n-grams the n-grams are dealt by hash to h + 1 columns blocks, of
-which at least one must then be equal in full.  So the document by (block, block content) incidence has a
-common column for every pair that links, while common n-grams alone make no column: a block holds about
-(den + num) / 2 / (den - num) n-grams, all of which must agree.
+For a class with at most h differing n-grams the n-grams are dealt by hash to h + 1 column blocks, of
+which at least one must then be equal in full.  So documents that link share a (block, content) column, while common
+n-grams alone make none: a block holds about (den + num) / 2 / (den - num) n-grams, all of which must agree.
+Documents that share columns, directly or by way of others, form a cluster; nothing outside a cluster links with it.
 
-Product.  The sparse product of that incidence with itself is taken column by column: in each column every
-document is paired with one pivot of another class (not with every other document), overlap counts are
-summed per pair, pairs whose sizes alone forbid a link are discarded, and for each document the pair
-with the largest count is taken up.  Its n-gram rows are then multiplied in full (the size of the
-intersection), and what reaches the bound is a link.
+Product.  A cluster's document by n-gram incidence is multiplied with its transpose, block of documents by block of
+documents: overlap counts are accumulated over slices of n-grams, and pairs below the bound that their sizes
+set are discarded.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
+of the links it found.  Clusters above one block are cut by size class, and only blocks of one class or
+neighbouring classes meet.  So a family of f different near copies costs f * f / BLOCK_DOCS rows at worst.
+Copies (equal sets) are one row from the start, whatever their number.
 
-Rounds.  Links merge documents to classes and columns within one class fall out.  Pivot rounds end when they
-find nothing new; every pair that still shares a column across two classes is then multiplied, so that no link
-between different texts is lost.  Copies (equal sets) are one row from the start, whatever their number.
-
-Nothing grows on the driver; hot columns are joined with one pivot each, which Spark may split.
+Nothing grows on the driver.
 
 A document's set: its distinct n-word shingles; with fewer words the whole sequence as one; none for
 empty or null text, which links with nothing.  Null doc_ids link with nothing and keep a null class.  Rows with one doc_id
-count as one document if their texts have equal sets and are linked by their id otherwise.  Extra
-columns are not read.
+are one document, which has the links of all its rows.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +40,9 @@ from .hashing import U, groups, mix, shingle_sets
 
 #: Below this size a block may well be empty on both sides, so empty blocks count as columns, too.
 SMALL = 200
-PIVOT_ROUNDS = 6
+#: Documents and n-grams in a block of the product.
+BLOCK_DOCS = 1024
+BLOCK_GRAMS = 1_000_000
 
 
 @lru_cache(8)
@@ -64,14 +63,13 @@ def _columns(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
     rows_out, cols_out = [], []
     own = np.searchsorted(first, sizes, side="right") - 1
+    row = np.repeat(np.arange(len(sets)), sizes)
     for up in (0, 1):
         cls = own + up
         m = np.where(sizes > 0, blocks[np.minimum(cls, len(blocks) - 1)], 0)
         at = np.cumsum(m) - m
-        row = np.repeat(np.arange(len(sets)), sizes)
         live = m[row] > 0
-        x = flat[live]
-        r = row[live]
+        x, r = flat[live], row[live]
         block = (mix(x + U(77)) >> U(20)).astype(np.int64) % m[r]
         total = np.zeros(int(m.sum()), np.uint64)
         n = np.zeros(int(m.sum()), np.int64)
@@ -104,97 +102,154 @@ def _incidence(n: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in groups(batch, 1):
-                sets = list(shingle_sets(part.column(1), n))
-                row, col = _columns(sets, num, den)
-                sizes = np.array([len(s) for s in sets])
+                row, col = _columns(list(shingle_sets(part.column(1), n)), num, den)
                 for a in range(0, len(row), 200_000):
                     r = row[a : a + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(col[a : a + 200_000].view(np.int64)), part.column(0).take(pa.array(r)), pa.array(sizes[r].astype(np.int32))], names=["col", "doc", "size"])
+                    yield pa.RecordBatch.from_arrays([pa.array(col[a : a + 200_000].view(np.int64)), part.column(0).take(pa.array(r))], names=["col", "doc"])
 
     return run
 
 
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cells sorted by column -> an edge from each document to its column's first one."""
+    last, head = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        new = np.append(last is None or col[0] != last, col[1:] != col[:-1])
+        at = np.maximum.accumulate(np.where(new, np.arange(len(col)), -1))
+        heads = np.where(at >= 0, doc[np.maximum(at, 0)], head)
+        last, head = col[-1], heads[-1]
+        edge = np.unique(np.stack([doc, heads], axis=1)[doc != heads], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(edge[:, 0]), pa.array(edge[:, 1])], names=["a", "b"])
+
+
 def _rows(n: int):
+    """Documents with the tiles of the product that they belong to -> their n-grams, once per tile."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in groups(batch, 1):
-                sets = [s.view(np.int64) for s in shingle_sets(part.column(1), n)]
-                ends = np.cumsum([0, *(len(s) for s in sets)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["doc", "grams"])
+                tiles = part.column(2)
+                of = pc.list_parent_indices(tiles)
+                grams = pa.array([s.tobytes() for s in shingle_sets(part.column(1), n)], pa.binary())
+                yield pa.RecordBatch.from_arrays([tiles.flatten(), part.column(0).take(of), grams.take(of)], names=["tile", "doc", "grams"])
 
     return run
 
 
-def _may_link(x: Column, y: Column, num: int, den: int) -> Column:
-    return F.greatest(x, y) * num <= F.least(x, y) * den
+def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which pairs of rows reach the bound: the product of the incidence with its transpose, by slices of n-grams."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(n), size)
+    _, col, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    use = shared[col]
+    row, col = row[use], place[col[use]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    overlap = np.zeros((n, n), dtype=np.float32)
+    total, width = int(shared.sum()), max(64, 4_000_000 // n)
+    for a in range(0, total, width):
+        i, j = np.searchsorted(col, [a, a + width])
+        m = np.zeros((n, min(width, total - a)), dtype=np.float32)
+        m[row[i:j], col[i:j] - a] = 1
+        overlap += m @ m.T
+    both = size[:, None] + size[None, :]
+    links = (overlap.astype(np.int64) * (den + num) >= both * num) & (size[:, None] > 0) & (size[None, :] > 0)
+    np.fill_diagonal(links, False)
+    return links
+
+
+def _forest(links: np.ndarray) -> np.ndarray:
+    """Each row's least row that it reaches."""
+    label = np.arange(len(links))
+    while True:
+        nxt = np.minimum(label, np.where(links, label[None, :], len(links)).min(axis=1, initial=len(links)))
+        nxt = nxt[nxt]
+        if (nxt == label).all():
+            return label
+        label = nxt
+
+
+def _tiles(num: int, den: int):
+    """Rows sorted by tile -> the spanning forest of each tile's links."""
+
+    def finish(docs: list[int], rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        label = _forest(product_links([np.frombuffer(r, dtype=np.uint64) for r in rows], num, den))
+        doc = np.array(docs, dtype=np.int64)
+        some = label != np.arange(len(label))
+        return doc[some], doc[label[some]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, docs, rows = None, [], []
+        for batch in batches:
+            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for t, doc, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if t != tile and docs:
+                    out.append(finish(docs, rows))
+                    docs, rows = [], []
+                tile = t
+                docs.append(doc)
+                rows.append(grams)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], names=["a", "b"])
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in finish(docs, rows)], names=["a", "b"])
+
+    return run
+
+
+def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
+    """members (doc_id, component, n_shingles) -> doc_id, tiles: one for a small cluster, else a pair of blocks for each
+    block of its own class and of those beside it."""
+    first, _ = size_classes(num, den, 1 << 40)
+    cls = F.size(F.filter(F.array(*[F.lit(int(x)) for x in first]), lambda x: x <= F.col("n_shingles")))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_GRAMS)).cast("int")
+    classed = members.withColumn("cls", cls)
+    by_class = classed.groupBy("component", "cls").agg(blocks.alias("blocks"))
+    whole = members.groupBy("component").agg(blocks.alias("all_blocks"), F.count("*").alias("docs")).filter("docs > 1").select("component", "all_blocks")
+    beside = F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls")
+    near = by_class.select("component", beside, F.struct("cls", "blocks").alias("b")).groupBy("component", "cls").agg(F.collect_list("b").alias("near"))
+    placed = classed.join(near.join(whole, "component"), ["component", "cls"])
+    mine = F.filter("near", lambda b: b["cls"] == F.col("cls"))[0]["blocks"]
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), mine).cast("int"))
+    name, me = F.col("component").cast("string"), F.concat_ws("-", F.col("cls").cast("string"), F.col("block").cast("string"))
+
+    def meet(c: Column, b: Column) -> Column:
+        other = F.concat_ws("-", c.cast("string"), b.cast("string"))
+        ahead = (c < F.col("cls")) | ((c == F.col("cls")) & (b < F.col("block")))
+        return F.when(ahead, F.concat_ws("/", name, other, me)).otherwise(F.concat_ws("/", name, me, other))
+
+    tiles = F.flatten(F.transform("near", lambda x: F.transform(F.sequence(F.lit(0), x["blocks"] - 1), lambda b: meet(x["cls"], b))))
+    return placed.select("doc_id", F.when(F.col("all_blocks") == 1, F.array(name)).otherwise(tiles).alias("tiles"))
 
 
 def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-join")
+    scratch = Scratch(docs.sparkSession, "ngram-join")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     known = given.filter("doc_id is not null")
 
-    # Equal sets, and rows with one id, are one node from the start.
+    # Equal sets are one node from the start.
     sets = scratch.keep(given.mapInArrow(_sets(n), "doc_id long, n_shingles long, mark1 long, mark2 long"), "sets")
     full = sets.filter("doc_id is not null and n_shingles > 0")
-    by_set = full.groupBy("mark1", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    copies = full.join(by_set.filter("copies > 1"), ["mark1", "mark2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    by_set = full.groupBy("mark1", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
+    copies = full.join(by_set, ["mark1", "mark2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     links = scratch.keep(copies.distinct(), "copies")
 
-    # The incidence, without columns that one set alone holds.
-    cells = known.mapInArrow(_incidence(n, num, den), "col long, doc long, size int")
-    shared = cells.groupBy("col").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo < hi").select("col")
-    cells = cells.join(shared, "col").join(links.select(F.col("a").alias("doc")).distinct(), "doc", "left_anti")
-    cells = scratch.keep(cells.select("col", "doc", "size"), "cells")
-
-    # Every node's own row, for the products.
-    nodes = cells.select(F.col("doc").alias("doc_id")).distinct()
-    rows = scratch.keep(known.join(nodes, "doc_id", "left_semi").mapInArrow(_rows(n), "doc long, grams array<bigint>"), "rows")
-    rows = rows.groupBy("doc").agg(F.max("grams").alias("grams"))  # one per id
-
-    def multiply(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b) -> those that link."""
-        left = pairs.join(rows.select(F.col("doc").alias("a"), F.col("grams").alias("ga")), "a")
-        both = left.join(rows.select(F.col("doc").alias("b"), F.col("grams").alias("gb")), "b")
-        overlap = F.size(F.array_intersect("ga", "gb"))
-        return both.select("a", "b", ((overlap * den) >= (F.size("ga") + F.size("gb") - overlap) * num).alias("links"))
-
-    tried, live, found = None, cells.withColumn("cls", F.col("doc")), links
-    k, pivots = 0, True
-    while True:
-        span = live.groupBy("col").agg(
-            F.min(F.struct(F.xxhash64("doc", F.lit(k)).alias("draw"), "doc", "cls", "size")).alias("p"), F.min("cls").alias("low"), F.max("cls").alias("top")
-        ).filter("low < top")
-        if pivots:
-            # One pivot per column, another one in each round, and of a document's pairs the one with most in common.
-            pivot = span.select("col", F.col("p.cls").alias("pc"), F.col("p.doc").alias("pivot"), F.col("p.size").alias("ps"))
-            pairs = live.join(pivot, "col").filter("cls <> pc").filter(_may_link(F.col("size"), F.col("ps"), num, den))
-            pairs = pairs.groupBy(F.col("doc").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("overlap"))
-        else:
-            # What is left: documents that share a column with another class but reach none of its pivots.
-            x = live.join(span.select("col"), "col", "left_semi").alias("x")
-            y = x.select(*[F.col(f"x.{c}").alias(c) for c in live.columns]).alias("y")
-            pairs = x.join(y, (F.col("x.col") == F.col("y.col")) & (F.col("x.cls") > F.col("y.cls")))
-            pairs = pairs.filter(_may_link(F.col("x.size"), F.col("y.size"), num, den))
-            pairs = pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).groupBy("a", "b").agg(F.count("*").alias("overlap"))
-        pairs = pairs.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"), "a", "b", "overlap")
-        if tried is not None:
-            pairs = pairs.join(tried, ["hi", "lo"], "left_anti")
-        if pivots:
-            pairs = pairs.groupBy("a").agg(F.max_by(F.struct("hi", "lo"), F.struct("overlap", -F.col("b"))).alias("e")).select("e.*")
-        done = scratch.keep(multiply(pairs.select(F.col("hi").alias("a"), F.col("lo").alias("b")).distinct()), "done")
-        n, n_links = done.agg(F.count("*"), F.coalesce(F.sum(F.col("links").cast("long")), F.lit(0))).first()
-        own = done.select(F.col("a").alias("hi"), F.col("b").alias("lo"))
-        tried = own if tried is None else tried.unionByName(own)
-        if n_links:
-            found = found.unionByName(done.filter("links").select("a", "b"))
-            merged = components(found, scratch).withColumnRenamed("node", "doc")
-            live = scratch.keep(cells.join(merged, "doc", "left").select("col", "doc", "size", F.coalesce("component", "doc").alias("cls")), "live")
-        if not pivots:
-            break
-        k += 1
-        pivots = bool(n) and k < PIVOT_ROUNDS
-    whole = components(found, scratch)
+    # Clusters: documents that share columns.
+    cells = known.mapInArrow(_incidence(n, num, den), "col long, doc long")
+    stars = cells.repartition("col").sortWithinPartitions("col", "doc").mapInArrow(_stars, "a long, b long").distinct()
+    members = components(stars, scratch).withColumnRenamed("node", "doc_id")
+    sized = full.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
+    members = members.join(sized, "doc_id").join(links.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
+    members = scratch.keep(members, "members")
+
+    # Links: the product, tile by tile.
+    rows = known.join(_placed(members, num, den), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
+    found = rows.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_tiles(num, den), "a long, b long")
+    whole = components(links.unionByName(found), scratch)
     return sets.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
