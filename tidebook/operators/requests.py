@@ -16,8 +16,8 @@ def so_far() -> WindowSpec:
     return Window.partitionBy("source_ip").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
 
 
-def seconds(n: Column) -> Column:
-    return F.make_dt_interval(secs=n)
+def later(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_micros(F.unix_micros(ts) + seconds.cast("long") * 1_000_000)
 
 
 def token_window(log: DataFrame, bucket: int = 12_000, width_s: int = 900) -> DataFrame:
@@ -39,7 +39,7 @@ def outage_runs(log: DataFrame, threshold: int = 2, pause_s: int = 60) -> DataFr
     in_run = Window.partitionBy("source_ip", "run").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
     n = F.sum(down.cast("int")).over(in_run)
     counted = runs.withColumn("in_row", n)
-    until = F.when(down & (F.col("in_row") >= threshold), F.col("ts") + seconds(F.when(F.col("retry_after_s") > 0, F.col("retry_after_s")).otherwise(pause_s)))
+    until = F.when(down & (F.col("in_row") >= threshold), later(F.col("ts"), F.when(F.col("retry_after_s") > 0, F.col("retry_after_s")).otherwise(pause_s)))
     paused = F.max(until).over(in_run)
     return counted.select("source_ip", "seq", "status", F.col("in_row").cast("long").alias("in_row"), F.when(down, paused).alias("paused_until"))
 
@@ -51,7 +51,7 @@ def error_block(log: DataFrame, window_s: int = 60) -> DataFrame:
     """
     is_error = F.col("status") != 200
     both = is_error & F.col("error_remain").isNotNull() & (F.col("error_reset_s") > 0)
-    until = F.when(both, F.col("ts") + seconds(F.col("error_reset_s"))).when((F.col("status") == 420), F.col("ts") + seconds(F.lit(window_s)))
+    until = F.when(both, later(F.col("ts"), F.col("error_reset_s"))).when((F.col("status") == 420), later(F.col("ts"), F.lit(window_s)))
     return log.select("source_ip", "seq", F.max(until).over(so_far()).alias("blocked_until"))
 
 
