@@ -6,7 +6,7 @@ A byte goes if it lies in a string of ``length`` bytes (UTF-8) that starts anywh
   equal windows have equal anchors, at the same place.  Windows in a row with one anchor make a context.  Anchors
   are counted over all documents, and contexts whose anchor occurs once hold no window that occurs again.  This is exact.
 * Shards.  The other contexts go to shards by their anchor, so that equal windows meet, however far apart their
-  documents are.  Equal contexts of a slice of text are one row with their number, before the shuffle.
+  documents are.  Only one document of those with a context sends its bytes, however many there are.
 * Suffix sorting.  A shard's contexts are sorted in chunks that end between anchors, by external induced sorting with
   common-prefix values (``induced``).  A run of suffixes that share ``length`` bytes is one string; where its contexts
   count two at least, its places are marked.
@@ -14,7 +14,7 @@ A byte goes if it lies in a string of ``length`` bytes (UTF-8) that starts anywh
 
 Matches never cross documents, and texts are judged as they were given.  Null text counts as empty.  Repeated rows are
 places of their own, so both lose what they share.  Rows keep a null doc_id.  Texts shorter than ``length`` stay
-whole.  An empty table gives no rows.  Further columns are not read.
+whole.  Texts move between tasks compressed.  An empty table gives no rows.  Further columns are not read.
 """
 
 from __future__ import annotations
@@ -74,12 +74,9 @@ class Contexts:
         self.anchor = full[least[begin]]
         self.row = np.searchsorted(rows, self.start, side="right") - 1
 
-    def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of each context's bytes."""
-        mid = (self.start + self.stop) // 2
-        a, b = self.roll.of(self.start, mid), self.roll.of(mid, self.stop)
-        size = (self.stop - self.start).astype(np.uint64)
-        return mix(self.roll.of(self.start, self.stop) + size), mix(mix(a + size) * U(3) + b)
+    def marks(self) -> np.ndarray:
+        """64 bits of each context's bytes, which identify it together with its anchor."""
+        return mix(self.roll.of(self.start, self.stop) + (self.stop - self.start).astype(np.uint64)) if len(self.start) else self.anchor
 
 
 def _slices(text: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -98,28 +95,75 @@ def _slices(text: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _anchors(length: int):
-    """Rows -> their anchors: (anchor, did, row_key, n)."""
+    """Rows -> the different contexts of each: (anchor, mark, did, row_key, n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in groups(batch, 2):
                 for data, rows, _ in _slices(part.column(2), length):
                     c = Contexts(data, rows, length)
-                    order = np.lexsort((c.anchor, c.row))
-                    h, row = c.anchor[order], c.row[order]
-                    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))) if len(h) else np.zeros(0, np.int64)
+                    mark = c.marks()
+                    order = np.lexsort((mark, c.anchor, c.row))
+                    h, m, row = c.anchor[order], mark[order], c.row[order]
+                    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (m[1:] != m[:-1]) | (row[1:] != row[:-1]))) if len(h) else np.zeros(0, np.int64)
                     at = pa.array(row[first])
                     n = np.diff(np.append(first, len(h)))
-                    yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(n)], names=["anchor", "did", "row_key", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(m[first].view(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(n)], names=["anchor", "mark", "did", "row_key", "n"])
 
     return run
 
 
-ROWS = "kind string, doc_id long, did long, row_key long, text binary, anchor long, mark1 long, mark2 long, n long, start long, sha string"
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts sorted by (anchor, mark, did) -> those whose anchor occurs again.
+
+    sends: 0, or for the first row of each context how often the context occurs (2: twice at least).  One row is held back
+    until the next one is seen.
+    """
+    held: list[np.ndarray] | None = None
+    was = (False, False)  # whether the row before the held one has its anchor, its context
+
+    def emit(cols: list[np.ndarray], same_anchor: np.ndarray, same_mark: np.ndarray, next_anchor: np.ndarray, next_mark: np.ndarray) -> pa.RecordBatch:
+        anchor, mark, did, row_key, n = cols
+        sends = np.where(same_mark, 0, np.where(next_mark | (n > 1), 2, 1)).astype(np.int8)
+        use = same_anchor | next_anchor | (n > 1)
+        return pa.RecordBatch.from_arrays([pa.array(x[use]) for x in (did, row_key, anchor, mark, sends)], names=["did", "row_key", "anchor", "mark", "sends"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy() for c in batch.columns]
+        if held is not None:
+            cols = [np.append(h, c) for h, c in zip(held, cols, strict=True)]
+        same_a = np.append(was[0], cols[0][1:] == cols[0][:-1])
+        same_m = np.append(was[1], same_a[1:] & (cols[1][1:] == cols[1][:-1]))
+        yield emit([c[:-1] for c in cols], same_a[:-1], same_m[:-1], same_a[1:], same_m[1:])
+        held, was = [c[-1:] for c in cols], (bool(same_a[-1]), bool(same_m[-1]))
+    if held is not None:
+        no = np.zeros(1, dtype=bool)
+        yield emit(held, np.array([was[0]]), np.array([was[1]]), no, no)
+
+
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import zstandard
+
+    z = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        bodies = pa.array([z.compress(x) for x in batch.column(3).cast(pa.binary()).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], bodies], names=["doc_id", "did", "row_key", "body"])
+
+
+def _texts(bodies: pa.Array) -> list[bytes]:
+    import zstandard
+
+    z = zstandard.ZstdDecompressor()
+    return [z.decompress(b) for b in bodies.to_pylist()]
+
+
+ROWS = "kind string, doc_id long, did long, row_key long, body binary, anchor long, mark long, n long, start long, sha string"
 
 
 def _contexts(length: int):
-    """Rows with their repeated anchors -> contexts, occurrences of contexts, and the texts concerned or finished."""
+    """Rows with their repeated contexts -> places of contexts, contexts to sort, and the texts concerned or finished."""
     fields = [x.split() for x in ROWS.split(", ")]
     types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
@@ -127,45 +171,58 @@ def _contexts(length: int):
         kind = columns.pop("kind")
         return pa.RecordBatch.from_arrays([pa.array([kind] * size) if name == "kind" else columns.get(name, pa.nulls(size, types[t])) for name, t in fields], names=[f[0] for f in fields])
 
+    def signed(x: np.ndarray) -> pa.Array:
+        return pa.array(x.view(np.int64))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in groups(batch, 3):
-                doc, did, row_key, text, wanted = part.columns
-                again = np.array([x is not None for x in wanted.to_pylist()], dtype=bool)
-                raw = text.cast(pa.binary())
-                for kind, use in (("text", again), ("done", ~again)):
-                    k = pa.array(np.flatnonzero(use))
-                    if not len(k):
-                        continue
-                    own = dict(doc_id=doc.take(k), did=did.take(k), row_key=row_key.take(k))
-                    if kind == "text":
-                        own["text"] = raw.take(k)
-                    else:
-                        bodies = raw.take(k).to_pylist()
-                        own |= {"n": pa.array([len(b) for b in bodies], pa.int64()), "sha": pa.array([hashlib.sha256(b).hexdigest() for b in bodies])}
-                    yield rows_of(len(k), kind=kind, **own)
-                lists = wanted.to_pylist()
-                for data, rows, offset in _slices(text, length):
-                    c = Contexts(data, rows, length)
-                    if not len(c.start):
-                        continue
-                    use = np.zeros(len(c.start), dtype=bool)
-                    bound = np.searchsorted(c.row, np.arange(len(lists) + 1))
-                    for k in np.flatnonzero(again).tolist():
-                        a, b = bound[k], bound[k + 1]
-                        use[a:b] = np.isin(c.anchor[a:b], np.array(lists[k], dtype=np.int64).view(np.uint64))
-                    at = np.flatnonzero(use)
-                    if not len(at):
-                        continue
-                    m1, m2 = c.marks()
-                    m1, m2, anchor = m1[at], m2[at], c.anchor[at]
-                    row = pa.array(c.row[at])
-                    own = c.start[at] - rows[c.row[at]] + offset
-                    yield rows_of(len(at), kind="place", did=did.take(row), row_key=row_key.take(row), anchor=pa.array(anchor.view(np.int64)), mark1=pa.array(m1.view(np.int64)), mark2=pa.array(m2.view(np.int64)), start=pa.array(own))
-                    _, first, n = np.unique(mix(m1 + mix(m2)) ^ anchor, return_index=True, return_counts=True)
-                    body = data.tobytes()
-                    texts = [body[a:b] for a, b in zip(c.start[at][first].tolist(), c.stop[at][first].tolist(), strict=True)]
-                    yield rows_of(len(first), kind="context", anchor=pa.array(anchor[first].view(np.int64)), mark1=pa.array(m1[first].view(np.int64)), mark2=pa.array(m2[first].view(np.int64)), text=pa.array(texts, pa.binary()), n=pa.array(n))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                texts = _texts(batch.column(3))
+                again = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+                k = pa.array(np.flatnonzero(~again))
+                if len(k):
+                    bodies = [texts[i] for i in k.to_pylist()]
+                    yield rows_of(len(k), kind="done", doc_id=batch.column(0).take(k), did=batch.column(1).take(k), row_key=batch.column(2).take(k), n=pa.array([len(b) for b in bodies], pa.int64()), sha=pa.array([hashlib.sha256(b).hexdigest() for b in bodies]))
+                k = pa.array(np.flatnonzero(again))
+                if not len(k):
+                    continue
+                own = batch.take(k)
+                yield rows_of(len(k), kind="text", doc_id=own.column(0), did=own.column(1), row_key=own.column(2), body=own.column(3))
+                concerned = pa.RecordBatch.from_arrays([*own.columns[1:3], pa.array([texts[i] for i in k.to_pylist()], pa.binary()).cast(pa.string()), *own.columns[4:]], names=["did", "row_key", "text", "anchors", "marks", "sends"])
+                for part in groups(concerned, 2):
+                    yield from of_part(part)
+
+    def of_part(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        did, row_key, text, anchors, marks, sends = part.columns
+        for data, rows, offset in _slices(text, length):
+            c = Contexts(data, rows, length)
+            if not len(c.start):
+                continue
+            mark = c.marks()
+            key = mix(c.anchor) ^ mark
+            times = np.full(len(key), -1, dtype=np.int64)
+            bound = np.searchsorted(c.row, np.arange(part.num_rows + 1))
+            for k in range(part.num_rows):
+                a, b = bound[k], bound[k + 1]
+                known = mix(anchors[k].values.to_numpy().view(np.uint64)) ^ marks[k].values.to_numpy().view(np.uint64)
+                given = sends[k].values.to_numpy()
+                order = np.lexsort((-given, known))  # a repeated row has an entry of each of its copies
+                place = np.minimum(np.searchsorted(known, key[a:b], sorter=order), len(known) - 1)
+                hit = known[order[place]] == key[a:b]
+                times[a:b][hit] = given[order[place]][hit]
+            use = np.flatnonzero(times >= 0)
+            if not len(use):
+                continue
+            row = pa.array(c.row[use])
+            start = c.start[use] - rows[c.row[use]] + offset
+            yield rows_of(len(use), kind="place", did=did.take(row), row_key=row_key.take(row), anchor=signed(c.anchor[use]), mark=signed(mark[use]), start=pa.array(start))
+            sent = np.flatnonzero(times > 0)
+            _, first = np.unique(key[sent], return_index=True)
+            sent = sent[first]
+            body = data.tobytes()
+            bodies = [body[a:b] for a, b in zip(c.start[sent].tolist(), c.stop[sent].tolist(), strict=True)]
+            yield rows_of(len(sent), kind="context", anchor=signed(c.anchor[sent]), mark=signed(mark[sent]), body=pa.array(bodies, pa.binary()), n=pa.array(times[sent]))
 
     return run
 
@@ -188,18 +245,18 @@ def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> l
 
 
 def _sort_shard(length: int):
-    """Contexts by anchor -> (mark1, mark2, starts and stops of the byte ranges that go)."""
+    """Contexts by anchor -> (anchor, mark, starts and stops of the byte ranges that go)."""
 
     def emit(marks: list[tuple[int, int]], bodies: list[bytes], counts: list[int]) -> pa.RecordBatch:
         found = repeated_starts(bodies, np.array(counts, dtype=np.int64), length)
         rows = []
-        for (m1, m2), s in zip(marks, found, strict=True):
+        for (a, m), s in zip(marks, found, strict=True):
             if len(s):
                 cut = np.append(True, s[1:] > s[:-1] + length)
-                rows.append((m1, m2, s[cut].tolist(), (np.append(s[:-1][cut[1:]], s[-1]) + length).tolist()))
+                rows.append((a, m, s[cut].tolist(), (np.append(s[:-1][cut[1:]], s[-1]) + length).tolist()))
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["mark1", "mark2", "starts", "stops"])
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=["anchor", "mark", "starts", "stops"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks: list[tuple[int, int]] = []
@@ -207,15 +264,15 @@ def _sort_shard(length: int):
         counts: list[int] = []
         held, anchor = 0, None
         for batch in batches:
-            for a, m1, m2, n, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for a, m, n, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != anchor and held > CHUNK:
                     yield emit(marks, bodies, counts)
                     marks, bodies, counts, held = [], [], [], 0
-                if a == anchor and marks and marks[-1] == (m1, m2):
+                if a == anchor and marks and marks[-1] == (a, m):
                     counts[-1] += n
                     continue
                 anchor = a
-                marks.append((m1, m2))
+                marks.append((a, m))
                 bodies.append(body)
                 counts.append(n)
                 held += len(body)
@@ -230,9 +287,9 @@ SPANS = "doc_id long, n_bytes long, spans array<struct<start:bigint,stop:bigint>
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        doc, text, ranges = batch.columns
+        doc, bodies, ranges = batch.columns
         spans, shas, sizes = [], [], []
-        for body, r in zip(text.to_pylist(), ranges.to_pylist(), strict=True):
+        for body, r in zip(_texts(bodies), ranges.to_pylist(), strict=True):
             own: list[list[int]] = []
             for x in sorted((y["start"], y["stop"]) for y in r or []):
                 if own and x[0] <= own[-1][1]:
@@ -256,20 +313,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     scratch = Scratch(docs.sparkSession, "repeats")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     given = given.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("did"), F.xxhash64("text").alias("row_key"), "text")
-    found = given.select("did", "row_key", "text").mapInArrow(_anchors(length), "anchor long, did long, row_key long, n long")
-    again = found.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
-    lists = found.select("anchor", "did", "row_key").join(again, "anchor").groupBy("did", "row_key").agg(F.collect_set("anchor").alias("wanted"))
-    joined = given.join(lists, ["did", "row_key"], "left").select("doc_id", "did", "row_key", "text", "wanted")
+    found = given.select("did", "row_key", "text").mapInArrow(_anchors(length), "anchor long, mark long, did long, row_key long, n long")
+    again = found.repartition("anchor").sortWithinPartitions("anchor", "mark", "did", "row_key").mapInArrow(_repeated, "did long, row_key long, anchor long, mark long, sends byte")
+    lists = again.groupBy("did", "row_key").agg(F.collect_list(F.struct("anchor", "mark", "sends")).alias("c"))
+    lists = lists.select("did", "row_key", F.col("c.anchor").alias("anchors"), F.col("c.mark").alias("marks"), F.col("c.sends").alias("sends"))
+    bodies = given.select("doc_id", "did", "row_key", "text").mapInArrow(_compress, "doc_id long, did long, row_key long, body binary")
+    joined = bodies.join(lists, ["did", "row_key"], "left").select("doc_id", "did", "row_key", "body", "anchors", "marks", "sends")
     rows = scratch.keep(joined.mapInArrow(_contexts(length), ROWS), "rows", by=("kind",))
 
-    contexts = rows.filter("kind = 'context'").select("anchor", "mark1", "mark2", "n", F.col("text").alias("body"))
-    shards = contexts.repartition("anchor").sortWithinPartitions("anchor", "mark1", "mark2")
-    ranges = shards.mapInArrow(_sort_shard(length), "mark1 long, mark2 long, starts array<bigint>, stops array<bigint>")
-    places = rows.filter("kind = 'place'").select("mark1", "mark2", "did", "row_key", "start")
+    contexts = rows.filter("kind = 'context'").select("anchor", "mark", "n", "body")
+    shards = contexts.repartition("anchor").sortWithinPartitions("anchor", "mark")
+    ranges = shards.mapInArrow(_sort_shard(length), "anchor long, mark long, starts array<bigint>, stops array<bigint>")
+    places = rows.filter("kind = 'place'").select("anchor", "mark", "did", "row_key", "start")
     here = F.zip_with("starts", "stops", lambda a, b: F.struct((a + F.col("start")).alias("start"), (b + F.col("start")).alias("stop")))
-    per_doc = places.join(ranges, ["mark1", "mark2"]).select("did", "row_key", here.alias("r")).groupBy("did", "row_key").agg(F.flatten(F.collect_list("r")).alias("ranges"))
-    texts = rows.filter("kind = 'text'").select("doc_id", "did", "row_key", "text")
-    cut = texts.join(per_doc, ["did", "row_key"], "left").select("doc_id", "text", "ranges").mapInArrow(_cut, SPANS)
+    per_doc = places.join(ranges, ["anchor", "mark"]).select("did", "row_key", here.alias("r")).groupBy("did", "row_key").agg(F.flatten(F.collect_list("r")).alias("ranges"))
+    texts = rows.filter("kind = 'text'").select("doc_id", "did", "row_key", "body")
+    cut = texts.join(per_doc, ["did", "row_key"], "left").select("doc_id", "body", "ranges").mapInArrow(_cut, SPANS)
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans")
     done = rows.filter("kind = 'done'").select("doc_id", F.col("n").alias("n_bytes"), none, F.col("sha").alias("kept_sha256"))
     return cut.unionByName(done)
