@@ -31,8 +31,8 @@ from .hashing import U, groups, mix
 BITS = 20
 SIZES = (4, 5, 6)
 MIN_G = 12.0
-MAX_FEATURES = 60_000
-FIT_ROWS = 40_000
+MAX_FEATURES = 8_192
+FIT_ROWS = 20_000
 #: Tasks that count n-grams of the sample, whose size is bounded; each holds two counters per bucket.
 FIT_TASKS = 16
 
@@ -104,17 +104,30 @@ def likelihood_ratio(p: Column, n: Column, pos: int, neg: int) -> Column:
     return 2 * (cell(p, pos, p + n) + cell(n, neg, p + n) + cell(pos - p, pos, total - p - n) + cell(neg - n, neg, total - p - n))
 
 
-def fit_logistic(x_row: np.ndarray, x_col: np.ndarray, x: np.ndarray, y: np.ndarray, n_cols: int, l2: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on sparse rows by accelerated gradient steps; deterministic."""
-    rows = len(y)
-    step = 1 / ((float(np.sum(x * x)) / rows + 1) / 4 + l2)  # one over a bound of the loss's curvature
-    w, b = np.zeros(n_cols), float(np.log((y.sum() + 1) / (rows - y.sum() + 1)))
+def fit_logistic(bounds: np.ndarray, col: np.ndarray, value: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression by accelerated gradient steps; deterministic.
+
+    Row k holds the columns col[bounds[k] : bounds[k + 1]], each with its column's value.  Rows are worked in slices, so that
+    besides the columns themselves (four bytes each) little is held.
+    """
+    rows, cols = len(y), len(value)
+    sizes = np.diff(bounds)
+    norms = np.bincount(col, minlength=cols) @ (value * value)
+    step = 1 / ((float(norms) / rows + 1) / 4 + l2)  # one over a bound of the loss's curvature
+    w, b = np.zeros(cols), float(np.log((y.sum() + 1) / (rows - y.sum() + 1)))
     v, vb, t = w.copy(), b, 1.0
+    slices = [*range(0, rows, 2000), rows]
     for _ in range(steps):
-        z = np.bincount(x_row, x * v[x_col], rows) + vb
-        e = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
-        nw = v - step * (np.bincount(x_col, x * e[x_row], n_cols) / rows + l2 * v)
-        nb = vb - step * e.mean()
+        grad, grad_b, scaled = np.zeros(cols), 0.0, v * value
+        for i, j in zip(slices, slices[1:], strict=False):
+            own = col[bounds[i] : bounds[j]]
+            row = np.repeat(np.arange(j - i), sizes[i:j])
+            z = np.bincount(row, scaled[own], j - i) + vb
+            e = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[i:j]
+            grad += np.bincount(own, e[row], cols)
+            grad_b += e.sum()
+        nw = v - step * (grad * value / rows + l2 * v)
+        nb = vb - step * grad_b / rows
         nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
         v, vb, t = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b), nt
         w, b = nw, nb
@@ -155,9 +168,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_features: int = MAX_F
     finally:
         sample.unpersist()
     held = lists.column("buckets").combine_chunks()
-    sizes_of = np.diff(held.offsets.to_numpy())
-    used, col = np.unique(held.values.to_numpy()[held.offsets[0].as_py() : held.offsets[-1].as_py()].astype(np.int64), return_inverse=True)
-    w, b = fit_logistic(np.repeat(np.arange(len(sizes_of)), sizes_of), col, ratio[used][col], lists.column("label").to_numpy().astype(float), len(used))
+    bounds = held.offsets.to_numpy().astype(np.int64)
+    used = np.sort(bucket.astype(np.int64))
+    col = np.searchsorted(used, held.values.to_numpy()[bounds[0] : bounds[-1]]).astype(np.int32)
+    w, b = fit_logistic(bounds - bounds[0], col, ratio[used], lists.column("label").to_numpy().astype(float))
     weights = np.zeros(1 << bits)
     weights[used] = w * ratio[used]
     return Model(weights, b, sizes, bits)
