@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-SPARK = {"MILLIS(": "unix_millis(", "DAYS(": "unix_date("}
-DUCKDB = {"MILLIS(": "epoch_ms(", "DAYS(": "date_diff('day', DATE '1970-01-01', "}
+SPARK = {"MICROS(": "unix_micros(", "MILLIS(": "unix_millis(", "DAYS(": "unix_date("}
+DUCKDB = {"MICROS(": "epoch_us(", "MILLIS(": "epoch_ms(", "DAYS(": "date_diff('day', DATE '1970-01-01', "}
 
 VIEWS = {
     "v_orders_raw": """
@@ -71,7 +71,7 @@ VIEWS = {
           (CAST(DAYS(day) AS BIGINT) + 2) * 86400000 + 39873000 AS watermark_ms, (CAST(DAYS(day) AS BIGINT) + 3) * 86400000 AS imported_at_ms
         FROM v_day_index WHERE DAYS(day) % 3 <> 0""",
     "v_request_log": """
-        SELECT event_id AS seq, MILLIS(CAST(ts AS TIMESTAMP)) AS ts_ms, user_id % 4 AS source_ip, user_id % 25 AS region_id,
+        SELECT event_id AS seq, CAST(floor(MICROS(CAST(ts AS TIMESTAMP)) / 1000) AS BIGINT) AS ts_ms, user_id % 4 AS source_ip, user_id % 25 AS region_id,
           concat('sweep-', CAST(CAST(floor(event_id / 50) AS BIGINT) AS VARCHAR(20))) AS sweep_id, CAST(event_id % 5 AS INT) AS page,
           CAST(CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN CASE WHEN event_id % 5 = 0 THEN 429 ELSE 200 END WHEN 'purchase' THEN 304 ELSE 200 END AS INT) AS status,
           CAST(floor(value) AS INT) AS latency_ms,
