@@ -79,8 +79,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, temperat
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperature: float = 0.9, seed: int = 17, topic: Column | None = None, tokens: Column | None = None) -> DataFrame:
     """docs with source, lang and text -> docs plus topic, n_tokens, probability and selected."""
     text = whole_text("text")
-    own = docs.select([F.col(c) for c in docs.columns if c not in ("topic", "n_tokens", "probability", "selected") or c == "doc_id"])
-    own = own.withColumn("topic", text_form(text) if topic is None else topic).withColumn("n_tokens", token_estimate(text) if tokens is None else tokens)
+    own = docs.select(
+        F.struct("*").alias("row"), "doc_id", "source", "lang",
+        (text_form(text) if topic is None else topic).alias("topic"), (token_estimate(text) if tokens is None else tokens).alias("n_tokens"),
+    )
     cells = own.groupBy(*DIMS).agg(F.sum("n_tokens").alias("mass"))
     weights = rake(cells, targets, temperature)
     factor = weights.withColumn("factor", F.when(F.col("mass") > 0, F.col("weight") / F.col("mass")))
@@ -88,8 +90,6 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, temperatur
     factor = factor.select(*[F.col(d).alias(f"cell_{d}") for d in DIMS], "cell_p")
     joined = own.join(factor, [F.col(d).eqNullSafe(F.col(f"cell_{d}")) for d in DIMS], "left")
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id")), 11)).cast("double") / float(2**53)
-    return (
-        joined.withColumn("probability", F.coalesce("cell_p", F.lit(0.0)))
-        .withColumn("selected", draw < F.col("probability"))
-        .drop("cell_p", *[f"cell_{d}" for d in DIMS])
-    )
+    probability = F.coalesce("cell_p", F.lit(0.0))
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("topic", "n_tokens", "probability", "selected")]
+    return joined.select(*kept, "topic", "n_tokens", probability.alias("probability"), (draw < probability).alias("selected"))
