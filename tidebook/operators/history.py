@@ -40,7 +40,7 @@ def bad_column(kept: Column) -> Column:
 
 
 def check_rows(raw: DataFrame, regions: DataFrame | None, days: DataFrame | None) -> DataFrame:
-    """All-string rows of day files (RAW and day) plus kept and bad_column.  A bad scrape time or region keeps nothing."""
+    """All-string rows of day files (RAW, day and maybe broken) plus kept and bad_column.  A bad scrape time or region keeps nothing."""
     at, region = values.instant(F.col("http_last_modified")), values.whole_number(F.col("region_id"))
     out = raw.withColumn("at", at).withColumn("region", region)
     if regions is None:
@@ -53,7 +53,8 @@ def check_rows(raw: DataFrame, regions: DataFrame | None, days: DataFrame | None
         out = out.join(days.select("day", F.col("watermark").alias("after")), "day", "left")
     kept = F.coalesce(F.col("known") & F.col("at").isNotNull() & (F.col("after").isNull() | (F.col("at") >= F.col("after"))), F.lit(False))
     out = out.withColumn("kept", kept)
-    return out.withColumn("bad_column", bad_column(F.col("kept"))).select(*raw.columns, "kept", "bad_column")
+    ragged = F.when(F.col("broken"), "record") if "broken" in raw.columns else F.lit(None).cast("string")
+    return out.withColumn("bad_column", F.coalesce(ragged, bad_column(F.col("kept")))).select(*raw.columns, "kept", "bad_column")
 
 
 def rejects(checked: DataFrame) -> DataFrame:

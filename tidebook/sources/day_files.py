@@ -34,7 +34,9 @@ def scan_history(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         else:
             schema = ", ".join(f"`{c}` string" for c in names) + ", _corrupt_record string"
             rows = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True).schema(schema).csv(files)
-            rows = rows.select(*RAW, F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").isNotNull().alias("broken"))
+            # A reader that leaves fields unread takes no notice of ragged rows, so this looks at all of them.
+            broken = F.col("_corrupt_record").isNotNull() | (F.length(F.concat_ws("", *RAW)) < 0)
+            rows = rows.select(*RAW, F.col("_metadata.file_path").alias("file"), broken.alias("broken"))
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in RAW) + ", file string, broken boolean")
