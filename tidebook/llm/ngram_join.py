@@ -249,7 +249,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     members = scratch.keep(members, "members")
 
     # Links: the product, tile by tile.
-    rows = known.join(_placed(members, num, den), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
+    # Members have no size bound, so they are never broadcast: the plan is the same at every size.
+    rows = known.join(_placed(members, num, den).hint("merge"), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
     found = rows.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_tiles(num, den), "a long, b long")
     whole = components(links.unionByName(found), scratch)
     return sets.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
