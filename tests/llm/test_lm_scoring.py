@@ -5,11 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidebook.llm import attention as net
 from tidebook.llm import lm_scoring as lm
-from tidebook.llm.tokens import public_file
+from tidebook.llm.hashing import words_at
+from tidebook.llm.tokens import encoder, public_file
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double"
 
@@ -113,3 +115,19 @@ def test_learning_lowers_the_loss():
     before = net.gradient(p, table, w[:, :-1], w[:, 1:])[0]
     after = net.gradient(net.learn(p, table, w, 120), table, w[:, :-1], w[:, 1:])[0]
     assert after < before - 0.5
+
+
+def test_score_is_the_attention_models_for_every_word(spark, monkeypatch):
+    fitted, start = [], lm.Model.__init__
+    monkeypatch.setattr(lm.Model, "__init__", lambda self, *a: fitted.append(self) or start(self, *a))
+    tokenizer = public_file("byte_bpe_50k.json")
+    given = [x for x in rows() if x[0] is not None and x[0] < 80][:40]
+    got = lm.lm_scores(spark.createDataFrame(given, DOCS), tokenizer).collect()
+    enc = encoder(tokenizer())
+    for i, text, *_ in given:
+        data, start, stop, h, _ = words_at(pa.array([text]))
+        raw = data.tobytes()
+        ids, _ = enc.ids_of(h, lambda k, raw=raw, start=start, stop=stop: b" " + raw[start[k] : stop[k]])
+        each, end = fitted[0].logs(ids, np.array([len(ids)]))
+        want = (each.sum() + end[0]) / np.log(10)
+        assert any(x["doc_id"] == i and x["score"] == pytest.approx(want, rel=1e-4) for x in got), i

@@ -12,11 +12,8 @@ parameters, and a shuffle averages the shards' parameters.  All that the driver
 the vocabulary: ids are dealt to ``CLASSES`` frequent ones and two rare ones (at a word's start, within), the
 model predicts classes, and an id's share of its class is its share of the counts.
 
-A word has three ways to be written: whole, for the words of the head (see below) with their share of the corpus, given
-what the words before it tell about the text's topic (its language, mostly: ``TOPICS`` class distributions, found by EM
-on a bounded sample of windows and then estimated on all of them with the attention model); id
-by id as the attention model predicts, with the mass that the head leaves, which covers all words; or as a copy of
-an earlier word of its text, all of which are pointed at alike.  Its probability is the sum of the three.
+The attention model predicts every id of every word, so a text's score is the sum of its ids' and its end's log
+probabilities, and nothing else is added.
 
 Scoring: each text becomes ids, ids become windows that overlap by half, and each id is scored once, with
 at least half a window before it where the text has it.  Masks keep a window from looking ahead or outside its text.
@@ -48,11 +45,6 @@ CLASSES = 2048
 END, RARE_START, RARE_INSIDE = 0, 1, 2
 SPECIAL = 3
 HEAD = 65_536
-TOPICS = 8
-#: Windows that the topics start from, as a bounded sample; all windows take part in each round.
-TOPIC_SAMPLE = 4096
-#: Most weight of copies of earlier words, and the words after which it is half of that.
-COPY, COPY_HALF = 0.35, 40
 STRETCH = 32
 EVERY = 8
 ROUNDS = 3
@@ -182,40 +174,6 @@ def _windows(tokenizer: Callable[[], str], classes: object):
     return run
 
 
-def _topic_logs(topics: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Expected counts (topics, classes) -> log distributions and log shares of the topics."""
-    whole = topics.sum(axis=0, keepdims=True)
-    even = topics + 0.01 * whole / whole.sum() * topics.sum(axis=1, keepdims=True) + 1e-9
-    return np.log(even / even.sum(axis=1, keepdims=True)), np.log(topics.sum(axis=1) / topics.sum() + 1e-9)
-
-
-def _topic_step(topics: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """One step of EM: expected counts per window."""
-    logs, share = _topic_logs(topics)
-    like = np.stack([t[windows].sum(axis=1) for t in logs], axis=1) + share
-    own = np.exp(like - like.max(axis=1, keepdims=True))
-    own /= own.sum(axis=1, keepdims=True)
-    flat = windows.reshape(-1)
-    return np.stack([np.bincount(flat, np.repeat(own[:, z], windows.shape[1]), topics.shape[1]) for z in range(len(topics))]) / len(windows)
-
-
-def start_topics(windows: np.ndarray, unigram: np.ndarray, steps: int = 20) -> np.ndarray:
-    """Topics of a sample: each starts from the window that those before it explain worst."""
-    topics = np.stack([unigram] * TOPICS) * (windows.shape[1] if len(windows) else 1)
-    if not len(windows):
-        return topics
-    best = np.full(len(windows), -np.inf)
-    pick = 0
-    for z in range(TOPICS):
-        topics[z] = unigram * 3 + np.bincount(windows[pick], minlength=len(unigram))
-        logs = np.log(topics[z] / topics[z].sum())
-        best = np.maximum(best, logs[windows].sum(axis=1))
-        pick = int(np.argmin(best))
-    for _ in range(steps):
-        topics = _topic_step(topics, windows)
-    return topics
-
-
 def _learn(state: object, successor: object, k: int):
     """A shard of windows -> parts of its parameters after some steps, weighted by its windows."""
 
@@ -225,9 +183,7 @@ def _learn(state: object, successor: object, k: int):
             return
         order = np.random.default_rng(k).permutation(len(w))
         own = np.stack(w).astype(np.int64)
-        given = {x: v for x, v in state.value.items() if x != "topics"}
-        p = net.learn(given, successor.value, own[order], STEPS, rate=0.012 / (1 + k))
-        p["topics"] = _topic_step(state.value["topics"], own)
+        p = net.learn(state.value, successor.value, own[order], STEPS, rate=0.012 / (1 + k))
         flat = np.concatenate([p[x].reshape(-1) for x in sorted(p)]).astype(np.float64) * len(w)
         parts = [flat[a : a + PART].astype(np.float32).tobytes() for a in range(0, len(flat), PART)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([len(w)] * len(parts), pa.int64()), pa.array(parts, pa.binary())], names=["part", "weight", "sums"])
@@ -252,8 +208,6 @@ def learn(windows: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, succe
     sc = windows.sparkSession.sparkContext
     p = net.start(unigram)
     n = windows.count()
-    some = windows.orderBy(F.xxhash64("window"), "window").limit(TOPIC_SAMPLE).toArrow().column("window").to_pylist() if n else []
-    p["topics"] = start_topics(np.array([np.frombuffer(w, dtype=np.int16) for w in some], dtype=np.int64).reshape(len(some), net.SPAN + 1), unigram)
     if not n:
         return p
     shards = windows.repartition(max(1, n // SHARD_WINDOWS), F.xxhash64("window"))
@@ -277,33 +231,19 @@ def learn(windows: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, succe
 class Model:
     """All that a task needs to score: bounded by the vocabulary and HEAD."""
 
-    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray], successor: np.ndarray, head: np.ndarray, head_counts: np.ndarray, docs: int, mass: int):
-        """mass: words and different words of the corpus, of which the latter is left to words not seen."""
-        self.vocabulary, self.p, self.successor, self.docs, self.mass = vocabulary, p, successor, docs, max(mass, 1)
-        self.left = np.log1p(-head_counts.sum() / self.mass) if mass else 0.0
+    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray], successor: np.ndarray, head: np.ndarray, head_counts: np.ndarray, docs: int):
+        self.vocabulary, self.p, self.successor, self.docs = vocabulary, p, successor, docs
         self.q = net.distributions(p)
         order = np.argsort(head)
         self.head, self.head_counts = head[order], head_counts[order]
-        self.topic_logs, self.topic_share = _topic_logs(p["topics"].astype(float))
-        self.topic_logs = np.ascontiguousarray(self.topic_logs.T)
-
-    def add_head_words(self, ids: np.ndarray, n: np.ndarray) -> None:
-        """ids of the head's words in their order: each word's share in each topic."""
-        if not len(n):
-            self.head_share = np.zeros((0, TOPICS))
-            return
-        logs = np.add.reduceat(self.topic_logs[self.vocabulary.of[ids]], np.cumsum(n) - n, axis=0) + self.topic_share
-        own = np.exp(logs - logs.max(axis=1, keepdims=True))
-        own = self.head_counts[:, None] * (own / own.sum(axis=1, keepdims=True) + 1e-3)
-        self.head_share = own / own.sum(axis=0) * (self.head_counts.sum() / self.mass)
 
-    def in_head(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts of the words that are in the head, which are, and where."""
+    def in_head(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the words that are in the head, and which are."""
         if not len(self.head):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), dtype=bool), np.zeros(len(h), np.int64)
+            return np.zeros(len(h), np.int64), np.zeros(len(h), dtype=bool)
         at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
         hit = self.head[at] == h
-        return np.where(hit, self.head_counts[at], 0), hit, at
+        return np.where(hit, self.head_counts[at], 0), hit
 
     def logs(self, ids: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each id, and of each row's end."""
@@ -330,29 +270,13 @@ class Model:
             out[where[scored]] = lp[scored]
         return out[inside] + self.vocabulary.share[ids], out[~inside]
 
-    def log10(self, ids: np.ndarray, n: np.ndarray, rows: np.ndarray, hit: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Log10 probability of rows of words; n: ids per word, hit and at: whether and where in the head; h: hashes."""
+    def log10(self, ids: np.ndarray, n: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Log10 probability of rows of words; n: ids per word, rows: bounds of the rows' words."""
         ends = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=ends[1:])
-        each, end = self.logs(ids, np.diff(ends[rows]))
-        if len(n):
-            word = np.add.reduceat(each, ends[:-1]) + self.left
-            row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-            told = np.add.reduceat(self.topic_logs[self.vocabulary.of[ids]], ends[:-1], axis=0)
-            told = np.cumsum(told, axis=0) - told  # by the words before
-            told += self.topic_share - told[rows[row]]
-            topic = np.exp(told - told.max(axis=1, keepdims=True))
-            topic = 0.98 * topic / topic.sum(axis=1, keepdims=True) + 0.02 / TOPICS
-            word[hit] = np.logaddexp(word[hit], np.log((topic[hit] * self.head_share[at[hit]]).sum(axis=1)))
-            before = np.arange(len(h)) - rows[row]
-            order = np.lexsort((h, row))  # stable: occurrences of a word in a row stay in order
-            new = np.append(True, (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1]))
-            seen = np.empty(len(h))
-            seen[order] = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-            weight = COPY * before / (before + COPY_HALF)
-            word = np.log((1 - weight) * np.exp(np.maximum(word, -600)) + weight * seen / np.maximum(before, 1))
-            end = end + np.bincount(row, word, len(rows) - 1)
-        return end / np.log(10)
+        size = np.diff(ends[rows])
+        each, end = self.logs(ids, size)
+        return (end + np.bincount(np.repeat(np.arange(len(size)), size), each, len(size))) / np.log(10)
 
 
 def _score(tokenizer: Callable[[], str], model: object):
@@ -363,8 +287,8 @@ def _score(tokenizer: Callable[[], str], model: object):
                 data, start, stop, h, rows = words_at(part.column(2))
                 raw = data.tobytes()
                 ids, n = enc.ids_of(h, lambda k, start=start, stop=stop, raw=raw: b" " + raw[start[k] : stop[k]])
-                c, hit, at = m.in_head(h)
-                score = m.log10(ids, n, rows, hit, at, h)
+                c, hit = m.in_head(h)
+                score = m.log10(ids, n, rows)
                 n_words = np.diff(rows)
                 row = np.repeat(np.arange(part.num_rows), n_words)
                 logs = np.bincount(row, np.log10(c + 1.0), part.num_rows) + np.log10(m.docs + 1.0)
@@ -435,11 +359,8 @@ def lm_scores(docs: DataFrame, tokenizer: Callable[[], str], learn_from: Column
     windows = scratch.keep(train.select("text").mapInArrow(_windows(tokenizer, shared), "window binary"), "windows")
     p = learn(windows, vocabulary, unigram / unigram.sum(), table)
 
-    head = counts.orderBy(F.col("c").desc(), "h").limit(HEAD).select("h", "c", "word").toArrow().sort_by("h")
-    fitted = Model(vocabulary, p, successor, head["h"].to_numpy().astype(np.int64).view(np.uint64), head["c"].to_numpy().astype(np.int64), n_docs, n_words + v_words)
-    own = [head["word"][int(k)].as_py() for k in np.argsort(head["h"].to_numpy().astype(np.int64).view(np.uint64))]
-    fitted.add_head_words(*encoder(tokenizer()).ids_of(fitted.head, lambda k: b" " + own[k]))
-    model = sc.broadcast(fitted)
+    head = counts.orderBy(F.col("c").desc(), "h").limit(HEAD).select("h", "c").toArrow()
+    model = sc.broadcast(Model(vocabulary, p, successor, head["h"].to_numpy().astype(np.int64).view(np.uint64), head["c"].to_numpy().astype(np.int64), n_docs))
 
     keyed = given.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
     scored = keyed.mapInArrow(_score(tokenizer, model), "doc_id long, row_key long, n_tokens long, known long, logs double, score double")
