@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -131,3 +132,33 @@ def test_score_is_the_attention_models_for_every_word(spark, monkeypatch):
         each, end = fitted[0].logs(ids, np.array([len(ids)]))
         want = (each.sum() + end[0]) / np.log(10)
         assert any(x["doc_id"] == i and x["score"] == pytest.approx(want, rel=1e-4) for x in got), i
+
+
+def test_windows_hold_every_word_of_every_text():
+    tokenizer = public_file("byte_bpe_50k.json")
+    texts = [f"same opening {k}" for k in range(40)] + [" ".join(f"w{k}" for k in range(500)), "", "x"]
+    enc = encoder(tokenizer())
+    own = []
+    for text in texts:
+        data, start, stop, h, _ = words_at(pa.array([text]))
+        raw = data.tobytes()
+        ids, _ = enc.ids_of(h, lambda k, raw=raw, start=start, stop=stop: b" " + raw[start[k] : stop[k]])
+        own += [lm.END, *(ids % 2000 + lm.SPECIAL).tolist(), lm.END] if text else []
+    box = SimpleNamespace(value=SimpleNamespace(of=(np.arange(lm.IDS) % 2000 + lm.SPECIAL).astype(np.int16)))
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a : a + 9])], names=["text"]) for a in range(0, len(texts), 9)]
+    got = [np.frombuffer(w, np.int16).tolist() for b in lm._windows(tokenizer, box)(iter(batches)) for w in b.column(0).to_pylist()]
+    whole = len(own) // (net.SPAN + 1)
+    assert sum(got[:whole], []) == own[: whole * (net.SPAN + 1)] and got[whole:] == [own[-net.SPAN - 1 :]]
+
+
+def test_a_round_steps_over_all_windows_of_a_shard(monkeypatch):
+    p, table = model()
+    seen = []
+    monkeypatch.setattr(net, "gradient", lambda p, successor, inputs, targets: seen.append(inputs[:, 0]) or (0.0, {k: np.zeros_like(x) for k, x in p.items()}))
+    n = 96 * 150
+    w = np.zeros((n, net.SPAN + 1), np.int16)
+    w[:, 0] = np.arange(n)
+    state = SimpleNamespace(value=p)
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in w], pa.binary())], names=["window"])
+    list(lm._learn(state, SimpleNamespace(value=table), 0)(iter([batch])))
+    assert set(np.concatenate(seen).tolist()) == set(range(n))

@@ -13,8 +13,12 @@ import numpy as np
 WIDTH = 16
 HIDDEN = 32
 MIX = 48
-SPAN = 32  # inputs that a window holds; scored windows overlap by half
+SPAN = 64  # inputs that a window holds; scored windows overlap by half
 BLOCK = SPAN // 2
+BATCH = 96  # windows of a step of learning
+#: How much faster the distributions learn than the rest.  At one pace the gate settles on the successor table for good, before
+#: they differ enough for it to choose among them.
+PACE = 50
 
 _AGO = np.arange(SPAN)[:, None] - np.arange(SPAN)[None, :]
 _FUTURE = np.where(_AGO < 0, np.float32(-1e9), np.float32(0))
@@ -122,7 +126,7 @@ def gradient(p: dict[str, np.ndarray], successor: np.ndarray, inputs: np.ndarray
     return loss, g
 
 
-def learn(p: dict[str, np.ndarray], successor: np.ndarray, windows: np.ndarray, steps: int, batch: int = 96, rate: float = 0.01) -> dict[str, np.ndarray]:
+def learn(p: dict[str, np.ndarray], successor: np.ndarray, windows: np.ndarray, steps: int, batch: int = BATCH, rate: float = 0.004) -> dict[str, np.ndarray]:
     """Some steps of Adam over windows of SPAN + 1 classes, in order and again from the start."""
     p = {k: v.copy() for k, v in p.items()}
     m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
@@ -133,5 +137,5 @@ def learn(p: dict[str, np.ndarray], successor: np.ndarray, windows: np.ndarray,
         for k in p:
             m[k] += 0.1 * (g[k] - m[k])
             v[k] += 0.01 * (g[k] ** 2 - v[k])
-            p[k] -= (rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+            p[k] -= (rate * (PACE if k == "logq" else 1) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
     return p

@@ -4,11 +4,11 @@ What the corpus gives, over all documents that may be learnt from:
 
 * every word's count (Spark sums them; each task sends one row per different word of a slice of text);
 * from these, the counts of subword successors within words, by encoding every different word once;
-* windows of words from everywhere in every document at one rate (one stretch of ``STRETCH`` words in
-  ``EVERY``), on which the attention model learns.  So what is learnt from grows with the corpus.
+* windows of all words of every document, on which the attention model learns.
 
-Learning is data-parallel: in each round every shard of windows takes the same number of steps from the common
-parameters, and a shuffle averages the shards' parameters.  All that the driver or a task holds whole is bounded by
+Learning is data-parallel: in each round every shard of windows takes steps from the common parameters over all of its
+windows, and a shuffle averages the shards' parameters by their windows.  Windows are dealt out in turn, so that equal ones
+spread over the shards.  All that the driver or a task holds whole is bounded by
 the vocabulary: ids are dealt to ``CLASSES`` frequent ones and two rare ones (at a word's start, within), the
 model predicts classes, and an id's share of its class is its share of the counts.
 
@@ -38,16 +38,15 @@ from pyspark.sql.window import Window
 
 from . import attention as net
 from .common import Scratch, whole_text
-from .hashing import U, groups, mix, words_at
+from .hashing import groups, words_at
 from .tokens import encoder
 
 CLASSES = 2048
 END, RARE_START, RARE_INSIDE = 0, 1, 2
 SPECIAL = 3
 HEAD = 65_536
-STRETCH = 32
-EVERY = 8
 ROUNDS = 3
+#: Steps that a shard takes at least in a round; one with more windows takes as many as they fill.
 STEPS = 128
 SHARD_WINDOWS = 16_384
 PART = 1 << 13  # floats in a row of averaged parameters
@@ -139,37 +138,32 @@ class Vocabulary:
 
 
 def _windows(tokenizer: Callable[[], str], classes: object):
-    """Stretches of words from everywhere in the texts, cut into windows of classes."""
+    """All texts, one after another, cut into windows of classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, of = encoder(tokenizer()), classes.value.of
-        left = np.zeros(0, np.int16)
+        left, last = np.zeros(0, np.int16), np.zeros(0, np.int16)
         for batch in batches:
             for part in groups(batch, 0):
                 data, start, stop, h, rows = words_at(part.column(0))
                 if not len(h):
                     continue
-                n_words = np.diff(rows)
-                row = np.repeat(np.arange(len(n_words)), n_words)
-                at = np.arange(len(h)) - rows[row]
-                head = rows[row] + at // STRETCH * STRETCH  # the stretch's first word
-                use = mix(h[head] + (at // STRETCH).astype(np.uint64) * U(31)) % U(EVERY) == 0
-                k = np.flatnonzero(use)
                 raw = data.tobytes()
-                ids, n = enc.ids_of(h[k], lambda i, k=k, start=start, stop=stop, raw=raw: b" " + raw[start[k[i]] : stop[k[i]]])
-                stream = of[ids]
+                ids, n = enc.ids_of(h, lambda k, start=start, stop=stop, raw=raw: b" " + raw[start[k] : stop[k]])
                 # An end before a text's first word and after its last one.
-                ends = np.cumsum(n)
-                opens = (ends - n)[at[k] == 0]
-                closes = ends[at[k] == n_words[row[k]] - 1]
-                stream = np.concatenate([left, np.insert(stream, np.sort(np.concatenate([opens, closes])), np.int16(END))])
+                ends = np.append(0, np.cumsum(n))[rows]
+                some = rows[1:] > rows[:-1]
+                bounds = np.stack([ends[:-1][some], ends[1:][some]], axis=1).reshape(-1)
+                stream = np.concatenate([left, np.insert(of[ids], bounds, np.int16(END))])
                 whole = len(stream) // (net.SPAN + 1)
-                cut = stream[: whole * (net.SPAN + 1)].reshape(whole, -1)
+                cut = stream[: whole * (net.SPAN + 1)].reshape(whole, net.SPAN + 1)
                 left = stream[whole * (net.SPAN + 1) :]
                 if whole:
+                    last = cut[-1]
                     yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in cut], pa.binary())], names=["window"])
-        if len(left) > 8:
-            yield pa.RecordBatch.from_arrays([pa.array([np.resize(left, net.SPAN + 1).tobytes()], pa.binary())], names=["window"])
+        if len(left):  # the rest ends a window that begins with what came before
+            rest = np.concatenate([last, left])
+            yield pa.RecordBatch.from_arrays([pa.array([np.resize(rest[-net.SPAN - 1 :], net.SPAN + 1).tobytes()], pa.binary())], names=["window"])
 
     return run
 
@@ -181,9 +175,10 @@ def _learn(state: object, successor: object, k: int):
         w = [np.frombuffer(x, dtype=np.int16) for b in batches for x in b.column(0).to_pylist()]
         if not w:
             return
-        order = np.random.default_rng(k).permutation(len(w))
         own = np.stack(w).astype(np.int64)
-        p = net.learn(state.value, successor.value, own[order], STEPS, rate=0.012 / (1 + k))
+        own = own[np.lexsort(own.T[::-1])]  # as they come, their order would be that of the shuffle
+        own = own[np.random.default_rng(k).permutation(len(own))]
+        p = net.learn(state.value, successor.value, own, max(STEPS, -(-len(own) // net.BATCH)), rate=0.004 / (1 + k))
         flat = np.concatenate([p[x].reshape(-1) for x in sorted(p)]).astype(np.float64) * len(w)
         parts = [flat[a : a + PART].astype(np.float32).tobytes() for a in range(0, len(flat), PART)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([len(w)] * len(parts), pa.int64()), pa.array(parts, pa.binary())], names=["part", "weight", "sums"])
@@ -210,7 +205,7 @@ def learn(windows: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, succe
     n = windows.count()
     if not n:
         return p
-    shards = windows.repartition(max(1, n // SHARD_WINDOWS), F.xxhash64("window"))
+    shards = windows.repartition(max(1, n // SHARD_WINDOWS))  # in turn, after a sort: even, and the same in any run
     for k in range(rounds):
         state = sc.broadcast(p)
         learnt = shards.mapInArrow(_learn(state, successor, k), "part int, weight long, sums binary")
