@@ -67,3 +67,13 @@ def test_likelihood_ratio(spark):
     for seen, whole, side in ((p, pos, p + n), (n, neg, p + n), (pos - p, pos, 465), (neg - n, neg, 465)):
         want += 2 * seen * np.log(seen / (whole * side / 500))
     assert got == pytest.approx(want)
+
+
+def test_every_telling_ngram_is_kept(spark):
+    r = random.Random(6)
+    words = ["".join(r.choice("klmnopqrstuvwxyz") for _ in range(9)) for _ in range(900)]
+    common, rare = words[:800], words[800]  # one bad source with many marks, and one with a single mark
+    docs = [(" ".join(common), 1)] * 40 + [(rare, 1)] * 12 + [("a quiet text of abcdefgh", 0)] * 200
+    model = toxicity.fit(spark.createDataFrame(docs, "text string, label long"))
+    assert (model.weights != 0).sum() > 8_192
+    assert model([rare])[0] > 0.5 > model(["a quiet text of abcdefgh"])[0]

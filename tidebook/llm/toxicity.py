@@ -3,10 +3,10 @@
 Fit.  Of the labelled rows that may be learnt from, at most about fit_rows take part (a bounded sample
 by a hash of the id; all of them where there are fewer).  Tasks count for every hashed n-gram the
 documents of either class that hold it; Spark sums the counts.  An n-gram's log-count ratio is
-r = log((p + 1) / (P + 2)) - log((n + 1) / (N + 2)), and the max_features n-grams whose presence tells
-most about the class (likelihood ratio G of at least min_g) are kept.  A logistic regression over the
-present n-grams, each scaled by its r, is fitted on the sample's feature lists, whose size is bounded by
-fit_rows and max_features.
+r = log((p + 1) / (P + 2)) - log((n + 1) / (N + 2)), and all n-grams whose presence tells enough about the
+class (likelihood ratio G of at least min_g) are kept.  A logistic regression over the present n-grams,
+each scaled by its r, is fitted by L-BFGS: tasks sum loss and gradient over the sample's feature lists,
+which stay with them, and the driver holds weights only, at most one per bucket.
 
 Score.  Every whole text is cut into n-grams of its lower-cased code points by array operations; those
 that are kept features count once each.  The model is one float per hash bucket, of fixed size.
@@ -31,7 +31,6 @@ from .hashing import U, groups, mix
 BITS = 20
 SIZES = (4, 5, 6)
 MIN_G = 12.0
-MAX_FEATURES = 8_192
 FIT_ROWS = 20_000
 #: Tasks that count n-grams of the sample, whose size is bounded; each holds two counters per bucket.
 FIT_TASKS = 16
@@ -104,34 +103,64 @@ def likelihood_ratio(p: Column, n: Column, pos: int, neg: int) -> Column:
     return 2 * (cell(p, pos, p + n) + cell(n, neg, p + n) + cell(pos - p, pos, total - p - n) + cell(neg - n, neg, total - p - n))
 
 
-def fit_logistic(bounds: np.ndarray, col: np.ndarray, value: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient steps; deterministic.
+def _sums(given: object):
+    """Feature lists -> the summed loss and its gradient, by weight and by intercept; rows are worked in slices."""
 
-    Row k holds the columns col[bounds[k] : bounds[k + 1]], each with its column's value.  Rows are worked in slices, so that
-    besides the columns themselves (four bytes each) little is held.
-    """
-    rows, cols = len(y), len(value)
-    sizes = np.diff(bounds)
-    norms = np.bincount(col, minlength=cols) @ (value * value)
-    step = 1 / ((float(norms) / rows + 1) / 4 + l2)  # one over a bound of the loss's curvature
-    w, b = np.zeros(cols), float(np.log((y.sum() + 1) / (rows - y.sum() + 1)))
-    v, vb, t = w.copy(), b, 1.0
-    slices = [*range(0, rows, 2000), rows]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used, scaled, b = given.value
+        grad, grad_b, loss = np.zeros(len(used)), 0.0, 0.0
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2000):
+                part = batch.slice(i, 2000)
+                y, lists = part.column(0).to_numpy().astype(float), part.column(1)
+                own = np.searchsorted(used, lists.flatten().to_numpy())
+                row = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
+                z = np.clip(np.bincount(row, scaled[own], len(y)) + b, -40, 40)
+                e = 1 / (1 + np.exp(-z)) - y
+                grad += np.bincount(own, e[row], len(used))
+                grad_b += e.sum()
+                loss += (np.logaddexp(0, z) - y * z).sum()
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([grad_b]), pa.array([grad.tobytes()], pa.binary())], names=["loss", "grad_b", "grad"])
+
+    return run
+
+
+def fit_logistic(lists: DataFrame, used: np.ndarray, value: np.ndarray, start: float, rows: int, l2: float = 1e-3, steps: int = 60, held: int = 8) -> tuple[np.ndarray, float]:
+    """Logistic regression by L-BFGS.  lists: label and buckets, all of them in used (sorted); value: each one's factor.  The last
+    place of the working vector is the intercept, which has no penalty."""
+    sc = lists.sparkSession.sparkContext
+
+    def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+        given = sc.broadcast((used, x[:-1] * value, float(x[-1])))
+        parts = lists.mapInArrow(_sums(given), "loss double, grad_b double, grad binary").collect()
+        given.unpersist()
+        grad = np.append(sum(np.frombuffer(p["grad"]) for p in parts) * value / rows + l2 * x[:-1], sum(p["grad_b"] for p in parts) / rows)
+        return sum(p["loss"] for p in parts) / rows + l2 / 2 * float(x[:-1] @ x[:-1]), grad
+
+    x = np.append(np.zeros(len(used)), start)
+    loss, g = at(x)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(steps):
-        grad, grad_b, scaled = np.zeros(cols), 0.0, v * value
-        for i, j in zip(slices, slices[1:], strict=False):
-            own = col[bounds[i] : bounds[j]]
-            row = np.repeat(np.arange(j - i), sizes[i:j])
-            z = np.bincount(row, scaled[own], j - i) + vb
-            e = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[i:j]
-            grad += np.bincount(own, e[row], cols)
-            grad_b += e.sum()
-        nw = v - step * (grad * value / rows + l2 * v)
-        nb = vb - step * grad_b / rows
-        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v, vb, t = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b), nt
-        w, b = nw, nb
-    return w, b
+        if np.abs(g).max() < 1e-5:
+            break
+        d, alphas = -g, []
+        for s, y in reversed(pairs):
+            alphas.append(float(s @ d) / float(s @ y))
+            d = d - alphas[-1] * y
+        d = d * (float(pairs[-1][0] @ pairs[-1][1]) / float(pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / max(1.0, float(np.linalg.norm(g))))
+        for (s, y), a in zip(pairs, reversed(alphas), strict=True):
+            d = d + s * (a - float(y @ d) / float(s @ y))
+        t, slope = 1.0, float(g @ d)
+        new, new_g = at(x + d)
+        while new > loss + 1e-4 * t * slope and t > 1e-6:
+            t /= 2
+            new, new_g = at(x + t * d)
+        if new >= loss:
+            break
+        if float(t * d @ (new_g - g)) > 1e-12:
+            pairs = [*pairs, (t * d, new_g - g)][-held:]
+        x, loss, g = x + t * d, new, new_g
+    return x[:-1], float(x[-1])
 
 
 class Model:
@@ -146,7 +175,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_features: int = MAX_FEATURES, min_g: float = MIN_G, sizes: tuple[int, ...] = SIZES, bits: int = BITS) -> Model:
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, min_g: float = MIN_G, sizes: tuple[int, ...] = SIZES, bits: int = BITS) -> Model:
     """labelled: text, label (0 or 1) and key, by which a bounded sample is drawn."""
     sample = labelled.select(whole_text("text").alias("text"), F.col("label").cast("long").alias("label"))
     sample = sample.repartition(FIT_TASKS).persist()
@@ -158,20 +187,21 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_features: int = MAX_F
             return Model(np.zeros(1 << bits), prior, sizes, bits)
         counted = sample.mapInArrow(_count(sizes, bits), "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         told = counted.withColumn("g", likelihood_ratio(F.col("pos"), F.col("neg"), pos, neg)).filter(F.col("g") >= min_g)
-        chosen = told.orderBy(F.col("g").desc(), "bucket").limit(max_features).select("bucket", "pos", "neg").toArrow()
+        chosen = told.select("bucket", "pos", "neg").toArrow().sort_by("bucket")
         if not chosen.num_rows:
             return Model(np.zeros(1 << bits), prior, sizes, bits)
         bucket, p, n = (chosen.column(c).to_numpy() for c in ("bucket", "pos", "neg"))
         ratio = np.zeros(1 << bits)
         ratio[bucket] = np.log((p + 1) / (pos + 2)) - np.log((n + 1) / (neg + 2))
-        lists = sample.mapInArrow(_lists(ratio != 0, sizes, bits), "label long, buckets array<int>").toArrow().combine_chunks()
+        # An n-gram in equal shares of both classes has no ratio, and so no part.
+        used = np.flatnonzero(ratio)
+        lists = sample.mapInArrow(_lists(ratio != 0, sizes, bits), "label long, buckets array<int>").persist()
+        try:
+            w, b = fit_logistic(lists, used, ratio[used], prior, pos + neg)
+        finally:
+            lists.unpersist()
     finally:
         sample.unpersist()
-    held = lists.column("buckets").combine_chunks()
-    bounds = held.offsets.to_numpy().astype(np.int64)
-    used = np.sort(bucket.astype(np.int64))
-    col = np.searchsorted(used, held.values.to_numpy()[bounds[0] : bounds[-1]]).astype(np.int32)
-    w, b = fit_logistic(bounds - bounds[0], col, ratio[used], lists.column("label").to_numpy().astype(float))
     weights = np.zeros(1 << bits)
     weights[used] = w * ratio[used]
     return Model(weights, b, sizes, bits)
