@@ -1,28 +1,32 @@
 """Best-fit packing of tokenised documents into sequences.
 
 A document's token ids and one end id form one piece, or, where they exceed a sequence, pieces of full
-length of which the first may be shorter.  The pieces are then packed best-fit, longest first, in
-bulk-synchronous rounds:
-
-* Range-sort: Spark range-partitions and sorts the pieces by (length, doc_id, piece).  In sorted order
-  equal lengths form runs, at most one per possible length, and so do the gaps of open sequences.
-* Successor sweep: a round takes the longest unplaced run and sweeps the sorted gaps from the least gap
-  that it fits into.  A gap run takes as many pieces as fit and gives its remainder back as a new gap
-  run; what finds no gap opens new sequences.
-* Conflicts by rank: the k-th piece of a run (its rank in the sorted order, from per-partition counts and
-  their running sums) gets the k-th place of the gap run, so that no two pieces meet in one place.
-* The rounds repeat until no run is left.  They work on run lengths alone (a histogram with one row per
-  length, bounded by the sequence length whatever the input), and what they decide is a table of
-  (length, first rank, count, first sequence, offset), by which every task places its own pieces.
-
-This is best-fit decreasing with ties by rank.  Null or empty text is one piece that holds the end id.
-Repeated rows are packed one by one.  An empty table gives no rows.  Further columns are not read.
+length of which the first may be shorter.  Pieces are packed best-fit, longest first, in bulk-synchronous rounds over bands of
+lengths, from the longest (``BANDS``):
+
+* Range-sort: the band's pieces and the gaps of open sequences are range-partitioned together by descending size.  A gap that
+  holds several pieces of the band's greatest length stands there as often.
+* Successor sweep: in that order a piece wants the gap that came last and is free, which is the least gap that it fits into.
+  Gaps open and pieces close brackets, so each task matches its own range by depths; what it leaves, open gaps and pieces
+  without one, has a place in the depth over all ranges, known from one pair of counts a range.
+* Conflicts by rank: pieces of different ranges that want the same gap get different depths by their rank, and meet the gap of
+  their depth in a window over depths.
+* Gaps are updated, and the round repeats until no piece of the band finds one.  The rest opens new sequences, as many pieces
+  together as always fit, and the next band follows.
+
+Every round's tables lie in the shared folder.  The driver holds one pair of counts for each task's range.  Rounds move sizes and
+numbers of pieces, never texts or ids.
+
+Token ids are those of the tokenizers library's plain call: the string of an added token (``<|endoftext|>``) in a text is that
+token's one id.
+
+Null or empty text is one piece that holds the end id.  Ties go by number.  Repeated rows are packed one by one, and rows keep a
+null doc_id.  A very long text is cut into pieces like any other.  An empty table gives no rows.  Further columns are not read.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, whole_text
+from .common import Scratch, lean, whole_text
 from .hashing import groups
 from .tokens import encoder
 
 SEQUENCE = 1024
 END_ID = 2
+#: Bands of lengths end at the sequence's length over these.
+BANDS = (1, 2, 3, 4, 6, 8, 16, 64)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -69,7 +75,7 @@ def _pieces(tokenizer: Callable[[], str], sequence: int, end_id: int, keep_ids:
                 names = [x.split()[0] for x in PIECES.split(", ")] + ["ids"] * keep_ids
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return run
+    return lean(run)
 
 
 def tokenise(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,106 +87,157 @@ def tokenise(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQU
 # --- rounds ---------------------------------------------------------------------------------------
 
 
-def best_fit(histogram: dict[int, int], sequence: int) -> np.ndarray:
-    """Places for runs of equal lengths: rows (length, first rank, count, first sequence, offset)."""
-    gaps: list[int] = []  # sorted, each once
-    held: dict[int, list[tuple[int, int]]] = {}  # gap -> ranges of sequences (first, count)
-    plan: list[tuple[int, int, int, int, int]] = []
-    opened = 0
-
-    def give(gap: int, first: int, count: int) -> None:
-        if count and gap:
-            if gap not in held:
-                insort(gaps, gap)
-                held[gap] = []
-            held[gap].append((first, count))
-
-    for length in sorted(histogram, reverse=True):
-        rank, left = 0, histogram[length]
-        while left:
-            k = bisect_left(gaps, length)  # the least gap that it fits into
-            if k < len(gaps):
-                gap = gaps[k]
-                first, count = held[gap].pop()
-                if not held[gap]:
-                    del held[gap]
-                    gaps.pop(k)
-            else:
-                gap, first = sequence, opened
-                count = -(-left // (sequence // length))
-                opened += count
-            each = gap // length
-            full = min(count, left // each)
-            for layer in range(each if full else 0):
-                plan.append((length, rank, full, first, sequence - gap + layer * length))
-                rank += full
-            left -= full * each
-            give(gap - each * length, first, full)
-            if full < count:
-                some = min(left, each - 1) if left < each else 0
-                for layer in range(some):
-                    plan.append((length, rank, 1, first + full, sequence - gap + layer * length))
-                    rank += 1
-                left -= some
-                used = 1 if some else 0
-                give(gap - some * length, first + full, used)
-                if gap != sequence:
-                    give(gap, first + full + used, count - full - used)
-    return np.array(plan, dtype=np.int64).reshape(-1, 5)
-
-
-def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows -> the same with each row's rank among this partition's rows of its length."""
+MATCHED, GAP_LEFT, PIECE_LEFT, COUNTS = range(4)
+SWEPT = "what int, part int, level long, pid long, size long, sequence_id long, slot long"
+
+
+def match_brackets(opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """opens: whether a bracket opens -> closing places with their opening ones, opening ones that are left with their depths,
+    and closing ones that are left, in order."""
+    depth = np.cumsum(np.where(opens, 1, -1))
+    low = np.minimum.accumulate(np.minimum(depth, 0))
+    level = depth - low + ~opens  # where it stands, counted from 1
+    lost = ~opens & (low < np.append(0, low[:-1]))
+    at = np.flatnonzero(~lost)
+    order = at[np.argsort(level[at], kind="stable")]
+    closes = np.flatnonzero(~opens[order])
+    taken = np.zeros(len(opens), dtype=bool)
+    taken[order[closes - 1]] = True
+    left = np.flatnonzero(opens & ~taken)
+    return order[closes], order[closes - 1], left, level[left], np.flatnonzero(lost)
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A range of (size, is_piece, id, slots), by descending size and gaps before pieces -> what meets in it, what is left, and how many."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
-    seen: tuple[int, int] = (-1, 0)  # length, rows of it so far
-    for batch in batches:
-        length = batch.column("length").to_numpy()
-        if not len(length):
-            continue
-        new = np.flatnonzero(np.append(True, length[1:] != length[:-1]))
-        rank = np.arange(len(length)) - np.repeat(new, np.diff(np.append(new, len(length))))
-        if length[0] == seen[0]:
-            stop = new[1] if len(new) > 1 else len(length)
-            rank[:stop] += seen[1]
-        seen = (int(length[-1]), int(rank[-1]) + 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(length), part, np.int32)), pa.array(rank, pa.int64())], names=[*batch.schema.names, "part", "local_rank"])
-
-
-def _place(plan: np.ndarray) -> Callable:
-    order = np.lexsort((plan[:, 1], plan[:, 0]))
-    plan = plan[order]
-    keys = plan[:, 0] * (1 << 52) + plan[:, 1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
-            at = plan[np.searchsorted(keys, length * (1 << 52) + rank, side="right") - 1]
-            own = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "rank"]
-            yield pa.RecordBatch.from_arrays(
-                [*own, pa.array(at[:, 3] + rank - at[:, 1]), pa.array(at[:, 4])],
-                names=[*(n for n in batch.schema.names if n != "rank"), "sequence_id", "offset"],
-            )
+    given = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
+    if not given:
+        return
+    size, is_piece, key, slots = (np.concatenate(c) for c in zip(*given, strict=True))
+    times = np.where(is_piece, 1, slots)
+    at = np.repeat(np.arange(len(size)), times)
+    slot = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    closing, opening, left, level, lost = match_brackets(~is_piece[at])
+
+    def rows(what: int, n: int, level: np.ndarray | int = 0, piece: np.ndarray | None = None, gap: np.ndarray | None = None) -> pa.RecordBatch:
+        none = np.full(n, -1)
+        own = [
+            np.full(n, what, np.int32), np.full(n, part, np.int32), np.broadcast_to(level, n).astype(np.int64),
+            none if piece is None else key[at[piece]], none if piece is None else size[at[piece]],
+            none if gap is None else key[at[gap]], none if gap is None else slot[gap],
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in own], names=[x.split()[0] for x in SWEPT.split(", ")])
+
+    yield rows(MATCHED, len(closing), 0, closing, opening)
+    yield rows(GAP_LEFT, len(left), level, gap=left)
+    yield rows(PIECE_LEFT, len(lost), np.arange(1, len(lost) + 1), piece=lost)
+    counts = rows(COUNTS, 1, len(lost))  # with how many met as pid, and how many gaps are left as slot
+    yield counts.set_column(3, "pid", pa.array([len(closing)], pa.int64())).set_column(6, "slot", pa.array([len(left)], pa.int64()))
+
+
+def _ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
 
-    return run
+    part, n = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        rank = np.arange(n, n + batch.num_rows)
+        n += batch.num_rows
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(rank), part, np.int32)), pa.array(rank)], names=[*batch.schema.names, "part", "rank"])
+
+
+class _Rounds:
+    """Open sequences (sequence_id, gap), what was found so far (pid, size, sequence_id, turn), and what a round does."""
+
+    def __init__(self, scratch: Scratch, sequence: int):
+        self.scratch, self.sequence = scratch, sequence
+        self.opened = self.done = 0
+        self.gaps: DataFrame | None = None
+        self.found: DataFrame | None = None
+
+    def _per_task(self, rows: list[tuple], schema: str) -> DataFrame:
+        """One row per task: small enough to send to all."""
+        return F.broadcast(self.scratch.spark.createDataFrame(rows, schema))
+
+    def _settle(self, round_: DataFrame, gaps: DataFrame) -> None:
+        """round_: pid, size, sequence_id, slot, of sequences in gaps, which are those from now on."""
+        self.done += 1
+        turn = (F.lit(self.done * self.sequence) + F.col("slot")).cast("long").alias("turn")
+        own = round_.filter("sequence_id is not null").select("pid", "size", "sequence_id", turn)
+        self.found = own if self.found is None else self.found.unionByName(own)
+        filled = own.groupBy("sequence_id").agg(F.sum("size").alias("filled"))
+        left = gaps.join(filled, "sequence_id", "left").select("sequence_id", (F.col("gap") - F.coalesce("filled", F.lit(0))).alias("gap"))
+        kept = self.scratch.keep(left.filter("gap > 0"), "gaps")
+        if self.gaps is not None:
+            self.scratch.drop(self.gaps)
+        self.gaps = kept
+
+    def sweep(self, waiting: DataFrame, low: int, high: int) -> tuple[DataFrame, int, int]:
+        """One round of a band over the gaps: the pieces that wait on, how many found a gap, how many did not."""
+        slots = F.greatest(F.lit(1), F.floor(F.col("gap") / high)).cast("long")
+        both = self.gaps.filter(F.col("gap") > low).select(F.col("gap").alias("size"), F.lit(False).alias("is_piece"), F.col("sequence_id").alias("id"), slots.alias("slots"))
+        both = both.unionByName(waiting.select("size", F.lit(True).alias("is_piece"), F.col("pid").alias("id"), F.lit(1).cast("long").alias("slots")))
+        by = [F.col("size").desc(), F.col("is_piece"), F.col("id")]
+        swept = self.scratch.keep(both.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_sweep, SWEPT), "swept")
+        tasks, depth, found, lost = [], 0, 0, 0
+        for r in sorted(swept.filter(F.col("what") == COUNTS).collect(), key=lambda r: r["part"]):
+            base = max(depth - r["level"], 0)
+            tasks.append((r["part"], depth, base))
+            found, lost = found + r["pid"] + min(depth, r["level"]), lost + max(r["level"] - depth, 0)
+            depth = base + r["slot"]
+        edges = swept.filter(F.col("what").isin(GAP_LEFT, PIECE_LEFT)).join(self._per_task(tasks, "part int, depth long, base long"), "part")
+        edges = edges.withColumn("level", F.when(F.col("what") == GAP_LEFT, F.col("base") + F.col("level")).otherwise(F.col("depth") - F.col("level") + 1))
+        # Within a range, pieces that are left come before gaps that are.
+        by_level = Window.partitionBy("level").orderBy("part", F.col("what").desc())
+        meets = F.lag("what").over(by_level) == GAP_LEFT
+        across = edges.select("what", "pid", "size", F.when(meets, F.lag("sequence_id").over(by_level)).alias("sequence_id"), F.when(meets, F.lag("slot").over(by_level)).alias("slot"))
+        local = swept.filter(F.col("what") == MATCHED).select("pid", "size", "sequence_id", "slot")
+        round_ = self.scratch.keep(local.unionByName(across.filter(F.col("what") == PIECE_LEFT).drop("what")), "round")
+        if found:
+            self._settle(round_, self.gaps)
+        self.scratch.drop(swept)
+        return round_.filter("sequence_id is null").select("pid", "size"), found, lost
+
+    def open(self, waiting: DataFrame, n: int, high: int) -> None:
+        """New sequences for n pieces of at most high, in descending order, as many in each as always fit."""
+        by = [F.col("size").desc(), F.col("pid")]
+        ranked = self.scratch.keep(waiting.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_ranks, "pid long, size long, part int, rank long"), "ranked")
+        tasks, before = [], 0
+        for r in sorted(ranked.groupBy("part").count().collect(), key=lambda r: r["part"]):
+            tasks.append((r["part"], before))
+            before += r["count"]
+        each, begin = self.sequence // high, self.opened
+        self.opened += -(-n // each)
+        rank = F.col("rank") + F.col("before")
+        placed = ranked.join(self._per_task(tasks, "part int, before long"), "part")
+        round_ = placed.select("pid", "size", (F.lit(begin) + F.floor(rank / each)).cast("long").alias("sequence_id"), (rank % each).alias("slot"))
+        new = self.scratch.spark.range(begin, self.opened).select(F.col("id").alias("sequence_id"), F.lit(self.sequence).cast("long").alias("gap"))
+        self._settle(round_, new if self.gaps is None else self.gaps.unionByName(new))
 
 
 def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """pieces (doc_id, piece, length, ...) -> the same with sequence_id and offset."""
     scratch = Scratch(pieces.sparkSession, "packing")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    by = [F.col("length").desc(), F.col("doc_id").asc_nulls_last(), F.col("piece")]
-    pieces = scratch.keep(pieces, "pieces")  # sampling the splitters would make them twice
-    ordered = pieces.repartitionByRange(*by).sortWithinPartitions(*by)
-    ranked = scratch.keep(ordered.mapInArrow(_rank, f"{schema}, part int, local_rank long"), "ranked")
-    # A partition holds neighbouring lengths: this table has a row per partition and one per length at most.
-    counts = ranked.groupBy("part", "length").count()
-    before = counts.select("part", "length", (F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")).alias("before"))
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
-    plan = best_fit(histogram, sequence)
-    with_rank = ranked.join(before, ["part", "length"]).select(*pieces.columns, (F.col("local_rank") + F.col("before")).alias("rank"))
-    return with_rank.mapInArrow(_place(plan), f"{schema}, sequence_id long, offset long")
+    numbered = scratch.keep(pieces.withColumn("number of piece", F.monotonically_increasing_id()), "pieces")
+    sizes = numbered.select(F.col("number of piece").alias("pid"), F.col("length").alias("size"))
+    highs = sorted({sequence // k for k in BANDS if k <= sequence}, reverse=True)
+    lows = [*highs[1:], 0]
+    counts = sizes.agg(*[F.count(F.when((F.col("size") > low) & (F.col("size") <= high), 1)).alias(f"n{high}") for low, high in zip(lows, highs, strict=True)]).first()
+    rounds = _Rounds(scratch, sequence)
+    for low, high in zip(lows, highs, strict=True):
+        left = counts[f"n{high}"]
+        waiting = sizes.filter((F.col("size") > low) & (F.col("size") <= high))
+        found = int(rounds.gaps is not None)
+        while left and found:
+            waiting, found, left = rounds.sweep(waiting, low, high)
+        if left:
+            rounds.open(waiting, left, high)
+    if rounds.found is None:
+        return pieces.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
+    ahead = F.sum("size").over(Window.partitionBy("sequence_id").orderBy("turn")) - F.col("size")
+    placed = numbered.join(rounds.found.select("pid", "sequence_id", ahead.alias("offset")), F.col("number of piece") == F.col("pid"))
+    return placed.select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:

@@ -2,22 +2,24 @@
 
 Such a tokenizer first cuts a text into words and encodes each word by itself.  The cut is done here by
 array operations over all texts of a group at once, and a word's ids come from the library once and from a
-bounded cache afterwards.  Texts with code points whose class may differ between libraries go to the
-tokenizer as they are.
+bounded cache afterwards, which goes with the task.  Texts with code points whose class may differ between libraries go to the
+tokenizer as they are, and so do texts that hold the string of an added token (``<|endoftext|>``), which is one id.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 
-from .hashing import BASE, U, mix, powers
+from .hashing import range_hashes
 
-CACHE_WORDS = 400_000
+#: Places for words in the cache, and ids that it holds before it is cleared.
+CACHE_SLOTS = 1 << 19
+CACHE_IDS = 3_000_000
 #: Letters, digits and white space below this code point are the same in all Unicode versions.
 SURE = 0x590
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -33,13 +35,6 @@ def classes() -> np.ndarray:
     return out
 
 
-def range_hashes(values: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    up, down = powers(1 << max(16, int(len(values)).bit_length()))
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(mix(values.astype(np.uint64) + U(BASE)) * up[: len(values)], out=sums[1:])
-    return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64))
-
-
 def word_starts(code: np.ndarray, row_start: np.ndarray) -> np.ndarray:
     """Where the tokenizer's words start: contractions, letters, digits or other signs with one space before
     them at most, and white space, of which the last sign before a word stands alone."""
@@ -79,40 +74,52 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that stand for an id of their own wherever a text holds them.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         # Byte-level files write a byte that can't be seen as a character from 256 on.
         seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in seen]
         self.signs = {b: b for b in seen} | {b: 256 + k for k, b in enumerate(hidden)}
+        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.hashes, self.places = np.zeros(CACHE_SLOTS, np.uint64), np.full(CACHE_SLOTS, -1, np.int32)
+        self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint16 if self.small else np.uint32)
+
+    def _slots(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
+        for shift in (0, 40):
+            yield ((hashes >> np.uint64(shift)) & np.uint64(CACHE_SLOTS - 1)).astype(np.int64)
 
     def ids_of(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words given by hash; word(k) gives the bytes of the k-th.  Returns all ids and each word's number."""
-        different, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE_WORDS:
+        if len(self.ids) > CACHE_IDS:
             self.clear()
-        listed = different.tolist()
-        at = np.fromiter(map(self.known.get, listed, repeat(-1)), np.int64, len(listed))
-        new = np.flatnonzero(at < 0)
+        which = np.full(len(hashes), -1, np.int64)
+        for slot in self._slots(hashes):
+            hit = self.hashes[slot] == hashes
+            which[hit] = self.places[slot[hit]]
+        new = np.flatnonzero(which < 0)
         if len(new):
+            different, first, back = np.unique(hashes[new], return_index=True, return_inverse=True)
             tokenize, signs = self.model.tokenize, self.signs
-            found = [[t.id for t in tokenize(word(k).decode("latin-1").translate(signs))] for k in first[new].tolist()]
+            found = [[t.id for t in tokenize(word(k).decode("latin-1").translate(signs))] for k in new[first].tolist()]
             n = np.fromiter(map(len, found), np.int64, len(found))
-            at[new] = len(self.known) + np.arange(len(new))
-            self.known.update(zip(different[new].tolist(), at[new].tolist(), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(n) - n])
-            self.lengths = np.concatenate([self.lengths, n])
-            self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], np.uint32)])
-        which = at[back]
-        n = self.lengths[which]
+            own = len(self.bounds) - 1 + np.arange(len(found))
+            which[new] = own[back]
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(n)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.ids.dtype, int(n.sum()))])
+            # A word goes to one of its two places that is free; whoever came first stays, as frequent words come early.
+            left = np.ones(len(own), dtype=bool)
+            for slot in self._slots(different):
+                free = left & (self.places[slot] < 0)
+                self.hashes[slot[free]], self.places[slot[free]] = different[free], own[free]
+                left &= self.hashes[slot] != different
+        start = self.bounds[which]
+        n = self.bounds[which + 1] - start
         ends = np.cumsum(n)
-        out = self.ids[np.repeat(self.starts[which] - ends + n, n) + np.arange(int(n.sum()))]
-        return out, n
+        return self.ids[np.repeat(start - ends + n, n) + np.arange(int(n.sum()))].astype(np.uint32), n
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and each text's number of them."""
@@ -121,17 +128,18 @@ class Encoder:
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(size, out=bounds[1:])
-        if len(code) and int(code.max()) >= SURE:
+        marked = {k for a in self.added if a in joined for k, t in enumerate(texts) if a in t}
+        if marked or len(code) and int(code.max()) >= SURE:
             odd = np.flatnonzero(code >= SURE)
-            rows = np.unique(np.searchsorted(bounds, odd, side="right") - 1).tolist()
-            return self._with_odd(texts, set(rows))
+            return self._with_odd(texts, marked | set(np.unique(np.searchsorted(bounds, odd, side="right") - 1).tolist()))
         row_start = np.zeros(len(code), dtype=bool)
         row_start[bounds[:-1][size > 0]] = True
         if not len(code):
             return np.zeros(0, np.uint32), size
         start = np.flatnonzero(word_starts(code, row_start))
         stop = np.append(start[1:], len(code))
-        ids, n = self.ids_of(range_hashes(code, start, stop), lambda k: joined[start[k] : stop[k]].encode())
+        narrow = code.astype(np.uint16).view(np.uint8)
+        ids, n = self.ids_of(range_hashes(narrow, 2 * start, 2 * stop), lambda k: joined[start[k] : stop[k]].encode())
         ends = np.zeros(len(n) + 1, np.int64)
         np.cumsum(n, out=ends[1:])
         return ids, np.diff(ends[np.searchsorted(start, bounds)])
