@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidebook.llm.mixing import mix, rake
+from tidebook.llm.mixing import calibrated, mix, rake
 
 
 def cells(seed=1):
@@ -49,3 +49,17 @@ def test_draws_follow_probabilities_and_odd_rows(spark):
     assert by["hot"] / by["s1"] == pytest.approx((mass["hot"] / mass["s1"]) ** 0.5, rel=0.1)
     assert {x["cell_p"] for x in got} == {"clash", None}
     assert mix(df.limit(0)).collect() == []
+
+
+def test_a_tiny_cell_stays_whole_and_does_not_lower_the_rest(spark):
+    rows = [("big", "en", "p", 1000, 0.5), ("mid", "en", "p", 300, 0.3), ("tiny", "en", "p", 2, 0.2), ("none", "en", "p", 0, 0.0)]
+    got = {x["source"]: x["cell_p"] for x in calibrated(spark.createDataFrame(rows, "source string, lang string, topic string, mass long, weight double"), 0.8).collect()}
+    assert got["tiny"] == got["mid"] == got["none"] == 1.0
+    assert got["big"] == pytest.approx((0.8 * 1302 - 302) / 1000)
+
+
+def test_null_ids_are_drawn_by_text_and_given_topics_hold(spark):
+    rows = [(None, f"text {k} " * 9, "en", "s", f"t{k % 2}", 10) for k in range(300)] + [(k, "other", "en", "s", "t0", 90) for k in range(300)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string, n_tokens long"), keep=0.5).collect()
+    assert {x["topic"] for x in got} == {"t0", "t1"} and {x["n_tokens"] for x in got} == {10, 90}
+    assert 60 < sum(x["selected"] for x in got if x["doc_id"] is None) < 300

@@ -30,7 +30,7 @@ def test_stages_one_by_one(spark, sf_dir):
     assert {r["doc_id"] for r in single.collect()} == {i for i, (_, c) in classes.items() if c == i}
 
     drawn = stages["mixing"](spark, single, sf_dir).cache()
-    assert {r["doc_id"] for r in drawn.collect()} == {r["doc_id"] for r in mix(single).filter("selected").collect()}
+    assert {r["doc_id"] for r in drawn.collect()} == {r["doc_id"] for r in mix(single, keep=0.8).filter("selected").collect()}
 
     packed = stages["packing"](spark, drawn, sf_dir)
     assert Counter(map(tuple, packed.select("doc_id", "piece", "length").collect())) == Counter(map(tuple, pack_documents(drawn, public_file("byte_bpe_50k.json")).select("doc_id", "piece", "length").collect()))
