@@ -8,7 +8,8 @@ drop.  What stays is put together again by position.
 A line's key is the line without ASCII white space at its ends, A-Z lower-cased.  The digest is MD5:
 128 bits, so that unequal keys do not meet at any corpus size.  Null text is one empty line.  Rows
 with one doc_id count as one document; each of them keeps its own lines.  A null doc_id counts as one
-further document and never as the largest.  Further columns are not read.
+further document and never as the largest.  A very long text is one row with all its lines.  An empty table gives no rows.
+Further columns are not read, or carried along by name.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ascii_lower, whole_text
+from .common import BLANKS, Scratch, ascii_lower, whole_text
 
 
 def line_key(line: Column) -> Column:
@@ -30,17 +31,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     given = given.withColumn("did", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("row_key", F.xxhash64("text"))
     lines = F.split("text", "\n", -1)
     digests = F.transform(lines, lambda x: F.when(F.length(x) >= min_chars, line_key(x)))
-    digests = F.transform(digests, lambda k: F.when(F.length(k) >= min_chars, F.md5(k)))
+    digests = F.transform(digests, lambda k: F.when(F.length(k) >= min_chars, F.unhex(F.md5(k))))
+    scratch = Scratch(docs.sparkSession, "line-dedup")
     found = given.select("did", "row_key", F.posexplode(digests).alias("pos", "digest")).filter("digest is not null")
+    found = scratch.keep(found, "lines")  # used twice
 
-    shared = (
+    # Written, so that Spark may split the join where a line is hot.
+    shared = scratch.keep(
         found.groupBy("digest")
         .agg(F.count_distinct("did").alias("n_docs"), F.max("did").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("digest", "keeper")
+        .select("digest", "keeper"),
+        "shared",
     )
     drops = (
-        found.join(shared, "digest")
+        found.join(shared.hint("merge"), "digest")
         .filter("did <> keeper")
         .groupBy("did", "row_key")
         .agg(F.collect_set("pos").alias("drops"))
