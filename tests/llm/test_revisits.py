@@ -58,3 +58,10 @@ def test_equals_brute_force(spark):
     for part in (rows, rows[:1], []):
         got = [(x["record_id"], x["response_id"], x["outcome"], tuple(sorted(x["headers"].items())) if x["headers"] is not None else None) for x in resolve_revisits(spark.createDataFrame(part, RECORDS)).collect()]
         assert sorted(got, key=str) == brute(part)
+
+
+def test_header_names_that_differ_in_case(spark):
+    rows = [(1, "response", "x.org/a", T0, 200, {"Set-Cookie": "b", "set-cookie": "a", "ETag": "1", "Vary": None}, "c"), (2, "revisit", "x.org/a", T0 + dt.timedelta(1), 304, {"etag": "1", "X-A": "2", "x-a": "1"}, "c")]
+    got = resolve_revisits(spark.createDataFrame(rows, RECORDS)).collect()
+    assert [x["outcome"] for x in got] == ["resolved"]
+    assert got[0]["headers"] == {"set-cookie": "a, b", "etag": "1", "vary": "", "x-a": "1, 2"}

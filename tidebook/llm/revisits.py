@@ -12,7 +12,9 @@ URL's slices, a table of one row per URL and slice.  Only headers move, never pa
 outcome: resolved, mismatch (validators differ), no_validator (the revisit has none that the response
 has, too), no_response (nothing earlier; also for a null URL or time).  Equal times do not count as
 earlier; of responses at one time the greatest record_id counts.  Repeated revisits are answered each.
-Null headers count as none, header names are compared in lower case.  Extra columns are not read.
+Null headers count as none and null values as empty.  Header names are compared in lower case; values of names that differ in case only
+are joined by commas, in byte order (RFC 9110 5.3).  Equal URLs with a third of all records are split by time; empty URLs are one URL.
+An empty table gives no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -46,9 +48,12 @@ def canonical_url(url: Column) -> Column:
 
 
 def _entries(headers: Column) -> Column:
-    """Headers as a sorted list of (name, value), names in lower case."""
+    """Headers as a sorted list of (name, value), names in lower case and each once."""
+    none = F.array().cast("array<struct<k:string,v:string>>")
     listed = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("k"), e["value"].alias("v")))
-    return F.array_sort(F.coalesce(listed, F.array().cast("array<struct<k:string,v:string>>")))
+    listed = F.array_sort(F.coalesce(listed, none))
+    names = F.array_distinct(F.transform(listed, lambda e: e["k"]))
+    return F.transform(names, lambda n: F.struct(n.alias("k"), F.array_join(F.transform(F.filter(listed, lambda e: e["k"] == n), lambda e: e["v"]), ", ").alias("v")))
 
 
 def _value(entries: Column, name: str) -> Column:
