@@ -1,9 +1,10 @@
 """Document fingerprints: a Merkle tree over sections, paragraphs and clauses.
 
 Leaves are clauses: stretches of a few words that end after a word whose hash says so, so that an edit
-moves no cuts but its neighbours'.  A paragraph (a line) digests its clauses' hashes in order, a section (some
+moves no cuts but its neighbours'.  A leaf is the clause's BLAKE2b digest.  A paragraph (a line) digests its clauses' digests in order, a section (some
 paragraphs, closed by one whose digest says so or by a blank line) its paragraphs' digests, and the root its
-sections' digests.  Every byte of the text belongs to one clause, so equal roots mean equal texts.
+sections' digests.  Every byte of the text belongs to one clause, so equal roots mean
+equal texts (but for a collision of 128-bit BLAKE2b).
 
 Written form: 32 hex digits of the root, a colon, then five characters for each clause, a comma after
 each paragraph and a semicolon after each section.  So two fingerprints can be compared without the texts:
@@ -11,6 +12,7 @@ equal roots settle it; otherwise equal branches match, and only those that diffe
 ``likeness`` is what the trees share: matched clauses over all clauses (as multisets).  ``differing`` names
 the paragraphs that do not occur on the other side, which locates edits.
 
+Rows with one doc_id stand in the order of their texts.  A very long text is a group of its own.  Further columns are not read.
 Null text counts as empty; an empty text has a root without branches.  A likeness of two equal texts is
 1, of an empty and another one 0.
 """
@@ -27,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, whole_text
-from .hashing import _BLANK, GROUP_BYTES, Rolling, U, mix
+from .common import lean, shuffle_partitions, whole_text
+from .hashing import _BLANK, GROUP_BYTES, U, range_hashes
 
 CLAUSE_WORDS = 6
 SECTION_PARAGRAPHS = 4
+#: Bytes of text in a range of ids, so that there are more ranges and not larger ones where there is more text.
+RANGE_BYTES = 64_000_000
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", dtype=np.uint8)
 
 
@@ -49,7 +53,6 @@ class Trees:
         rows = np.zeros(self.n + 1, np.int64)
         np.cumsum(size, out=rows[1:])
         solid = ~_BLANK[data]
-        roll = Rolling(data)
         # A word's last byte; the clause ends after the white space that follows, at the next word.
         edge = np.zeros(len(data) + 1, dtype=bool)
         edge[rows] = True
@@ -58,7 +61,7 @@ class Trees:
         first |= edge[:-1] & solid
         word = np.flatnonzero(first)
         nxt = np.append(word[1:], len(data))
-        chosen = mix(roll.of(word, nxt)) % U(CLAUSE_WORDS) == 0
+        chosen = range_hashes(data, word, nxt) % U(CLAUSE_WORDS) == 0
         cut = edge.copy()
         cut[nxt[chosen]] = True
         breaks = np.flatnonzero(data == 0x0A) + 1
@@ -67,7 +70,9 @@ class Trees:
         para[breaks] = True
         at = np.flatnonzero(cut)
         start, stop = at[:-1], at[1:]
-        leaf = mix(roll.of(start, stop) ^ mix((stop - start).astype(np.uint64))) if len(data) else np.zeros(0, np.uint64)
+        whole = data.tobytes()
+        raw = b"".join([_digest(whole[a:b]) for a, b in zip(start.tolist(), stop.tolist(), strict=True)]) if len(data) else b""
+        leaf = np.frombuffer(raw, dtype="<u8")[::2]
         self.code = (leaf >> U(34)).astype(np.int64)
         self.leaf_row = np.searchsorted(rows, start, side="right") - 1 if len(data) else np.zeros(0, np.int64)
         self.bounds = np.searchsorted(start, rows) if len(data) else np.zeros(self.n + 1, np.int64)
@@ -75,12 +80,11 @@ class Trees:
         self.mark = np.zeros(len(leaf), dtype=np.uint8)
         ends = np.flatnonzero(para[stop]) if len(leaf) else np.zeros(0, np.int64)
         self.mark[ends] = ord(",")
-        raw = leaf.tobytes()
         per_row: list[list[bytes]] = [[] for _ in range(self.n)]
         begin, row_of, lengths = 0, self.leaf_row[ends].tolist(), (stop[ends] - start[np.append(0, ends[:-1] + 1)]).tolist() if len(ends) else []
         sections: list[list[bytes]] = [[] for _ in range(self.n)]
         for end, row, length in zip(ends.tolist(), row_of, lengths, strict=True):
-            d = _digest(raw[begin * 8 : (end + 1) * 8])
+            d = _digest(raw[begin * 16 : (end + 1) * 16])
             begin = end + 1
             per_row[row].append(d)
             if d[0] % SECTION_PARAGRAPHS == 0 or length == 1 or end + 1 == self.bounds[row + 1]:
@@ -196,8 +200,9 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    n = shuffle_partitions(spark)
-    quantiles = given.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000).alias("q")).first()["q"] or []
+    size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(shuffle_partitions(spark), size // RANGE_BYTES + 1)
+    quantiles = given.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("q")).first()["q"] or []
     splitters = np.unique(np.array(quantiles, dtype=np.int64))
 
     @F.pandas_udf("int")
@@ -222,4 +227,4 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
     rows = given.select("doc_id", "text", F.lit(False).alias("closing"), range_of("doc_id").alias("range"))
     rows = rows.unionByName(firsts.select("doc_id", "text", F.lit(True).alias("closing"), range_before("doc_id").alias("range")))
     dealt = rows.repartition(n, "range").sortWithinPartitions("range", "closing", F.col("doc_id").desc_nulls_last(), "text")
-    return dealt.select("doc_id", "text", "closing").mapInArrow(_with_next, PAIRS)
+    return dealt.select("doc_id", "text", "closing").mapInArrow(lean(_with_next), PAIRS)
