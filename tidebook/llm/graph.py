@@ -15,7 +15,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     neighbour, in a small star its lesser ones.  No round makes more edges than it had, and the number of
     rounds grows with the logarithm of the longest chain.  Each round's edges are written, so that a lost
     executor costs one round.  Spark sums per task before each shuffle, so a hub's edges don't meet in one
-    place but as one minimum per task; the join that follows may be split where a hub is hot.
+    place but as one minimum per task; the minima are written, so that Spark may split the join that follows where a hub is hot.
     """
     now = scratch.keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
 
@@ -27,12 +27,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while was[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.keep(least, "least")
         large = both.join(least, F.col("a") == F.col("u")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        low = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        large = scratch.keep(large.filter("a <> b").distinct(), "large")
+        low = scratch.keep(large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")), "low")
         small = large.join(low, F.col("a") == F.col("u")).select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))).alias("e"))
         nxt = scratch.keep(small.select("e.a", "e.b").filter("a <> b").distinct(), "edges")
-        scratch.drop(now)
+        for old in (now, least, large, low):
+            scratch.drop(old)
         now, before, was = nxt, was, mark(nxt)
         if before == was:
             break

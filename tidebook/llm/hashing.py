@@ -1,12 +1,14 @@
 """Vectorised hashes of byte ranges, words and word shingles, for use inside Arrow tasks.
 
-A task handles some 2 MB of text at a time, whatever the size of its Arrow batches, so that its
+A task handles some hundred kB of text at a time, whatever the size of its Arrow batches, so that its
 memory does not follow the length of texts or batches (one very long text is a group of its own).
 All hashes are fixed functions of the bytes: every executor and every run gives the same values.
+Words are hashed eight bytes at a time through a finaliser that mixes all bits, very long ones by BLAKE2b.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,16 +17,41 @@ import pyarrow as pa
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 400_000
+#: Ranges above so many bytes are hashed one by one.
+LONG = 512
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x ^ (x >> U(31))
-    x = x * U(0xD6E8FEB86659FD93)
-    x = x ^ (x >> U(29))
-    x = x * U(0xA0761D6478BD642F)
-    return x ^ (x >> U(32))
+    x *= U(0xD6E8FEB86659FD93)
+    x ^= x >> U(29)
+    x *= U(0xA0761D6478BD642F)
+    x ^= x >> U(32)
+    return x
+
+
+_FIRST = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges, a function of their bytes alone."""
+    size = stop - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    at = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    h = mix((size.astype(np.uint64) + U(1)) * U(BASE))
+    h = mix(h ^ (at[start] & _FIRST[np.minimum(size, 8)]))
+    live = np.flatnonzero((size > 8) & (size <= LONG))
+    k = 8
+    while len(live):
+        left = size[live] - k
+        h[live] = mix(h[live] ^ (at[start[live] + k] & _FIRST[np.minimum(left, 8)]))
+        live = live[left > 8]
+        k += 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : stop[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 @lru_cache(1)
@@ -32,20 +59,25 @@ def byte_values() -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * U(BASE))
 
 
-@lru_cache(2)
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and its inverse modulo 2 ** 64, for i below n."""
+    """BASE ** i and its inverse modulo 2 ** 64, for i below n; a table of one usual group is kept."""
+    return _powers(n) if n <= 1 << 20 else _powers.__wrapped__(n)
+
+
+@lru_cache(1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, BASE, dtype=np.uint64), np.full(n, pow(BASE, -1, 1 << 64), dtype=np.uint64)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
 class Rolling:
-    """Hash of any range of some bytes, in constant time each."""
+    """Hash of any range of some bytes, in constant time each.  Equal ranges have equal hashes; unequal ones may meet (the hash is
+    a polynomial modulo 2 ** 64), so it serves to find candidates only."""
 
     def __init__(self, data: np.ndarray):
         self.n = len(data)
-        size = 1 << max(16, int(self.n).bit_length())
+        size = 1 << max(20, int(self.n).bit_length())
         up, self.down = powers(size)
         self.sums = np.zeros(self.n + 1, dtype=np.uint64)
         np.cumsum(byte_values()[data] * up[: self.n], out=self.sums[1:])
@@ -106,7 +138,7 @@ def words_at(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     ends[:-1] &= ~solid[1:]
     ends[at - 1] = solid[at - 1]
     start, stop = np.flatnonzero(first), np.flatnonzero(ends) + 1
-    return data, start, stop, mix(Rolling(data).of(start, stop) + (stop - start).astype(np.uint64)), np.searchsorted(start, rows)
+    return data, start, stop, range_hashes(data, start, stop), np.searchsorted(start, rows)
 
 
 def words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:

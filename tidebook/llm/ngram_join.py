@@ -4,14 +4,19 @@ Two documents link when den * |x & y| >= num * |x | y|.  That bounds how many n-
 |x ^ y| <= (|x| + |y|) * (den - num) / (den + num).
 
 Blocking.  Sizes fall into classes such that linked documents lie in one class or in neighbouring ones.
-For a class with at most h differing n-grams the n-grams are dealt by hash to h + 1 column blocks, of
-which at least one must then be equal in full.  So documents that link share a (block, content) column, while common
+For a class with at most h differing n-grams the n-grams are dealt by hash to h + 1 + j column blocks, of
+which at least j + 1 must then be equal in full.  So documents that link share a (block, content) column, while common
 n-grams alone make none: a block holds about (den + num) / 2 / (den - num) n-grams, all of which must agree.
+Empty blocks make no columns, or unrelated documents would meet in them.  This loses nothing: j is 0 while empty blocks are rare
+and some more than their usual number else, so only a document with over j empty blocks can agree in nothing but empty ones.
+Such documents are dealt again with another hash, up to ``DEALS`` times, and what is left then meets by the numbers of blocks
+that are empty in each of three deals, as documents that link must share one of those in each.
 Documents that share columns, directly or by way of others, form a cluster; nothing outside a cluster links with it.
 
 Product.  A cluster's document by n-gram incidence is multiplied with its transpose, block of documents by block of
-documents: overlap counts are accumulated over slices of n-grams, and pairs below the bound that their sizes
-set are discarded.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
+documents, as sparse matrices: postings of an n-gram add to the overlap counts of all their pairs, and of an n-gram that most
+documents of the block hold, the few that lack it are multiplied instead.  Counts are whole numbers, and pairs below the bound that
+their sizes set are discarded.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
 of the links it found.  Clusters above one block are cut by size class, and only blocks of one class or
 neighbouring classes meet.  So a family of f different near copies costs f * f / BLOCK_DOCS rows at worst.
 Copies (equal sets) are one row from the start, whatever their number.
@@ -20,13 +25,15 @@ Nothing grows on the driver.
 
 A document's set: its distinct n-word shingles; with fewer words the whole sequence as one; none for
 empty or null text, which links with nothing.  Null doc_ids link with nothing and keep a null class.  Rows with one doc_id
-are one document, which has the links of all its rows.  Extra columns are not read.
+are one document, which has the links of all its rows.  An empty table gives no rows.  A very long text is one row of the
+incidence, whose blocks grow with it, and meets documents of about its size only.  Extra columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -34,53 +41,74 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, whole_text
+from .common import Scratch, lean, whole_text
 from .graph import components
 from .hashing import U, groups, mix, shingle_sets
 
-#: Below this size a block may well be empty on both sides, so empty blocks count as columns, too.
-SMALL = 200
+#: How often a document with too many empty blocks is dealt anew.
+DEALS = 6
 #: Documents and n-grams in a block of the product.
-BLOCK_DOCS = 1024
-BLOCK_GRAMS = 1_000_000
+BLOCK_DOCS = 512
+BLOCK_GRAMS = 500_000
 
 
 @lru_cache(8)
-def size_classes(num: int, den: int, up_to: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
-    """First size of each class, and its number of blocks (0: only equal sets can link)."""
+def size_classes(num: int, den: int, up_to: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First size of each class, its number of blocks (0: only equal sets can link), and how many of them may be empty."""
     first = [1]
     while first[-1] < up_to:
         first.append(first[-1] * den // num + 1)
     top = np.array(first[1:]) - 1
     differ = 2 * top * (den - num) // (den + num)
-    return np.array(first), np.where(differ > 0, differ + 1, 0)
+    least = np.append(first[0], first[:-2])  # sets of the class before come, too
+    empty = (differ + 1) * np.exp(-least / (differ + 1))
+    spare = np.where(empty < 1, 0, np.ceil(empty + 3 * np.sqrt(empty))).astype(np.int64)
+    return np.array(first), np.where(differ > 0, differ + 1 + spare, 0), spare
 
 
 def _columns(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, column) of the blocked incidence."""
-    first, blocks = size_classes(num, den)
-    sizes = np.array([len(s) for s in sets])
+    first, blocks, spare = size_classes(num, den)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
     flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    rows_out, cols_out = [], []
-    own = np.searchsorted(first, sizes, side="right") - 1
+    rows_out, cols_out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    own = np.maximum(np.searchsorted(first, sizes, side="right") - 1, 0)
     row = np.repeat(np.arange(len(sets)), sizes)
     for up in (0, 1):
-        cls = own + up
-        m = np.where(sizes > 0, blocks[np.minimum(cls, len(blocks) - 1)], 0)
-        at = np.cumsum(m) - m
-        live = m[row] > 0
-        x, r = flat[live], row[live]
-        block = (mix(x + U(77)) >> U(20)).astype(np.int64) % m[r]
-        total = np.zeros(int(m.sum()), np.uint64)
-        n = np.zeros(int(m.sum()), np.int64)
-        np.add.at(total, at[r] + block, mix(x ^ U(0x5851F42D4C957F2D)))
-        np.add.at(n, at[r] + block, 1)
-        owner = np.repeat(np.arange(len(sets)), m)
-        b = np.arange(len(total)) - at[owner]
-        sig = mix(mix(total + n.astype(np.uint64)) + (cls[owner].astype(np.uint64) << U(40)) + b.astype(np.uint64))
-        use = (n > 0) | (sizes[owner] <= SMALL)
-        rows_out.append(owner[use])
-        cols_out.append(sig[use])
+        cls = np.minimum(own + up, len(blocks) - 1)
+        m_of = np.where(sizes > 0, blocks[cls], 0)
+        play = np.flatnonzero(m_of > 0)
+        gaps: list[tuple[np.ndarray, np.ndarray]] = []
+        for deal in range(DEALS):
+            if not len(play):
+                break
+            number = np.full(len(sets), -1, np.int64)
+            number[play] = np.arange(len(play))
+            r = number[row]
+            x, r = flat[r >= 0], r[r >= 0]
+            m = m_of[play]
+            at = np.cumsum(m) - m
+            cell = at[r] + (mix(x + U(77 + 1000 * deal)) >> U(20)).astype(np.int64) % m[r]
+            total = np.zeros(int(m.sum()), np.uint64)
+            np.add.at(total, cell, mix(x ^ U(0x5851F42D4C957F2D)))
+            n = np.bincount(cell, minlength=len(total))
+            owner = np.repeat(np.arange(len(play)), m)
+            block = np.arange(len(total)) - at[owner]
+            here = (cls[play[owner]].astype(np.uint64) << U(40)) + (U(deal) << U(56)) + block.astype(np.uint64)
+            some = n > 0
+            rows_out.append(play[owner[some]])
+            cols_out.append(mix(mix(total[some] + n[some].astype(np.uint64)) + here[some]))
+            again = np.bincount(owner[~some], minlength=len(play)) > spare[cls[play]]
+            kept = ~some & again[owner]
+            gaps.append((play[owner[kept]], block[kept]))
+            play = play[again]
+        for i in play.tolist():
+            met = list(product(*(b[k == i].tolist() for k, b in gaps[:3])))
+            key = np.full(len(met), (int(cls[i]) << 40) + (0xFF << 56), dtype=np.uint64)
+            for place in zip(*met, strict=True):
+                key = mix(key + np.array(place, dtype=np.uint64))
+            rows_out.append(np.full(len(met), i))
+            cols_out.append(key)
     return np.concatenate(rows_out), np.concatenate(cols_out)
 
 
@@ -95,7 +123,7 @@ def _sets(n: int):
                     names=["doc_id", "n_shingles", "mark1", "mark2"],
                 )
 
-    return run
+    return lean(run)
 
 
 def _incidence(n: int, num: int, den: int):
@@ -107,7 +135,7 @@ def _incidence(n: int, num: int, den: int):
                     r = row[a : a + 200_000]
                     yield pa.RecordBatch.from_arrays([pa.array(col[a : a + 200_000].view(np.int64)), part.column(0).take(pa.array(r))], names=["col", "doc"])
 
-    return run
+    return lean(run)
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,30 +164,50 @@ def _rows(n: int):
                 grams = pa.array([s.tobytes() for s in shingle_sets(part.column(1), n)], pa.binary())
                 yield pa.RecordBatch.from_arrays([tiles.flatten(), part.column(0).take(of), grams.take(of)], names=["tile", "doc", "grams"])
 
-    return run
+    return lean(run)
+
+
+def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 500_000) -> None:
+    """Adds the sparse product of the matrix with ones at (row, col) and its transpose."""
+    if not len(row):
+        return
+    n = len(overlap)
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    first = np.flatnonzero(np.append(True, col[1:] != col[:-1]))
+    count = np.diff(np.append(first, len(col)))
+    start, each = np.repeat(first, count), np.repeat(count, count)
+    done = np.cumsum(each)
+    cuts = np.append(np.searchsorted(done, np.arange(0, int(done[-1]), at_once), side="right"), len(row))
+    for a, b in zip(np.append(0, cuts[1:-1]), cuts[1:], strict=True):
+        k = each[a:b]
+        other = np.repeat(start[a:b] - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+        overlap += np.bincount(np.repeat(row[a:b], k) * n + row[other], minlength=n * n).reshape(n, n).astype(np.int32)
 
 
 def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Which pairs of rows reach the bound: the product of the incidence with its transpose, by slices of n-grams."""
+    """Which pairs of rows reach the bound: the sparse product of the incidence with its transpose."""
     n = len(sets)
-    size = np.array([len(s) for s in sets])
+    size = np.array([len(s) for s in sets], dtype=np.int64)
     row = np.repeat(np.arange(n), size)
     _, col, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
-    shared = count > 1
-    place = np.cumsum(shared) - 1
-    use = shared[col]
-    row, col = row[use], place[col[use]]
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    overlap = np.zeros((n, n), dtype=np.float32)
-    total, width = int(shared.sum()), max(64, 4_000_000 // n)
-    for a in range(0, total, width):
-        i, j = np.searchsorted(col, [a, a + width])
-        m = np.zeros((n, min(width, total - a)), dtype=np.float32)
-        m[row[i:j], col[i:j] - a] = 1
-        overlap += m @ m.T
-    both = size[:, None] + size[None, :]
-    links = (overlap.astype(np.int64) * (den + num) >= both * num) & (size[:, None] > 0) & (size[None, :] > 0)
+    overlap = np.zeros((n, n), dtype=np.int32)
+    rare = (count > 1) & (2 * count <= n)
+    use = rare[col]
+    _add_pairs(overlap, row[use], col[use])
+    # Held by most: all of them, less what either lacks, plus what both lack.
+    most = (count > 1) & (2 * count > n)
+    if most.any():
+        place = np.cumsum(most) - 1
+        use = most[col]
+        lacks = np.ones((int(most.sum()), n), dtype=bool)
+        lacks[place[col[use]], row[use]] = False
+        missing, who = np.nonzero(lacks)
+        short = np.bincount(who, minlength=n).astype(np.int32)
+        overlap += len(lacks) - short[:, None] - short[None, :]
+        _add_pairs(overlap, who, missing)
+    links = overlap.astype(np.int64) * (den + num) >= (size[:, None] + size[None, :]) * num
+    links &= (size[:, None] > 0) & (size[None, :] > 0)
     np.fill_diagonal(links, False)
     return links
 
@@ -199,13 +247,13 @@ def _tiles(num: int, den: int):
         if docs:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in finish(docs, rows)], names=["a", "b"])
 
-    return run
+    return lean(run)
 
 
 def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
     """members (doc_id, component, n_shingles) -> doc_id, tiles: one for a small cluster, else a pair of blocks for each
     block of its own class and of those beside it."""
-    first, _ = size_classes(num, den, 1 << 40)
+    first, _, _ = size_classes(num, den, 1 << 40)
     cls = F.size(F.filter(F.array(*[F.lit(int(x)) for x in first]), lambda x: x <= F.col("n_shingles")))
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_GRAMS)).cast("int")
     classed = members.withColumn("cls", cls)
@@ -233,12 +281,12 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     known = given.filter("doc_id is not null")
 
-    # Equal sets are one node from the start.
+    # Equal sets are one node from the start.  The sums are written, so that Spark may split the join where a set is hot.
     sets = scratch.keep(given.mapInArrow(_sets(n), "doc_id long, n_shingles long, mark1 long, mark2 long"), "sets")
     full = sets.filter("doc_id is not null and n_shingles > 0")
-    by_set = full.groupBy("mark1", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1")
-    copies = full.join(by_set, ["mark1", "mark2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = scratch.keep(copies.distinct(), "copies")
+    by_set = scratch.keep(full.groupBy("mark1", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1"), "hot")
+    copies = full.join(by_set.hint("merge"), ["mark1", "mark2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    links = scratch.keep(copies, "copies")
 
     # Clusters: documents that share columns.
     cells = known.mapInArrow(_incidence(n, num, den), "col long, doc long")

@@ -22,6 +22,8 @@ from .toxicity import fit_on_labels, held_out, score
 
 
 TOXIC_FROM = 0.3
+#: Share of all tokens that the mixture draws.
+MIX_KEEP = 0.8
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
+    return mix(table(spark, sf_dir, "documents"), keep=MIX_KEEP).select("doc_id", "source", "lang", "topic", "n_tokens", "probability", "selected")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
