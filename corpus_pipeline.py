@@ -8,10 +8,11 @@ the last return the columns of documents.
    from those of the held-out fold.
 2. line_dedup: lines that three documents or more share go, but for one document.
 3. ngram_jaccard: of documents linked by 5-word shingles at a Jaccard similarity of 0.8, the smallest doc_id stays.
-4. mixing: documents are drawn by probabilities that rake source, language and topic to target weights.
+4. mixing: documents are drawn by probabilities that rake source, language and topic to target weights; cells that are wanted
+   beyond what they hold stay whole.
 5. packing: documents become pieces in sequences of 1024 tokens.
 
-Rows with a null doc_id pass stages 1 to 3 (they have no label and link with nothing) and are drawn as one in stage 4.
+Rows with a null doc_id pass stages 1 to 3 (they have no label and link with nothing) and are drawn by their texts in stage 4.
 An empty table gives an empty result.
 """
 
@@ -25,7 +26,7 @@ from tidebook.llm.line_dedup import line_dedup
 from tidebook.llm.mixing import mix
 from tidebook.llm.ngram_join import ngram_classes
 from tidebook.llm.packing import pack_documents
-from tidebook.llm.queries import TOXIC_FROM
+from tidebook.llm.queries import MIX_KEEP, TOXIC_FROM
 from tidebook.llm.tokens import public_file
 from tidebook.llm.toxicity import fit_on_labels, with_score
 
@@ -48,7 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def draw_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix(docs.select(COLUMNS)).filter("selected").select(COLUMNS)
+    return mix(docs.select(COLUMNS), keep=MIX_KEEP).filter("selected").select(COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
