@@ -75,6 +75,18 @@ def test_equals_brute_force(spark, monkeypatch):
     assert windows == {w for x, y in zip(whole.start.tolist(), whole.stop.tolist(), strict=True) for w in range(x, y - 199)}
 
 
+def test_hot_anchors_are_split_exactly(spark, monkeypatch):
+    r = random.Random(9)
+    noise = lambda n: "".join(r.choice("qrstuvwxyz ") for _ in range(n))
+    hot = ["".join(r.choice("abcdefgh") for _ in range(n)) for n in (90, 150, 198, 199, 200, 230)]
+    sides = [noise(60) for _ in range(3)]
+    texts = [noise(r.randint(0, 150)) + r.choice(["", *sides]) + r.choice(hot) + r.choice(["", *sides]) + noise(r.randint(0, 150)) for _ in range(160)]
+    rows = [(k, t, "clash") for k, t in enumerate(texts)] + [(3, texts[3], "clash")]
+    monkeypatch.setattr(repeats, "HOT", 1500)
+    monkeypatch.setattr(repeats, "CHUNK", 2000)
+    assert run(spark, rows) == brute(rows, 200)
+
+
 def test_small_tables(spark):
     assert run(spark, []) == []
     for rows in ([(1, None, "a")], [(1, "b" * 500, "a")], [(1, "short", "a"), (2, "short", "a")]):

@@ -72,7 +72,7 @@ BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 def small_batches(spark: SparkSession) -> None:
     """Lowers the session's limits of Arrow batches to ours; lower ones stay."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        given = spark.conf.get(key, "0").strip().lower()
+        given = spark.conf.get(key) or ""
         if not given.isdigit() or not 0 < int(given) <= most:
             spark.conf.set(key, str(most))
 

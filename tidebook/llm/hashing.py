@@ -35,21 +35,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 _FIRST = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
-def range_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+def range_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, long: int = LONG) -> np.ndarray:
     """64-bit hashes of byte ranges, a function of their bytes alone."""
     size = stop - start
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     at = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     h = mix((size.astype(np.uint64) + U(1)) * U(BASE))
     h = mix(h ^ (at[start] & _FIRST[np.minimum(size, 8)]))
-    live = np.flatnonzero((size > 8) & (size <= LONG))
+    live = np.flatnonzero((size > 8) & (size <= long))
     k = 8
     while len(live):
         left = size[live] - k
         h[live] = mix(h[live] ^ (at[start[live] + k] & _FIRST[np.minimum(left, 8)]))
         live = live[left > 8]
         k += 8
-    for i in np.flatnonzero(size > LONG).tolist():
+    for i in np.flatnonzero(size > long).tolist():
         h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : stop[i]].tobytes(), digest_size=8).digest(), "little")
     return h
 

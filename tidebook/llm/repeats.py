@@ -7,6 +7,10 @@ A byte goes if it lies in a string of ``length`` bytes (UTF-8) that starts anywh
   are counted over all documents, and contexts whose anchor occurs once hold no window that occurs again.  This is exact.
 * Shards.  The other contexts go to shards by their anchor, so that equal windows meet, however far apart their
   documents are.  Only one document of those with a context sends its bytes, however many there are.
+* Hot anchors.  Where different surroundings of one passage make an anchor's contexts large (``HOT``), its windows are split by the place of
+  the anchor in them: windows of either half of the places have more bytes in common than the anchor, whose hash is the new
+  shard.  Halves are split again as long as they are hot; at single places all windows of a shard are equal, and equal contexts
+  are summed before they meet.  This is exact, too.
 * Suffix sorting.  A shard's contexts are sorted in chunks that end between anchors, by external induced sorting with
   common-prefix values (``induced``).  A run of suffixes that share ``length`` bytes is one string; where its contexts
   count two at least, its places are marked.
@@ -14,29 +18,34 @@ A byte goes if it lies in a string of ``length`` bytes (UTF-8) that starts anywh
 
 Matches never cross documents, and texts are judged as they were given.  Null text counts as empty.  Repeated rows are
 places of their own, so both lose what they share.  Rows keep a null doc_id.  Texts shorter than ``length`` stay
-whole.  Texts move between tasks compressed.  An empty table gives no rows.  Further columns are not read.
+whole.  A very long text is worked in pieces that overlap.  Texts move between tasks compressed.  An empty table gives no rows.  Further columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, whole_text
-from .hashing import Rolling, U, bytes_of, groups, mix
+from .common import Scratch, lean, whole_text
+from .hashing import Rolling, U, bytes_of, groups, mix, range_hashes
 from .induced import suffix_order
 
 LENGTH = 200
 ANCHOR = 64
 #: Bytes of a text looked at together, and bytes of contexts sorted together.
 PIECE = 4_000_000
-CHUNK = 5_000_000
+CHUNK = 1_000_000
+#: Bytes of one anchor's different contexts above which its windows are split.
+HOT = 2_000_000
 _PLACE = 24
+#: Contexts above so many bytes are hashed one by one.
+RANGE = 1024
 END = 0xFF  # never a byte of UTF-8
 
 
@@ -45,7 +54,8 @@ class Contexts:
 
     def __init__(self, data: np.ndarray, rows: np.ndarray, length: int):
         n = len(data)
-        self.start = self.stop = self.row = np.zeros(0, np.int64)
+        self.data = data
+        self.start = self.stop = self.row = self.place = np.zeros(0, np.int64)
         self.anchor = np.zeros(0, np.uint64)
         if n < length:
             return
@@ -57,9 +67,9 @@ class Contexts:
         at = np.flatnonzero(np.cumsum(valid[: n - length + 1]))
         if not len(at):
             return
-        self.roll = Rolling(data)
+        roll = Rolling(data)
         place = np.arange(n - ANCHOR + 1)
-        full = mix(self.roll.of(place, place + ANCHOR))
+        full = mix(roll.of(place, place + ANCHOR))
         wide = length - ANCHOR + 1
         key = np.full(-(-len(full) // wide) * wide, ~U(0), dtype=np.uint64)
         key[: len(full)] = (full >> U(_PLACE)) << U(_PLACE) | place.astype(np.uint64)
@@ -71,12 +81,13 @@ class Contexts:
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(at)) - 1
         self.start, self.stop = at[begin], at[end] + length
-        self.anchor = full[least[begin]]
+        self.place = least[begin]
+        self.anchor = full[self.place]
         self.row = np.searchsorted(rows, self.start, side="right") - 1
 
     def marks(self) -> np.ndarray:
         """64 bits of each context's bytes, which identify it together with its anchor."""
-        return mix(self.roll.of(self.start, self.stop) + (self.stop - self.start).astype(np.uint64)) if len(self.start) else self.anchor
+        return range_hashes(self.data, self.start, self.stop, RANGE)
 
 
 def _slices(text: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -110,7 +121,7 @@ def _anchors(length: int):
                     n = np.diff(np.append(first, len(h)))
                     yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), pa.array(m[first].view(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(n)], names=["anchor", "mark", "did", "row_key", "n"])
 
-    return run
+    return lean(run)
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +170,7 @@ def _texts(bodies: pa.Array) -> list[bytes]:
     return [z.decompress(b) for b in bodies.to_pylist()]
 
 
-ROWS = "kind string, doc_id long, did long, row_key long, body binary, anchor long, mark long, n long, start long, sha string"
+ROWS = "kind string, doc_id long, did long, row_key long, body binary, anchor long, mark long, n long, start long, size long, sha string"
 
 
 def _contexts(length: int):
@@ -167,9 +178,9 @@ def _contexts(length: int):
     fields = [x.split() for x in ROWS.split(", ")]
     types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
-    def rows_of(size: int, **columns: pa.Array) -> pa.RecordBatch:
+    def rows_of(n_rows: int, **columns: pa.Array) -> pa.RecordBatch:
         kind = columns.pop("kind")
-        return pa.RecordBatch.from_arrays([pa.array([kind] * size) if name == "kind" else columns.get(name, pa.nulls(size, types[t])) for name, t in fields], names=[f[0] for f in fields])
+        return pa.RecordBatch.from_arrays([pa.array([kind] * n_rows) if name == "kind" else columns.get(name, pa.nulls(n_rows, types[t])) for name, t in fields], names=[f[0] for f in fields])
 
     def signed(x: np.ndarray) -> pa.Array:
         return pa.array(x.view(np.int64))
@@ -222,9 +233,38 @@ def _contexts(length: int):
             sent = sent[first]
             body = data.tobytes()
             bodies = [body[a:b] for a, b in zip(c.start[sent].tolist(), c.stop[sent].tolist(), strict=True)]
-            yield rows_of(len(sent), kind="context", anchor=signed(c.anchor[sent]), mark=signed(mark[sent]), body=pa.array(bodies, pa.binary()), n=pa.array(times[sent]))
+            yield rows_of(len(sent), kind="context", anchor=signed(c.anchor[sent]), mark=signed(mark[sent]), body=pa.array(bodies, pa.binary()), n=pa.array(times[sent]), start=pa.array(c.place[sent] - c.start[sent]), size=pa.array(c.stop[sent] - c.start[sent]))
 
-    return run
+    return lean(run)
+
+
+PARTS = "shard long, mark long, child long, child_mark long, shift long, n long, body binary, place long, low long, high long"
+
+
+def _split(length: int):
+    """Contexts with the places low to high of their anchor -> both halves of their windows, by what these have in common."""
+
+    def key(*parts: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for shard, mark, n, body, place, low, high in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                mid = (low + high) // 2
+                for a, b in ((low, mid), (mid + 1, high)):
+                    first, last = max(0, place - b), min(len(body) - length, place - a)
+                    if a > b or first > last:
+                        continue
+                    own = body[first : last + length]
+                    bounds = np.array([shard, a, b], dtype="<i8").tobytes()
+                    child = key(bounds, body[place - a : place - b + length])
+                    rows.append((shard, mark, child, key(own, np.int64(place - first).tobytes()), first, n, own, place - first, a, b))
+            cols = list(zip(*rows, strict=True)) or [[]] * 10
+            names = [x.split() for x in PARTS.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary() if t == "binary" else pa.int64()) for c, (_, t) in zip(cols, names, strict=True)], names=[n for n, _ in names])
+
+    return lean(run)
 
 
 def repeated_starts(contexts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
@@ -279,7 +319,7 @@ def _sort_shard(length: int):
         if marks:
             yield emit(marks, bodies, counts)
 
-    return run
+    return lean(run)
 
 
 SPANS = "doc_id long, n_bytes long, spans array<struct<start:bigint,stop:bigint>>, kept_sha256 string"
@@ -321,12 +361,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     joined = bodies.join(lists, ["did", "row_key"], "left").select("doc_id", "did", "row_key", "body", "anchors", "marks", "sends")
     rows = scratch.keep(joined.mapInArrow(_contexts(length), ROWS), "rows", by=("kind",))
 
-    contexts = rows.filter("kind = 'context'").select("anchor", "mark", "n", "body")
+    level = rows.filter("kind = 'context'").select(F.col("anchor").alias("shard"), "mark", "n", "body", F.col("start").alias("place"), F.lit(0).cast("long").alias("low"), F.lit(length - ANCHOR).cast("long").alias("high"), "size")
+    leaves, links = [], []
+    while True:
+        hot = scratch.keep(level.groupBy("shard").agg(F.sum("size").alias("held")).filter(F.col("held") > HOT).select("shard"), "hot")
+        if hot.isEmpty():
+            leaves.append(level)
+            break
+        leaves.append(level.join(hot.hint("merge"), "shard", "left_anti"))
+        parts = scratch.keep(level.join(hot.hint("merge"), "shard").select("shard", "mark", "n", "body", "place", "low", "high").mapInArrow(_split(length), PARTS), "parts")
+        links.append(parts.select("shard", "mark", "child", "child_mark", "shift"))
+        each = [F.first(c).alias(c) for c in ("body", "place", "low", "high")]
+        level = parts.groupBy(F.col("child").alias("shard"), F.col("child_mark").alias("mark")).agg(F.sum("n").alias("n"), *each)
+        level = scratch.keep(level.withColumn("size", F.octet_length("body").cast("long")), "level")
+    contexts = reduce(DataFrame.unionByName, leaves).select(F.col("shard").alias("anchor"), "mark", "n", "body")
     shards = contexts.repartition("anchor").sortWithinPartitions("anchor", "mark")
     ranges = shards.mapInArrow(_sort_shard(length), "anchor long, mark long, starts array<bigint>, stops array<bigint>")
+    if links:
+        ranges = scratch.keep(ranges, "ranges")
+    for link in reversed(links):
+        below = ranges.select(F.col("anchor").alias("child"), F.col("mark").alias("child_mark"), "starts", "stops")
+        moved = [F.transform(c, lambda x: x + F.col("shift")).alias(c) for c in ("starts", "stops")]
+        up = link.join(below.hint("merge"), ["child", "child_mark"]).select(F.col("shard").alias("anchor"), "mark", *moved)
+        ranges = scratch.keep(ranges.unionByName(up), "ranges")
     places = rows.filter("kind = 'place'").select("anchor", "mark", "did", "row_key", "start")
     here = F.zip_with("starts", "stops", lambda a, b: F.struct((a + F.col("start")).alias("start"), (b + F.col("start")).alias("stop")))
-    per_doc = places.join(ranges, ["anchor", "mark"]).select("did", "row_key", here.alias("r")).groupBy("did", "row_key").agg(F.flatten(F.collect_list("r")).alias("ranges"))
+    per_doc = places.join(ranges.hint("merge"), ["anchor", "mark"]).select("did", "row_key", here.alias("r")).groupBy("did", "row_key").agg(F.flatten(F.collect_list("r")).alias("ranges"))
     texts = rows.filter("kind = 'text'").select("doc_id", "did", "row_key", "body")
     cut = texts.join(per_doc, ["did", "row_key"], "left").select("doc_id", "body", "ranges").mapInArrow(_cut, SPANS)
     none = F.array().cast("array<struct<start:bigint,stop:bigint>>").alias("spans")
