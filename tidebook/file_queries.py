@@ -5,6 +5,8 @@ Their results are checked against the batch operators' SQL.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +58,11 @@ def oversize_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 'orders_book' AS name, count(*) AS n_rows FROM v_live")
 def refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.sql("DROP TABLE IF EXISTS orders_book")
-    frame(spark, sf_dir, "v_live").write.mode("overwrite").saveAsTable("orders_book", path=scratch_dir(spark, "orders-book"))
-    return refresh_statistics(spark, "orders_book").select(F.lit("orders_book").alias("name"), "n_rows")
+    name = f"orders_book_{uuid.uuid4().hex}"  # no table of a user's
+    frame(spark, sf_dir, "v_live").write.saveAsTable(name, path=scratch_dir(spark, "orders-book"))
+    got = refresh_statistics(spark, name).first()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([("orders_book", got["n_rows"])], "name string, n_rows long")
 
 
 def _landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,18 +123,24 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT region_id, type_id, date, volume FROM (SELECT *, row_number() OVER (PARTITION BY region_id, type_id, date ORDER BY http_last_modified_ms DESC) AS rn FROM v_history_raw
     WHERE region_id IN (SELECT region_id FROM v_tracked)) x WHERE rn = 1""")
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Waves of history in files, upserted by the stream; each wave replaces the table whole."""
-    path, state = scratch_dir(spark, "waves"), {"at": ""}
+    """Waves of history by scrape time, the first of them landed again at the end; each micro-batch is one wave and replaces the years that it touches."""
+    path, years = scratch_dir(spark, "waves"), {}
     rows = frame(spark, sf_dir, "v_history_raw")
-    rows.coalesce(1).write.parquet(path)
-
-    def read() -> DataFrame:
-        return spark.read.parquet(state["at"]) if state["at"] else spark.createDataFrame([], rows.schema)
-
-    def write(df: DataFrame) -> None:
-        at = scratch_dir(spark, "history")
-        df.write.parquet(at)
-        state["at"] = at
-
-    ingest.ingest_history(ingest.file_stream(spark, path, rows.schema), frame(spark, sf_dir, "v_tracked"), read, write, scratch_dir(spark, "history-state")).awaitTermination()
-    return read().select("region_id", "type_id", "date", "volume")
+    cuts = rows.agg(F.percentile_approx(F.unix_micros("http_last_modified"), [0.25, 0.5, 0.75]).alias("q")).first()["q"] or []
+    at = F.coalesce(F.unix_micros("http_last_modified"), F.lit(0))
+    bounds = [None, *sorted(set(cuts)), None]
+    waves = [rows.filter((at > a if a is not None else F.lit(True)) & (at <= b if b is not None else F.lit(True))) for a, b in zip(bounds, bounds[1:], strict=False)]
+    for wave in [*waves, waves[0]]:
+        wave.write.mode("append").parquet(path)
+
+    def read(wanted: list[int]) -> DataFrame:
+        known = [years[y] for y in wanted if y in years]
+        return spark.read.schema(rows.schema).parquet(*known) if known else spark.createDataFrame([], rows.schema)
+
+    def write(df: DataFrame, wanted: list[int]) -> None:
+        base = scratch_dir(spark, "history")
+        df.withColumn("year", F.year("date")).write.partitionBy("year").parquet(base)
+        years.update({y: f"{base}/year={y}" for y in wanted})
+
+    ingest.ingest_history(ingest.file_stream(spark, path, rows.schema, files_at_once=8), frame(spark, sf_dir, "v_tracked"), read, write, scratch_dir(spark, "history-state")).awaitTermination()
+    return read(sorted(years)).select("region_id", "type_id", "date", "volume")

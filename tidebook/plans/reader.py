@@ -38,9 +38,15 @@ def history_range(history: DataFrame, region_id: int, first: dt.date, last: dt.d
 
 def gap_filled(history: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """A row for each day between first and last from a type's first traded day on: days without trade take the last
-    average and no volume."""
-    within = history.filter(F.col("date").between(F.lit(first), F.lit(last)))
-    days = within.groupBy("region_id", "type_id").agg(F.min("date").alias("a")).select("region_id", "type_id", F.explode(F.sequence("a", F.lit(last))).alias("date"))
-    w = Window.partitionBy("region_id", "type_id").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    both = days.join(within.select("region_id", "type_id", "date", "average", "volume"), ["region_id", "type_id", "date"], "left")
-    return both.select("region_id", "type_id", "date", F.last("average", ignorenulls=True).over(w).alias("average"), F.coalesce("volume", F.lit(0)).alias("volume"), F.col("average").isNull().alias("filled"))
+    average, be it from before the first day, and no volume."""
+    key = ["region_id", "type_id"]
+    day = F.col("date")
+    inside = day.between(F.lit(first), F.lit(last))
+    held = F.max(F.when((day < F.lit(first)) & F.col("average").isNotNull(), F.struct("date", "average")))["average"]
+    series = history.filter(day <= F.lit(last)).groupBy(key).agg(held.alias("held"), F.min(F.when(inside, day)).alias("a"))
+    series = series.withColumn("a", F.when(F.col("held").isNotNull(), F.lit(first)).otherwise(F.col("a"))).filter("a is not null")
+    days = series.select(*key, "held", F.explode(F.sequence("a", F.lit(last))).alias("date"))
+    w = Window.partitionBy(key).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    both = days.join(history.filter(inside).select(*key, "date", "average", "volume"), [*key, "date"], "left")
+    average = F.coalesce(F.last("average", ignorenulls=True).over(w), "held")
+    return both.select(*key, "date", average.alias("average"), F.coalesce("volume", F.lit(0)).alias("volume"), F.col("average").isNull().alias("filled"))

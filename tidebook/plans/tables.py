@@ -11,8 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import ORDER_COLUMNS
+from ..schemas import ORDER, ORDER_COLUMNS
 
 POINTER = "region_id long, version string, orders long, refreshed_at timestamp"
 
@@ -41,7 +42,7 @@ class Snapshot:
         """The published orders of all regions."""
         fs, where = self._fs(f"{self.root}/data")
         if not fs.exists(where):
-            return self.spark.createDataFrame([], "region_id long").limit(0)
+            return self.spark.createDataFrame([], T.StructType([T.StructField("region_id", T.LongType()), *ORDER])).select(ORDER_COLUMNS)
         live = self.pointer().filter("orders > 0").select("region_id", "version")
         data = self.spark.read.parquet(f"{self.root}/data")
         return data.join(live, ["version", "region_id"], "left_semi").select(ORDER_COLUMNS)

@@ -155,8 +155,9 @@ def history_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.rejects(_checked(spark, sf_dir))
 
 
-@query(f"""WITH k AS (SELECT h.*, {_BAD_TYPE} OR {_BAD_AVG} AS bad FROM v_history_raw h LEFT JOIN v_everef_day d ON d.day = h.date WHERE {_KEPT})
-    SELECT region_id, type_id, date, average, volume, http_last_modified_ms FROM k WHERE date NOT IN (SELECT date FROM k WHERE bad)""")
+@query(f"""WITH k AS MATERIALIZED (SELECT h.*, {_BAD_TYPE} OR {_BAD_AVG} AS bad FROM v_history_raw h LEFT JOIN v_everef_day d ON d.day = h.date WHERE {_KEPT}),
+    gone AS MATERIALIZED (SELECT DISTINCT date FROM k WHERE bad)
+    SELECT k.region_id, k.type_id, k.date, k.average, k.volume, k.http_last_modified_ms FROM k LEFT JOIN gone ON gone.date = k.date WHERE gone.date IS NULL""")
 def history_import(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(history.typed(_checked(spark, sf_dir)).select(*HISTORY_KEY, "average", "volume", "http_last_modified"))
 
@@ -578,9 +579,12 @@ def history_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reader.history_range(frame(spark, sf_dir, "v_history_raw"), 4, dt.date(1999, 3, 1), dt.date(1999, 5, 31)).select(*HISTORY_KEY, "average", "volume")
 
 
-@query("""WITH w AS (SELECT * FROM v_waves WHERE date BETWEEN DATE '1999-03-01' AND DATE '1999-04-30'), f AS (SELECT region_id, type_id, min(date) AS a FROM w GROUP BY region_id, type_id),
-    d AS (SELECT region_id, type_id, CAST(unnest(generate_series(a, DATE '1999-04-30', INTERVAL 1 DAY)) AS DATE) AS date FROM f)
-    SELECT d.region_id, d.type_id, d.date, last_value(w.average IGNORE NULLS) OVER (PARTITION BY d.region_id, d.type_id ORDER BY d.date) AS average, CAST(coalesce(w.volume, 0) AS BIGINT) AS volume, w.average IS NULL AS filled
+@query("""WITH w AS (SELECT * FROM v_waves WHERE date BETWEEN DATE '1999-03-01' AND DATE '1999-03-07'),
+    b AS (SELECT region_id, type_id, max_by(average, date) AS held FROM v_waves WHERE date < DATE '1999-03-01' AND average IS NOT NULL GROUP BY region_id, type_id),
+    f AS (SELECT coalesce(x.region_id, b.region_id) AS region_id, coalesce(x.type_id, b.type_id) AS type_id, CASE WHEN b.held IS NULL THEN x.a ELSE DATE '1999-03-01' END AS a, b.held
+      FROM (SELECT region_id, type_id, min(date) AS a FROM w GROUP BY region_id, type_id) x FULL JOIN b ON x.region_id = b.region_id AND x.type_id = b.type_id),
+    d AS (SELECT region_id, type_id, held, CAST(unnest(generate_series(a, DATE '1999-03-07', INTERVAL 1 DAY)) AS DATE) AS date FROM f)
+    SELECT d.region_id, d.type_id, d.date, coalesce(last_value(w.average IGNORE NULLS) OVER (PARTITION BY d.region_id, d.type_id ORDER BY d.date), d.held) AS average, CAST(coalesce(w.volume, 0) AS BIGINT) AS volume, w.average IS NULL AS filled
     FROM d LEFT JOIN w ON w.region_id = d.region_id AND w.type_id = d.type_id AND w.date = d.date""")
 def history_gapfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reader.gap_filled(frame(spark, sf_dir, "v_waves"), dt.date(1999, 3, 1), dt.date(1999, 4, 30))
+    return reader.gap_filled(frame(spark, sf_dir, "v_waves"), dt.date(1999, 3, 1), dt.date(1999, 3, 7))

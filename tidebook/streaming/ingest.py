@@ -17,8 +17,10 @@ from ..schemas import PAGE
 from ..sources.pages import page_headers, stage
 
 
-def file_stream(spark: SparkSession, path: str, schema: object, kind: str = "parquet") -> DataFrame:
-    return spark.readStream.format(kind).schema(schema).load(path)
+def file_stream(spark: SparkSession, path: str, schema: object, kind: str = "parquet", files_at_once: int | None = None) -> DataFrame:
+    """Landed files in the order in which they came; files_at_once bounds a micro-batch."""
+    reader = spark.readStream.format(kind).schema(schema)
+    return (reader.option("maxFilesPerTrigger", files_at_once) if files_at_once else reader).load(path)
 
 
 def sliding_tokens(log: DataFrame, width: str = "900 seconds", slide: str = "60 seconds", late: str = "10 minutes") -> DataFrame:
@@ -67,27 +69,51 @@ def outage_gate(log: DataFrame) -> DataFrame:
 
 
 def ingest_sweeps(spark: SparkSession, pages_path: str, table: Snapshot, checkpoint: str) -> StreamingQuery:
-    """Landed page envelopes -> published snapshots.  A sweep's pages land in one file; a micro-batch may hold sweeps of many regions."""
+    """Landed page envelopes -> published snapshots.  A sweep's pages land in one file; a micro-batch may hold sweeps of many regions.
+
+    A whole and consistent sweep's pages are deduplicated and compared with what is published; the delta is applied, and the result is
+    verified by checksum.  A region that has drifted nevertheless takes its sweep whole.  Of a region's sweeps the one modified last
+    counts, and none counts that is not newer than what is published.
+    """
 
     def publish(pages: DataFrame, _: int) -> None:
         pages = pages.persist()
         heads = page_headers(pages)
-        # Of a region's sweeps in this batch the last one counts.
-        good = snapshot.page_set(heads).filter("consistent and complete").groupBy("region_id").agg(F.max("sweep_id").alias("sweep_id"))
-        chosen = pages.join(good, ["region_id", "sweep_id"], "left_semi")
-        done = heads.join(good, ["region_id", "sweep_id"], "left_semi").groupBy("region_id").agg(F.coalesce(F.max("last_modified"), F.current_timestamp()).alias("refreshed_at"))
+        times = heads.groupBy("region_id", "sweep_id").agg(F.max("last_modified").alias("modified"))
+        whole = snapshot.page_set(heads).filter("consistent and complete").join(times, ["region_id", "sweep_id"])
+        last = whole.groupBy("region_id").agg(F.max(F.struct("modified", "sweep_id")).alias("s")).select("region_id", "s.sweep_id", F.col("s.modified").alias("modified"))
+        seen = table.pointer().select("region_id", F.col("refreshed_at").alias("seen"))
+        newer = last.join(seen, "region_id", "left").filter("seen is null or modified is null or modified > seen")
+        done = newer.select("region_id", F.coalesce("modified", F.current_timestamp()).alias("refreshed_at")).persist()
         if not done.isEmpty():
-            table.publish(snapshot.dedup_orders(stage(chosen)), done)
+            staged = snapshot.dedup_orders(stage(pages.join(newer, ["region_id", "sweep_id"], "left_semi"))).persist()
+            live = table.read().join(done.select("region_id"), "region_id", "left_semi")
+            new = snapshot.apply(live, snapshot.diff(staged, live)).persist()
+            drifted = snapshot.verify(new, staged).filter("drifted")
+            table.publish(snapshot.resync(new, staged, drifted), done)
+            for df in (staged, new):
+                df.unpersist()
+        done.unpersist()
         pages.unpersist()
 
     stream = spark.readStream.schema(PAGE).json(pages_path)
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def ingest_history(rows: DataFrame, regions: DataFrame | None, read: Callable[[], DataFrame], write: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Waves of history rows -> upserted history; a repeated or late wave is absorbed by the upsert."""
+def ingest_history(rows: DataFrame, regions: DataFrame | None, read: Callable[[list[int]], DataFrame], write: Callable[[DataFrame, list[int]], None], checkpoint: str) -> StreamingQuery:
+    """Waves of history rows -> upserted history, by years.
+
+    read gives the stored rows of some years and write replaces these years; no other year is touched.  Rows scraped
+    before the mark of their day, which is the latest scrape time stored for it, are dropped, so that a repeated or late older wave
+    changes nothing; the mark is inclusive.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        write(history.upsert(read(), history.tracked(batch, regions)))
+        fresh = history.tracked(batch, regions).persist()
+        years = sorted(r["year"] for r in history.touched_years(fresh).collect() if r["year"] is not None)
+        if years:
+            stored = read(years)
+            write(history.upsert(stored, history.since_watermark(fresh, history.day_watermarks(stored))), years)
+        fresh.unpersist()
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
