@@ -138,15 +138,16 @@ def test_windows_hold_every_word_of_every_text():
     tokenizer = public_file("byte_bpe_50k.json")
     texts = [f"same opening {k}" for k in range(40)] + [" ".join(f"w{k}" for k in range(500)), "", "x"]
     enc = encoder(tokenizer())
-    own = []
+    own, kept = [], []
     for text in texts:
         data, start, stop, h, _ = words_at(pa.array([text]))
         raw = data.tobytes()
         ids, _ = enc.ids_of(h, lambda k, raw=raw, start=start, stop=stop: b" " + raw[start[k] : stop[k]])
         own += [lm.END, *(ids % 2000 + lm.SPECIAL).tolist(), lm.END] if text else []
+        kept.append(ids.astype(np.uint16).tobytes())
     box = SimpleNamespace(value=SimpleNamespace(of=(np.arange(lm.IDS) % 2000 + lm.SPECIAL).astype(np.int16)))
-    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a : a + 9])], names=["text"]) for a in range(0, len(texts), 9)]
-    got = [np.frombuffer(w, np.int16).tolist() for b in lm._windows(tokenizer, box)(iter(batches)) for w in b.column(0).to_pylist()]
+    batches = [pa.RecordBatch.from_arrays([pa.array(kept[a : a + 9], pa.binary())], names=["ids"]) for a in range(0, len(kept), 9)]
+    got = [np.frombuffer(w, np.int16).tolist() for b in lm._windows(box)(iter(batches)) for w in b.column(0).to_pylist()]
     whole = len(own) // (net.SPAN + 1)
     assert sum(got[:whole], []) == own[: whole * (net.SPAN + 1)] and got[whole:] == [own[-net.SPAN - 1 :]]
 
@@ -162,3 +163,31 @@ def test_a_round_steps_over_all_windows_of_a_shard(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in w], pa.binary())], names=["window"])
     list(lm._learn(state, SimpleNamespace(value=table), 0)(iter([batch])))
     assert set(np.concatenate(seen).tolist()) == set(range(n))
+
+
+def test_the_probabilities_of_all_next_ids_sum_to_one(spark, monkeypatch):
+    """Through the fitted model: after any ids, all ids and the end share one."""
+    fitted, start = [], lm.Model.__init__
+    monkeypatch.setattr(lm.Model, "__init__", lambda self, *a: fitted.append(self) or start(self, *a))
+    tokenizer = public_file("byte_bpe_50k.json")
+    lm.lm_scores(spark.createDataFrame(rows()[:40], DOCS), tokenizer).collect()
+    m = fitted[0]
+    before = encoder(tokenizer()).encode([" Baki domun"])[0].astype(np.int64)
+    for given in (before[:0], before):
+        n = len(given) + 1
+        ids = np.concatenate([np.tile(given, (lm.IDS, 1)), np.arange(lm.IDS)[:, None]], axis=1).reshape(-1)
+        each, _ = m.logs(ids, np.full(lm.IDS, n))
+        _, end = m.logs(given, np.array([len(given)]))
+        assert np.exp(each.reshape(-1, n)[:, -1]).sum() + np.exp(end[0]) == pytest.approx(1, abs=1e-3)
+
+
+def test_pairs_are_counted_within_words():
+    starting = np.zeros(lm.IDS, dtype=bool)
+    starting[[5, 6]] = True
+    texts = [[5, 9, 9, 6, 8], [], [6], [5, 9]]
+    batch = pa.RecordBatch.from_arrays([pa.array([np.array(t, np.uint16).tobytes() for t in texts], pa.binary())], names=["ids"])
+    got = {}
+    for b in lm._pairs(starting)(iter([batch, batch])):
+        for x, y, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            got[x, y] = n
+    assert got == {(-1, 5): 4, (5, 9): 4, (9, 9): 2, (9, -1): 4, (-1, 6): 4, (6, 8): 2, (8, -1): 2, (6, -1): 2}

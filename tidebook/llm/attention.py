@@ -15,7 +15,7 @@ HIDDEN = 32
 MIX = 48
 SPAN = 64  # inputs that a window holds; scored windows overlap by half
 BLOCK = SPAN // 2
-BATCH = 96  # windows of a step of learning
+BATCH = 128  # windows of a step of learning
 #: How much faster the distributions learn than the rest.  At one pace the gate settles on the successor table for good, before
 #: they differ enough for it to choose among them.
 PACE = 50
@@ -50,7 +50,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def distributions(p: dict[str, np.ndarray]) -> np.ndarray:
     """The learned distributions, class by class: (classes, MIX)."""
-    return np.ascontiguousarray(_softmax(p["logq"].astype(np.float64)).astype(np.float32).T)
+    return np.ascontiguousarray(_softmax(p["logq"].copy()).T)
 
 
 def score(p: dict[str, np.ndarray], q: np.ndarray, successor: np.ndarray, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:

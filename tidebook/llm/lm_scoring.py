@@ -3,12 +3,13 @@
 What the corpus gives, over all documents that may be learnt from:
 
 * every word's count (Spark sums them; each task sends one row per different word of a slice of text);
-* from these, the counts of subword successors within words, by encoding every different word once;
-* windows of all words of every document, on which the attention model learns.
+* every text's subword ids, encoded once and kept as a table, which all later steps read;
+* from these, the counts of subword successors within words;
+* windows of all ids of every document, on which the attention model learns.
 
-Learning is data-parallel: in each round every shard of windows takes steps from the common parameters over all of its
-windows, and a shuffle averages the shards' parameters by their windows.  Windows are dealt out in turn, so that equal ones
-spread over the shards.  All that the driver or a task holds whole is bounded by
+Learning is data-parallel: every shard of windows takes steps from the common parameters over all of its windows, and a shuffle
+averages the shards' parameters by their windows; this is one round, and one round reads every window once.  Windows are dealt out
+in turn, so that equal ones spread over the shards.  All that the driver or a task holds whole is bounded by
 the vocabulary: ids are dealt to ``CLASSES`` frequent ones and two rare ones (at a word's start, within), the
 model predicts classes, and an id's share of its class is its share of the counts.
 
@@ -23,7 +24,8 @@ The base score needs each word's own count.  The ``HEAD`` most frequent words' c
 that keeps hot words out of the join); other words are joined by hash with the table of counts.
 
 Null text counts as empty: one end.  Rows with null doc_id are learnt from (no remainder is known) and scored.  Repeated
-rows are scored each.  Without anything to learn from, all ids are alike.  Further columns are not read.
+rows are scored each.  Without anything to learn from, all ids are alike.  An empty table gives no rows.  A very long text is scored
+window by window like any other.  Further columns are not read.
 """
 
 from __future__ import annotations
@@ -37,15 +39,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import attention as net
-from .common import Scratch, whole_text
-from .hashing import groups, words_at
-from .tokens import encoder
+from .common import Scratch, lean, whole_text
+from .hashing import bytes_of, groups, words_at
+from .tokens import encoder, starting_ids
 
 CLASSES = 2048
 END, RARE_START, RARE_INSIDE = 0, 1, 2
 SPECIAL = 3
 HEAD = 65_536
-ROUNDS = 3
+#: Each reads all windows once.
+ROUNDS = 1
 #: Steps that a shard takes at least in a round; one with more windows takes as many as they fill.
 STEPS = 128
 SHARD_WINDOWS = 16_384
@@ -62,36 +65,35 @@ def held_out(id_col: str = "doc_id", fold: int = 2, folds: int = 7) -> Column:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in groups(batch, 0):
-            data, start, stop, h, _ = words_at(part.column(0))
-            different, first, n = np.unique(h, return_index=True, return_counts=True)
-            raw = data.tobytes()
-            own = [raw[a:b] for a, b in zip(start[first].tolist(), stop[first].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(different.view(np.int64)), pa.array(own, pa.binary()), pa.array(n)], names=["h", "word", "n"])
+        for part in groups(batch, 0, 4_000_000):
+            different, n = np.unique(words_at(part.column(0))[3], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(different.view(np.int64)), pa.array(n)], names=["h", "n"])
 
 
-def _successors(tokenizer: Callable[[], str]):
-    """Words with counts -> (previous id, next id, n) within words; -1 stands for the word's ends."""
+def _pairs(starting: np.ndarray):
+    """Texts' ids -> (previous id, next id, n) within words; -1 stands for the word's ends.  starting: which ids begin a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer())
+        found, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def added(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            both, back = np.unique(np.concatenate([found, key]), return_inverse=True)
+            return both, np.bincount(back, np.concatenate([counts, n]), len(both)).astype(np.int64)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = batch.column(1).to_pylist()
-            ids, n = enc.ids_of(batch.column(0).to_numpy().view(np.uint64), lambda k, own=own: b" " + own[k])
-            count = np.repeat(batch.column(2).to_numpy(), n + 1)
-            ends = np.cumsum(n + 1) - 1  # one place after each word's ids
-            wide = np.full(len(ids) + len(n), -1, dtype=np.int64)
-            inside = np.ones(len(wide), dtype=bool)
-            inside[ends] = False
-            wide[inside] = ids
-            before = np.append(-1, wide[:-1])
-            key, back = np.unique((before + 1) * (1 << 20) + wide + 1, return_inverse=True)
-            total = np.bincount(back, count, len(key)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array((key >> 20) - 1), pa.array((key & ((1 << 20) - 1)) - 1), pa.array(total)], names=["prev", "next", "n"])
+            for part in groups(batch, 0):
+                raw, rows = bytes_of(part.column(0))
+                ids, rows = raw.view(np.uint16).astype(np.int64), rows // 2
+                if not len(ids):
+                    continue
+                begins = starting[ids]
+                begins[rows[:-1][rows[:-1] < rows[1:]]] = True
+                wide = np.insert(ids, np.append(np.flatnonzero(begins), len(ids)), -1)  # a place before and after each word
+                key, n = np.unique((wide[:-1] + 1) * (1 << 20) + wide[1:] + 1, return_counts=True)
+                found, counts = added(key, n)
+        yield pa.RecordBatch.from_arrays([pa.array((found >> 20) - 1), pa.array((found & ((1 << 20) - 1)) - 1), pa.array(counts)], names=["prev", "next", "n"])
 
-    return run
+    return lean(run)
 
 
 class Vocabulary:
@@ -137,47 +139,45 @@ class Vocabulary:
 # --- windows and learning -------------------------------------------------------------------------
 
 
-def _windows(tokenizer: Callable[[], str], classes: object):
-    """All texts, one after another, cut into windows of classes."""
+def _windows(classes: object):
+    """All texts' ids, one text after another, cut into windows of classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, of = encoder(tokenizer()), classes.value.of
+        of = classes.value.of
+        wide = net.SPAN + 1
         left, last = np.zeros(0, np.int16), np.zeros(0, np.int16)
         for batch in batches:
             for part in groups(batch, 0):
-                data, start, stop, h, rows = words_at(part.column(0))
-                if not len(h):
-                    continue
-                raw = data.tobytes()
-                ids, n = enc.ids_of(h, lambda k, start=start, stop=stop, raw=raw: b" " + raw[start[k] : stop[k]])
-                # An end before a text's first word and after its last one.
-                ends = np.append(0, np.cumsum(n))[rows]
+                raw, rows = bytes_of(part.column(0))
+                ids, rows = raw.view(np.uint16), rows // 2
+                # An end before a text's first id and after its last one.
                 some = rows[1:] > rows[:-1]
-                bounds = np.stack([ends[:-1][some], ends[1:][some]], axis=1).reshape(-1)
+                bounds = np.stack([rows[:-1][some], rows[1:][some]], axis=1).reshape(-1)
                 stream = np.concatenate([left, np.insert(of[ids], bounds, np.int16(END))])
-                whole = len(stream) // (net.SPAN + 1)
-                cut = stream[: whole * (net.SPAN + 1)].reshape(whole, net.SPAN + 1)
-                left = stream[whole * (net.SPAN + 1) :]
+                whole = len(stream) // wide
+                cut = stream[: whole * wide].reshape(whole, wide)
+                left = stream[whole * wide :]
                 if whole:
                     last = cut[-1]
-                    yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in cut], pa.binary())], names=["window"])
+                    yield pa.RecordBatch.from_arrays([pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * wide), whole, [None, pa.py_buffer(cut.tobytes())]).cast(pa.binary())], names=["window"])
         if len(left):  # the rest ends a window that begins with what came before
             rest = np.concatenate([last, left])
-            yield pa.RecordBatch.from_arrays([pa.array([np.resize(rest[-net.SPAN - 1 :], net.SPAN + 1).tobytes()], pa.binary())], names=["window"])
+            yield pa.RecordBatch.from_arrays([pa.array([np.resize(rest[-wide:], wide).tobytes()], pa.binary())], names=["window"])
 
-    return run
+    return lean(run)
 
 
 def _learn(state: object, successor: object, k: int):
     """A shard of windows -> parts of its parameters after some steps, weighted by its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = [np.frombuffer(x, dtype=np.int16) for b in batches for x in b.column(0).to_pylist()]
+        w = [bytes_of(b.column(0))[0] for b in batches if b.num_rows]
         if not w:
             return
-        own = np.stack(w).astype(np.int64)
-        own = own[np.lexsort(own.T[::-1])]  # as they come, their order would be that of the shuffle
+        own = np.concatenate(w).view(np.int16).reshape(-1, net.SPAN + 1)
+        own = own[np.lexsort(own.T[:4])]  # as they come, their order would be that of the shuffle
         own = own[np.random.default_rng(k).permutation(len(own))]
+        w = own
         p = net.learn(state.value, successor.value, own, max(STEPS, -(-len(own) // net.BATCH)), rate=0.004 / (1 + k))
         flat = np.concatenate([p[x].reshape(-1) for x in sorted(p)]).astype(np.float64) * len(w)
         parts = [flat[a : a + PART].astype(np.float32).tobytes() for a in range(0, len(flat), PART)]
@@ -198,11 +198,10 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([(x / weights[k]).astype(np.float32).tobytes() for k, x in sums.items()], pa.binary())], names=["part", "mean"])
 
 
-def learn(windows: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, successor: object, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of shard-wise steps and averaging; windows: one column of SPAN + 1 classes."""
+def learn(windows: DataFrame, n: int, unigram: np.ndarray, successor: object, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Rounds of shard-wise steps and averaging; windows: one column of SPAN + 1 classes; n: about how many."""
     sc = windows.sparkSession.sparkContext
     p = net.start(unigram)
-    n = windows.count()
     if not n:
         return p
     shards = windows.repartition(max(1, n // SHARD_WINDOWS))  # in turn, after a sort: even, and the same in any run
@@ -223,22 +222,28 @@ def learn(windows: DataFrame, vocabulary: Vocabulary, unigram: np.ndarray, succe
 # --- scoring --------------------------------------------------------------------------------------
 
 
-class Model:
-    """All that a task needs to score: bounded by the vocabulary and HEAD."""
+class Head:
+    """The most frequent words' counts: bounded by HEAD."""
 
-    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray], successor: np.ndarray, head: np.ndarray, head_counts: np.ndarray, docs: int):
-        self.vocabulary, self.p, self.successor, self.docs = vocabulary, p, successor, docs
-        self.q = net.distributions(p)
+    def __init__(self, head: np.ndarray, counts: np.ndarray, docs: int):
         order = np.argsort(head)
-        self.head, self.head_counts = head[order], head_counts[order]
+        self.head, self.counts, self.docs = head[order], counts[order], docs
 
-    def in_head(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the words that are in the head, and which are."""
         if not len(self.head):
             return np.zeros(len(h), np.int64), np.zeros(len(h), dtype=bool)
         at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
         hit = self.head[at] == h
-        return np.where(hit, self.head_counts[at], 0), hit
+        return np.where(hit, self.counts[at], 0), hit
+
+
+class Model:
+    """All that a task needs to score ids: bounded by the vocabulary."""
+
+    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray], successor: np.ndarray):
+        self.vocabulary, self.p, self.successor = vocabulary, p, successor
+        self.q = net.distributions(p)
 
     def logs(self, ids: np.ndarray, per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of each id, and of each row's end."""
@@ -265,44 +270,62 @@ class Model:
             out[where[scored]] = lp[scored]
         return out[inside] + self.vocabulary.share[ids], out[~inside]
 
-    def log10(self, ids: np.ndarray, n: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Log10 probability of rows of words; n: ids per word, rows: bounds of the rows' words."""
-        ends = np.zeros(len(n) + 1, np.int64)
-        np.cumsum(n, out=ends[1:])
-        size = np.diff(ends[rows])
+    def log10(self, ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Log10 probability of rows of ids; rows: their bounds."""
+        size = np.diff(rows)
         each, end = self.logs(ids, size)
         return (end + np.bincount(np.repeat(np.arange(len(size)), size), each, len(size))) / np.log(10)
 
 
-def _score(tokenizer: Callable[[], str], model: object):
+ENCODED = "doc_id long, row_key long, train boolean, n_tokens long, known long, logs double, ids binary"
+
+
+def _encode(tokenizer: Callable[[], str], head: object):
+    """Texts -> their ids, and the part of the base score that frequent words have."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, m = encoder(tokenizer()), model.value
+        enc, m = encoder(tokenizer()), head.value
         for batch in batches:
-            for part in groups(batch, 2):
-                data, start, stop, h, rows = words_at(part.column(2))
+            for part in groups(batch, 3):
+                data, start, stop, h, rows = words_at(part.column(3))
                 raw = data.tobytes()
                 ids, n = enc.ids_of(h, lambda k, start=start, stop=stop, raw=raw: b" " + raw[start[k] : stop[k]])
-                c, hit = m.in_head(h)
-                score = m.log10(ids, n, rows)
+                ends = np.append(0, np.cumsum(n))[rows].astype(np.int32)
+                own = pa.BinaryArray.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer((2 * ends).tobytes()), pa.py_buffer(ids.astype(np.uint16).tobytes())])
+                c, hit = m.of(h)
                 n_words = np.diff(rows)
                 row = np.repeat(np.arange(part.num_rows), n_words)
                 logs = np.bincount(row, np.log10(c + 1.0), part.num_rows) + np.log10(m.docs + 1.0)
                 known = np.bincount(row, hit, part.num_rows).astype(np.int64) + int(m.docs > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n_words + 1), pa.array(known), pa.array(logs), pa.array(score)], names=["doc_id", "row_key", "n_tokens", "known", "logs", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(n_words + 1), pa.array(known), pa.array(logs), own], names=[x.split()[0] for x in ENCODED.split(", ")])
 
-    return run
+    return lean(run)
 
 
-def _tail_words(model: object):
-    """Each row's different words outside the head, with their numbers."""
+def _score(model: object):
+    """Rows whose last column holds ids -> the other columns and the score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        for batch in batches:
+            for part in groups(batch, batch.num_columns - 1, 200_000):
+                raw, rows = bytes_of(part.column(part.num_columns - 1))
+                score = m.log10(raw.view(np.uint16).astype(np.int64), rows // 2)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(score)], names=[*part.schema.names[:-1], "score"])
+
+    return lean(run)
+
+
+def _tail_words(head: object):
+    """Each row's different words outside the head, with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = head.value
         for batch in batches:
             for part in groups(batch, 2):
                 _, _, _, h, rows = words_at(part.column(2))
                 row = np.repeat(np.arange(part.num_rows), np.diff(rows))
-                use = ~m.in_head(h)[1]
+                use = ~m.of(h)[1]
                 h, row = h[use], row[use]
                 order = np.lexsort((h, row))
                 h, row = h[order], row[order]
@@ -311,7 +334,7 @@ def _tail_words(model: object):
                 at = pa.array(row[first])
                 yield pa.RecordBatch.from_arrays([pa.array(h[first].view(np.int64)), part.column(0).take(at), part.column(1).take(at), pa.array(n)], names=["h", "doc_id", "row_key", "n"])
 
-    return run
+    return lean(run)
 
 
 def lm_scores(docs: DataFrame, tokenizer: Callable[[], str], learn_from: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,19 +345,24 @@ def lm_scores(docs: DataFrame, tokenizer: Callable[[], str], learn_from: Column
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     train = given if learn_from is None else given.filter(learn_from)
 
-    counts = train.select("text").mapInArrow(_word_counts, "h long, word binary, n long").groupBy("h").agg(F.min("word").alias("word"), F.sum("n").alias("c"))
+    counts = train.select("text").mapInArrow(lean(_word_counts), "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
     counts = scratch.keep(counts, "words")
     n_docs = train.count()
     n_words, v_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_all, v_all = n_words + n_docs, v_words + (n_docs > 0)
-    pairs = counts.mapInArrow(_successors(tokenizer), "prev long, next long, n long").groupBy("prev", "next").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.col("c").desc(), "h").limit(HEAD).select("h", "c").toArrow()
+    head = sc.broadcast(Head(top["h"].to_numpy().astype(np.int64).view(np.uint64), top["c"].to_numpy().astype(np.int64), n_docs))
+
+    starting = starting_ids(tokenizer())
+    keyed = given.select("doc_id", F.xxhash64("text").alias("row_key"), (F.lit(True) if learn_from is None else F.coalesce(learn_from, F.lit(False))).alias("train"), "text")
+    encoded = scratch.keep(keyed.mapInArrow(_encode(tokenizer, head), ENCODED), "ids")
+    learnt_from = encoded.filter("train").select("ids")
+    pairs = learnt_from.mapInArrow(_pairs(starting), "prev long, next long, n long").groupBy("prev", "next").agg(F.sum("n").alias("n"))
     pairs = scratch.keep(pairs, "pairs")
 
     # Bounded by the vocabulary: ids, then pairs of classes.
-    found = pairs.filter("next >= 0").groupBy(F.col("next").alias("id")).agg(F.sum("n").alias("n"), F.max((F.col("prev") < 0).cast("int")).alias("starts")).toArrow()
-    starts = np.zeros(IDS, dtype=bool)
-    starts[found["id"].to_numpy()] = found["starts"].to_numpy() == 1
-    vocabulary = Vocabulary(found["id"].to_numpy(), found["n"].to_numpy().astype(float), starts)
+    found = pairs.filter("next >= 0").groupBy(F.col("next").alias("id")).agg(F.sum("n").alias("n")).toArrow()
+    vocabulary = Vocabulary(found["id"].to_numpy(), found["n"].to_numpy().astype(float), starting)
     shared = sc.broadcast(vocabulary)
 
     @F.pandas_udf("int")
@@ -351,15 +379,13 @@ def lm_scores(docs: DataFrame, tokenizer: Callable[[], str], learn_from: Column
     unigram[END] += n_docs
     table = sc.broadcast(successor)
 
-    windows = scratch.keep(train.select("text").mapInArrow(_windows(tokenizer, shared), "window binary"), "windows")
-    p = learn(windows, vocabulary, unigram / unigram.sum(), table)
-
-    head = counts.orderBy(F.col("c").desc(), "h").limit(HEAD).select("h", "c").toArrow()
-    model = sc.broadcast(Model(vocabulary, p, successor, head["h"].to_numpy().astype(np.int64).view(np.uint64), head["c"].to_numpy().astype(np.int64), n_docs))
+    n_ids = learnt_from.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    windows = learnt_from.mapInArrow(_windows(shared), "window binary")
+    p = learn(windows, n_ids // (2 * net.SPAN + 2) + (n_ids > 0), unigram / unigram.sum(), table)
+    model = sc.broadcast(Model(vocabulary, p, successor))
 
-    keyed = given.select("doc_id", F.xxhash64("text").alias("row_key"), "text")
-    scored = keyed.mapInArrow(_score(tokenizer, model), "doc_id long, row_key long, n_tokens long, known long, logs double, score double")
-    tail = keyed.mapInArrow(_tail_words(model), "h long, doc_id long, row_key long, n long").join(counts.select("h", "c"), "h")
+    scored = encoded.select("doc_id", "row_key", "n_tokens", "known", "logs", "ids").mapInArrow(_score(model), "doc_id long, row_key long, n_tokens long, known long, logs double, score double")
+    tail = keyed.select("doc_id", "row_key", "text").mapInArrow(_tail_words(head), "h long, doc_id long, row_key long, n long").join(counts.select("h", "c"), "h")
     did = F.coalesce("doc_id", F.lit(-(2**63))).alias("did")
     tail = tail.groupBy(did, "row_key").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_logs"), F.sum("n").alias("tail_known"))
     copies = F.count("*").over(Window.partitionBy("did", "row_key"))  # rows that are repeated have one sum

@@ -165,6 +165,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def starting_ids(path: str) -> np.ndarray:
+    """Which ids of a file begin with a space."""
+    vocab = encoder(path).tokenizer.get_vocab()
+    out = np.zeros(max(vocab.values()) + 1, dtype=bool)
+    out[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space in byte-level files
+    return out
+
+
 def public_file(name: str) -> Callable[[], str]:
     """Where an installed vocabulary file lies, asked on the executor that reads it."""
 
