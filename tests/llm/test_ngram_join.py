@@ -141,3 +141,17 @@ def test_small_sets_that_agree_in_empty_blocks_only_meet_in_the_end():
     finally:
         ngram_join.mix = own
     assert set(col[row == 0].tolist()) & set(col[row == 1].tolist())
+
+
+def test_long_sets_make_no_more_columns_than_blocks():
+    """Few documents have more empty blocks than their class spares, at either end of a class."""
+    import numpy as np
+
+    from tidebook.llm.ngram_join import _columns
+
+    r = np.random.default_rng(6)
+    first, blocks, spare = size_classes(80, 100, 100_000)
+    for k in range(len(first) - 12, len(first) - 2):
+        for size in (int(first[k]), int(first[k + 1]) - 1):
+            row, _ = _columns([np.unique(r.integers(1, 2**62, size).astype(np.uint64)) for _ in range(2)], 80, 100)
+            assert len(row) < 2.2 * (blocks[k] + blocks[k + 1])

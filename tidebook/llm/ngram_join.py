@@ -61,8 +61,11 @@ def size_classes(num: int, den: int, up_to: int = 1 << 31) -> tuple[np.ndarray,
     top = np.array(first[1:]) - 1
     differ = 2 * top * (den - num) // (den + num)
     least = np.append(first[0], first[:-2])  # sets of the class before come, too
-    empty = (differ + 1) * np.exp(-least / (differ + 1))
-    spare = np.where(empty < 1, 0, np.ceil(empty + 3 * np.sqrt(empty))).astype(np.int64)
+    spare = np.zeros(len(differ), np.int64)
+    for _ in range(40):  # further blocks make further ones empty, ever fewer
+        blocks = differ + 1 + spare
+        empty = blocks * np.exp(-least / blocks)
+        spare = np.where(empty < 1, 0, np.ceil(empty + 3 * np.sqrt(empty))).astype(np.int64)
     return np.array(first), np.where(differ > 0, differ + 1 + spare, 0), spare
 
 
@@ -103,7 +106,10 @@ def _columns(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np
             gaps.append((play[owner[kept]], block[kept]))
             play = play[again]
         for i in play.tolist():
-            met = list(product(*(b[k == i].tolist() for k, b in gaps[:3])))
+            bare = [b[k == i].tolist() for k, b in gaps[:3]]
+            while len(bare) > 1 and np.prod([float(len(b)) for b in bare]) > 1000:
+                bare.pop()  # fewer deals make fewer and larger columns; one is enough to be exact
+            met = list(product(*bare))
             key = np.full(len(met), (int(cls[i]) << 40) + (0xFF << 56), dtype=np.uint64)
             for place in zip(*met, strict=True):
                 key = mix(key + np.array(place, dtype=np.uint64))
@@ -167,7 +173,7 @@ def _rows(n: int):
     return lean(run)
 
 
-def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 500_000) -> None:
+def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 2_000_000) -> None:
     """Adds the sparse product of the matrix with ones at (row, col) and its transpose."""
     if not len(row):
         return
