@@ -87,6 +87,7 @@ def test_clusters_of_many_blocks_give_the_same_classes(spark, monkeypatch):
             own[r.randrange(len(own))] = f"x{r.randint(0, 40)}"
         rows.append((k, " ".join(own[: len(own) - r.choice([0, 0, 10, 25])]), "en", "s", 1, "x"))
     monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(ngram_join, "STEP_DOCS", 4)
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_classes(spark.createDataFrame(rows, DOCS), 3, 90, 100).collect()}
     assert got == brute(rows, 3, 90, 100)
 
@@ -155,3 +156,24 @@ def test_long_sets_make_no_more_columns_than_blocks():
         for size in (int(first[k]), int(first[k + 1]) - 1):
             row, _ = _columns([np.unique(r.integers(1, 2**62, size).astype(np.uint64)) for _ in range(2)], 80, 100)
             assert len(row) < 2.2 * (blocks[k] + blocks[k + 1])
+
+
+def test_steps_of_a_tile_give_the_classes_of_the_whole(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from tidebook.llm import ngram_join
+
+    r = np.random.default_rng(12)
+    base = [r.integers(1, 2**62, 80).astype(np.uint64) for _ in range(4)]
+    sets = [np.unique(np.where(r.random(80) < r.choice([0.02, 0.06, 0.2]), r.integers(1, 2**62, 80).astype(np.uint64), base[k % 4])) for k in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["t"] * 60), pa.array(range(60)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["tile", "doc", "grams"])
+    found = []
+    for step in (1000, 7):
+        monkeypatch.setattr(ngram_join, "STEP_DOCS", step)
+        label = np.arange(60)
+        for out in ngram_join._tiles(80, 100)(iter([batch])):
+            for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                label[a] = b
+        found.append(label.tolist())
+    assert found[0] == found[1] and 4 <= len(set(found[0])) < 60

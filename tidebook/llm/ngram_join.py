@@ -16,7 +16,7 @@ Documents that share columns, directly or by way of others, form a cluster; noth
 Product.  A cluster's document by n-gram incidence is multiplied with its transpose, block of documents by block of
 documents, as sparse matrices: postings of an n-gram add to the overlap counts of all their pairs, and of an n-gram that most
 documents of the block hold, the few that lack it are multiplied instead.  Counts are whole numbers, and pairs below the bound that
-their sizes set are discarded.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
+their sizes set are discarded.  A tile is multiplied step by step, but for steps whose documents are joined already.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
 of the links it found.  Clusters above one block are cut by size class, and only blocks of one class or
 neighbouring classes meet.  So a family of f different near copies costs f * f / BLOCK_DOCS rows at worst.
 Copies (equal sets) are one row from the start, whatever their number.
@@ -47,9 +47,10 @@ from .hashing import U, groups, mix, shingle_sets
 
 #: How often a document with too many empty blocks is dealt anew.
 DEALS = 6
-#: Documents and n-grams in a block of the product.
-BLOCK_DOCS = 512
-BLOCK_GRAMS = 500_000
+#: Documents and n-grams in a block of a tile, and documents that are multiplied with as many others at a time.
+BLOCK_DOCS = 4096
+BLOCK_GRAMS = 4_000_000
+STEP_DOCS = 512
 
 
 @lru_cache(8)
@@ -212,7 +213,10 @@ def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
         short = np.bincount(who, minlength=n).astype(np.int32)
         overlap += len(lacks) - short[:, None] - short[None, :]
         _add_pairs(overlap, who, missing)
-    links = overlap.astype(np.int64) * (den + num) >= (size[:, None] + size[None, :]) * num
+    links = np.zeros((n, n), dtype=bool)
+    for a in range(0, n, 256):
+        some = slice(a, a + 256)
+        links[some] = overlap[some].astype(np.int64) * (den + num) >= (size[some, None] + size[None, :]) * num
     links &= (size[:, None] > 0) & (size[None, :] > 0)
     np.fill_diagonal(links, False)
     return links
@@ -233,7 +237,24 @@ def _tiles(num: int, den: int):
     """Rows sorted by tile -> the spanning forest of each tile's links."""
 
     def finish(docs: list[int], rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        label = _forest(product_links([np.frombuffer(r, dtype=np.uint64) for r in rows], num, den))
+        """A step of rows meets each other step, unless all of both are joined already."""
+        sets = [np.frombuffer(r, dtype=np.uint64) for r in rows]
+        label = np.arange(len(sets))
+        for i in range(0, len(sets), STEP_DOCS):
+            for j in range(i, len(sets), STEP_DOCS):
+                at = np.unique(np.concatenate([np.arange(k, min(k + STEP_DOCS, len(sets))) for k in (i, j)]))
+                if (label[at] == label[at[0]]).all():
+                    continue
+                to = at[_forest(product_links([sets[k] for k in at.tolist()], num, den))]
+                some = to != at
+                while some.any():  # each pass hangs a greater label below a lesser one
+                    x, y = label[at[some]], label[to[some]]
+                    low = label.copy()
+                    np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
+                    while (low[low] != low).any():
+                        low = low[low]
+                    label = low[label]
+                    some &= label[at] != label[to]
         doc = np.array(docs, dtype=np.int64)
         some = label != np.arange(len(label))
         return doc[some], doc[label[some]]
