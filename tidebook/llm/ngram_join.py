@@ -48,8 +48,8 @@ from .hashing import U, groups, mix, shingle_sets
 #: How often a document with too many empty blocks is dealt anew.
 DEALS = 6
 #: Documents and n-grams in a block of a tile, and documents that are multiplied with as many others at a time.
-BLOCK_DOCS = 4096
-BLOCK_GRAMS = 4_000_000
+BLOCK_DOCS = 3072
+BLOCK_GRAMS = 3_000_000
 STEP_DOCS = 512
 
 
@@ -174,7 +174,7 @@ def _rows(n: int):
     return lean(run)
 
 
-def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 2_000_000) -> None:
+def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 1_000_000) -> None:
     """Adds the sparse product of the matrix with ones at (row, col) and its transpose."""
     if not len(row):
         return
