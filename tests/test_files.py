@@ -34,6 +34,15 @@ def test_day_files_by_header_name(spark, tmp_path):
     checked = history.check_rows(got, None, None)
     assert {(r["day"].day, r["bad_column"]) for r in history.rejects(checked).collect()} == {(7, "record"), (8, "record")}
     assert sorted(r["type_id"] for r in history.typed(checked).collect()) == [34, 34, 35]
+    write(base, "2026-08-09", HEADER, ROW, ROW.replace("2026-08-05", "http_last_modified"))  # a later line is no header
+    write(base, "2026-08-10", HEADER, *[ROW] * 400)  # small as a file, large when read
+    (base / "market-history-2026-08-11.csv.bz2").write_bytes(b"BZh9" + bytes(3000))
+    got = day_files.scan_history(spark, f"file://{base}", cap=2000, expanded_cap=20_000)
+    by = {r["day"].day: (r["n"], r["broken"]) for r in got.groupBy("day").agg(F.count("*").alias("n"), F.max("broken").alias("broken")).collect()}
+    assert by == {5: (2, False), 6: (1, False), 7: (1, True), 8: (2, True), 9: (2, False), 10: (1, True), 11: (1, True)}
+    for extra in ("09", "10", "11"):
+        (base / f"market-history-2026-08-{extra}.csv.bz2").unlink()
+    assert day_files.scan_history(spark, f"file://{base}").filter("not broken").count() == 4
     sizes = day_files.list_files(spark, f"file://{base}")
     assert sizes.count() == 4 and day_files.oversize_files(sizes, 10_000).count() == 0
 
@@ -45,6 +54,7 @@ def test_pages_of_json(spark, tmp_path):
     (at / "p.json").write_text(json.dumps([order, order | {"order_id": 2, "price": 0.01}], indent=1))
     got = pages.scan_orders(spark, f"file://{tmp_path}").orderBy("order_id").collect()
     assert [(r["region_id"], str(r["price"])) for r in got] == [(7, "9999999999999.99"), (7, "0.01")]
+    assert pages.scan_orders(spark, f"file://{tmp_path}", cap=100).count() == 0
     heads = spark.createDataFrame(
         [("s", 7, 1, 1, 200, x, None, d, None, None) for x, d in (("3", "Tue, 05 Aug 2026 11:02:44 GMT"), ("0", "bad"), ("x", None), (None, None))],
         "sweep_id string, region_id long, page int, attempt int, status int, x_pages string, remaining int, last_modified string, expires string, orders array<int>",
@@ -76,7 +86,7 @@ def test_registered_queries_agree_with_their_twins(spark, sf_dir):
     con = duckdb.connect()
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    for name in ("delta_counts", "verify_regions", "page_set_complete", "due_days", "outage_runs", "consecutive_errors", "stream_errors", "scan_history_csv"):
+    for name in ("delta_counts", "verify_regions", "page_set_complete", "due_days", "outage_runs", "consecutive_errors", "region_attempts", "single_type_regions", "stream_errors", "scan_history_csv"):
         got = sorted(map(str, (tuple(r.asDict()[c] for c in sorted(r.asDict())) for r in queries.QUERIES[name](spark, sf_dir).collect())))
         cur = con.execute(queries.ORACLES[name])
         names = [d[0] for d in cur.description]

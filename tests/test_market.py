@@ -211,3 +211,13 @@ def test_gap_filling(spark):
     h = spark.createDataFrame([(1, 2, d(2), decimal.Decimal("5.00"), 7), (1, 2, d(4), decimal.Decimal("6.00"), 8)], "region_id long, type_id long, date date, average decimal(20,2), volume long")
     got = [(r["date"].day, str(r["average"]), r["volume"], r["filled"]) for r in reader.gap_filled(h, d(1), d(5)).orderBy("date").collect()]
     assert got == [(2, "5.00", 7, False), (3, "5.00", 0, True), (4, "6.00", 8, False), (5, "6.00", 0, True)]
+
+
+def test_region_attempts(spark):
+    """A region that may retry has three attempts, another one; a success or a deferral ends a refresh."""
+    outcomes = ["failed", "failed", "ok", "failed", "inconsistent", "failed", "failed", "deferred", "failed"]
+    rows = [(region, i, T0 + dt.timedelta(minutes=i), o) for region in (1, 2) for i, o in enumerate(outcomes)]
+    log = spark.createDataFrame(rows, "region_id long, cycle_id long, cycle_started_at timestamp, outcome string")
+    got = status.region_attempts(log, spark.createDataFrame([(1, True), (2, False)], "region_id long, may_retry boolean")).orderBy("region_id", "cycle_id").collect()
+    assert [(r["attempt"], r["stopped_by"]) for r in got[:9]] == [(1, None), (2, None), (3, "done"), (1, None), (2, None), (3, "exhausted"), (1, None), (2, "deferred"), (1, "blocked")]
+    assert {(r["attempt"], r["stopped_by"]) for r in got[9:]} == {(1, "exhausted"), (1, "done"), (1, "deferred")}

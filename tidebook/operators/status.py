@@ -73,6 +73,23 @@ def consecutive_errors(log: DataFrame) -> DataFrame:
     return runs.select("region_id", "cycle_id", "outcome", F.sum(bad.cast("int")).over(in_run).cast("long").alias("errors"))
 
 
+def region_attempts(log: DataFrame, retry: DataFrame, most: int = 3) -> DataFrame:
+    """Attempts at a region's refresh, and why each stopped it; null where another attempt followed.
+
+    The log names no attempts: failures in a row are attempts at one refresh, up to ``most`` of them where the region may retry
+    (retry: region_id, may_retry), else one.  A success or a deferral ends a refresh.
+    """
+    order = ["cycle_started_at", "cycle_id"]
+    bad = F.col("outcome").isin("failed", "inconsistent")
+    ended = F.coalesce(F.sum((~bad).cast("int")).over(Window.partitionBy("region_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = log.join(retry.select("region_id", "may_retry"), "region_id", "left").withColumn("run", ended)
+    n, limit = F.row_number().over(Window.partitionBy("region_id", "run").orderBy(*order)), F.when(F.col("may_retry"), most).otherwise(1)
+    rows = rows.select("region_id", "cycle_id", "outcome", *order[:1], ((n - 1) % limit + 1).cast("long").alias("attempt"), limit.alias("limit"))
+    no_more = F.lead("cycle_id").over(Window.partitionBy("region_id").orderBy(*order)).isNull()
+    reason = F.when(~bad, F.when(F.col("outcome") == "deferred", "deferred").otherwise("done")).when(F.col("attempt") == F.col("limit"), "exhausted").when(no_more, "blocked")
+    return rows.select("region_id", "cycle_id", "outcome", "attempt", reason.alias("stopped_by"))
+
+
 def latest(log: DataFrame) -> DataFrame:
     """The last cycle of each region, and its last good one."""
     good = F.col("outcome").isin("ok", "resync")

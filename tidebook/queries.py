@@ -325,6 +325,15 @@ def feed_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.feed_overlap(s.unionByName(s.filter("order_id % 71 = 0").withColumn("region_id", F.lit(999).cast("long"))))
 
 
+@query("SELECT region_id, count(DISTINCT type_id) AS types FROM (SELECT 998 AS region_id, type_id FROM v_orders_raw WHERE order_id % 71 = 0 UNION ALL SELECT 999, 44992 FROM v_orders_raw WHERE order_id % 71 = 1) x GROUP BY region_id")
+def single_type_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two regions that trade one type only, 999 does and 998 does not."""
+    s = _staged(spark, sf_dir)
+    mixed = s.filter("order_id % 71 = 0").withColumn("region_id", F.lit(998).cast("long"))
+    one = s.filter("order_id % 71 = 1").withColumn("region_id", F.lit(999).cast("long")).withColumn("type_id", F.lit(44992).cast("long"))
+    return snapshot.single_type_regions(s.unionByName(mixed).unionByName(one), [998, 999])
+
+
 # --- history ---------------------------------------------------------------------------------------------
 
 
@@ -458,6 +467,17 @@ def consecutive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status.consecutive_errors(frame(spark, sf_dir, "v_ingest_log"))
 
 
+@query(f"""WITH p AS (SELECT _key, CASE WHEN {_PRIO} <= 4 THEN 3 ELSE 1 END AS most FROM v_regions),
+    r AS (SELECT l.*, CASE WHEN outcome IN ('failed', 'inconsistent') THEN 1 ELSE 0 END AS bad, coalesce(p.most, 1) AS most FROM v_ingest_log l LEFT JOIN p ON p._key = l.region_id),
+    e AS (SELECT *, coalesce(sum(1 - bad) OVER (PARTITION BY region_id ORDER BY cycle_started_at_ms, cycle_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run,
+      lead(cycle_id) OVER (PARTITION BY region_id ORDER BY cycle_started_at_ms, cycle_id) AS nxt FROM r),
+    a AS (SELECT *, (row_number() OVER (PARTITION BY region_id, run ORDER BY cycle_started_at_ms, cycle_id) - 1) % most + 1 AS attempt FROM e)
+    SELECT region_id, cycle_id, outcome, attempt, CASE WHEN outcome = 'deferred' THEN 'deferred' WHEN bad = 0 THEN 'done' WHEN attempt = most THEN 'exhausted' WHEN nxt IS NULL THEN 'blocked' END AS stopped_by FROM a""")
+def region_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    retry = frame(spark, sf_dir, "v_regions").select(F.col("_key").alias("region_id"), values.may_retry(values.region_priority(F.col("_key"), NAMED)).alias("may_retry"))
+    return status.region_attempts(frame(spark, sf_dir, "v_ingest_log"), retry)
+
+
 @query("""SELECT region_id, max(CASE WHEN rn = 1 THEN outcome END) AS outcome, max(cycle_started_at_ms) AS last_cycle_ms, max(CASE WHEN outcome IN ('ok', 'resync') THEN cycle_started_at_ms END) AS last_good_ms
     FROM (SELECT *, row_number() OVER (PARTITION BY region_id ORDER BY cycle_started_at_ms DESC, cycle_id DESC) AS rn FROM v_ingest_log) x GROUP BY region_id""")
 def region_status_asof(spark: SparkSession, sf_dir: str) -> DataFrame:

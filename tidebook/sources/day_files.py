@@ -9,37 +9,40 @@ from ..functions import values
 from ..operators.history import RAW
 
 DAY_FILE = r"market-history-(\d{4}-\d{2}-\d{2})(?:[.-][^/]*)?\.csv(?:\.bz2)?$"
-#: Bytes of a compressed day file and of an index.
-FILE_CAP = 64 << 20
+#: Bytes of a compressed day file and of what it may expand to, of an index and of an order page.
+FILE_CAP, EXPANDED_CAP, INDEX_CAP, PAGE_CAP = 64 << 20, 512 << 20, 8 << 20, 32 << 20
 
 
-def scan_history(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def scan_history(spark: SparkSession, paths: list[str] | str, cap: int = FILE_CAP, expanded_cap: int = EXPANDED_CAP) -> DataFrame:
     """All rows of day files as strings, found by header name, with the file's day and whether the row is broken.
 
-    Files may order their columns differently: their header lines are read first (the lines that name a column), and the files of
-    each different header are read with it.  A file without a wanted column gives one broken row, so that its
-    day is rejected.
+    Files may order their columns differently: the first line of each file is its header, and the files of each different
+    header are read with it.  A file without a wanted column, above the cap or expanding beyond its cap gives one broken
+    row, so that its day is rejected whole rather than cut.
     """
     paths = [paths] if isinstance(paths, str) else paths
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    heads = text.filter(F.col("value").contains("http_last_modified")).groupBy("file").agg(F.max("value").alias("header"))
-    headers = [r["header"] for r in heads.select("header").distinct().collect()]  # one in most cases, never many
-    out = None
+    name, size, start = (F.col(f"_metadata.{c}") for c in ("file_path", "file_size", "file_block_start"))
+    lines = spark.read.text(paths).filter(size <= cap).select("value", name.alias("file"), start.alias("start"), F.monotonically_increasing_id().alias("at"))
+    first = F.min_by("value", F.when(F.col("start") == 0, F.col("at")))
+    heads = lines.groupBy("file").agg(first.alias("header"), F.sum(F.octet_length("value") + 1).alias("expanded"))
+    large = spark.read.format("binaryFile").load(paths).filter(F.col("length") > cap).select(F.col("path").alias("file"))
+
+    headers = [r["header"] for r in heads.filter(F.col("expanded") <= expanded_cap).select("header").distinct().collect()]  # one in most cases, never many
+    whole, lacking = [], []
     for header in headers:
-        names = [c.strip() for c in header.split(",")]
-        missing = [c for c in RAW if c not in names]
-        files = [r["file"] for r in heads.filter(F.col("header") == header).select("file").collect()]
-        if missing:
-            rows = spark.createDataFrame([(f,) for f in files], "file string").select(*[F.lit(None).cast("string").alias(c) for c in RAW], "file", F.lit(True).alias("broken"))
-        else:
-            schema = ", ".join(f"`{c}` string" for c in names) + ", _corrupt_record string"
-            rows = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True).schema(schema).csv(files)
-            # A reader that leaves fields unread takes no notice of ragged rows, so this looks at all of them.
-            broken = F.col("_corrupt_record").isNotNull() | (F.length(F.concat_ws("", *RAW)) < 0)
-            rows = rows.select(*RAW, F.col("_metadata.file_path").alias("file"), broken.alias("broken"))
-        out = rows if out is None else out.unionByName(rows)
-    if out is None:
-        out = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in RAW) + ", file string, broken boolean")
+        columns = [c.strip() for c in (header or "").split(",")]
+        (whole if set(RAW) <= set(columns) else lacking).append((header, columns))
+    unread = F.col("header").isNull() | F.col("header").isin([h for h, _ in lacking if h is not None]) | (F.col("expanded") > expanded_cap)
+    none = [F.lit(None).cast("string").alias(c) for c in RAW]
+    out = heads.filter(unread).select("file").unionByName(large).select(*none, "file", F.lit(True).alias("broken"))
+    for header, columns in whole:
+        schema = ", ".join(f"`{c}` string" for c in columns) + ", _corrupt_record string"
+        rows = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True).schema(schema).csv(paths).filter(size <= cap)
+        # A reader that leaves fields unread takes no notice of ragged rows, so this looks at all of them.
+        broken = F.col("_corrupt_record").isNotNull() | (F.length(F.concat_ws("", *RAW)) < 0)
+        rows = rows.select(*RAW, name.alias("file"), broken.alias("broken"))
+        mine = heads.filter((F.col("header") == header) & (F.col("expanded") <= expanded_cap)).select("file")
+        out = out.unionByName(rows.join(mine, "file", "left_semi"))
     return out.withColumn("day", values.day(F.regexp_extract("file", DAY_FILE, 1))).drop("file")
 
 
@@ -65,5 +68,5 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def oversize_files(files: DataFrame, cap: int = FILE_CAP) -> DataFrame:
-    """Files above the cap; they are set aside whole rather than cut."""
+    """Files above the cap (of a day file, or INDEX_CAP, PAGE_CAP); they are set aside whole rather than cut."""
     return files.filter(F.col("size") > cap)

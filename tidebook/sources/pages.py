@@ -8,12 +8,13 @@ from pyspark.sql import types as T
 
 from ..functions import values
 from ..schemas import ORDER, ORDER_COLUMNS, PAGE
+from .day_files import PAGE_CAP
 
 
-def scan_orders(spark: SparkSession, path: str) -> DataFrame:
+def scan_orders(spark: SparkSession, path: str, cap: int = PAGE_CAP) -> DataFrame:
     """Orders of pages stored as region_id=<r>/page=<p>/*.json, each one JSON array.  Unknown fields are ignored, prices are
-    read as decimals."""
-    rows = spark.read.schema(T.StructType([*ORDER, T.StructField("region_id", T.LongType())])).option("multiLine", True).json(path)
+    read as decimals.  A page above the cap is left out whole (``day_files.oversize_files`` names it), so its sweep lacks it."""
+    rows = spark.read.schema(T.StructType([*ORDER, T.StructField("region_id", T.LongType())])).option("multiLine", True).json(path).filter(F.col("_metadata.file_size") <= cap)
     return rows.select(ORDER_COLUMNS)
 
 
