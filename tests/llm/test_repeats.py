@@ -91,3 +91,12 @@ def test_small_tables(spark):
     assert run(spark, []) == []
     for rows in ([(1, None, "a")], [(1, "b" * 500, "a")], [(1, "short", "a"), (2, "short", "a")]):
         assert run(spark, rows) == brute(rows, 200)
+
+
+def test_copies_in_groups_of_their_own(spark):
+    """The second of two long copies sends no context, so its group has places only."""
+    text = "".join(random.Random(5).choices("abcdefghij", k=450_000))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "short")], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in repeated_spans(docs).collect()}
+    assert [(got[i]["n_bytes"], [tuple(x) for x in got[i]["spans"]]) for i in (1, 2, 3)] == [(450_000, [(0, 450_000)])] * 2 + [(5, [])]
+    assert got[1]["kept_sha256"] == got[2]["kept_sha256"] == hashlib.sha256(b"").hexdigest()

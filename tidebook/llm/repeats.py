@@ -180,7 +180,7 @@ def _contexts(length: int):
 
     def rows_of(n_rows: int, **columns: pa.Array) -> pa.RecordBatch:
         kind = columns.pop("kind")
-        return pa.RecordBatch.from_arrays([pa.array([kind] * n_rows) if name == "kind" else columns.get(name, pa.nulls(n_rows, types[t])) for name, t in fields], names=[f[0] for f in fields])
+        return pa.RecordBatch.from_arrays([pa.array([kind] * n_rows, pa.string()) if name == "kind" else columns.get(name, pa.nulls(n_rows, types[t])) for name, t in fields], names=[f[0] for f in fields])
 
     def signed(x: np.ndarray) -> pa.Array:
         return pa.array(x.view(np.int64))
@@ -194,7 +194,7 @@ def _contexts(length: int):
                 k = pa.array(np.flatnonzero(~again))
                 if len(k):
                     bodies = [texts[i] for i in k.to_pylist()]
-                    yield rows_of(len(k), kind="done", doc_id=batch.column(0).take(k), did=batch.column(1).take(k), row_key=batch.column(2).take(k), n=pa.array([len(b) for b in bodies], pa.int64()), sha=pa.array([hashlib.sha256(b).hexdigest() for b in bodies]))
+                    yield rows_of(len(k), kind="done", doc_id=batch.column(0).take(k), did=batch.column(1).take(k), row_key=batch.column(2).take(k), n=pa.array([len(b) for b in bodies], pa.int64()), sha=pa.array([hashlib.sha256(b).hexdigest() for b in bodies], pa.string()))
                 k = pa.array(np.flatnonzero(again))
                 if not len(k):
                     continue
