@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import lm_scoring
 from .common import table
 from .exact_dedup import exact_dedup
+from .fill_in_middle import fill_in_middle, restored
 from .fingerprints import fingerprint_neighbours
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -17,6 +18,7 @@ from .ngram_join import ngram_classes
 from .packing import pack_documents
 from .repeats import repeated_spans
 from .revisits import captures_of_pages, resolve_revisits
+from .source_divergence import source_divergence
 from .tokens import public_file
 from .toxicity import fit_on_labels, held_out, score
 
@@ -75,6 +77,15 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("record_id", "response_id", "outcome", F.array_join(lines, "\n").alias("merged_headers"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -86,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_revisits": op10_revisits,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -150,4 +163,60 @@ ORACLES: dict[str, str] = {
             'etag: ' || CASE WHEN page_id % 5 = 0 THEN ftag ELSE 'W/' || tag END || chr(10) || 'last-modified: ' || flm END AS merged_headers
         FROM j
     """.replace("pages_in", "parts"),
+    "op11_fill_in_middle": r"""
+        WITH t AS (
+          SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                 sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+          FROM documents
+        ), d AS (
+          SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS one, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS two,
+                 text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 AS plain,
+                 ('0x' || h[25:32])::BIGINT % 100 < 50 AS first
+          FROM t
+        ), p AS (
+          SELECT *, array_to_string(u[1:least(one, two)], '') AS prefix, array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS middle,
+                 array_to_string(u[greatest(one, two) + 1:], '') AS suffix
+          FROM d
+        )
+        SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN first THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN length(prefix) END::BIGINT AS prefix_chars, CASE WHEN NOT plain THEN length(middle) END::BIGINT AS middle_chars,
+               sha256(CASE WHEN plain THEN text WHEN first THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                      ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p
+    """,
+    "op12_source_divergence": r"""
+        WITH d AS (
+          SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+          FROM documents
+        ), c AS (
+          SELECT lang, source, term, sum(k) AS n, count(*) AS docs
+          FROM (SELECT r, lang, source, term, count(*) AS k FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL) GROUP BY ALL
+        ), kept AS (SELECT lang, term, sum(n) AS n_lang FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+        langs AS (SELECT lang, count(*) AS v, sum(n_lang) AS n_all FROM kept GROUP BY lang),
+        named AS (SELECT DISTINCT lang, source FROM d),
+        full_table AS (
+          SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n_lang, l.v, l.n_all,
+                 sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS n_group
+          FROM named g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+          LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), p AS (
+          SELECT *, (1 + (1000000000::HUGEINT * (n + 5)::HUGEINT) // (n_group + 5 * v)::HUGEINT)::BIGINT AS p,
+                 (1 + (1000000000::HUGEINT * (n_lang + 5)::HUGEINT) // (n_all + 5 * v)::HUGEINT)::BIGINT AS q
+          FROM full_table
+        ), pairs AS (
+          SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM named a JOIN named b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+                     FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+            ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ), best AS (
+          SELECT lang, source, term AS item, p - q AS value, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS rank
+          FROM p WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+        UNION ALL
+        SELECT lang, source, 'term', item, value, rank::INTEGER FROM best WHERE rank <= 50
+    """,
 }
