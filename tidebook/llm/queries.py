@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .fill_in_middle import fill_in_middle, restored
 from .fingerprints import fingerprint_neighbours
 from .line_dedup import line_dedup
+from .minhash_forest import minhash_classes
 from .mixing import mix
 from .ngram_join import ngram_classes
 from .packing import pack_documents
@@ -86,6 +87,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_classes(table(spark, sf_dir, "documents"), n=4, num=80, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_revisits": op10_revisits,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_source_divergence": op12_source_divergence,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
