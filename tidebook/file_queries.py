@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from .fixtures import frame
 from .plans.scratch import scratch_dir
-from .plans.tables import Snapshot, refresh_statistics
-from .queries import _MINUTES, _RUNS, _COST, ORDER_SQL, _raw_rows, out, query
+from .plans.merge_table import MergeTable
+from .plans.tables import refresh_statistics
+from .queries import _COST, _HASH, _MINUTES, _RUNS, MONEY, ORDER_SQL, _raw_rows, out, query
 from .schemas import ORDER_COLUMNS
 from .sources import day_files, pages
 from .streaming import ingest
@@ -115,11 +116,56 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frame(spark, sf_dir, "v_orders_raw").withColumn("issued", _stamp("issued"))
     bodies = rows.groupBy("region_id", "page").agg(F.collect_list(F.struct(*[c for c in ORDER_COLUMNS if c != "region_id"])).alias("orders"))
     heads.join(bodies, ["region_id", "page"]).repartition("region_id").write.json(path)
-    table = Snapshot(spark, scratch_dir(spark, "published"))
+    table = MergeTable(spark, scratch_dir(spark, "published"), buckets=8)
     ingest.ingest_sweeps(spark, path, table, scratch_dir(spark, "sweep-state")).awaitTermination()
     return out(table.read())
 
 
+MONEY |= dict.fromkeys(["merge_refresh", "repaired_snapshot"], "price")
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[MergeTable, DataFrame]:
+    """The live snapshot as a published table, and its regions."""
+    live = frame(spark, sf_dir, "v_live")
+    regions = frame(spark, sf_dir, "v_regions").select(F.col("_key").alias("region_id"), F.timestamp_millis(F.lit(0)).alias("refreshed_at"))
+    table = MergeTable(spark, scratch_dir(spark, "merge-table"), buckets=8)
+    table.publish(live, regions)
+    return table, regions
+
+
+@query(f"SELECT {ORDER_SQL} FROM v_dedup")
+def merge_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published snapshot after a refresh that wrote its delta only."""
+    table, regions = _loaded(spark, sf_dir)
+    table.refresh(frame(spark, sf_dir, "v_orders_raw"), regions, compact=False)
+    return out(table.read())
+
+
+@query("SELECT region_id, count(CASE WHEN op = 'I' THEN 1 END) AS inserted, count(CASE WHEN op = 'U' THEN 1 END) AS updated, count(CASE WHEN op = 'D' THEN 1 END) AS deleted FROM v_delta GROUP BY region_id")
+def written_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the refresh wrote, counted in its files."""
+    table, regions = _loaded(spark, sf_dir)
+    return table.refresh(frame(spark, sf_dir, "v_orders_raw"), regions, compact=False)
+
+
+@query(f"SELECT region_id, count(*) AS n_rows, CAST(sum(CAST({_HASH} AS DECIMAL(38,0))) AS VARCHAR) AS hash_sum FROM v_dedup GROUP BY region_id")
+def kept_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums that the delta alone brought up to date."""
+    table, regions = _loaded(spark, sf_dir)
+    table.refresh(frame(spark, sf_dir, "v_orders_raw"), regions, compact=False)
+    return table.checksum().filter("n_rows > 0").withColumn("hash_sum", F.col("hash_sum").cast("string"))
+
+
+@query(f"SELECT {ORDER_SQL} FROM v_dedup")
+def repaired_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets that differ from the source, as read back, are rewritten from it; then the table is compacted."""
+    table, _ = _loaded(spark, sf_dir)
+    staged = frame(spark, sf_dir, "v_orders_raw")
+    table.repair(staged, table.verify(staged).filter("drifted"))
+    table.compact()
+    return out(table.read())
+
+
 @query("""SELECT region_id, type_id, date, volume FROM (SELECT *, row_number() OVER (PARTITION BY region_id, type_id, date ORDER BY http_last_modified_ms DESC) AS rn FROM v_history_raw
     WHERE region_id IN (SELECT region_id FROM v_tracked)) x WHERE rn = 1""")
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:

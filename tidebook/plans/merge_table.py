@@ -245,11 +245,14 @@ class MergeTable:
 
     # --- verification ---
 
-    def verify(self, source: DataFrame | None = None) -> DataFrame:
-        """Reads back all published rows, by region and bucket, and compares them with the kept sums, or with a source's deduplicated rows."""
+    def verify(self, source: DataFrame | None = None, regions: list[int] | None = None) -> DataFrame:
+        """Reads back the published rows of the given regions, or of all, by region and bucket, and compares them with the kept sums, or with
+        a source's deduplicated rows."""
         key = ["region_id", "bucket"]
-        mine = self._sums_of(self.merged()).select(*key, F.col("n_rows").alias("live_rows"), F.col("hash_sum").alias("live_hash"))
+        mine = self._sums_of(self.merged(regions)).select(*key, F.col("n_rows").alias("live_rows"), F.col("hash_sum").alias("live_hash"))
         kept = self.sums() if source is None else self._sums_of(snapshot.dedup_orders(source))
+        if regions is not None:
+            kept = kept.join(self._small([(i,) for i in regions], "region_id long"), "region_id", "left_semi")
         both = mine.join(kept.select(*key, F.col("n_rows").alias("kept_rows"), F.col("hash_sum").alias("kept_hash")), key, "full_outer")
         same = F.col("live_rows").eqNullSafe(F.col("kept_rows")) & F.col("live_hash").eqNullSafe(F.col("kept_hash"))
         return both.select(*key, F.coalesce("live_rows", F.lit(0)).alias("live_rows"), F.coalesce("kept_rows", F.lit(0)).alias("kept_rows"), (~same).alias("drifted"))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions import values
 from ..operators import history, snapshot
-from ..plans.tables import Snapshot
+from ..plans.merge_table import MergeTable
 from ..schemas import PAGE
 from ..sources.pages import page_headers, stage
 
@@ -68,32 +68,35 @@ def outage_gate(log: DataFrame) -> DataFrame:
     return rows.groupBy("source_ip").transformWithStateInPandas(OutageGate(), schema, "append", "none")
 
 
-def ingest_sweeps(spark: SparkSession, pages_path: str, table: Snapshot, checkpoint: str) -> StreamingQuery:
+def ingest_sweeps(spark: SparkSession, pages_path: str, table: MergeTable, checkpoint: str) -> StreamingQuery:
     """Landed page envelopes -> published snapshots.  A sweep's pages land in one file; a micro-batch may hold sweeps of many regions.
 
-    A whole and consistent sweep's pages are deduplicated and compared with what is published; the delta is applied, and the result is
-    verified by checksum.  A region that has drifted nevertheless takes its sweep whole.  Of a region's sweeps the one modified last
-    counts, and none counts that is not newer than what is published.
+    A whole and consistent sweep whose staged rows are as many as its pages announced is published as a delta.  What was written is then
+    read back and compared with the sweep by checksum, and buckets that have drifted are rewritten from it.  Of a region's sweeps the one
+    modified last counts, and none counts that is not newer than what is published.  A sweep that does not tell its time counts after the dated
+    ones of its batch and leaves the region's time as it was.
     """
 
     def publish(pages: DataFrame, _: int) -> None:
         pages = pages.persist()
         heads = page_headers(pages)
-        times = heads.groupBy("region_id", "sweep_id").agg(F.max("last_modified").alias("modified"))
-        whole = snapshot.page_set(heads).filter("consistent and complete").join(times, ["region_id", "sweep_id"])
+        sweep = ["region_id", "sweep_id"]
+        times = heads.groupBy(*sweep).agg(F.max("last_modified").alias("modified"), F.sum("order_count").alias("fetched"))
+        held = pages.select(*sweep, F.explode("orders")).groupBy(*sweep).agg(F.count("*").alias("staged"))
+        whole = snapshot.page_set(heads).filter("consistent and complete").join(times, sweep).join(held, sweep, "left").filter("fetched = coalesce(staged, 0)")
         last = whole.groupBy("region_id").agg(F.max(F.struct("modified", "sweep_id")).alias("s")).select("region_id", "s.sweep_id", F.col("s.modified").alias("modified"))
         seen = table.pointer().select("region_id", F.col("refreshed_at").alias("seen"))
         newer = last.join(seen, "region_id", "left").filter("seen is null or modified is null or modified > seen")
-        done = newer.select("region_id", F.coalesce("modified", F.current_timestamp()).alias("refreshed_at")).persist()
-        if not done.isEmpty():
-            staged = snapshot.dedup_orders(stage(pages.join(newer, ["region_id", "sweep_id"], "left_semi"))).persist()
-            live = table.read().join(done.select("region_id"), "region_id", "left_semi")
-            new = snapshot.apply(live, snapshot.diff(staged, live)).persist()
-            drifted = snapshot.verify(new, staged).filter("drifted")
-            table.publish(snapshot.resync(new, staged, drifted), done)
-            for df in (staged, new):
-                df.unpersist()
-        done.unpersist()
+        done = newer.select("region_id", "sweep_id", F.coalesce("modified", "seen").alias("refreshed_at")).collect()  # a row per region
+        if done:
+            done = spark.createDataFrame(done, "region_id long, sweep_id string, refreshed_at timestamp")
+            staged = snapshot.dedup_orders(stage(pages.join(done, sweep, "left_semi"))).persist()
+            table.refresh(staged, done)
+            drifted = table.verify(staged, [r["region_id"] for r in done.select("region_id").collect()]).filter("drifted").persist()
+            if not drifted.isEmpty():
+                table.repair(staged, drifted)
+            drifted.unpersist()
+            staged.unpersist()
         pages.unpersist()
 
     stream = spark.readStream.schema(PAGE).json(pages_path)
