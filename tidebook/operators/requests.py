@@ -1,50 +1,45 @@
 """Analytics over the log of responses: budgets, outages, errors, attempts.
 
-The gates are ordered folds; each is a window per source address, so the work splits by address.  Order is (ts, seq).
+The gates are ordered folds over a source address's responses, worked in slices of time (``slices``), so that one busy
+address spreads over all tasks.  Order is (ts, seq).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window, WindowSpec
+from pyspark.sql.window import Window
 
 from ..functions import values
+from . import slices
 
-def so_far() -> WindowSpec:
-    """A source's responses up to this one."""
-    return Window.partitionBy("source_ip").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
+KEY, ORDER = ["source_ip"], ["ts", "seq"]
 
 
 def later(ts: Column, seconds: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(ts) + seconds.cast("long") * 1_000_000)
 
 
-def token_window(log: DataFrame, bucket: int = 12_000, width_s: int = 900) -> DataFrame:
+def token_window(log: DataFrame, bucket: int = 12_000, width_s: int = 900, slice_s: int = slices.WIDTH_S) -> DataFrame:
     """Budget left after each response: a token comes back exactly width_s after it was spent."""
-    at = log.withColumn("us", F.unix_micros("ts")).withColumn("tokens", values.token_cost(F.col("status")))
-    w = Window.partitionBy("source_ip").orderBy("us").rangeBetween(-(width_s * 1_000_000 - 1), 0)
-    spent = F.sum("tokens").over(w)
-    return at.select("source_ip", "seq", "tokens", spent.alias("spent"), (F.lit(bucket) - spent).alias("remaining"))
+    at = slices.sliced(log.select("source_ip", "seq", "status", "ts"), width_s=slice_s).withColumn("us", F.unix_micros("ts")).withColumn("tokens", values.token_cost(F.col("status")))
+    spent = slices.trailing_sum(at, F.col("tokens"), "spent", KEY, "us", width_s * 1_000_000, slice_s)
+    return spent.select("source_ip", "seq", "tokens", "spent", (F.lit(bucket) - F.col("spent")).alias("remaining"))
 
 
-def outage_runs(log: DataFrame, threshold: int = 2, pause_s: int = 60) -> DataFrame:
+def outage_runs(log: DataFrame, threshold: int = 2, pause_s: int = 60, slice_s: int = slices.WIDTH_S) -> DataFrame:
     """State of the outage gate after each response: server errors in a row, and the end of the pause.
 
     From the threshold on each error asks for a pause (its Retry-After, else pause_s), which only ever grows; any other
     response ends it.
     """
-    down = F.col("status") >= 500
-    runs = log.filter("status is not null").withColumn("run", F.sum((~down).cast("int")).over(so_far()))
-    in_run = Window.partitionBy("source_ip", "run").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    n = F.sum(down.cast("int")).over(in_run)
-    counted = runs.withColumn("in_row", n)
-    until = F.when(down & (F.col("in_row") >= threshold), later(F.col("ts"), F.when(F.col("retry_after_s") > 0, F.col("retry_after_s")).otherwise(pause_s)))
-    paused = F.max(until).over(in_run)
-    return counted.select("source_ip", "seq", "status", F.col("in_row").cast("long").alias("in_row"), F.when(down, paused).alias("paused_until"))
+    rows = slices.sliced(log.filter("status is not null").select("source_ip", "seq", "status", "ts", "retry_after_s"), width_s=slice_s)
+    until = later(F.col("ts"), F.when(F.col("retry_after_s") > 0, F.col("retry_after_s")).otherwise(pause_s))
+    runs = slices.error_runs(rows, F.col("status") >= 500, until, threshold, KEY, ORDER)
+    return runs.select("source_ip", "seq", "status", "in_row", F.col("paused").alias("paused_until"))
 
 
-def error_block(log: DataFrame, window_s: int = 60) -> DataFrame:
+def error_block(log: DataFrame, window_s: int = 60, slice_s: int = slices.WIDTH_S) -> DataFrame:
     """Until when all requests are blocked, after each response; a later, shorter block never shortens it.
 
     Every error response with both error-limit headers and a reset blocks for the reset, a 420 without one for window_s.
@@ -52,18 +47,21 @@ def error_block(log: DataFrame, window_s: int = 60) -> DataFrame:
     is_error = F.col("status") != 200
     both = is_error & F.col("error_remain").isNotNull() & (F.col("error_reset_s") > 0)
     until = F.when(both, later(F.col("ts"), F.col("error_reset_s"))).when((F.col("status") == 420), later(F.col("ts"), F.lit(window_s)))
-    return log.select("source_ip", "seq", F.max(until).over(so_far()).alias("blocked_until"))
+    rows = slices.sliced(log.select("source_ip", "seq", "ts", "status", "error_remain", "error_reset_s"), width_s=slice_s)
+    return slices.most_so_far(rows, until, "blocked_until", KEY, ORDER).select("source_ip", "seq", "blocked_until")
 
 
-def error_budget_health(log: DataFrame, floor: int = 30) -> DataFrame:
+def error_budget_health(log: DataFrame, floor: int = 30, slice_s: int = slices.WIDTH_S) -> DataFrame:
     """Whether the error budget allows a retry: unknown does, else more than the floor must remain."""
-    known = F.last(F.when(F.col("status") != 200, F.col("error_remain")), ignorenulls=True).over(so_far())
-    return log.select("source_ip", "seq", F.coalesce(known > floor, F.lit(True)).alias("healthy"))
+    rows = slices.sliced(log.select("source_ip", "seq", "ts", "status", "error_remain"), width_s=slice_s)
+    known = slices.last_so_far(rows, F.when(F.col("status") != 200, F.col("error_remain")), "known", KEY, ORDER)
+    return known.select("source_ip", "seq", F.coalesce(F.col("known") > floor, F.lit(True)).alias("healthy"))
 
 
-def budget_asof(log: DataFrame) -> DataFrame:
+def budget_asof(log: DataFrame, slice_s: int = slices.WIDTH_S) -> DataFrame:
     """The budget that the latest response so far has told."""
-    return log.select("source_ip", "seq", F.last("remaining", ignorenulls=True).over(so_far()).alias("remaining"))
+    rows = slices.sliced(log.select("source_ip", "seq", "ts", F.col("remaining").alias("told")), width_s=slice_s)
+    return slices.last_so_far(rows, F.col("told"), "remaining", KEY, ORDER).select("source_ip", "seq", "remaining")
 
 
 def attempts(log: DataFrame, most: int = 3) -> DataFrame:
