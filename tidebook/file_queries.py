@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .fixtures import frame
 from .plans.scratch import scratch_dir
+from .plans.history_table import HistoryTable
 from .plans.merge_table import MergeTable
 from .plans.tables import refresh_statistics
 from .queries import _COST, _HASH, _MINUTES, _RUNS, MONEY, ORDER_SQL, _raw_rows, out, query
@@ -166,27 +167,57 @@ def repaired_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(table.read())
 
 
+#: Waves by quarters of the scrape times' range.
+_WAVES = """WITH b AS (SELECT min(http_last_modified_ms) AS lo, max(http_last_modified_ms) AS hi FROM v_history_raw),
+    r AS (SELECT h.*, CAST(least(floor((http_last_modified_ms - lo) * 4 / (hi - lo + 1)), 3) AS BIGINT) AS wave FROM v_history_raw h CROSS JOIN b)"""
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> HistoryTable:
+    """Waves of history by scrape time, the first of them landed again at the end; the stream takes each as it lands."""
+    path = scratch_dir(spark, "waves")
+    rows = frame(spark, sf_dir, "v_history_raw")
+    at = F.unix_millis("http_last_modified")
+    lo, hi = rows.agg(F.min(at), F.max(at)).first()
+    marked = rows.withColumn("wave", F.least(F.floor((at - F.lit(lo)) * 4 / F.lit(hi - lo + 1)), F.lit(3)))
+    table, state = HistoryTable(spark, scratch_dir(spark, "history"), 1990, 2010), scratch_dir(spark, "history-state")
+    for wave in (0, 1, 2, 3, 0):
+        marked.filter(F.col("wave") == wave).drop("wave").write.mode("append").parquet(path)
+        ingest.ingest_history(ingest.file_stream(spark, path, rows.schema), frame(spark, sf_dir, "v_tracked"), table, state).awaitTermination()
+    return table
+
+
 @query("""SELECT region_id, type_id, date, volume FROM (SELECT *, row_number() OVER (PARTITION BY region_id, type_id, date ORDER BY http_last_modified_ms DESC) AS rn FROM v_history_raw
     WHERE region_id IN (SELECT region_id FROM v_tracked)) x WHERE rn = 1""")
 def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Waves of history by scrape time, the first of them landed again at the end; each micro-batch is one wave and replaces the years that it touches."""
-    path, years = scratch_dir(spark, "waves"), {}
-    rows = frame(spark, sf_dir, "v_history_raw")
-    cuts = rows.agg(F.percentile_approx(F.unix_micros("http_last_modified"), [0.25, 0.5, 0.75]).alias("q")).first()["q"] or []
-    at = F.coalesce(F.unix_micros("http_last_modified"), F.lit(0))
-    bounds = [None, *sorted(set(cuts)), None]
-    waves = [rows.filter((at > a if a is not None else F.lit(True)) & (at <= b if b is not None else F.lit(True))) for a, b in zip(bounds, bounds[1:], strict=False)]
-    for wave in [*waves, waves[0]]:
-        wave.write.mode("append").parquet(path)
-
-    def read(wanted: list[int]) -> DataFrame:
-        known = [years[y] for y in wanted if y in years]
-        return spark.read.schema(rows.schema).parquet(*known) if known else spark.createDataFrame([], rows.schema)
-
-    def write(df: DataFrame, wanted: list[int]) -> None:
-        base = scratch_dir(spark, "history")
-        df.withColumn("year", F.year("date")).write.partitionBy("year").parquet(base)
-        years.update({y: f"{base}/year={y}" for y in wanted})
-
-    ingest.ingest_history(ingest.file_stream(spark, path, rows.schema, files_at_once=8), frame(spark, sf_dir, "v_tracked"), read, write, scratch_dir(spark, "history-state")).awaitTermination()
-    return read(sorted(years)).select("region_id", "type_id", "date", "volume")
+    return _streamed(spark, sf_dir).read().select("region_id", "type_id", "date", "volume")
+
+
+@query(f"""{_WAVES}, marks AS (SELECT date, max(http_last_modified_ms) AS mark, count(*) AS scanned, count(CASE WHEN wave = 0 THEN 1 END) AS again FROM r GROUP BY date),
+    k AS (SELECT * FROM r WHERE region_id IN (SELECT region_id FROM v_tracked)),
+    u AS (SELECT date, count(*) AS n FROM (SELECT DISTINCT region_id, type_id, date, wave FROM k) x GROUP BY date),
+    v AS (SELECT k.date, count(*) AS n FROM (SELECT DISTINCT k.region_id, k.type_id, k.date FROM k JOIN marks m ON m.date = k.date WHERE k.wave = 0 AND k.http_last_modified_ms >= m.mark) k GROUP BY k.date)
+    SELECT m.date AS day, m.scanned + m.again AS totals_count, coalesce(u.n, 0) + coalesce(v.n, 0) AS rows_upserted, m.mark AS watermark_ms FROM marks m LEFT JOIN u ON u.date = m.date LEFT JOIN v ON v.date = m.date""")
+def stream_history_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The books that the stream kept: what each wave scanned and wrote, and the marks."""
+    return out(_streamed(spark, sf_dir).days().drop("imported_at"))
+
+
+def _by_years(spark: SparkSession, sf_dir: str) -> HistoryTable:
+    table = HistoryTable(spark, scratch_dir(spark, "history-years"), 1993, 1996)
+    table.import_rows(frame(spark, sf_dir, "v_history_raw"), frame(spark, sf_dir, "v_tracked"))
+    return table
+
+
+@query("SELECT CAST(year(date) AS INT) AS year, count(*) AS n_rows FROM v_history_raw WHERE year(date) NOT BETWEEN 1993 AND 1996 GROUP BY year(date)")
+def history_year_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows outside the table's years, as they were set aside."""
+    return _by_years(spark, sf_dir).rejected().groupBy(F.year("date").alias("year")).agg(F.count("*").alias("n_rows"))
+
+
+@query("""SELECT CAST(year(date) AS INT) AS year, count(*) AS n_rows FROM (SELECT DISTINCT region_id, type_id, date FROM v_history_raw WHERE region_id IN (SELECT region_id FROM v_tracked)) x
+    WHERE year(date) BETWEEN 1995 AND 1996 GROUP BY year(date)""")
+def retained_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left, read back, when whole years before 1995 are dropped."""
+    table = _by_years(spark, sf_dir)
+    table.retain(1995)
+    return table.read().groupBy("year").agg(F.count("*").alias("n_rows"))

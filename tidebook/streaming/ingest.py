@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import datetime as dt
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import values
-from ..operators import history, snapshot
+from ..operators import snapshot
+from ..plans.history_table import HistoryTable
 from ..plans.merge_table import MergeTable
 from ..schemas import PAGE
 from ..sources.pages import page_headers, stage
@@ -103,20 +105,17 @@ def ingest_sweeps(spark: SparkSession, pages_path: str, table: MergeTable, check
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def ingest_history(rows: DataFrame, regions: DataFrame | None, read: Callable[[list[int]], DataFrame], write: Callable[[DataFrame, list[int]], None], checkpoint: str) -> StreamingQuery:
-    """Waves of history rows -> upserted history, by years.
+def ingest_history(rows: DataFrame, regions: DataFrame | None, table: HistoryTable, checkpoint: str, stream: str = "history", today: dt.date | None = None, backfill: int = 730, recent: int = 10) -> StreamingQuery:
+    """Waves of history rows -> a history table by years with its bookkeeping, exactly once.
 
-    read gives the stored rows of some years and write replaces these years; no other year is touched.  Rows scraped
-    before the mark of their day, which is the latest scrape time stored for it, are dropped, so that a repeated or late older wave
-    changes nothing; the mark is inclusive.
+    Rows, day counters and marks are published together under the number of the micro-batch, so that a batch that is replayed after a
+    failure changes nothing.  Rows scraped before the mark of their day are dropped; the mark is inclusive.  With a date in ``today``, days
+    beyond the backfill and imported days that are no longer recent are left alone.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        fresh = history.tracked(batch, regions).persist()
-        years = sorted(r["year"] for r in history.touched_years(fresh).collect() if r["year"] is not None)
-        if years:
-            stored = read(years)
-            write(history.upsert(stored, history.since_watermark(fresh, history.day_watermarks(stored))), years)
-        fresh.unpersist()
+    def merge(batch: DataFrame, number: int) -> None:
+        held = batch.persist()
+        table.import_rows(held, regions, stream, number, today=today, backfill=backfill, recent=recent)
+        held.unpersist()
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
