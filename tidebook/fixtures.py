@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .plans.scratch import scratch_dir
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 SPARK = {"MICROS(": "unix_micros(", "MILLIS(": "unix_millis(", "DAYS(": "unix_date("}
 DUCKDB = {"MICROS(": "epoch_us(", "MILLIS(": "epoch_ms(", "DAYS(": "date_diff('day', DATE '1970-01-01', "}
@@ -90,28 +92,52 @@ VIEWS = {
 }
 
 
-def text(name: str, engine: dict[str, str] = DUCKDB, table: str = "{0}") -> str:
-    """A query over the views, as one statement: WITH the views it needs, in order, SELECT."""
+#: Views that others build on; Spark derives each once per session and folder and reads its files from then on.
+LANDED = ("v_orders_raw", "v_dedup", "v_live", "v_waves", "v_history_raw")
+_paths: dict[tuple[str, str, str], str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _paths:
+        path = scratch_dir(spark, name)
+        spark.sql(_spark_text(spark, sf_dir, VIEWS[name])).write.parquet(path)
+        _paths[key] = path
+    return _paths[key]
+
+
+def _spark_text(spark: SparkSession, sf_dir: str, sql: str) -> str:
+    """A query over the views for Spark: landed views as files, others inlined."""
+    given = {v: f"parquet.`{_landed(spark, sf_dir, v)}`" for v in _needs(sql, LANDED) if v in LANDED}
+    return text(sql, SPARK, "parquet.`" + sf_dir + "/{0}.parquet`", given)
+
+
+def _needs(sql: str, stop: tuple[str, ...] | dict[str, str] = ()) -> set[str]:
+    """The views that a query builds on, down to those where to stop."""
+    found = set(re.findall(r"\bv_[a-z_]+\b", sql)) & set(VIEWS)
+    return found.union(*[_needs(VIEWS[v], stop) for v in found if v not in stop])
 
-    def needs(sql: str) -> set[str]:
-        found = set(re.findall(r"\bv_[a-z_]+\b", sql)) & set(VIEWS)
-        return found.union(*[needs(VIEWS[v]) for v in found]) if found else found
 
-    wanted = needs(name)
-    body = ", ".join(f"{v} AS ({sql})" for v, sql in VIEWS.items() if v in wanted)
-    out = f"WITH {body} {name}" if body and not name.lstrip().upper().startswith("WITH") else (name.replace("WITH ", f"WITH {body}, ", 1) if body else name)
+def text(sql: str, engine: dict[str, str] = DUCKDB, table: str = "{0}", given: dict[str, str] | None = None) -> str:
+    """A query over the views, as one statement: WITH the views it needs, in order, SELECT.  given: relations that stand for some views."""
+    given = given or {}
+    wanted = _needs(sql, given) - set(given)
+    body = ", ".join(f"{v} AS ({q})" for v, q in VIEWS.items() if v in wanted)
+    out = f"WITH {body} {sql}" if body and not sql.lstrip().upper().startswith("WITH") else (sql.replace("WITH ", f"WITH {body}, ", 1) if body else sql)
     for k, v in engine.items():
         out = out.replace(k, v)
     if engine is DUCKDB:
         out = out.replace("`", '"')
     for t in TABLES:
         out = out.replace("{" + t + "}", table.format(t))
+    for view, relation in given.items():
+        out = re.sub(rf"\b{view}\b", lambda _: relation, out)  # noqa: B023
     return out
 
 
 def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame, with timestamps."""
-    df = spark.sql(text(f"SELECT * FROM {name}", SPARK, "parquet.`" + sf_dir + "/{0}.parquet`"))
+    df = spark.read.parquet(_landed(spark, sf_dir, name)) if name in LANDED else spark.sql(_spark_text(spark, sf_dir, f"SELECT * FROM {name}"))
     return df.select([F.timestamp_millis(c).alias(c[:-3]) if c.endswith("_ms") and c not in KEPT_MS else F.col(c) for c in df.columns])
 
 

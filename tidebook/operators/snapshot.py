@@ -30,11 +30,16 @@ def region_counts(live: DataFrame) -> DataFrame:
     return live.groupBy("region_id").agg(F.count("*").alias("orders"))
 
 
-def diff(staged: DataFrame, live: DataFrame) -> DataFrame:
-    """Changes that turn live into the deduplicated staged snapshot: op I, U or D with the row's new values."""
+def _matched(staged: DataFrame, live: DataFrame) -> DataFrame:
+    """Both sides of each key: s, the deduplicated staged row's values, and v, the live one's."""
     s = dedup_orders(staged).select(*ORDER_KEY, F.struct(*ORDER_VALUES).alias("s"))
     v = live.select(*ORDER_KEY, F.struct(*ORDER_VALUES).alias("v"))
-    both = s.join(v, ORDER_KEY, "full_outer").filter(~F.col("s").eqNullSafe(F.col("v")))
+    return s.join(v, ORDER_KEY, "full_outer")
+
+
+def diff(staged: DataFrame, live: DataFrame) -> DataFrame:
+    """Changes that turn live into the deduplicated staged snapshot: op I, U or D with the row's new values."""
+    both = _matched(staged, live).filter(~F.col("s").eqNullSafe(F.col("v")))
     op = F.when(F.col("v").isNull(), "I").when(F.col("s").isNull(), "D").otherwise("U").alias("op")
     return both.select(*ORDER_KEY, op, *[F.coalesce(f"s.{c}", F.when(F.col("s").isNull(), F.col(f"v.{c}"))).alias(c) for c in ORDER_VALUES])
 
@@ -90,8 +95,10 @@ def resync(live: DataFrame, staged: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def refresh(live: DataFrame, staged: DataFrame) -> DataFrame:
-    """Delta for regions that are loaded, whole snapshot for those that are not."""
-    return apply(live, diff(staged, live))
+    """The live snapshot after its refresh, from one match of both sides: unchanged rows as they are live, all others as staged."""
+    both = _matched(staged, live).filter("s is not null")
+    row = F.when(F.col("s").eqNullSafe(F.col("v")), F.col("v")).otherwise(F.col("s"))
+    return both.select(*ORDER_KEY, row.alias("r")).select(*ORDER_KEY, *[F.col(f"r.{c}").alias(c) for c in ORDER_VALUES])
 
 
 def page_set(pages: DataFrame) -> DataFrame:
