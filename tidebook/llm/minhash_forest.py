@@ -6,15 +6,17 @@ Forest.  Each of ``ORDERS`` orders reads the signature from another place on, so
 are different ones.  In each order the nodes are range-sorted by their signatures, over all orders at once.  A region is what agrees in an order's first
 DEPTH minima; two documents of similarity s share one with probability 1 - (1 - s ** DEPTH) ** ORDERS, which is 1 - 5e-8 at 0.8.
 
-First round: longest common prefixes.  In each order a node's candidates are the next ``WIDTH`` ones, with which it has the longest
+Candidates.  In each order a node's candidates are the next ``WIDTH`` nodes of its region, with which it has the longest
 prefixes in common, so the depth adapts: where a region is dense they agree in far more than DEPTH minima, where it is sparse in just
-these.  Of its candidates each node tries the one with the most equal minima first.  So a family costs as many confirmations as it has members, whatever its size.
+these.  A candidate whose signature agrees enough (five standard deviations below the bound) joins its node's cluster.  So a family costs as
+many comparisons as it has members and orders, whatever its size.
 
-Second round: the rest, exactly.  Nodes of one region that the first round has not joined are compared with each other: members of a region's largest
-class with those of other classes, and these among themselves, in tiles of at most ``TILE`` by TILE signatures.  Pairs whose
-signatures agree enough (five standard deviations below the bound) and that the first round has not refuted are confirmed.  No number of partners or candidates is capped.
+The rest, exactly.  Where a region then holds several clusters, its smaller ones are compared with all of it and among themselves, in tiles of at most ``TILE``
+by TILE signatures, and what agrees enough joins, too: a tile sends the clusters that it joins, never pairs.  So any two documents that share a region and
+whose signatures agree enough are in one cluster, and no number of partners or candidates is capped.
 
-A pair is confirmed from both whole texts: den * |x & y| >= num * |x | y| on the distinct shingles.
+Confirmation.  Within a cluster the full sets are multiplied, tile by tile (``ngram_join.linked_members``): den * |x & y| >= num * |x | y| on the distinct
+shingles of both whole texts.  A cluster only says which sets are looked at; links and classes come from the sets alone.
 
 Set of a document: its distinct n-word shingles, words by white space with A-Z lower-cased; with fewer words the whole sequence as
 one; none for null or empty text, which links with nothing.  Null doc_ids link with nothing and keep a null class and a null ``kept``.  Rows with
@@ -35,13 +37,16 @@ from pyspark.sql import functions as F
 from .common import Scratch, lean, shuffle_partitions, whole_text
 from .graph import components
 from .hashing import U, groups, mix, shingle_sets
+from .ngram_join import linked_members
 
 ORDERS, DEPTH = 32, 4
 HASHES = ORDERS * DEPTH
 #: Minima of a signature that an order is sorted by.
 SORTED_BY = 12
 #: Next ones in an order that are candidates, and nodes on either side of a tile.
-WIDTH, TILE = 2, 512
+WIDTH, TILE = 1, 512
+#: Documents of a block in the product of a large cluster's sets.
+BLOCK_DOCS = 512
 
 
 @lru_cache(1)
@@ -138,43 +143,27 @@ def least_equal(num: int, den: int) -> int:
     return int(HASHES * s - 5 * (HASHES * s * (1 - s)) ** 0.5)
 
 
-def _confirmed(n: int, num: int, den: int):
-    """a, amark, b, bmark and both texts -> the pairs that link.  A text of another row of the same doc_id is left out by its mark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for half in groups(batch, 4):
-                for part in groups(half, 5):
-                    use = np.zeros(part.num_rows, dtype=bool)
-                    mark = [part.column(k).to_numpy() for k in (1, 3)]
-                    for k, (x, y) in enumerate(zip(shingle_sets(part.column(4), n), shingle_sets(part.column(5), n), strict=True)):
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        use[k] = both * den >= (len(x) + len(y) - both) * num and marks(x)[0] == mark[0][k] and marks(y)[0] == mark[1][k]
-                    yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(use)) for k in (0, 2)], names=["a", "b"])
-
-    return lean(run)
-
-
 def _tile(num: int, den: int):
-    """Nodes of tiles, in order -> pairs of either side, of different classes, that agree enough."""
+    """Nodes of tiles, in order -> an edge for each two clusters that agreeing nodes of either side join."""
     least = least_equal(num, den)
 
     def finish(rows: list[tuple]) -> list[tuple]:
-        sides = [[r for r in rows if r[4] == k] for k in (0, 1)]
+        left, right = ([r for r in rows if r[4] == k] for k in (0, 1))
         out: list[tuple] = []
-        if all(sides):
-            (la, lb), (na, nb) = ([np.array([r[c] for r in s]) for s in sides] for c in (7, 8))
-            right = np.frombuffer(b"".join(r[9] for r in sides[1]), dtype=">u2").reshape(-1, HASHES)
-            for k, r in enumerate(sides[0]):
-                fits = (lb != la[k]) & (np.maximum(nb, na[k]) * num <= np.minimum(nb, na[k]) * den)
-                where = np.flatnonzero(fits)
-                where = where[(right[where] == np.frombuffer(r[9], dtype=">u2")).sum(axis=1) >= least]
-                out += [(*r[5:7], *sides[1][j][5:7]) for j in where.tolist()]
-        return [(x[2], x[3], x[0], x[1]) if x[2] < x[0] or (x[2] == x[0] and x[3] < x[1]) else x for x in out]
+        if left and right:
+            label, size = (np.array([r[c] for r in right]) for c in (5, 6))
+            sig = np.frombuffer(b"".join(r[7] for r in right), dtype=">u2").reshape(-1, HASHES)
+            for r in left:
+                where = np.flatnonzero((label != r[5]) & (np.maximum(size, r[6]) * num <= np.minimum(size, r[6]) * den))
+                where = where[(sig[where] == np.frombuffer(r[7], dtype=">u2")).sum(axis=1) >= least]
+                if len(where):
+                    met = np.unique(label[where])
+                    out += [(r[5], m) for m in met.tolist()]
+                    label[np.isin(label, met)] = r[5]  # joined from now on
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
-        schema = pa.schema([(c, pa.int64()) for c in ("a", "amark", "b", "bmark")])
         for batch in batches:
             out: list[tuple] = []
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -183,19 +172,22 @@ def _tile(num: int, den: int):
                     rows = []
                 now = r[:4]
                 rows.append(r)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], schema=schema)
+            yield _edges(out)
         if rows:
-            out = finish(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], schema=schema)
+            yield _edges(finish(rows))
 
     return lean(run)
 
 
+def _edges(pairs: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 PAIR = "a long, amark long, b long, bmark long"
 
 
 class Forest:
-    """The steps over one table of documents: its nodes, its orders, and the two rounds."""
+    """The steps over one table of documents: its nodes, its orders, and what the orders bring together."""
 
     def __init__(self, docs: DataFrame, n: int, num: int, den: int, scratch: Scratch):
         self.n, self.num, self.den, self.scratch = n, num, den, scratch
@@ -219,31 +211,18 @@ class Forest:
         schema = "order int, region long, doc long, mark1 long, n_shingles long, near_doc array<long>, near_mark array<long>"
         return self.scratch.keep(rows.mapInArrow(_neighbours(self.num, self.den), schema), "orders")
 
-    def confirm(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that link, from both whole texts."""
-        ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        texts = self.scratch.keep(self.known.join(ends.hint("merge"), "doc_id"), f"{name}-texts")
-        side = lambda k: texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "amark", "b", "bmark", "text_a", "text_b")
-        links = self.scratch.keep(both.mapInArrow(_confirmed(self.n, self.num, self.den), "a long, b long").distinct(), f"{name}-links")
-        self.scratch.drop(texts)
-        return links
-
-    def nearest(self, orders: DataFrame) -> DataFrame:
-        """First round: each node's most alike candidate."""
+    def near(self, orders: DataFrame) -> DataFrame:
+        """Candidates by longest common prefix that agree enough: edges (a, b)."""
         near = orders.filter(F.size("near_doc") > 0).select("doc", "mark1", F.inline(F.arrays_zip("near_doc", "near_mark")))
         me, it = F.struct(F.col("doc").alias("d"), F.col("mark1").alias("m")), F.struct(F.col("near_doc").alias("d"), F.col("near_mark").alias("m"))
         pairs = near.select(F.least(me, it).alias("x"), F.greatest(me, it).alias("y")).select(F.col("x.d").alias("a"), F.col("x.m").alias("amark"), F.col("y.d").alias("b"), F.col("y.m").alias("bmark")).distinct()
         sig = lambda d, m, name: self.nodes.select(F.col("doc").alias(d), F.col("mark1").alias(m), F.col("sig").alias(name))
         both = pairs.join(sig("a", "amark", "sig_a"), ["a", "amark"]).join(sig("b", "bmark", "sig_b"), ["b", "bmark"])
         both = both.select("a", "amark", "b", "bmark", "sig_a", "sig_b").mapInArrow(lean(_agreement), f"{PAIR}, equal int")
-        alike = self.scratch.keep(both.filter(F.col("equal") >= least_equal(self.num, self.den)), "alike")
-        ends = alike.select(F.inline(F.array(*[F.struct(F.col(d).alias("doc"), F.col(m).alias("mark1")) for d, m in (("a", "amark"), ("b", "bmark"))])), "equal", "a", "amark", "b", "bmark")
-        best = ends.groupBy("doc", "mark1").agg(F.max_by(F.struct("a", "amark", "b", "bmark"), F.struct("equal", "a", "amark", "b", "bmark")).alias("p"))
-        return self.scratch.keep(best.select("p.*").distinct(), "nearest")
+        return self.scratch.keep(both.filter(F.col("equal") >= least_equal(self.num, self.den)).select("a", "b").distinct(), "near")
 
-    def apart(self, orders: DataFrame, label: DataFrame, tried: DataFrame) -> DataFrame:
-        """Second round: pairs of one region and of different classes that agree enough and were not tried."""
+    def apart(self, orders: DataFrame, label: DataFrame) -> DataFrame:
+        """Edges (a, b) between the names of clusters of one region that its tiles join."""
         where = ["order", "region"]
         placed = orders.select(*where, "doc", "mark1", "n_shingles").join(label.select(F.col("node").alias("doc"), "component"), "doc", "left")
         placed = self.scratch.keep(placed.withColumn("component", F.coalesce("component", "doc")), "placed")
@@ -258,25 +237,29 @@ class Forest:
             return F.pmod(F.xxhash64("doc", "mark1"), F.col(c)).cast("int")
 
         upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
-        here = [*where, "i", "j", "side", "doc", "mark1", "component", "n_shingles"]
-        left = inside.filter("component <> largest").withColumn("i", block("rest_blocks")).withColumn("j", F.explode(upto("all_blocks"))).withColumn("side", F.lit(0)).select(here)
-        right = inside.withColumn("j", block("all_blocks")).withColumn("i", F.explode(upto("rest_blocks"))).withColumn("side", F.lit(1)).select(here)
+        here = [*where, "i", "j", "side", "component", "n_shingles"]
+        left = inside.filter("component <> largest").withColumn("i", block("rest_blocks")).withColumn("j", F.explode(upto("all_blocks"))).withColumn("side", F.lit(0)).select(*here, "doc", "mark1")
+        right = inside.withColumn("j", block("all_blocks")).withColumn("i", F.explode(upto("rest_blocks"))).withColumn("side", F.lit(1)).select(*here, "doc", "mark1")
         tiles = left.unionByName(right).join(self.nodes.select("doc", "mark1", "sig"), ["doc", "mark1"]).select(*here, "sig")
         by = [*where, "i", "j"]
-        found = tiles.repartition(*by).sortWithinPartitions(*by).mapInArrow(_tile(self.num, self.den), PAIR).distinct()
-        return self.scratch.keep(found.join(tried, ["a", "amark", "b", "bmark"], "left_anti"), "apart")
+        return self.scratch.keep(tiles.repartition(*by).sortWithinPartitions(*by).mapInArrow(_tile(self.num, self.den), "a long, b long").distinct(), "apart")
+
+    def clusters(self) -> DataFrame:
+        """doc_id, component, n_shingles of the nodes that may link."""
+        orders = self.orders()
+        label = self.scratch.keep(components(self.near(orders), self.scratch), "label")
+        joined = components(self.apart(orders, label), self.scratch).withColumnRenamed("node", "was").withColumnRenamed("component", "now")
+        # A node that no candidate agreed with is a cluster of its own, named by its doc.
+        alone = self.nodes.select("doc").join(label.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn("was", F.coalesce("component", "doc"))
+        members = alone.join(joined, "was", "left").filter("component is not null or now is not null").select("doc", F.coalesce("now", "was").alias("component")).distinct()
+        return self.scratch.keep(members.join(self.nodes, "doc").select(F.col("doc").alias("doc_id"), "component", "n_shingles").distinct(), "clusters")
 
 
 def minhash_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept (it is its class's smallest doc_id)."""
     scratch = Scratch(docs.sparkSession, "minhash-forest")
     forest = Forest(docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text")), n, num, den, scratch)
-    orders = forest.orders()
-    nearest = forest.nearest(orders)
-    links = scratch.keep(forest.copies.unionByName(forest.confirm(nearest, "nearest")), "links")
-    label = scratch.keep(components(links, scratch), "label")
-    rest = forest.apart(orders, label, nearest)
-    more = forest.confirm(rest, "rest")
-    whole = components(links.unionByName(more), scratch).withColumnRenamed("node", "doc_id")
+    links = linked_members(forest.known, forest.clusters(), n, num, den, BLOCK_DOCS)
+    whole = components(forest.copies.unionByName(links), scratch).withColumnRenamed("node", "doc_id")
     out = forest.sets.select("doc_id", "n_shingles").join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

@@ -277,12 +277,12 @@ def _tiles(num: int, den: int):
     return lean(run)
 
 
-def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
+def _placed(members: DataFrame, num: int, den: int, block_docs: int | None = None) -> DataFrame:
     """members (doc_id, component, n_shingles) -> doc_id, tiles: one for a small cluster, else a pair of blocks for each
     block of its own class and of those beside it."""
     first, _, _ = size_classes(num, den, 1 << 40)
     cls = F.size(F.filter(F.array(*[F.lit(int(x)) for x in first]), lambda x: x <= F.col("n_shingles")))
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n_shingles") / BLOCK_GRAMS)).cast("int")
+    blocks = F.ceil(F.greatest(F.count("*") / (block_docs or BLOCK_DOCS), F.sum("n_shingles") / BLOCK_GRAMS)).cast("int")
     classed = members.withColumn("cls", cls)
     by_class = classed.groupBy("component", "cls").agg(blocks.alias("blocks"))
     whole = members.groupBy("component").agg(blocks.alias("all_blocks"), F.count("*").alias("docs")).filter("docs > 1").select("component", "all_blocks")
@@ -302,6 +302,13 @@ def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
     return placed.select("doc_id", F.when(F.col("all_blocks") == 1, F.array(name)).otherwise(tiles).alias("tiles"))
 
 
+def linked_members(known: DataFrame, members: DataFrame, n: int, num: int, den: int, block_docs: int | None = None) -> DataFrame:
+    """Links (a, b) among the members (doc_id, component, n_shingles) of each component: the product of their n-grams, tile by tile, as a spanning
+    forest of each tile.  known: doc_id, text.  Members have no size bound, so they are never broadcast: the plan is the same at every size."""
+    rows = known.join(_placed(members, num, den, block_docs).hint("merge"), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
+    return rows.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_tiles(num, den), "a long, b long")
+
+
 def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
     scratch = Scratch(docs.sparkSession, "ngram-join")
@@ -323,9 +330,6 @@ def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id
     members = members.join(sized, "doc_id").join(links.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
     members = scratch.keep(members, "members")
 
-    # Links: the product, tile by tile.
-    # Members have no size bound, so they are never broadcast: the plan is the same at every size.
-    rows = known.join(_placed(members, num, den).hint("merge"), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
-    found = rows.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_tiles(num, den), "a long, b long")
+    found = linked_members(known, members, n, num, den)
     whole = components(links.unionByName(found), scratch)
     return sets.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
