@@ -5,17 +5,21 @@ Their results are checked against the batch operators' SQL.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import frame
 from .plans.scratch import scratch_dir
+from .operators import requests, status
 from .plans.history_table import HistoryTable
+from .plans.log_table import LogTable
 from .plans.merge_table import MergeTable
 from .plans.tables import refresh_statistics
-from .queries import _COST, _HASH, _MINUTES, _RUNS, MONEY, ORDER_SQL, _raw_rows, out, query
+from .queries import _COST, _HASH, _MINUTES, _RUNS, MONEY, NOW, ORDER_SQL, _raw_rows, out, query
 from .schemas import ORDER_COLUMNS
 from .sources import day_files, pages
 from .streaming import ingest
@@ -94,18 +98,32 @@ def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out(_all(spark, ingest.error_counts(_landed_log(spark, sf_dir)), "complete"))
 
 
-@query(f"{_RUNS} SELECT * FROM g")
-def stream_outage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outage gate's events over the landed log."""
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        got = _all(spark, ingest.outage_gate(_landed_log(spark, sf_dir)), "append")
+        return _all(spark, ingest.outage_gate(_landed_log(spark, sf_dir)), "append")
     finally:
         spark.conf.set(key, before)
+
+
+@query(f"{_RUNS} SELECT * FROM g")
+def stream_outage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = _gated(spark, sf_dir).filter("event = 'response'")
     return got.select("source_ip", "seq", "status", "in_row", F.floor(F.col("paused_us") / 1000).alias("paused_until_ms"))
 
 
+@query(f"""{_RUNS}, p AS (SELECT source_ip, in_row, CASE WHEN status >= 500 THEN max(CASE WHEN status >= 500 AND in_row >= 2 THEN ts_ms + 1000 * coalesce(retry_after_s, 60) END)
+      OVER (PARTITION BY source_ip, run ORDER BY ts_ms, seq) END AS p, lead(ts_ms) OVER (PARTITION BY source_ip ORDER BY ts_ms, seq) AS nxt FROM n)
+    SELECT source_ip, CAST(in_row AS BIGINT) AS in_row, p AS paused_until_ms FROM p WHERE p IS NOT NULL AND (nxt > p OR (nxt IS NULL AND p < (SELECT max(ts_ms) - 600000 FROM v_request_log)))""")
+def stream_pause_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pauses that ended unbroken: told by the next row of the source, or by the timer once the watermark is past them."""
+    got = _gated(spark, sf_dir).filter("event = 'pause_end'")
+    return got.select("source_ip", "in_row", F.floor(F.col("paused_us") / 1000).alias("paused_until_ms"))
+
+
 @query(f"SELECT {ORDER_SQL} FROM v_dedup WHERE region_id NOT IN (3, 7, 11)")
 def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed page envelopes, published by the stream; sweeps with unequal or missing pages are not."""
@@ -221,3 +239,48 @@ def retained_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _by_years(spark, sf_dir)
     table.retain(1995)
     return table.read().groupBy("year").agg(F.count("*").alias("n_rows"))
+
+
+@query("SELECT cycle_id, region_id, outcome FROM v_ingest_log WHERE cycle_started_at_ms >= (CAST(DAYS(DATE '2001-11-05') AS BIGINT) - 1400) * 86400000")
+def log_table_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest log appended in two batches, one of them twice, then pruned by dropping months, and to the day when it is read."""
+    log, table = frame(spark, sf_dir, "v_ingest_log"), LogTable(spark, scratch_dir(spark, "ingest-log"), by="month")
+    for batch in (0, 1, 0):
+        table.append(log.filter(F.col("cycle_id") % 2 == batch), f"batch-{batch}")
+    table.prune(NOW.date() - dt.timedelta(days=1400))
+    return status.prune(table.read(), NOW, 1400).select("cycle_id", "region_id", "outcome")
+
+
+@query("SELECT cycle_started_at_ms // 86400000 AS day_no, count(*) AS entries FROM v_ingest_log GROUP BY 1")
+def log_table_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log, table = frame(spark, sf_dir, "v_ingest_log"), LogTable(spark, scratch_dir(spark, "ingest-log"), by="month")
+    table.append(log, "all")
+    return table.read().groupBy(F.unix_date("cycle_date").cast("long").alias("day_no")).agg(F.count("*").alias("entries"))
+
+
+@query("SELECT source_ip, count(*) AS responses, true AS within FROM v_request_log GROUP BY source_ip")
+def latency_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the latency by source and hour, merged per source: whether each of five quantiles lies within the sketch's rank error."""
+    log = frame(spark, sf_dir, "v_request_log")
+    asked = [0.05, 0.25, 0.5, 0.95, 0.99]
+    told = requests.sketched_quantiles(requests.latency_sketches(log), asked)
+    ranks = log.join(told, "source_ip").groupBy("source_ip", "responses", "quantiles").agg(
+        *[F.count_if(F.col("latency_ms") < F.col("quantiles")[k]).alias(f"below{k}") for k in range(5)], *[F.count_if(F.col("latency_ms") <= F.col("quantiles")[k]).alias(f"upto{k}") for k in range(5)]
+    )
+    slack = F.ceil(F.col("responses") * requests.SKETCH_ERROR) + 1
+    within = [(F.col(f"below{k}") <= F.col("responses") * q + slack) & (F.col(f"upto{k}") >= F.col("responses") * q - slack) for k, q in enumerate(asked)]
+    return ranks.select("source_ip", "responses", reduce(lambda a, b: a & b, within).alias("within"))
+
+
+@query("""SELECT kind, part, files FROM (
+    SELECT 'index' AS kind, CAST(year(date) AS BIGINT) AS part, 1 AS files FROM v_day_index_years GROUP BY year(date) HAVING sum(8 + 1) > 2200
+    UNION ALL SELECT 'page', region_id, CAST(count(*) AS INT) FROM (SELECT region_id, page FROM v_orders_raw GROUP BY region_id, page HAVING count(*) * 8 > 1500) p GROUP BY region_id) x""".replace("v_day_index_years", "(SELECT day AS date FROM v_day_index) i"))
+def size_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index files by year and order pages above their caps, each with its reject row.  A line has eight bytes for a page, nine for an index."""
+    index, page = scratch_dir(spark, "sized-index"), scratch_dir(spark, "sized-pages")
+    lines = frame(spark, sf_dir, "v_day_index").select(F.year("day").alias("part"), F.lit("eight by").alias("value"))
+    lines.repartition("part").write.partitionBy("part").text(index)
+    rows = frame(spark, sf_dir, "v_orders_raw").select(F.col("region_id").alias("part"), "page", F.lit("seven b").alias("value"))
+    rows.repartition("part", "page").write.partitionBy("part", "page").text(page)
+    found = day_files.size_rejects(spark, index, 2200, "index").withColumn("kind", F.lit("index")).unionByName(day_files.size_rejects(spark, page, 1500, "page").withColumn("kind", F.lit("page")))
+    return found.groupBy("kind", F.regexp_extract("path", r"part=(\d+)", 1).cast("long").alias("part")).agg(F.count("*").cast("int").alias("files"))

@@ -85,6 +85,22 @@ def latency_profile(log: DataFrame, by: str = "source_ip") -> DataFrame:
     return log.groupBy(by).agg(F.count("*").alias("responses"), q(0.5).alias("p50_us"), q(0.95).alias("p95_us"))
 
 
+#: Size of a quantile sketch, and the error of its ranks, at most, with 99 % confidence.
+SKETCH_K, SKETCH_ERROR = 800, 0.004
+
+
+def latency_sketches(log: DataFrame, by: str = "source_ip", width: str = "1 hour") -> DataFrame:
+    """A mergeable sketch of the latencies of each window: a few kB, whatever the number of responses."""
+    return log.groupBy(by, F.window("ts", width).alias("w")).agg(F.kll_sketch_agg_bigint(F.col("latency_ms").cast("long"), SKETCH_K).alias("sketch")).select(by, F.col("w.start").alias("window_start"), "sketch")
+
+
+def sketched_quantiles(sketches: DataFrame, quantiles: list[float], by: str = "source_ip") -> DataFrame:
+    """Quantiles over all windows of the given sketches, from their merged sketch; ranks are right within SKETCH_ERROR."""
+    merged = sketches.groupBy(by).agg(F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"))
+    told = F.array(*[F.kll_sketch_get_quantile_bigint("sketch", F.lit(q).cast("double")) for q in quantiles])
+    return merged.select(by, F.kll_sketch_get_n_bigint("sketch").alias("responses"), told.alias("quantiles"))
+
+
 def errors_per_minute(log: DataFrame, limit: int = 100, width: str = "60 seconds") -> DataFrame:
     w = log.filter("status >= 400").groupBy(F.window("ts", width).alias("w")).agg(F.count("*").alias("errors"))
     return w.select(F.col("w.start").alias("window_start"), "errors", (F.col("errors") >= limit).alias("over"))

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import bz2
+import csv
+import io
+from collections.abc import Iterator
+from typing import IO
+
+import pyarrow as pa
+from pyarrow import csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,36 +21,81 @@ DAY_FILE = r"market-history-(\d{4}-\d{2}-\d{2})(?:[.-][^/]*)?\.csv(?:\.bz2)?$"
 FILE_CAP, EXPANDED_CAP, INDEX_CAP, PAGE_CAP = 64 << 20, 512 << 20, 8 << 20, 32 << 20
 
 
+COLUMNS = [*RAW, "file", "broken"]
+
+
+class _Unread(Exception):
+    """A file that is not read: above a cap, damaged, or without a wanted column."""
+
+
+def _expanded(content: bytes) -> IO[bytes]:
+    return bz2.BZ2File(io.BytesIO(content)) if content.startswith(b"BZh") else io.BytesIO(content)
+
+
+def _size(content: bytes, cap: int) -> int:
+    """Bytes that a file expands to."""
+    size = 0
+    with _expanded(content) as f:
+        while block := f.read(1 << 20):
+            size += len(block)
+            if size > cap:
+                raise _Unread
+    return size
+
+
+def _rows(content: bytes, cap: int) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Batches of a file's wanted columns, found by the names in its first line; then an empty, broken row for each ragged one."""
+    size = _size(content, cap)
+    with _expanded(content) as f:
+        head = f.readline()
+        names = [c.strip() for c in next(csv.reader([head.decode()]), [])]
+        if not set(RAW) <= set(names):
+            raise _Unread
+        if not f.read(1) or size == len(head):
+            return
+    ragged = 0
+
+    def skip(_: object) -> str:
+        nonlocal ragged
+        ragged += 1
+        return "skip"
+
+    with _expanded(content) as f:
+        reader = pacsv.open_csv(
+            f, pacsv.ReadOptions(use_threads=False, block_size=1 << 20, column_names=names, skip_rows=1), pacsv.ParseOptions(invalid_row_handler=skip),
+            pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), include_columns=RAW, null_values=[""], strings_can_be_null=True),
+        )
+        for rows in reader:
+            yield rows, False
+    if ragged:
+        yield pa.RecordBatch.from_arrays([pa.nulls(ragged, pa.string())] * len(RAW), names=RAW), True
+
+
+def _parsed(cap: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, file in enumerate(batch.column(0).to_pylist()):
+                try:
+                    for rows, broken in _rows(batch.column(1)[k].as_py(), cap):
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([file] * rows.num_rows, pa.string()), pa.array([broken] * rows.num_rows, pa.bool_())], names=COLUMNS)
+                except (_Unread, OSError, EOFError, ValueError):  # pyarrow's errors are ValueErrors, too
+                    yield pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.string())] * len(RAW), pa.array([file]), pa.array([True])], names=COLUMNS)
+
+    return run
+
+
 def scan_history(spark: SparkSession, paths: list[str] | str, cap: int = FILE_CAP, expanded_cap: int = EXPANDED_CAP) -> DataFrame:
     """All rows of day files as strings, found by header name, with the file's day and whether the row is broken.
 
-    Files may order their columns differently: the first line of each file is its header, and the files of each different
-    header are read with it.  A file without a wanted column, above the cap or expanding beyond its cap gives one broken
-    row, so that its day is rejected whole rather than cut.
+    Each file is opened once, by one task, which reads the file's own header and its rows in blocks.  Files may order their columns differently.
+    A ragged row is broken, without its values.  A file that is damaged, lacks a wanted column, is above the cap (its content is then not
+    read) or expands beyond its cap has a broken row, so that its day is rejected whole rather than cut.
     """
-    paths = [paths] if isinstance(paths, str) else paths
-    name, size, start = (F.col(f"_metadata.{c}") for c in ("file_path", "file_size", "file_block_start"))
-    lines = spark.read.text(paths).filter(size <= cap).select("value", name.alias("file"), start.alias("start"), F.monotonically_increasing_id().alias("at"))
-    first = F.min_by("value", F.when(F.col("start") == 0, F.col("at")))
-    heads = lines.groupBy("file").agg(first.alias("header"), F.sum(F.octet_length("value") + 1).alias("expanded"))
-    large = spark.read.format("binaryFile").load(paths).filter(F.col("length") > cap).select(F.col("path").alias("file"))
-
-    headers = [r["header"] for r in heads.filter(F.col("expanded") <= expanded_cap).select("header").distinct().collect()]  # one in most cases, never many
-    whole, lacking = [], []
-    for header in headers:
-        columns = [c.strip() for c in (header or "").split(",")]
-        (whole if set(RAW) <= set(columns) else lacking).append((header, columns))
-    unread = F.col("header").isNull() | F.col("header").isin([h for h, _ in lacking if h is not None]) | (F.col("expanded") > expanded_cap)
-    none = [F.lit(None).cast("string").alias(c) for c in RAW]
-    out = heads.filter(unread).select("file").unionByName(large).select(*none, "file", F.lit(True).alias("broken"))
-    for header, columns in whole:
-        schema = ", ".join(f"`{c}` string" for c in columns) + ", _corrupt_record string"
-        rows = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").option("enforceSchema", True).schema(schema).csv(paths).filter(size <= cap)
-        # A reader that leaves fields unread takes no notice of ragged rows, so this looks at all of them.
-        broken = F.col("_corrupt_record").isNotNull() | (F.length(F.concat_ws("", *RAW)) < 0)
-        rows = rows.select(*RAW, name.alias("file"), broken.alias("broken"))
-        mine = heads.filter((F.col("header") == header) & (F.col("expanded") <= expanded_cap)).select("file")
-        out = out.unionByName(rows.join(mine, "file", "left_semi"))
+    files = spark.read.format("binaryFile").load(paths)
+    small = files.filter(F.col("length") <= cap).select("path", "content")
+    rows = small.mapInArrow(_parsed(expanded_cap), ", ".join(f"`{c}` string" for c in [*RAW, "file"]) + ", broken boolean")
+    large = files.filter(F.col("length") > cap).select(*[F.lit(None).cast("string").alias(c) for c in RAW], F.col("path").alias("file"), F.lit(True).alias("broken"))
+    out = rows.unionByName(large)
     return out.withColumn("day", values.day(F.regexp_extract("file", DAY_FILE, 1))).drop("file")
 
 
@@ -67,6 +120,19 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.col("length").alias("size"))
 
 
+def size_rejects(spark: SparkSession, paths: list[str] | str, cap: int, kind: str) -> DataFrame:
+    """A reject row for each file above its cap: an index (INDEX_CAP), an order page (PAGE_CAP) or a day file (FILE_CAP).  What scans such files leaves
+    them out, so each is told here; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return files.filter(F.col("length") > cap).select("path", F.col("length").alias("size"), F.lit(cap).cast("long").alias("cap"), F.lit(f"{kind} above its cap").alias("reason"))
+
+
+def scan_index(spark: SparkSession, paths: list[str] | str, cap: int = INDEX_CAP) -> DataFrame:
+    """day, count of index files, each one JSON object; a file above the cap is left out whole (``size_rejects`` tells it)."""
+    texts = spark.read.option("wholetext", True).text(paths).filter(F.col("_metadata.file_size") <= cap)
+    return day_index(texts)
+
+
 def oversize_files(files: DataFrame, cap: int = FILE_CAP) -> DataFrame:
     """Files above the cap (of a day file, or INDEX_CAP, PAGE_CAP); they are set aside whole rather than cut."""
     return files.filter(F.col("size") > cap)

@@ -36,38 +36,68 @@ def error_counts(log: DataFrame, width: str = "60 seconds", late: str = "10 minu
 
 
 class OutageGate(StatefulProcessor):
-    """Per source address: server errors in a row and the pause's end, as the batch form has them."""
+    """Per source address: server errors in a row and the pause's end, as the batch form has them, and an event when a pause ends unbroken.
+
+    A pause ends when a later row or the watermark has passed it; the timer of its end covers sources that fall silent.  A good response
+    ends the run of errors, and a source without one keeps no state.
+    """
 
     def __init__(self, threshold: int = 2, pause_s: int = 60):
         self.threshold, self.pause_s = threshold, pause_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("gate", "in_row long, paused_us long")
+        self.handle = handle
+        self.state = handle.getValueState("gate", "in_row long, paused_us long, told boolean")
+
+    def _keep(self, in_row: int, paused: int, told: bool) -> None:
+        """The state and its one timer: at the pause's end, unless that was told."""
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        if in_row:
+            self.state.update((in_row, paused, told))
+            if paused and not told:
+                self.handle.registerTimer(-(-paused // 1000))
+        elif self.state.exists():
+            self.state.clear()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
-        in_row, paused = self.state.get() if self.state.exists() else (0, 0)
+        in_row, paused, told = self.state.get() if self.state.exists() else (0, 0, False)
         out = []
         for r in pd.concat(list(rows)).sort_values(["us", "seq"]).itertuples():
+            if paused and not told and r.us > paused:
+                out.append((key[0], "pause_end", None, None, in_row, paused))
+                told = True
             if r.status < 500:
-                in_row, paused = 0, 0
+                in_row, paused, told = 0, 0, False
             else:
                 in_row += 1
                 if in_row >= self.threshold:
-                    wait = r.retry_after_s if r.retry_after_s > 0 else self.pause_s
-                    paused = max(paused, int(r.us) + int(wait) * 1_000_000)
-            out.append((key[0], r.seq, r.status, in_row, paused or None))
-        self.state.update((in_row, paused))
-        yield pd.DataFrame(out, columns=["source_ip", "seq", "status", "in_row", "paused_us"])
+                    until = int(r.us) + int(r.retry_after_s if r.retry_after_s > 0 else self.pause_s) * 1_000_000
+                    paused, told = max(paused, until), told and until <= paused
+            out.append((key[0], "response", r.seq, r.status, in_row, paused or None))
+        self._keep(in_row, paused, told)
+        yield pd.DataFrame(out, columns=GATE_COLUMNS).astype({"seq": "Int64", "status": "Int32", "paused_us": "Int64"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
+        in_row, paused, _ = self.state.get()
+        self.state.update((in_row, paused, True))
+        yield pd.DataFrame([(key[0], "pause_end", None, None, in_row, paused)], columns=GATE_COLUMNS).astype({"seq": "Int64", "status": "Int32"})
 
     def close(self) -> None:
         pass
 
 
-def outage_gate(log: DataFrame) -> DataFrame:
-    """Needs the RocksDB state store; order within a micro-batch is (ts, seq)."""
-    rows = log.select("source_ip", "seq", "status", F.unix_micros("ts").alias("us"), F.coalesce("retry_after_s", F.lit(0)).alias("retry_after_s"))
-    schema = "source_ip long, seq long, status int, in_row long, paused_us long"
-    return rows.groupBy("source_ip").transformWithStateInPandas(OutageGate(), schema, "append", "none")
+GATE_COLUMNS = ["source_ip", "event", "seq", "status", "in_row", "paused_us"]
+
+
+def outage_gate(log: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """Events of the gate: ``response`` for each row, and ``pause_end`` when a pause is over that no good response had ended.
+
+    Needs the RocksDB state store; order within a micro-batch is (ts, seq), and rows later than ``late`` are dropped.
+    """
+    rows = log.withWatermark("ts", late).select("source_ip", "seq", "status", "ts", F.unix_micros("ts").alias("us"), F.coalesce("retry_after_s", F.lit(0)).alias("retry_after_s"))
+    schema = "source_ip long, event string, seq long, status int, in_row long, paused_us long"
+    return rows.groupBy("source_ip").transformWithStateInPandas(OutageGate(), schema, "append", "eventTime")
 
 
 def ingest_sweeps(spark: SparkSession, pages_path: str, table: MergeTable, checkpoint: str) -> StreamingQuery:
