@@ -49,14 +49,19 @@ def test_rows_of_one_document_and_null_ids(spark):
     assert sorted([(r["doc_id"], r["component_id"], r["kept"]) for r in got], key=repr) == sorted([(7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False), (None, None, None), (3, 3, True)], key=repr)
 
 
-def test_whole_table_equals_the_product(spark):
-    """The incidence product finds the same classes on natural text."""
-    from tidebook.llm.ngram_join import ngram_classes
+def test_whole_table_equals_the_product_of_all(spark):
+    """On natural text, the whole incidence multiplied without any grouping finds the same classes."""
+    import pyarrow.parquet as pq
+
+    from tidebook.llm.hashing import shingle_sets
+    from tidebook.llm.product import _forest, product_links
 
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    a = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_classes(docs, 4, 80, 100).collect()}
-    b = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_classes(docs, 4, 80, 100).collect()}
-    assert a == b and len({c for _, c in a.values()}) < len(a)
+    got = {r["doc_id"]: r["component_id"] for r in minhash_classes(docs, 4, 80, 100).collect()}
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).sort_by("doc_id")
+    ids = rows["doc_id"].to_pylist()
+    label = _forest(product_links(list(shingle_sets(rows["text"].combine_chunks().fill_null(""), 4)), 80, 100))
+    assert got == {i: ids[k] for i, k in zip(ids, label.tolist(), strict=True)} and len(set(label.tolist())) < len(ids)
 
 
 def test_empty_table(spark):

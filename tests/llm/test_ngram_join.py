@@ -2,7 +2,8 @@ import random
 import re
 from itertools import combinations
 
-from tidebook.llm.ngram_join import ngram_classes, size_classes
+from tidebook.llm.ngram_join import ngram_classes
+from tidebook.llm.product import size_classes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, col string"
 
@@ -64,19 +65,14 @@ def test_empty_table(spark):
 
 def test_linked_sizes_share_a_class():
     for num, den in ((80, 100), (90, 100)):
-        first, blocks, spare = size_classes(num, den, 4000)
+        first = size_classes(num, den, 4000)
         for small in range(1, 900):
-            k = (first <= small).sum() - 1
-            top = small * den // num
+            k, top = (first <= small).sum() - 1, small * den // num
             assert (first <= top).sum() - 1 <= k + 1
-            for large in (small, top):
-                key = (first <= large).sum() - 1
-                differ = (small + large) * (den - num) // (den + num)
-                assert blocks[key] > differ + spare[key] or (differ == 0 and blocks[key] == 0)
 
 
 def test_clusters_of_many_blocks_give_the_same_classes(spark, monkeypatch):
-    from tidebook.llm import ngram_join
+    from tidebook.llm import product
 
     r = random.Random(11)
     base = [f"w{k}" for k in range(220)]
@@ -86,83 +82,51 @@ def test_clusters_of_many_blocks_give_the_same_classes(spark, monkeypatch):
         for _ in range(r.choice([1, 2, 4, 9])):
             own[r.randrange(len(own))] = f"x{r.randint(0, 40)}"
         rows.append((k, " ".join(own[: len(own) - r.choice([0, 0, 10, 25])]), "en", "s", 1, "x"))
-    monkeypatch.setattr(ngram_join, "BLOCK_DOCS", 7)
-    monkeypatch.setattr(ngram_join, "STEP_DOCS", 4)
+    monkeypatch.setattr(product, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(product, "STEP_DOCS", 4)
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_classes(spark.createDataFrame(rows, DOCS), 3, 90, 100).collect()}
     assert got == brute(rows, 3, 90, 100)
 
 
-def test_every_link_shares_a_column_and_strangers_none():
-    """Sets of 1 to 1,000 n-grams: pairs at the very bound meet, whatever their size, and unrelated sets do not."""
+def test_product_finds_the_links_at_the_very_bound():
+    """Sets of 1 to 1,000 n-grams, some of which lack just as many n-grams of another as they may."""
     import numpy as np
 
-    from tidebook.llm.ngram_join import _columns, product_links
+    from tidebook.llm.product import product_links
 
     r = np.random.default_rng(5)
     for num in (80, 90):
-        pairs = []
-        for size in [*range(1, 251), 400, 1000]:
+        sets = []
+        for size in [*range(1, 60), 400, 1000]:
             x = r.integers(1, 2**62, size).astype(np.uint64)
-            cut = size * (100 - num) // 100  # y lacks so many n-grams of x
-            y = np.sort(x)[cut:] if r.random() < 0.5 else r.permutation(x)[cut:]
-            pairs.append((np.unique(x), np.unique(y)))
-        sets = [s for p in pairs for s in p]
-        row, col = _columns(sets, num, 100)
-        of = [set() for _ in sets]
-        for i, c in zip(row.tolist(), col.tolist(), strict=True):
-            of[i].add(c)
-        for k, (x, y) in enumerate(pairs):
-            if len(x) != len(y):
-                assert of[2 * k] & of[2 * k + 1], (num, len(x))
-        strangers = [np.unique(r.integers(1, 2**62, 199).astype(np.uint64)) for _ in range(3000)]
-        row, col = _columns(strangers, num, 100)
-        cells = np.unique(np.stack([col, row.astype(np.uint64)], axis=1), axis=0)
-        assert np.unique(cells[:, 0], return_counts=True)[1].max() == 1
-        few = sets[:120]
-        links = product_links(few, num, 100)
-        for i, x in enumerate(few):
-            for j, y in enumerate(few):
+            y = r.permutation(x)[size * (100 - num) // 100 :]
+            sets += [np.unique(x), np.unique(y)]
+        links = product_links(sets, num, 100)
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
                 both = len(np.intersect1d(x, y))
                 assert links[i, j] == (i != j and both * 100 >= (len(x) + len(y) - both) * num)
 
 
-def test_small_sets_that_agree_in_empty_blocks_only_meet_in_the_end():
-    """Whatever the hash does: with all deals forced onto one block, pairs still meet."""
-    import numpy as np
-
-    from tidebook.llm import ngram_join
-
-    r = np.random.default_rng(8)
-    x = np.unique(r.integers(1, 2**62, 60).astype(np.uint64))
-    sets = [x, x[6:]]
-    own = ngram_join.mix
-    try:
-        ngram_join.mix = lambda v: np.zeros_like(v)  # every n-gram in block 0, and all other blocks empty
-        row, col = ngram_join._columns(sets, 80, 100)
-    finally:
-        ngram_join.mix = own
-    assert set(col[row == 0].tolist()) & set(col[row == 1].tolist())
-
-
-def test_long_sets_make_no_more_columns_than_blocks():
-    """Few documents have more empty blocks than their class spares, at either end of a class."""
-    import numpy as np
-
-    from tidebook.llm.ngram_join import _columns
+def test_groups_do_not_grow_with_the_corpus(spark):
+    """Natural text: four times the documents make no larger groups than what is truly alike, and no link of the whole product is lost."""
+    from tidebook.llm.minhash_forest import Forest
 
-    r = np.random.default_rng(6)
-    first, blocks, spare = size_classes(80, 100, 100_000)
-    for k in range(len(first) - 12, len(first) - 2):
-        for size in (int(first[k]), int(first[k + 1]) - 1):
-            row, _ = _columns([np.unique(r.integers(1, 2**62, size).astype(np.uint64)) for _ in range(2)], 80, 100)
-            assert len(row) < 2.2 * (blocks[k] + blocks[k + 1])
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("pmod(xxhash64(doc_id), 4) = 0")
+    largest = []
+    for part in (docs.filter("pmod(xxhash64(doc_id), 16) = 0"), docs):
+        forest = Forest.over(part, 5, 80, 100, "doc_id", "text", "growth")
+        sizes = forest.clusters().groupBy("component").count()
+        classes = forest.classes().filter("n_shingles > 0").groupBy("component_id").count()
+        largest.append((sizes.agg({"count": "max"}).first()[0] or 0, classes.agg({"count": "max"}).first()[0]))
+    assert all(group <= 3 * real + 8 for group, real in largest), largest
 
 
 def test_steps_of_a_tile_give_the_classes_of_the_whole(monkeypatch):
     import numpy as np
     import pyarrow as pa
 
-    from tidebook.llm import ngram_join
+    from tidebook.llm import product
 
     r = np.random.default_rng(12)
     base = [r.integers(1, 2**62, 80).astype(np.uint64) for _ in range(4)]
@@ -170,9 +134,9 @@ def test_steps_of_a_tile_give_the_classes_of_the_whole(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["t"] * 60), pa.array(range(60)), pa.array([s.tobytes() for s in sets], pa.binary())], names=["tile", "doc", "grams"])
     found = []
     for step in (1000, 7):
-        monkeypatch.setattr(ngram_join, "STEP_DOCS", step)
+        monkeypatch.setattr(product, "STEP_DOCS", step)
         label = np.arange(60)
-        for out in ngram_join._tiles(80, 100)(iter([batch])):
+        for out in product._tiles(80, 100)(iter([batch])):
             for a, b in zip(*(c.to_pylist() for c in out.columns), strict=True):
                 label[a] = b
         found.append(label.tolist())

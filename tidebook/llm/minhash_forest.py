@@ -15,7 +15,7 @@ The rest, exactly.  Where a region then holds several clusters, its smaller ones
 by TILE signatures, and what agrees enough joins, too: a tile sends the clusters that it joins, never pairs.  So any two documents that share a region and
 whose signatures agree enough are in one cluster, and no number of partners or candidates is capped.
 
-Confirmation.  Within a cluster the full sets are multiplied, tile by tile (``ngram_join.linked_members``): den * |x & y| >= num * |x | y| on the distinct
+Confirmation.  Within a cluster the full sets are multiplied, tile by tile (``product.linked_members``): den * |x & y| >= num * |x | y| on the distinct
 shingles of both whole texts.  A cluster only says which sets are looked at; links and classes come from the sets alone.
 
 Set of a document: its distinct n-word shingles, words by white space with A-Z lower-cased; with fewer words the whole sequence as
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, lean, shuffle_partitions, whole_text
 from .graph import components
 from .hashing import U, groups, mix, shingle_sets
-from .ngram_join import linked_members
+from .product import linked_members
 
 ORDERS, DEPTH = 32, 4
 HASHES = ORDERS * DEPTH
@@ -45,8 +45,6 @@ HASHES = ORDERS * DEPTH
 SORTED_BY = 12
 #: Next ones in an order that are candidates, and nodes on either side of a tile.
 WIDTH, TILE = 1, 512
-#: Documents of a block in the product of a large cluster's sets.
-BLOCK_DOCS = 512
 
 
 @lru_cache(1)
@@ -254,12 +252,19 @@ class Forest:
         members = alone.join(joined, "was", "left").filter("component is not null or now is not null").select("doc", F.coalesce("now", "was").alias("component")).distinct()
         return self.scratch.keep(members.join(self.nodes, "doc").select(F.col("doc").alias("doc_id"), "component", "n_shingles").distinct(), "clusters")
 
+    def classes(self) -> DataFrame:
+        """One row per row of the documents: doc_id, n_shingles, component_id, kept."""
+        links = linked_members(self.known, self.clusters(), self.n, self.num, self.den)
+        whole = components(self.copies.unionByName(links), self.scratch).withColumnRenamed("node", "doc_id")
+        out = self.sets.select("doc_id", "n_shingles").join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+        return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+    @classmethod
+    def over(cls, docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, name: str) -> Forest:
+        given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+        return cls(given, n, num, den, Scratch(docs.sparkSession, name))
+
 
 def minhash_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept (it is its class's smallest doc_id)."""
-    scratch = Scratch(docs.sparkSession, "minhash-forest")
-    forest = Forest(docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text")), n, num, den, scratch)
-    links = linked_members(forest.known, forest.clusters(), n, num, den, BLOCK_DOCS)
-    whole = components(forest.copies.unionByName(links), scratch).withColumnRenamed("node", "doc_id")
-    out = forest.sets.select("doc_id", "n_shingles").join(whole, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return Forest.over(docs, n, num, den, id_col, text_col, "minhash-forest").classes()

@@ -1,25 +1,13 @@
 """N-gram Jaccard self-join: documents whose sets of word n-grams overlap enough, and their classes.
 
-Two documents link when den * |x & y| >= num * |x | y|.  That bounds how many n-grams can differ:
-|x ^ y| <= (|x| + |y|) * (den - num) / (den + num).
+Two documents link when den * |x & y| >= num * |x | y|.
 
-Blocking.  Sizes fall into classes such that linked documents lie in one class or in neighbouring ones.
-For a class with at most h differing n-grams the n-grams are dealt by hash to h + 1 + j column blocks, of
-which at least j + 1 must then be equal in full.  So documents that link share a (block, content) column, while common
-n-grams alone make none: a block holds about (den + num) / 2 / (den - num) n-grams, all of which must agree.
-Empty blocks make no columns, or unrelated documents would meet in them.  This loses nothing: j is 0 while empty blocks are rare
-and some more than their usual number else, so only a document with over j empty blocks can agree in nothing but empty ones.
-Such documents are dealt again with another hash, up to ``DEALS`` times, and what is left then meets by the numbers of blocks
-that are empty in each of three deals, as documents that link must share one of those in each.
-Documents that share columns, directly or by way of others, form a cluster; nothing outside a cluster links with it.
+Blocking.  A corpus is one incidence matrix of documents and n-grams, far too large to be multiplied with its transpose as a whole, and almost all of the
+product lies below the bound.  So its rows are first grouped by their MinHash signatures (``minhash_forest.Forest``): what agrees enough by signature
+is one group, common phrases alone join nothing, and a group is not larger than what is truly alike.  Of links at the very bound (0.8) a share of 3e-7 may be lost here, of links at 0.9 less.
 
-Product.  A cluster's document by n-gram incidence is multiplied with its transpose, block of documents by block of
-documents, as sparse matrices: postings of an n-gram add to the overlap counts of all their pairs, and of an n-gram that most
-documents of the block hold, the few that lack it are multiplied instead.  Counts are whole numbers, and pairs below the bound that
-their sizes set are discarded.  A tile is multiplied step by step, but for steps whose documents are joined already.  A task holds two blocks, of bounded documents and n-grams, and sends no pairs but a spanning forest
-of the links it found.  Clusters above one block are cut by size class, and only blocks of one class or
-neighbouring classes meet.  So a family of f different near copies costs f * f / BLOCK_DOCS rows at worst.
-Copies (equal sets) are one row from the start, whatever their number.
+Product.  Each group is multiplied tile by tile (``product.linked_members``): overlap counts are accumulated over the n-grams of both whole
+texts and pairs below the bound that their sizes set are discarded.  Copies (equal sets) are one row from the start, whatever their number.
 
 Nothing grows on the driver.
 
@@ -31,305 +19,11 @@ incidence, whose blocks grow with it, and meets documents of about its size only
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-from itertools import product
+from pyspark.sql import DataFrame
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from .common import Scratch, lean, whole_text
-from .graph import components
-from .hashing import U, groups, mix, shingle_sets
-
-#: How often a document with too many empty blocks is dealt anew.
-DEALS = 6
-#: Documents and n-grams in a block of a tile, and documents that are multiplied with as many others at a time.
-BLOCK_DOCS = 3072
-BLOCK_GRAMS = 3_000_000
-STEP_DOCS = 512
-
-
-@lru_cache(8)
-def size_classes(num: int, den: int, up_to: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First size of each class, its number of blocks (0: only equal sets can link), and how many of them may be empty."""
-    first = [1]
-    while first[-1] < up_to:
-        first.append(first[-1] * den // num + 1)
-    top = np.array(first[1:]) - 1
-    differ = 2 * top * (den - num) // (den + num)
-    least = np.append(first[0], first[:-2])  # sets of the class before come, too
-    spare = np.zeros(len(differ), np.int64)
-    for _ in range(40):  # further blocks make further ones empty, ever fewer
-        blocks = differ + 1 + spare
-        empty = blocks * np.exp(-least / blocks)
-        spare = np.where(empty < 1, 0, np.ceil(empty + 3 * np.sqrt(empty))).astype(np.int64)
-    return np.array(first), np.where(differ > 0, differ + 1 + spare, 0), spare
-
-
-def _columns(sets: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the blocked incidence."""
-    first, blocks, spare = size_classes(num, den)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    rows_out, cols_out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    own = np.maximum(np.searchsorted(first, sizes, side="right") - 1, 0)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    for up in (0, 1):
-        cls = np.minimum(own + up, len(blocks) - 1)
-        m_of = np.where(sizes > 0, blocks[cls], 0)
-        play = np.flatnonzero(m_of > 0)
-        gaps: list[tuple[np.ndarray, np.ndarray]] = []
-        for deal in range(DEALS):
-            if not len(play):
-                break
-            number = np.full(len(sets), -1, np.int64)
-            number[play] = np.arange(len(play))
-            r = number[row]
-            x, r = flat[r >= 0], r[r >= 0]
-            m = m_of[play]
-            at = np.cumsum(m) - m
-            cell = at[r] + (mix(x + U(77 + 1000 * deal)) >> U(20)).astype(np.int64) % m[r]
-            total = np.zeros(int(m.sum()), np.uint64)
-            np.add.at(total, cell, mix(x ^ U(0x5851F42D4C957F2D)))
-            n = np.bincount(cell, minlength=len(total))
-            owner = np.repeat(np.arange(len(play)), m)
-            block = np.arange(len(total)) - at[owner]
-            here = (cls[play[owner]].astype(np.uint64) << U(40)) + (U(deal) << U(56)) + block.astype(np.uint64)
-            some = n > 0
-            rows_out.append(play[owner[some]])
-            cols_out.append(mix(mix(total[some] + n[some].astype(np.uint64)) + here[some]))
-            again = np.bincount(owner[~some], minlength=len(play)) > spare[cls[play]]
-            kept = ~some & again[owner]
-            gaps.append((play[owner[kept]], block[kept]))
-            play = play[again]
-        for i in play.tolist():
-            bare = [b[k == i].tolist() for k, b in gaps[:3]]
-            while len(bare) > 1 and np.prod([float(len(b)) for b in bare]) > 1000:
-                bare.pop()  # fewer deals make fewer and larger columns; one is enough to be exact
-            met = list(product(*bare))
-            key = np.full(len(met), (int(cls[i]) << 40) + (0xFF << 56), dtype=np.uint64)
-            for place in zip(*met, strict=True):
-                key = mix(key + np.array(place, dtype=np.uint64))
-            rows_out.append(np.full(len(met), i))
-            cols_out.append(key)
-    return np.concatenate(rows_out), np.concatenate(cols_out)
-
-
-def _sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in groups(batch, 1):
-                sets = list(shingle_sets(part.column(1), n))
-                marks = np.array([[int(np.bitwise_xor.reduce(mix(s))), int(np.sum(mix(s + U(9))))] if len(s) else [0, 0] for s in sets], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(marks[:, 0].view(np.int64)), pa.array(marks[:, 1].view(np.int64))],
-                    names=["doc_id", "n_shingles", "mark1", "mark2"],
-                )
-
-    return lean(run)
-
-
-def _incidence(n: int, num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in groups(batch, 1):
-                row, col = _columns(list(shingle_sets(part.column(1), n)), num, den)
-                for a in range(0, len(row), 200_000):
-                    r = row[a : a + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(col[a : a + 200_000].view(np.int64)), part.column(0).take(pa.array(r))], names=["col", "doc"])
-
-    return lean(run)
-
-
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells sorted by column -> an edge from each document to its column's first one."""
-    last, head = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        col, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.append(last is None or col[0] != last, col[1:] != col[:-1])
-        at = np.maximum.accumulate(np.where(new, np.arange(len(col)), -1))
-        heads = np.where(at >= 0, doc[np.maximum(at, 0)], head)
-        last, head = col[-1], heads[-1]
-        edge = np.unique(np.stack([doc, heads], axis=1)[doc != heads], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(edge[:, 0]), pa.array(edge[:, 1])], names=["a", "b"])
-
-
-def _rows(n: int):
-    """Documents with the tiles of the product that they belong to -> their n-grams, once per tile."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in groups(batch, 1):
-                tiles = part.column(2)
-                of = pc.list_parent_indices(tiles)
-                grams = pa.array([s.tobytes() for s in shingle_sets(part.column(1), n)], pa.binary())
-                yield pa.RecordBatch.from_arrays([tiles.flatten(), part.column(0).take(of), grams.take(of)], names=["tile", "doc", "grams"])
-
-    return lean(run)
-
-
-def _add_pairs(overlap: np.ndarray, row: np.ndarray, col: np.ndarray, at_once: int = 1_000_000) -> None:
-    """Adds the sparse product of the matrix with ones at (row, col) and its transpose."""
-    if not len(row):
-        return
-    n = len(overlap)
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    first = np.flatnonzero(np.append(True, col[1:] != col[:-1]))
-    count = np.diff(np.append(first, len(col)))
-    start, each = np.repeat(first, count), np.repeat(count, count)
-    done = np.cumsum(each)
-    cuts = np.append(np.searchsorted(done, np.arange(0, int(done[-1]), at_once), side="right"), len(row))
-    for a, b in zip(np.append(0, cuts[1:-1]), cuts[1:], strict=True):
-        k = each[a:b]
-        other = np.repeat(start[a:b] - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
-        overlap += np.bincount(np.repeat(row[a:b], k) * n + row[other], minlength=n * n).reshape(n, n).astype(np.int32)
-
-
-def product_links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
-    """Which pairs of rows reach the bound: the sparse product of the incidence with its transpose."""
-    n = len(sets)
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    row = np.repeat(np.arange(n), size)
-    _, col, count = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
-    overlap = np.zeros((n, n), dtype=np.int32)
-    rare = (count > 1) & (2 * count <= n)
-    use = rare[col]
-    _add_pairs(overlap, row[use], col[use])
-    # Held by most: all of them, less what either lacks, plus what both lack.
-    most = (count > 1) & (2 * count > n)
-    if most.any():
-        place = np.cumsum(most) - 1
-        use = most[col]
-        lacks = np.ones((int(most.sum()), n), dtype=bool)
-        lacks[place[col[use]], row[use]] = False
-        missing, who = np.nonzero(lacks)
-        short = np.bincount(who, minlength=n).astype(np.int32)
-        overlap += len(lacks) - short[:, None] - short[None, :]
-        _add_pairs(overlap, who, missing)
-    links = np.zeros((n, n), dtype=bool)
-    for a in range(0, n, 256):
-        some = slice(a, a + 256)
-        links[some] = overlap[some].astype(np.int64) * (den + num) >= (size[some, None] + size[None, :]) * num
-    links &= (size[:, None] > 0) & (size[None, :] > 0)
-    np.fill_diagonal(links, False)
-    return links
-
-
-def _forest(links: np.ndarray) -> np.ndarray:
-    """Each row's least row that it reaches."""
-    label = np.arange(len(links))
-    while True:
-        nxt = np.minimum(label, np.where(links, label[None, :], len(links)).min(axis=1, initial=len(links)))
-        nxt = nxt[nxt]
-        if (nxt == label).all():
-            return label
-        label = nxt
-
-
-def _tiles(num: int, den: int):
-    """Rows sorted by tile -> the spanning forest of each tile's links."""
-
-    def finish(docs: list[int], rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """A step of rows meets each other step, unless all of both are joined already."""
-        sets = [np.frombuffer(r, dtype=np.uint64) for r in rows]
-        label = np.arange(len(sets))
-        for i in range(0, len(sets), STEP_DOCS):
-            for j in range(i, len(sets), STEP_DOCS):
-                at = np.unique(np.concatenate([np.arange(k, min(k + STEP_DOCS, len(sets))) for k in (i, j)]))
-                if (label[at] == label[at[0]]).all():
-                    continue
-                to = at[_forest(product_links([sets[k] for k in at.tolist()], num, den))]
-                some = to != at
-                while some.any():  # each pass hangs a greater label below a lesser one
-                    x, y = label[at[some]], label[to[some]]
-                    low = label.copy()
-                    np.minimum.at(low, np.maximum(x, y), np.minimum(x, y))
-                    while (low[low] != low).any():
-                        low = low[low]
-                    label = low[label]
-                    some &= label[at] != label[to]
-        doc = np.array(docs, dtype=np.int64)
-        some = label != np.arange(len(label))
-        return doc[some], doc[label[some]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, docs, rows = None, [], []
-        for batch in batches:
-            out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-            for t, doc, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if t != tile and docs:
-                    out.append(finish(docs, rows))
-                    docs, rows = [], []
-                tile = t
-                docs.append(doc)
-                rows.append(grams)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], names=["a", "b"])
-        if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in finish(docs, rows)], names=["a", "b"])
-
-    return lean(run)
-
-
-def _placed(members: DataFrame, num: int, den: int, block_docs: int | None = None) -> DataFrame:
-    """members (doc_id, component, n_shingles) -> doc_id, tiles: one for a small cluster, else a pair of blocks for each
-    block of its own class and of those beside it."""
-    first, _, _ = size_classes(num, den, 1 << 40)
-    cls = F.size(F.filter(F.array(*[F.lit(int(x)) for x in first]), lambda x: x <= F.col("n_shingles")))
-    blocks = F.ceil(F.greatest(F.count("*") / (block_docs or BLOCK_DOCS), F.sum("n_shingles") / BLOCK_GRAMS)).cast("int")
-    classed = members.withColumn("cls", cls)
-    by_class = classed.groupBy("component", "cls").agg(blocks.alias("blocks"))
-    whole = members.groupBy("component").agg(blocks.alias("all_blocks"), F.count("*").alias("docs")).filter("docs > 1").select("component", "all_blocks")
-    beside = F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls")
-    near = by_class.select("component", beside, F.struct("cls", "blocks").alias("b")).groupBy("component", "cls").agg(F.collect_list("b").alias("near"))
-    placed = classed.join(near.join(whole, "component"), ["component", "cls"])
-    mine = F.filter("near", lambda b: b["cls"] == F.col("cls"))[0]["blocks"]
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), mine).cast("int"))
-    name, me = F.col("component").cast("string"), F.concat_ws("-", F.col("cls").cast("string"), F.col("block").cast("string"))
-
-    def meet(c: Column, b: Column) -> Column:
-        other = F.concat_ws("-", c.cast("string"), b.cast("string"))
-        ahead = (c < F.col("cls")) | ((c == F.col("cls")) & (b < F.col("block")))
-        return F.when(ahead, F.concat_ws("/", name, other, me)).otherwise(F.concat_ws("/", name, me, other))
-
-    tiles = F.flatten(F.transform("near", lambda x: F.transform(F.sequence(F.lit(0), x["blocks"] - 1), lambda b: meet(x["cls"], b))))
-    return placed.select("doc_id", F.when(F.col("all_blocks") == 1, F.array(name)).otherwise(tiles).alias("tiles"))
-
-
-def linked_members(known: DataFrame, members: DataFrame, n: int, num: int, den: int, block_docs: int | None = None) -> DataFrame:
-    """Links (a, b) among the members (doc_id, component, n_shingles) of each component: the product of their n-grams, tile by tile, as a spanning
-    forest of each tile.  known: doc_id, text.  Members have no size bound, so they are never broadcast: the plan is the same at every size."""
-    rows = known.join(_placed(members, num, den, block_docs).hint("merge"), "doc_id").select("doc_id", "text", "tiles").mapInArrow(_rows(n), "tile string, doc long, grams binary")
-    return rows.repartition("tile").sortWithinPartitions("tile", "doc").mapInArrow(_tiles(num, den), "a long, b long")
+from .minhash_forest import Forest
 
 
 def ngram_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id."""
-    scratch = Scratch(docs.sparkSession, "ngram-join")
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    known = given.filter("doc_id is not null")
-
-    # Equal sets are one node from the start.  The sums are written, so that Spark may split the join where a set is hot.
-    sets = scratch.keep(given.mapInArrow(_sets(n), "doc_id long, n_shingles long, mark1 long, mark2 long"), "sets")
-    full = sets.filter("doc_id is not null and n_shingles > 0")
-    by_set = scratch.keep(full.groupBy("mark1", "mark2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).filter("copies > 1"), "hot")
-    copies = full.join(by_set.hint("merge"), ["mark1", "mark2", "n_shingles"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = scratch.keep(copies, "copies")
-
-    # Clusters: documents that share columns.
-    cells = known.mapInArrow(_incidence(n, num, den), "col long, doc long")
-    stars = cells.repartition("col").sortWithinPartitions("col", "doc").mapInArrow(_stars, "a long, b long").distinct()
-    members = components(stars, scratch).withColumnRenamed("node", "doc_id")
-    sized = full.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    members = members.join(sized, "doc_id").join(links.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
-    members = scratch.keep(members, "members")
-
-    found = linked_members(known, members, n, num, den)
-    whole = components(links.unionByName(found), scratch)
-    return sets.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    return Forest.over(docs, n, num, den, id_col, text_col, "ngram-join").classes().select("doc_id", "n_shingles", "component_id")
