@@ -16,6 +16,7 @@ from .fixtures import frame
 from .plans.scratch import scratch_dir
 from .operators import requests, status
 from .plans.history_table import HistoryTable
+from .plans.layouts import Layouts
 from .plans.log_table import LogTable
 from .plans.merge_table import MergeTable
 from .plans.tables import refresh_statistics
@@ -74,7 +75,7 @@ def refresh_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "response-log")
     log = frame(spark, sf_dir, "v_request_log")
-    log.repartitionByRange(1, "ts").sortWithinPartitions("ts", "seq").write.parquet(path)
+    log.repartitionByRange("ts").sortWithinPartitions("ts", "seq").write.parquet(path)
     return ingest.file_stream(spark, path, log.schema)
 
 
@@ -284,3 +285,24 @@ def size_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.repartition("part", "page").write.partitionBy("part", "page").text(page)
     found = day_files.size_rejects(spark, index, 2200, "index").withColumn("kind", F.lit("index")).unionByName(day_files.size_rejects(spark, page, 1500, "page").withColumn("kind", F.lit("page")))
     return found.groupBy("kind", F.regexp_extract("path", r"part=(\d+)", 1).cast("long").alias("part")).agg(F.count("*").cast("int").alias("files"))
+
+
+MONEY |= {"hub_sells_layout": "price", "best_prices_layout": "best_ask best_bid"}
+
+
+def _layouts(spark: SparkSession, sf_dir: str) -> Layouts:
+    made = Layouts(spark, scratch_dir(spark, "layouts"), row_group=1 << 20)
+    made.publish(frame(spark, sf_dir, "v_live"))
+    return made
+
+
+@query("SELECT region_id, order_id, type_id, price, volume_remain FROM v_live WHERE location_id = 7 AND NOT is_buy_order")
+def hub_sells_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hub's sells from the copy that is sorted by location."""
+    return _layouts(spark, sf_dir).hub_sells(7)
+
+
+@query("SELECT region_id, type_id, min(CASE WHEN NOT is_buy_order THEN price END) AS best_ask, max(CASE WHEN is_buy_order THEN price END) AS best_bid FROM v_live WHERE type_id IN (7, 77) GROUP BY region_id, type_id")
+def best_prices_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two types' best prices from the copy that is sorted by type."""
+    return _layouts(spark, sf_dir).best_prices([7, 77])

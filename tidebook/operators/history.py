@@ -78,11 +78,14 @@ def day_watermarks(rows: DataFrame, day: str = "date") -> DataFrame:
     return rows.groupBy(F.col(day).alias("day")).agg(F.max("http_last_modified").alias("watermark"))
 
 
-def import_counters(rows: DataFrame, kept: DataFrame, day: str = "date") -> DataFrame:
-    """Rows scanned, kept, and written after dedup, by day."""
-    scanned = rows.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("scanned"))
-    held = kept.groupBy(F.col(day).alias("day")).agg(F.count("*").alias("kept"), F.count_distinct(*[c for c in HISTORY_KEY]).alias("upserted"))
-    return scanned.join(held, "day", "left").select("day", "scanned", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("kept", "upserted")])
+def import_counters(rows: DataFrame, regions: DataFrame | None, day: str = "date") -> DataFrame:
+    """Rows scanned, kept (of the tracked regions), and written after dedup, by day; the rows are read once."""
+    if regions is None:
+        marked = rows.withColumn("__kept", F.lit(True))
+    else:
+        marked = rows.join(regions.select("region_id", F.lit(True).alias("__kept")).distinct(), "region_id", "left")
+    by_key = marked.groupBy(F.col(day).alias("day"), *[c for c in HISTORY_KEY if c != day]).agg(F.count("*").alias("n"), F.count("__kept").alias("k"))
+    return by_key.groupBy("day").agg(F.sum("n").alias("scanned"), F.sum("k").alias("kept"), F.count_if(F.col("k") > 0).alias("upserted"))
 
 
 def import_share(counters: DataFrame, healthy_percent: int = 68) -> DataFrame:

@@ -211,7 +211,7 @@ def cycle_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT _key AS region_id, name_en AS region_name, CAST({_PRIO} AS INT) AS priority, {_PRIO} <= 4 AS may_retry FROM v_regions WHERE _key IN (SELECT region_id FROM v_systems GROUP BY region_id HAVING max(tenths) >= 1)")
 def regions_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     systems = frame(spark, sf_dir, "v_systems").select("region_id", (F.col("tenths") * 0.1).alias("security_status"))
-    return status.resolve_regions(frame(spark, sf_dir, "v_regions"), systems, named=NAMED)
+    return status.resolved_or_error(status.resolve_regions(frame(spark, sf_dir, "v_regions"), systems, named=NAMED))
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,8 +351,7 @@ _COUNTERS = "SELECT date AS day, count(*) AS scanned, count(CASE WHEN region_id
 
 
 def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = frame(spark, sf_dir, "v_history_raw")
-    return history.import_counters(rows, history.tracked(rows, frame(spark, sf_dir, "v_tracked")))
+    return history.import_counters(frame(spark, sf_dir, "v_history_raw"), frame(spark, sf_dir, "v_tracked"))
 
 
 @query(_COUNTERS)
