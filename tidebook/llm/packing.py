@@ -5,17 +5,17 @@ length of which the first may be shorter.  Pieces are packed best-fit, longest f
 lengths, from the longest (``BANDS``):
 
 * Range-sort: the band's pieces and the gaps of open sequences are range-partitioned together by descending size.  A gap that
-  holds several pieces of the band's greatest length stands there as often.
+  holds several pieces of the band's greatest length stands there as often, a row each.
 * Successor sweep: in that order a piece wants the gap that came last and is free, which is the least gap that it fits into.
   Gaps open and pieces close brackets, so each task matches its own range by depths; what it leaves, open gaps and pieces
   without one, has a place in the depth over all ranges, known from one pair of counts a range.
 * Conflicts by rank: pieces of different ranges that want the same gap get different depths by their rank, and meet the gap of
   their depth in a window over depths.
-* Gaps are updated, and the round repeats until no piece of the band finds one.  The rest opens new sequences, as many pieces
-  together as always fit, and the next band follows.
+* Gaps are updated, and the round repeats until next to no piece of the band finds one (``FEW``).  The rest opens new sequences by
+  the ranks that the last sweep gave, as many pieces together as always fit, and the next band follows.
 
-Every round's tables lie in the shared folder.  The driver holds one pair of counts for each task's range.  Rounds move sizes and
-numbers of pieces, never texts or ids.
+Every round's tables lie in the shared folder.  Ranges grow in number with the brackets (``RANGE_ROWS``), and the driver holds one
+triple of counts for each.  Rounds move sizes and numbers of pieces, never texts or ids.
 
 Token ids are those of the tokenizers library's plain call: the string of an added token (``<|endoftext|>``) in a text is that
 token's one id.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, lean, whole_text
+from .common import Scratch, lean, shuffle_partitions, whole_text
 from .hashing import groups
 from .tokens import encoder
 
@@ -89,6 +89,10 @@ def tokenise(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQU
 
 MATCHED, GAP_LEFT, PIECE_LEFT, COUNTS = range(4)
 SWEPT = "what int, part int, level long, pid long, size long, sequence_id long, slot long"
+#: A band ends once a sweep places fewer than one in this many of its pieces.
+FEW = 1000
+#: Brackets of a range, at most about.
+RANGE_ROWS = 1_000_000
 
 
 def match_brackets(opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -108,25 +112,23 @@ def match_brackets(opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A range of (size, is_piece, id, slots), by descending size and gaps before pieces -> what meets in it, what is left, and how many."""
+    """A range of (size, is_piece, id, slot), by descending size and gaps before pieces -> what meets in it, what is left, and how many."""
     from pyspark import TaskContext
 
     part = TaskContext.get().partitionId()
     given = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
     if not given:
         return
-    size, is_piece, key, slots = (np.concatenate(c) for c in zip(*given, strict=True))
-    times = np.where(is_piece, 1, slots)
-    at = np.repeat(np.arange(len(size)), times)
-    slot = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-    closing, opening, left, level, lost = match_brackets(~is_piece[at])
+    size, is_piece, key, slot = (np.concatenate(c) for c in zip(*given, strict=True))
+    given.clear()
+    closing, opening, left, level, lost = match_brackets(~is_piece)
 
     def rows(what: int, n: int, level: np.ndarray | int = 0, piece: np.ndarray | None = None, gap: np.ndarray | None = None) -> pa.RecordBatch:
         none = np.full(n, -1)
         own = [
             np.full(n, what, np.int32), np.full(n, part, np.int32), np.broadcast_to(level, n).astype(np.int64),
-            none if piece is None else key[at[piece]], none if piece is None else size[at[piece]],
-            none if gap is None else key[at[gap]], none if gap is None else slot[gap],
+            none if piece is None else key[piece], none if piece is None else size[piece],
+            none if gap is None else key[gap], none if gap is None else slot[gap],
         ]
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in own], names=[x.split()[0] for x in SWEPT.split(", ")])
 
@@ -137,83 +139,75 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield counts.set_column(3, "pid", pa.array([len(closing)], pa.int64())).set_column(6, "slot", pa.array([len(left)], pa.int64()))
 
 
-def _ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    part, n = TaskContext.get().partitionId(), 0
-    for batch in batches:
-        rank = np.arange(n, n + batch.num_rows)
-        n += batch.num_rows
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(rank), part, np.int32)), pa.array(rank)], names=[*batch.schema.names, "part", "rank"])
-
-
 class _Rounds:
-    """Open sequences (sequence_id, gap), what was found so far (pid, size, sequence_id, turn), and what a round does."""
+    """How many sequences are open, their gaps as a ledger of (sequence_id, gap) entries to be summed up, what was found so far
+    (pid, size, sequence_id, turn), and what a round does."""
 
     def __init__(self, scratch: Scratch, sequence: int):
         self.scratch, self.sequence = scratch, sequence
-        self.opened = self.done = 0
-        self.gaps: DataFrame | None = None
+        self.opened = self.done = self.entries = 0
+        self.ledger: DataFrame | None = None
         self.found: DataFrame | None = None
 
-    def _per_task(self, rows: list[tuple], schema: str) -> DataFrame:
-        """One row per task: small enough to send to all."""
-        return F.broadcast(self.scratch.spark.createDataFrame(rows, schema))
-
-    def _settle(self, round_: DataFrame, gaps: DataFrame) -> None:
-        """round_: pid, size, sequence_id, slot, of sequences in gaps, which are those from now on."""
-        self.done += 1
-        turn = (F.lit(self.done * self.sequence) + F.col("slot")).cast("long").alias("turn")
-        own = round_.filter("sequence_id is not null").select("pid", "size", "sequence_id", turn)
-        self.found = own if self.found is None else self.found.unionByName(own)
-        filled = own.groupBy("sequence_id").agg(F.sum("size").alias("filled"))
-        left = gaps.join(filled, "sequence_id", "left").select("sequence_id", (F.col("gap") - F.coalesce("filled", F.lit(0))).alias("gap"))
-        kept = self.scratch.keep(left.filter("gap > 0"), "gaps")
-        if self.gaps is not None:
-            self.scratch.drop(self.gaps)
-        self.gaps = kept
-
-    def sweep(self, waiting: DataFrame, low: int, high: int) -> tuple[DataFrame, int, int]:
-        """One round of a band over the gaps: the pieces that wait on, how many found a gap, how many did not."""
-        slots = F.greatest(F.lit(1), F.floor(F.col("gap") / high)).cast("long")
-        both = self.gaps.filter(F.col("gap") > low).select(F.col("gap").alias("size"), F.lit(False).alias("is_piece"), F.col("sequence_id").alias("id"), slots.alias("slots"))
-        both = both.unionByName(waiting.select("size", F.lit(True).alias("is_piece"), F.col("pid").alias("id"), F.lit(1).cast("long").alias("slots")))
-        by = [F.col("size").desc(), F.col("is_piece"), F.col("id")]
-        swept = self.scratch.keep(both.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_sweep, SWEPT), "swept")
-        tasks, depth, found, lost = [], 0, 0, 0
+    def _enter(self, entries: DataFrame, n: int) -> None:
+        self.ledger = entries if self.ledger is None else self.ledger.unionByName(entries)
+        self.entries += n
+
+    def _brackets(self, waiting: DataFrame, low: int, high: int) -> DataFrame:
+        """Waiting pieces, and gaps as often as they hold pieces of the band."""
+        pieces = waiting.select("size", F.lit(True).alias("is_piece"), F.col("pid").alias("id"), F.lit(0).cast("long").alias("slot"))
+        if self.ledger is None:
+            return pieces
+        gaps = self.ledger.groupBy("sequence_id").agg(F.sum("gap").alias("gap"))
+        if self.entries > 2 * self.opened:  # sequences hold many pieces: the sums are written in place of the entries
+            gaps = self.ledger = self.scratch.keep(gaps.filter("gap > 0"), "gaps")
+            self.entries = self.opened
+        last = F.greatest(F.lit(1), F.floor(F.col("gap") / high)).cast("long") - 1
+        slots = F.explode(F.sequence(F.lit(0).cast("long"), last))
+        return pieces.unionByName(gaps.filter(F.col("gap") > low).select(F.col("gap").alias("size"), F.lit(False).alias("is_piece"), F.col("sequence_id").alias("id"), slots.alias("slot")))
+
+    def sweep(self, waiting: DataFrame, n: int, low: int, high: int) -> tuple[DataFrame, int]:
+        """One round of a band over the gaps: the pieces that wait on, and how many.  Where few pieces found a gap, the rest opens
+        new sequences in descending order, as many pieces in each as always fit, and none waits."""
+        each = self.sequence // high
+        by = [F.col("size").desc(), F.col("is_piece"), F.col("id"), F.col("slot")]
+        ranges = -(-(n + self.opened * each) // RANGE_ROWS)  # Spark's own number is merged by size
+        brackets = self._brackets(waiting, low, high)
+        ranged = brackets.repartitionByRange(ranges, *by) if ranges > shuffle_partitions(self.scratch.spark) else brackets.repartitionByRange(*by)
+        swept = self.scratch.keep(ranged.sortWithinPartitions(*by).mapInArrow(_sweep, SWEPT), "swept")
+        tasks, depth, lost = [], 0, 0
         for r in sorted(swept.filter(F.col("what") == COUNTS).collect(), key=lambda r: r["part"]):
             base = max(depth - r["level"], 0)
-            tasks.append((r["part"], depth, base))
-            found, lost = found + r["pid"] + min(depth, r["level"]), lost + max(r["level"] - depth, 0)
+            tasks.append({"part": r["part"], "depth": depth, "base": base, "before": lost})
+            lost += max(r["level"] - depth, 0)
             depth = base + r["slot"]
-        edges = swept.filter(F.col("what").isin(GAP_LEFT, PIECE_LEFT)).join(self._per_task(tasks, "part int, depth long, base long"), "part")
-        edges = edges.withColumn("level", F.when(F.col("what") == GAP_LEFT, F.col("base") + F.col("level")).otherwise(F.col("depth") - F.col("level") + 1))
-        # Within a range, pieces that are left come before gaps that are.
+        opens = (n - lost) * FEW <= n
+        # One row per task: small enough to send to all.
+        per_task = F.broadcast(self.scratch.spark.createDataFrame(pa.Table.from_pylist(tasks, pa.schema([("part", pa.int32()), *((x, pa.int64()) for x in ("depth", "base", "before"))]))))
+        edges = swept.filter(F.col("what").isin(GAP_LEFT, PIECE_LEFT)).join(per_task, "part")
+        rank = F.col("before") + F.col("level") - F.col("depth") - 1  # of a piece that no gap is left for
+        edges = edges.withColumn("rank", rank).withColumn("level", F.when(F.col("what") == GAP_LEFT, F.col("base") + F.col("level")).otherwise(F.col("depth") - F.col("level") + 1))
+        # Levels below 1 have no gap.  Within a range, pieces that are left come before gaps that are.
         by_level = Window.partitionBy("level").orderBy("part", F.col("what").desc())
         meets = F.lag("what").over(by_level) == GAP_LEFT
-        across = edges.select("what", "pid", "size", F.when(meets, F.lag("sequence_id").over(by_level)).alias("sequence_id"), F.when(meets, F.lag("slot").over(by_level)).alias("slot"))
+        across = edges.filter("level > 0").select("what", "pid", "size", F.when(meets, F.lag("sequence_id").over(by_level)).alias("sequence_id"), F.when(meets, F.lag("slot").over(by_level)).alias("slot"))
         local = swept.filter(F.col("what") == MATCHED).select("pid", "size", "sequence_id", "slot")
-        round_ = self.scratch.keep(local.unionByName(across.filter(F.col("what") == PIECE_LEFT).drop("what")), "round")
-        if found:
-            self._settle(round_, self.gaps)
+        new_sequence = (F.lit(self.opened) + F.floor(F.col("rank") / each)).cast("long") if opens else F.lit(None).cast("long")
+        unmet = edges.filter("level <= 0").select("pid", "size", new_sequence.alias("sequence_id"), (F.col("rank") % each).alias("slot"))
+        self.done += 1
+        turn = (F.lit(self.done * self.sequence) + F.col("slot")).cast("long").alias("turn")
+        round_ = local.unionByName(across.filter(F.col("what") == PIECE_LEFT).drop("what")).unionByName(unmet)
+        round_ = self.scratch.keep(round_.select("pid", "size", "sequence_id", turn), "round")
         self.scratch.drop(swept)
-        return round_.filter("sequence_id is null").select("pid", "size"), found, lost
-
-    def open(self, waiting: DataFrame, n: int, high: int) -> None:
-        """New sequences for n pieces of at most high, in descending order, as many in each as always fit."""
-        by = [F.col("size").desc(), F.col("pid")]
-        ranked = self.scratch.keep(waiting.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_ranks, "pid long, size long, part int, rank long"), "ranked")
-        tasks, before = [], 0
-        for r in sorted(ranked.groupBy("part").count().collect(), key=lambda r: r["part"]):
-            tasks.append((r["part"], before))
-            before += r["count"]
-        each, begin = self.sequence // high, self.opened
-        self.opened += -(-n // each)
-        rank = F.col("rank") + F.col("before")
-        placed = ranked.join(self._per_task(tasks, "part int, before long"), "part")
-        round_ = placed.select("pid", "size", (F.lit(begin) + F.floor(rank / each)).cast("long").alias("sequence_id"), (rank % each).alias("slot"))
-        new = self.scratch.spark.range(begin, self.opened).select(F.col("id").alias("sequence_id"), F.lit(self.sequence).cast("long").alias("gap"))
-        self._settle(round_, new if self.gaps is None else self.gaps.unionByName(new))
+        own = round_.filter("sequence_id is not null")
+        self.found = own if self.found is None else self.found.unionByName(own)
+        self._enter(own.select("sequence_id", (-F.col("size")).alias("gap")), n if opens else n - lost)
+        if not opens:
+            return round_.filter("sequence_id is null").select("pid", "size"), lost
+        begin, self.opened = self.opened, self.opened - (-lost // each)
+        if lost:
+            self._enter(self.scratch.spark.range(begin, self.opened).select(F.col("id").alias("sequence_id"), F.lit(self.sequence).cast("long").alias("gap")), self.opened - begin)
+        return waiting, 0
 
 
 def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
@@ -228,11 +222,8 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     for low, high in zip(lows, highs, strict=True):
         left = counts[f"n{high}"]
         waiting = sizes.filter((F.col("size") > low) & (F.col("size") <= high))
-        found = int(rounds.gaps is not None)
-        while left and found:
-            waiting, found, left = rounds.sweep(waiting, low, high)
-        if left:
-            rounds.open(waiting, left, high)
+        while left:
+            waiting, left = rounds.sweep(waiting, left, low, high)
     if rounds.found is None:
         return pieces.withColumns({"sequence_id": F.lit(None).cast("long"), "offset": F.lit(None).cast("long")})
     ahead = F.sum("size").over(Window.partitionBy("sequence_id").orderBy("turn")) - F.col("size")
