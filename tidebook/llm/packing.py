@@ -5,7 +5,7 @@ length of which the first may be shorter.  Pieces are packed best-fit, longest f
 lengths, from the longest (``BANDS``):
 
 * Range-sort: the band's pieces and the gaps of open sequences are range-partitioned together by descending size.  A gap that
-  holds several pieces of the band's greatest length stands there as often, a row each.
+  holds several pieces of the band's greatest length stands there as often, a row each, and once more with what is left beyond them.
 * Successor sweep: in that order a piece wants the gap that came last and is free, which is the least gap that it fits into.
   Gaps open and pieces close brackets, so each task matches its own range by depths; what it leaves, open gaps and pieces
   without one, has a place in the depth over all ranges, known from one pair of counts a range.
@@ -89,7 +89,7 @@ def tokenise(docs: DataFrame, tokenizer: Callable[[], str], sequence: int = SEQU
 
 MATCHED, GAP_LEFT, PIECE_LEFT, COUNTS = range(4)
 SWEPT = "what int, part int, level long, pid long, size long, sequence_id long, slot long"
-#: A band ends once a sweep places fewer than one in this many of its pieces.
+#: A band ends once a sweep places fewer than one in this many of all pieces.
 FEW = 1000
 #: Brackets of a range, at most about.
 RANGE_ROWS = 1_000_000
@@ -143,8 +143,8 @@ class _Rounds:
     """How many sequences are open, their gaps as a ledger of (sequence_id, gap) entries to be summed up, what was found so far
     (pid, size, sequence_id, turn), and what a round does."""
 
-    def __init__(self, scratch: Scratch, sequence: int):
-        self.scratch, self.sequence = scratch, sequence
+    def __init__(self, scratch: Scratch, sequence: int, pieces: int):
+        self.scratch, self.sequence, self.pieces = scratch, sequence, pieces
         self.opened = self.done = self.entries = 0
         self.ledger: DataFrame | None = None
         self.found: DataFrame | None = None
@@ -162,16 +162,19 @@ class _Rounds:
         if self.entries > 2 * self.opened:  # sequences hold many pieces: the sums are written in place of the entries
             gaps = self.ledger = self.scratch.keep(gaps.filter("gap > 0"), "gaps")
             self.entries = self.opened
-        last = F.greatest(F.lit(1), F.floor(F.col("gap") / high)).cast("long") - 1
-        slots = F.explode(F.sequence(F.lit(0).cast("long"), last))
-        return pieces.unionByName(gaps.filter(F.col("gap") > low).select(F.col("gap").alias("size"), F.lit(False).alias("is_piece"), F.col("sequence_id").alias("id"), slots.alias("slot")))
+        whole = F.greatest(F.lit(1), F.floor(F.col("gap") / high)).cast("long")
+        full = F.transform(F.sequence(F.lit(0).cast("long"), whole - 1), lambda k: F.struct(F.col("gap").alias("size"), k.alias("slot")))
+        rest = F.col("gap") % high
+        slots = F.when((F.col("gap") > high) & (rest > low), F.array_append(full, F.struct(rest.alias("size"), whole.alias("slot")))).otherwise(full)
+        gaps = gaps.filter(F.col("gap") > low).select("sequence_id", F.explode(slots).alias("s"))
+        return pieces.unionByName(gaps.select("s.size", F.lit(False).alias("is_piece"), F.col("sequence_id").alias("id"), "s.slot"))
 
     def sweep(self, waiting: DataFrame, n: int, low: int, high: int) -> tuple[DataFrame, int]:
         """One round of a band over the gaps: the pieces that wait on, and how many.  Where few pieces found a gap, the rest opens
         new sequences in descending order, as many pieces in each as always fit, and none waits."""
         each = self.sequence // high
         by = [F.col("size").desc(), F.col("is_piece"), F.col("id"), F.col("slot")]
-        ranges = -(-(n + self.opened * each) // RANGE_ROWS)  # Spark's own number is merged by size
+        ranges = -(-(n + self.opened * (each + 1)) // RANGE_ROWS)  # Spark's own number is merged by size
         brackets = self._brackets(waiting, low, high)
         ranged = brackets.repartitionByRange(ranges, *by) if ranges > shuffle_partitions(self.scratch.spark) else brackets.repartitionByRange(*by)
         swept = self.scratch.keep(ranged.sortWithinPartitions(*by).mapInArrow(_sweep, SWEPT), "swept")
@@ -181,7 +184,7 @@ class _Rounds:
             tasks.append({"part": r["part"], "depth": depth, "base": base, "before": lost})
             lost += max(r["level"] - depth, 0)
             depth = base + r["slot"]
-        opens = (n - lost) * FEW <= n
+        opens = (n - lost) * FEW <= self.pieces
         # One row per task: small enough to send to all.
         per_task = F.broadcast(self.scratch.spark.createDataFrame(pa.Table.from_pylist(tasks, pa.schema([("part", pa.int32()), *((x, pa.int64()) for x in ("depth", "base", "before"))]))))
         edges = swept.filter(F.col("what").isin(GAP_LEFT, PIECE_LEFT)).join(per_task, "part")
@@ -218,7 +221,7 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     highs = sorted({sequence // k for k in BANDS if k <= sequence}, reverse=True)
     lows = [*highs[1:], 0]
     counts = sizes.agg(*[F.count(F.when((F.col("size") > low) & (F.col("size") <= high), 1)).alias(f"n{high}") for low, high in zip(lows, highs, strict=True)]).first()
-    rounds = _Rounds(scratch, sequence)
+    rounds = _Rounds(scratch, sequence, sum(counts))
     for low, high in zip(lows, highs, strict=True):
         left = counts[f"n{high}"]
         waiting = sizes.filter((F.col("size") > low) & (F.col("size") <= high))
