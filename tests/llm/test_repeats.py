@@ -87,6 +87,33 @@ def test_hot_anchors_are_split_exactly(spark, monkeypatch):
     assert run(spark, rows) == brute(rows, 200)
 
 
+def test_stretches_join_close_places_only():
+    row, key, start = np.array([0, 0, 0, 0, 1, 1, 1]), np.array([1, 1, 1, 2, 1, 1, 1]), np.array([0, 5, 205, 206, 0, 201, 202])
+    first, reach = repeats.stretches(row, key, start, 200)
+    assert first.tolist() == [0, 3, 4, 5] and reach.tolist() == [205, 0, 0, 1]
+
+
+def test_repetitive_text_takes_few_rows(spark):
+    import pyarrow as pa
+
+    texts = ["a" * 1500, "xyz" * 400 + "end", "".join(random.Random(2).choices("abcdef", k=150)) * 9, "ab" * 99, "b" + "a" * 300]
+    rows = [(k, t, "clash") for k, t in enumerate(texts)]
+    assert run(spark, rows) == brute(rows, 200)
+    text = "c" * 400_000
+    c = repeats.Contexts(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 200)
+    some, mark = c.anchor[:1].view(np.int64), c.marks()[:1].view(np.int64)
+    lists = [pa.array([v.tolist()], pa.list_(t)) for v, t in ((some, pa.int64()), (mark, pa.int64()), (np.array([2]), pa.int8()))]
+    import zstandard
+
+    given = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([1]), pa.array([zstandard.compress(text.encode())]), *lists], names=["doc_id", "did", "row_key", "body", "anchors", "marks", "sends"])
+    assert sum(b.num_rows for b in repeats._contexts(200)(iter([given]))) == 3  # the text, one context and its run of places
+
+
+def test_very_long_text_of_one_character(spark):
+    got = {r["doc_id"]: r for r in repeated_spans(spark.createDataFrame([(1, "z" * 20_000_000), (2, "y" * 199)], "doc_id long, text string")).collect()}
+    assert [tuple(x) for x in got[1]["spans"]] == [(0, 20_000_000)] and got[2]["spans"] == []
+
+
 def test_small_tables(spark):
     assert run(spark, []) == []
     for rows in ([(1, None, "a")], [(1, "b" * 500, "a")], [(1, "short", "a"), (2, "short", "a")]):

@@ -14,7 +14,8 @@ A byte goes if it lies in a string of ``length`` bytes (UTF-8) that starts anywh
 * Suffix sorting.  A shard's contexts are sorted in chunks that end between anchors, by external induced sorting with
   common-prefix values (``induced``).  A run of suffixes that share ``length`` bytes is one string; where its contexts
   count two at least, its places are marked.
-* The marks return to the documents as byte ranges, which are merged and cut out.
+* The marks return to the documents as byte ranges, which are merged and cut out.  Places of one context that follow each other closely,
+  as in text that repeats a few characters, are one row.
 
 Matches never cross documents, and texts are judged as they were given.  Null text counts as empty.  Repeated rows are
 places of their own, so both lose what they share.  Rows keep a null doc_id.  Texts shorter than ``length`` stay
@@ -173,6 +174,16 @@ def _texts(bodies: pa.Array) -> list[bytes]:
 ROWS = "kind string, doc_id long, did long, row_key long, body binary, anchor long, mark long, n long, start long, size long, sha string"
 
 
+def stretches(row: np.ndarray, key: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places sorted by row, context and start -> where runs of one context begin, and how far their last start lies from the first.
+
+    A context's marked ranges hold ``length`` bytes at least, so at starts no further apart than that they join into one.
+    """
+    new = np.append(True, (row[1:] != row[:-1]) | (key[1:] != key[:-1]) | (start[1:] - start[:-1] > length))
+    first = np.flatnonzero(new)
+    return first, start[np.append(first[1:], len(start)) - 1] - start[first]
+
+
 def _contexts(length: int):
     """Rows with their repeated contexts -> places of contexts, contexts to sort, and the texts concerned or finished."""
     fields = [x.split() for x in ROWS.split(", ")]
@@ -225,9 +236,12 @@ def _contexts(length: int):
             use = np.flatnonzero(times >= 0)
             if not len(use):
                 continue
-            row = pa.array(c.row[use])
             start = c.start[use] - rows[c.row[use]] + offset
-            yield rows_of(len(use), kind="place", did=did.take(row), row_key=row_key.take(row), anchor=signed(c.anchor[use]), mark=signed(mark[use]), start=pa.array(start))
+            order = np.lexsort((start, key[use], c.row[use]))
+            use, start = use[order], start[order]
+            first, reach = stretches(c.row[use], key[use], start, length)
+            use, row = use[first], pa.array(c.row[use[first]])
+            yield rows_of(len(use), kind="place", did=did.take(row), row_key=row_key.take(row), anchor=signed(c.anchor[use]), mark=signed(mark[use]), start=pa.array(start[first]), n=pa.array(reach))
             sent = np.flatnonzero(times > 0)
             _, first = np.unique(key[sent], return_index=True)
             sent = sent[first]
@@ -384,8 +398,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         moved = [F.transform(c, lambda x: x + F.col("shift")).alias(c) for c in ("starts", "stops")]
         up = link.join(below.hint("merge"), ["child", "child_mark"]).select(F.col("shard").alias("anchor"), "mark", *moved)
         ranges = scratch.keep(ranges.unionByName(up), "ranges")
-    places = rows.filter("kind = 'place'").select("anchor", "mark", "did", "row_key", "start")
-    here = F.zip_with("starts", "stops", lambda a, b: F.struct((a + F.col("start")).alias("start"), (b + F.col("start")).alias("stop")))
+    places = rows.filter("kind = 'place'").select("anchor", "mark", "did", "row_key", "start", F.col("n").alias("reach"))
+    here = F.zip_with("starts", "stops", lambda a, b: F.struct((a + F.col("start")).alias("start"), (b + F.col("start") + F.col("reach")).alias("stop")))
     per_doc = places.join(ranges.hint("merge"), ["anchor", "mark"]).select("did", "row_key", here.alias("r")).groupBy("did", "row_key").agg(F.flatten(F.collect_list("r")).alias("ranges"))
     texts = rows.filter("kind = 'text'").select("doc_id", "did", "row_key", "body")
     cut = texts.join(per_doc, ["did", "row_key"], "left").select("doc_id", "body", "ranges").mapInArrow(_cut, SPANS)
