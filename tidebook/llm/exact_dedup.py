@@ -10,8 +10,8 @@ Texts are equal when they are identical after every run of ASCII white space bec
   external sort), which puts equals next to each other.
 * Compare: one pass compares each whole text with its neighbour's.  A task holds the ids of one run
   of equals at most, no texts but the last one.
-* Runs that go on in the next partition are joined by comparing each partition's last text with the
-  next one's first: a table of one row per partition.
+* Runs that go on in the next partition are joined by a table of one row per partition.  It holds digests and sizes, no texts: the
+  digest of a partition's last text names the edges that may go on, and only their texts are then joined, by partition, and compared in full.
 
 Null text counts as empty.  Equal rows with one doc_id are separate rows, of which one stays.  Null
 doc_ids come last: such a row stays only if no other row has the text.  An empty table gives no
@@ -34,7 +34,7 @@ from .common import BLANK_RUN, Scratch, whole_text
 
 RUNS = (
     "doc_id long, keep_id long, group_size long, kept boolean, text_sha256 string, part int, "
-    "edge string, first_text string, last_text string, single boolean"
+    "edge string, first_text string, last_text string, single boolean, last_sha string, last_size long"
 )
 
 
@@ -63,7 +63,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 all_ids, heads.take(which), pa.array(np.repeat(sizes, sizes)), pa.array(kept),
                 pa.concat_arrays([s for _, s in runs_]), pa.array(np.full(n, part, dtype=np.int32)),
-                pa.array([edge] * n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_()),
+                pa.array([edge] * n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()),
             ],
             names=[x.split()[0] for x in RUNS.split(", ")],
         )
@@ -113,8 +113,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows_of([last_run], "last")
     edge = {
         "doc_id": first_run[0][0].as_py(), "keep_id": last_run[0][0].as_py(), "group_size": len(first_run[0]),
-        "kept": False, "text_sha256": str(len(last_run[0])), "part": part, "edge": "edge",
-        "first_text": first_text, "last_text": last_text, "single": single,
+        "kept": False, "text_sha256": first_run[1][0].as_py(), "part": part, "edge": "edge",
+        "first_text": first_text, "last_text": last_text, "single": single, "last_sha": last_run[1][0].as_py(), "last_size": len(last_run[0]),
     }
     types = dict(zip(["long", "boolean", "string", "int"], [pa.int64(), pa.bool_(), pa.string(), pa.int32()], strict=True))
     yield pa.RecordBatch.from_arrays([pa.array([edge[n]], types[t]) for n, t in (x.split() for x in RUNS.split(", "))], names=[x.split()[0] for x in RUNS.split(", ")])
@@ -129,19 +129,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ordered = keyed.repartitionByRange(*by).sortWithinPartitions(by[0], by[1], F.col("norm"), by[2]).select("doc_id", "norm", "sha")
     runs = scratch.keep(ordered.mapInArrow(_neighbours, RUNS), "runs")
 
-    # Runs at partition edges: one or two rows per partition.
-    ends = runs.filter("edge = 'edge'").select(
-        "part", "first_text", "last_text",
-        F.when(F.col("single"), F.array(F.struct(F.lit("first").alias("edge"), F.col("doc_id").alias("head"), F.col("group_size").alias("size"))))
-        .otherwise(
-            F.array(
-                F.struct(F.lit("first").alias("edge"), F.col("doc_id").alias("head"), F.col("group_size").alias("size")),
-                F.struct(F.lit("last").alias("edge"), F.col("keep_id").alias("head"), F.col("text_sha256").cast("long").alias("size")),
-            )
-        ).alias("runs"),
-    )
+    # Runs at partition edges: one row per partition, without its texts, in the only windows over all partitions.
+    edges = runs.filter("edge = 'edge'")
+    ends = edges.select("part", F.col("text_sha256").alias("first_sha"), "last_sha", "single", "doc_id", "keep_id", "group_size", "last_size")
     w = Window.orderBy("part")
-    linked = ends.withColumn("goes_on", F.coalesce(F.col("first_text") == F.lag("last_text").over(w), F.lit(False)))
+    told = ends.withColumn("before", F.lag("part").over(w)).withColumn("alike", F.coalesce(F.col("first_sha") == F.lag("last_sha").over(w), F.lit(False)))
+    close = told.filter("alike").select("part", "before")
+    pairs = edges.select("part", "first_text").join(close, "part").join(edges.select(F.col("part").alias("before"), "last_text"), "before")
+    same = pairs.filter(F.col("first_text") == F.col("last_text")).select("part", F.lit(True).alias("goes_on"))
+    first = F.struct(F.lit("first").alias("edge"), F.col("doc_id").alias("head"), F.col("group_size").alias("size"))
+    last = F.struct(F.lit("last").alias("edge"), F.col("keep_id").alias("head"), F.col("last_size").alias("size"))
+    linked = told.join(same, "part", "left").select("part", F.coalesce("goes_on", F.lit(False)).alias("goes_on"), F.when(F.col("single"), F.array(first)).otherwise(F.array(first, last)).alias("runs"))
     each = linked.select("part", "goes_on", F.explode("runs").alias("r")).select("part", "r.*", (F.col("goes_on") & (F.col("r.edge") == "first")).alias("goes_on"))
     island = F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(Window.orderBy("part", "edge"))
     chained = each.withColumn("island", island)
