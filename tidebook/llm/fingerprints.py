@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import lean, shuffle_partitions, whole_text
 from .hashing import _BLANK, GROUP_BYTES, U, range_hashes
@@ -36,6 +37,8 @@ CLAUSE_WORDS = 6
 SECTION_PARAGRAPHS = 4
 #: Bytes of text in a range of ids, so that there are more ranges and not larger ones where there is more text.
 RANGE_BYTES = 64_000_000
+#: Ranges at most, whatever the amount of text: what the driver and each task hold of them is bounded, and ranges grow beyond it.
+MAX_RANGES = 1 << 16
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", dtype=np.uint8)
 
 
@@ -196,12 +199,13 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     The order is by descending doc_id (then text; nulls last), round from the last to the first.  Texts move once: ids
     split into ranges by quantiles, each range is sorted in one task, and the first row of every range is
-    also sent to the range before it, one row per task.  The driver holds two ids per range.
+    also sent to the range before it, one row per task.  The driver holds one id per range; the table of first rows is sent to all tasks, and
+    both have MAX_RANGES rows at most.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(shuffle_partitions(spark), size // RANGE_BYTES + 1)
+    n = min(max(shuffle_partitions(spark), size // RANGE_BYTES + 1), MAX_RANGES)
     quantiles = given.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], max(10_000, 4 * n)).alias("q")).first()["q"] or []
     splitters = np.unique(np.array(quantiles, dtype=np.int64))
 
@@ -213,18 +217,12 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
         return pd.Series(out)
 
     ids = given.select("doc_id").withColumn("range", range_of("doc_id"))
-    heads = ids.groupBy("range").agg(F.max("doc_id").alias("head")).orderBy("range").collect()
-    if not heads:
-        return spark.createDataFrame([], PAIRS)
-    before = {heads[k]["head"]: heads[k - 1]["range"] for k in range(len(heads))}
-    firsts = given.filter(F.col("doc_id").isin([h for h in before if h is not None]) | (F.col("doc_id").isNull() if None in before else F.lit(False)))
-    firsts = firsts.groupBy("doc_id").agg(F.min("text").alias("text"))
-
-    @F.pandas_udf("int")
-    def range_before(doc: pd.Series) -> pd.Series:
-        return pd.Series([before[None if pd.isna(d) else int(d)] for d in doc], dtype="int32")
+    heads = ids.groupBy("range").agg(F.max("doc_id").alias("head"))
+    last = F.max("range").over(Window.partitionBy())  # over the ranges, which are bounded
+    before = heads.select("head", F.coalesce(F.lag("range").over(Window.orderBy("range")), last).alias("range"))
+    firsts = given.join(F.broadcast(before), F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("doc_id", "range").agg(F.min("text").alias("text"))
 
     rows = given.select("doc_id", "text", F.lit(False).alias("closing"), range_of("doc_id").alias("range"))
-    rows = rows.unionByName(firsts.select("doc_id", "text", F.lit(True).alias("closing"), range_before("doc_id").alias("range")))
+    rows = rows.unionByName(firsts.select("doc_id", "text", F.lit(True).alias("closing"), "range"))
     dealt = rows.repartition(n, "range").sortWithinPartitions("range", "closing", F.col("doc_id").desc_nulls_last(), "text")
     return dealt.select("doc_id", "text", "closing").mapInArrow(lean(_with_next), PAIRS)
