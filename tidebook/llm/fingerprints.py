@@ -63,7 +63,7 @@ class Trees:
         first[1:] &= ~solid[:-1]
         first |= edge[:-1] & solid
         word = np.flatnonzero(first)
-        nxt = np.append(word[1:], len(data))
+        nxt = np.minimum(np.append(word[1:], len(data)), rows[np.searchsorted(rows, word, side="right")])  # never into the next text
         chosen = range_hashes(data, word, nxt) % U(CLAUSE_WORDS) == 0
         cut = edge.copy()
         cut[nxt[chosen]] = True
