@@ -191,3 +191,44 @@ def test_pairs_are_counted_within_words():
         for x, y, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
             got[x, y] = n
     assert got == {(-1, 5): 4, (5, 9): 4, (9, 9): 2, (9, -1): 4, (-1, 6): 4, (6, 8): 2, (8, -1): 2, (6, -1): 2}
+
+
+def plain_logs(p, table, of, share, ids):
+    """Log probabilities of ids and the end, place by place and weight by weight."""
+    seq = [*(int(of[i]) for i in ids), lm.END]
+    given = [lm.END, *seq[:-1]]
+    dot = lambda a, b: math.fsum(float(x) * float(y) for x, y in zip(a, b))
+    times = lambda v, m: [dot(v, m[:, k]) for k in range(m.shape[1])]
+
+    def softmax(v):
+        e = [math.exp(x - max(v)) for x in v]
+        return [x / sum(e) for x in e]
+
+    q = [softmax([float(x) for x in row]) for row in p["logq"]]
+    asked, keys, values = ({c: times(p["emb"][c], p[w]) for c in set(given)} for w in ("wq", "wk", "wv"))
+    out = []
+    for i, target in enumerate(seq):
+        seen = range(max(0, i // net.BLOCK * net.BLOCK - net.BLOCK), i + 1)
+        weight = softmax([dot(asked[given[i]], keys[given[j]]) / math.sqrt(net.WIDTH) + float(p["near"][i - j]) for j in seen])
+        read = [math.fsum(w * values[given[j]][d] for w, j in zip(weight, seen)) for d in range(net.WIDTH)]
+        h = [float(x) + y for x, y in zip(p["emb"][given[i]], times(read, p["wo"]))]
+        z = [max(0.0, x + float(b)) for x, b in zip(times(h, p["w1"]), p["b1"])]
+        h = [x + y for x, y in zip(h, times(z, p["w2"]))]
+        gate = softmax([x + float(b) for x, b in zip(times(h, p["wg"]), p["bg"])])
+        prob = gate[0] * float(table[given[i], target]) + math.fsum(g * row[target] for g, row in zip(gate[1:], q))
+        out.append(math.log(prob) + (float(share[ids[i]]) if i < len(ids) else 0.0))
+    return out
+
+
+def test_logs_equal_those_of_plain_loops():
+    p, table = model()
+    r = np.random.default_rng(9)
+    of, share = r.integers(1, 30, 50), -r.random(50)
+    m = lm.Model(SimpleNamespace(of=of, share=share), p, table)
+    texts = [r.integers(0, 50, n) for n in (0, 1, 31, 32, 33, 150)]
+    each, end = m.logs(np.concatenate(texts), np.array([len(t) for t in texts]))
+    at = 0
+    for k, ids in enumerate(texts):
+        want = plain_logs(p, table, of, share, ids.tolist())
+        assert np.append(each[at : at + len(ids)], end[k]) == pytest.approx(want, abs=2e-4)
+        at += len(ids)

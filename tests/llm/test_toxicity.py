@@ -77,3 +77,43 @@ def test_every_telling_ngram_is_kept(spark):
     model = toxicity.fit(spark.createDataFrame(docs, "text string, label long"))
     assert (model.weights != 0).sum() > 8_192
     assert model([rare])[0] > 0.5 > model(["a quiet text of abcdefgh"])[0]
+
+
+def test_fit_and_score_equal_a_plain_version(spark):
+    """Sets of n-grams, ratios and G by dictionaries, and Newton steps on the dense table of the features."""
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(3, 6))) for _ in range(25)]
+    own = [(" ".join(r.choice(words) for _ in range(8)) + (" Grobnak" if k % 3 == 0 else ""), int(k % 3 == 0 or k == 1)) for k in range(30)]
+    least = 3.0
+    model = toxicity.fit(spark.createDataFrame(own, "text string, label long"), min_g=least)
+
+    def grams(text):
+        padded = f" {text.lower()} "
+        return {padded[a : a + n] for n in (4, 5, 6) for a in range(len(padded) - n + 1)}
+
+    held = [grams(t) for t, _ in own]
+    pos = sum(y for _, y in own)
+    neg = len(own) - pos
+    ratio = {}
+    for g in sorted(set().union(*held)):
+        p = sum(y for h, (_, y) in zip(held, own) if g in h)
+        n = sum(1 - y for h, (_, y) in zip(held, own) if g in h)
+        cells = ((p, pos, p + n), (n, neg, p + n), (pos - p, pos, pos + neg - p - n), (neg - n, neg, pos + neg - p - n))
+        told = 2 * sum(seen * np.log(seen * (pos + neg) / (whole * side)) for seen, whole, side in cells if seen)
+        if told >= least:
+            ratio[g] = np.log((p + 1) / (pos + 2)) - np.log((n + 1) / (neg + 2))
+    names = [g for g in ratio if ratio[g]]
+    assert len(names) > 10 and len(names) == (model.weights != 0).sum()
+
+    def row(found):
+        return [ratio[g] * (g in found) for g in names] + [1.0]
+
+    a, y = np.array([row(h) for h in held]), np.array([y for _, y in own], dtype=float)
+    penalty = np.append(np.full(len(names), 1e-3), 0.0)
+    x = np.zeros(len(names) + 1)
+    for _ in range(50):
+        e = 1 / (1 + np.exp(-a @ x))
+        x -= np.linalg.solve(a.T @ (a * (e * (1 - e))[:, None]) / len(y) + np.diag(penalty + 1e-9), a.T @ (e - y) / len(y) + penalty * x)
+    for text in [t for t, _ in own] + ["", "Grobnak", "grobnak " + words[0], "nothing known"]:
+        want = 1 / (1 + np.exp(-np.dot(row(grams(text)), x)))
+        assert model([text])[0] == pytest.approx(want, abs=5e-3), text
