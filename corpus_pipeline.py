@@ -13,7 +13,10 @@ the last return the columns of documents.
 5. packing: documents become pieces in sequences of 1024 tokens.
 
 Rows with a null doc_id pass stages 1 to 3 (they have no label and link with nothing) and are drawn by their texts in stage 4.
-An empty table gives an empty result.
+Null text counts as empty: such rows are scored by the classifier's intercept, have one empty line, link with nothing and, as they have no
+tokens, are packed as their end alone.  A null language or source is a level of its own in the mixture.  Rows with one doc_id are one document to
+the near-duplicate and mixing stages, where they stay or go together.  Texts of any length are worked whole.  Further columns of the table are not
+carried on, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
