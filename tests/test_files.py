@@ -7,7 +7,7 @@ import json
 import __spark_entry__
 from pyspark.sql import functions as F
 
-from tidebook import queries
+from tidebook import file_queries, queries
 from tidebook.fixtures import frame
 from tidebook.operators import history
 from tidebook.plans.tables import Snapshot
@@ -63,6 +63,22 @@ def test_pages_of_json(spark, tmp_path):
     assert [r["x_pages"] for r in got] == [3, 1, 1, 1] and [r["last_modified"] is None for r in got] == [False, True, True, True]
 
 
+def test_pages_of_many_orders_are_several_files(spark, sf_dir, monkeypatch):
+    """A page grows with the table, and its files must stay below the cap, or the scan leaves the page out."""
+    longest = []
+
+    def scan(session, path):
+        longest.append(session.read.text(path).agg(F.max(F.length("value"))).first()[0])
+        return scan_orders(session, path)
+
+    scan_orders = pages.scan_orders
+    monkeypatch.setattr(file_queries, "ORDERS_A_FILE", 5, raising=False)
+    monkeypatch.setattr(pages, "scan_orders", scan)
+    got = {r["region_id"]: (r["orders"], r["volume"]) for r in queries.QUERIES["scan_orders_json"](spark, sf_dir).collect()}
+    raw = frame(spark, sf_dir, "v_orders_raw").groupBy("region_id").agg(F.count("*").alias("n"), F.sum("volume_remain").alias("v")).collect()
+    assert got == {r["region_id"]: (r["n"], r["v"]) for r in raw} and longest[0] < 5 * 400
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
