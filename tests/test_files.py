@@ -7,7 +7,7 @@ import json
 import __spark_entry__
 from pyspark.sql import functions as F
 
-from tidebook import file_queries, queries
+from tidebook import file_queries, fixtures, queries
 from tidebook.fixtures import frame
 from tidebook.operators import history
 from tidebook.plans.tables import Snapshot
@@ -95,6 +95,21 @@ def test_plans(spark, sf_dir, tmp_path):
     assert "PartitionFilters" in text and "region_id" in text.split("PartitionFilters")[1][:200] and "GreaterThan(price" in text
 
 
+def test_history_takes_one_shuffle(spark, sf_dir, tmp_path):
+    """The history is derived from the landed orders by one exchange, with the rows of its SQL, also where lines differ by parts of a millisecond."""
+    for where in (sf_dir, str(tmp_path)):
+        if where != sf_dir:
+            for t in ("orders", "customer"):
+                (tmp_path / f"{t}.parquet").symlink_to(f"{sf_dir}/{t}.parquet")
+            lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_orderkey % 10 = 1")
+            lines.unionByName(lines.filter("l_orderkey % 20 = 1").withColumn("l_shipdate", F.col("l_shipdate") + F.expr("INTERVAL 0.0003 SECOND"))).write.parquet(f"{where}/lineitem.parquet")
+        got, plain = frame(spark, where, "v_waves"), spark.sql(fixtures._spark_text(spark, where, fixtures.VIEWS["v_waves"]))
+        assert got.count() > 0 and got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+        shuffles = plan(spark.sql(fixtures._spark_text(spark, where, fixtures._derivation(spark, where, "v_waves")))).count("Exchange hashpartitioning")
+        assert (shuffles == 1) == (where == sf_dir)
+    assert not {"v_live", "v_history_raw"} & set(fixtures.LANDED)
+
+
 def test_registered_queries_agree_with_their_twins(spark, sf_dir):
     """A few of the registered queries against DuckDB; the driver compares all of them."""
     import duckdb
