@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 from test_market import LOG, T0
 
@@ -111,3 +112,37 @@ def test_merged_sketches_keep_ranks(spark):
         for q, told in zip(asked, r["quantiles"], strict=True):
             below, upto = sum(x < told for x in own), sum(x <= told for x in own)
             assert below <= (q + requests.SKETCH_ERROR) * len(own) + 1 and upto >= (q - requests.SKETCH_ERROR) * len(own) - 1
+
+
+def test_outage_gate_gives_its_rows_in_parts():
+    """A source with many rows in one micro-batch leaves in frames of bounded length, in order across the frames that came in."""
+
+    class Handle:
+        kept, timers = None, ()
+
+        def getValueState(self, *_):  # noqa: N802
+            return self
+
+        def exists(self):
+            return self.kept is not None
+
+        def update(self, row):
+            self.kept = row
+
+        def listTimers(self):  # noqa: N802
+            return self.timers
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers = (at,)
+
+    n, gate, handle = 70_000, ingest.OutageGate(), Handle()
+    gate.init(handle)
+    seq = [*range(n - 1, -1, -1)]
+    rows = pd.DataFrame({"source_ip": 1, "seq": seq, "status": [503 if s % 7 < 3 else 200 for s in seq], "us": [s * 1_000_000 for s in seq], "retry_after_s": 0})
+    rows.loc[rows["seq"] == n - 1, "status"] = rows.loc[rows["seq"] == n - 2, "status"] = 503
+    frames = [*gate.handleInputRows((1,), (rows[k : k + 10_000] for k in range(0, n, 10_000)), None)]
+    assert len(frames) > 1 and max(map(len, frames)) <= 2 * 20_000
+    got = pd.concat(frames)
+    got = got[got["event"] == "response"]
+    assert got["seq"].tolist() == [*range(n)] and got["in_row"].tolist()[:8] == [1, 2, 3, 0, 0, 0, 0, 1]
+    assert handle.kept[1:] == ((n - 1 + 60) * 1_000_000, False) and len(handle.timers) == 1
