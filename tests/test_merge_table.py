@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_market import CHURN_LIVE, CHURN_STAGED, T0, orders
 
+from tidebook import file_queries
 from tidebook.fixtures import frame
 from tidebook.operators import snapshot
+from tidebook.plans import merge_table
 from tidebook.plans.merge_table import MergeTable
 from tidebook.schemas import ORDER_COLUMNS
 
@@ -125,3 +127,19 @@ def test_null_keys_and_an_empty_table(spark, table):
     lost = orders(spark, CHURN_LIVE, 1).withColumn("order_id", F.when(F.col("order_id") > 1, F.col("order_id")))
     table.refresh(lost, named(spark, 1))
     assert table.read().count() == 3 and table.read().columns == ORDER_COLUMNS
+
+
+def test_buckets_grow_with_the_orders(spark, sf_dir, monkeypatch):
+    """A bucket is one task's work, so a larger table has more of them; the staged rows of a refresh move once, the published ones do not."""
+    assert [merge_table.buckets_for(n) for n in (0, 4_000_000, 4_000_001, 216_000_000)] == [8, 8, 9, 432]
+    monkeypatch.setattr(merge_table, "BUCKET_ROWS", 300)
+    table, _ = file_queries._loaded(spark, sf_dir)
+    assert table.buckets == -(-frame(spark, sf_dir, "v_live").count() // 300) > 8
+    staged = frame(spark, sf_dir, "v_orders_raw")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = table.changes(staged, [r["region_id"] for r in table.pointer().collect()])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(region_id") == 1
+    assert not table.verify(frame(spark, sf_dir, "v_live")).filter("drifted").count()

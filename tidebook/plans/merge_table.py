@@ -35,6 +35,13 @@ WHOLE = StructType().add("region_id", "long")
 for _field in ORDER:
     WHOLE = WHOLE.add(_field)
 HASHES = ["old_hash", "new_hash"]
+#: Orders of a bucket, which one task writes, merges and compares.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(orders: int, least: int = 8) -> int:
+    """Buckets of a table for so many orders, so that a bucket stays one size however large the table is."""
+    return max(least, -(-orders // BUCKET_ROWS))
 
 
 def row_hash() -> Column:
@@ -154,11 +161,15 @@ class MergeTable:
 
     # --- writing ---
 
+    def _dealt(self, orders: DataFrame) -> DataFrame:
+        """Orders as the buckets are dealt, so that a join with published ones moves these only."""
+        return orders.repartition(self.buckets, *ORDER_KEY)
+
     def _write(self, kind: str, rows: DataFrame, columns: list[str]) -> tuple[str, int]:
         """Rows as a new version, one file a bucket, and their number as the files' footers have it."""
         version = uuid.uuid4().hex
         whole = rows.filter("region_id is not null and order_id is not null").select(*columns)
-        dealt = whole.repartition(self.buckets, *ORDER_KEY).sortWithinPartitions(*ORDER_KEY)
+        dealt = self._dealt(whole).sortWithinPartitions(*ORDER_KEY)
         dealt.withColumn("version", F.lit(version)).write.insertInto(self.names[kind])
         there = bool(self._children(f"{self.root}/{kind}/version={version}"))
         return version, self._table(kind, [version]).count() if there else 0
@@ -183,7 +194,7 @@ class MergeTable:
     def changes(self, staged: DataFrame, regions: list[int]) -> DataFrame:
         """What turns the published regions into the staged snapshot, with the hashes of the rows before and after."""
         ids = self._small([(i,) for i in regions], "region_id long")
-        s = snapshot.dedup_orders(staged.join(ids, "region_id", "left_semi")).select(*ORDER_KEY, F.struct(*ORDER_VALUES).alias("s"), row_hash().alias("new_hash"))
+        s = snapshot.dedup_orders(self._dealt(staged.join(ids, "region_id", "left_semi"))).select(*ORDER_KEY, F.struct(*ORDER_VALUES).alias("s"), row_hash().alias("new_hash"))
         v = self.merged(regions).select(*ORDER_KEY, F.struct(*ORDER_VALUES).alias("v"), row_hash().alias("old_hash"))
         both = s.join(v, ORDER_KEY, "full_outer").filter(~F.col("s").eqNullSafe(F.col("v")))
         op = F.when(F.col("v").isNull(), "I").when(F.col("s").isNull(), "D").otherwise("U").alias("op")
@@ -265,7 +276,7 @@ class MergeTable:
         key = ["region_id", "bucket"]
         wrong = drifted.select(key).distinct()
         inside = lambda df: df.withColumn("bucket", self.bucket()).join(wrong, key, "left_semi")
-        right = inside(snapshot.dedup_orders(staged)).drop("bucket")
+        right = snapshot.dedup_orders(self._dealt(inside(staged).drop("bucket")))
         there = inside(self.merged(list(at))).select(ORDER_KEY).distinct()
         both = right.withColumn("r", F.lit(True)).join(there.withColumn("l", F.lit(True)), ORDER_KEY, "full_outer")
         op = F.when(F.col("r").isNull(), "D").when(F.col("l").isNull(), "I").otherwise("U").alias("op")
