@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -232,3 +233,36 @@ def test_logs_equal_those_of_plain_loops():
         want = plain_logs(p, table, of, share, ids.tolist())
         assert np.append(each[at : at + len(ids)], end[k]) == pytest.approx(want, abs=2e-4)
         at += len(ids)
+
+
+def peak(f):
+    tracemalloc.start()
+    f()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_windows_are_worked_on_a_few_at_a_time():
+    """Whole batches' arrays by places looked at would not stay in a core's cache: they took most of the seconds."""
+    p, table = model()
+    q, r = net.distributions(p), np.random.default_rng(10)
+    w = r.integers(0, 30, (512, net.SPAN + 1))
+    assert peak(lambda: net.score(p, q, table, w[:, :-1], w[:, 1 + net.BLOCK :])) < 3 << 20
+    assert peak(lambda: net.gradient(p, table, w[: net.BATCH, :-1], w[: net.BATCH, 1:])) < 6 << 20
+
+
+def test_large_weights_score_and_learn_as_small_ones():
+    p, table = model()
+    r = np.random.default_rng(11)
+    large = p | {k: p[k] * np.float32(f) for k, f in (("wq", 30), ("wk", 30), ("wg", 400))}
+    of, share, ids = np.arange(50) % 30, np.zeros(50), r.integers(0, 50, 90)
+    m = lm.Model(SimpleNamespace(of=of, share=share), large, table)
+    each, end = m.logs(ids, np.array([len(ids)]))
+    assert np.append(each, end) == pytest.approx(plain_logs(large, table, of, share, ids.tolist()), abs=5e-3)
+    w = r.integers(0, 30, (20, net.SPAN + 1))
+    loss, g = net.gradient(large, table, w[:, :-1], w[:, 1:])
+    wide = {k: v.astype(np.float64) for k, v in large.items()}
+    loss64, g64 = net.gradient(wide, table, w[:, :-1], w[:, 1:])
+    assert loss == pytest.approx(loss64, rel=1e-4) and all(np.isfinite(x).all() for x in g.values())
+    assert all(np.abs(g[k] - g64[k]).max() < 2e-3 * max(1e-3, np.abs(g64[k]).max()) for k in g)

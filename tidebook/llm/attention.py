@@ -53,89 +53,194 @@ def distributions(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.ascontiguousarray(_softmax(p["logq"].copy()).T)
 
 
+#: Windows whose arrays are worked on at once, so that they stay in a core's cache.
+TOGETHER = 16
+#: A window's halves, and what they may look at: the first one sees nothing of the second.
+HALVES = ((slice(0, BLOCK), slice(0, BLOCK)), (slice(BLOCK, SPAN), slice(0, SPAN)))
+#: Exponents up to here are taken as they are; rows of larger ones are first lowered by their largest.
+LARGE = 80
+
+
+def _tables(p: dict[str, np.ndarray], joined: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """What each class is and asks, and what it offers as key and value; last a row of zeros for no class.
+
+    Each class's own match is taken off all that it asks, which a softmax does not see: its own weight is then one before
+    division, and sums of weights, which a value of one gives, are never small.  joined: values as the output takes them.
+    """
+    emb = p["emb"]
+    ask, key, value = emb @ p["wq"] * emb.dtype.type(WIDTH**-0.5), emb @ p["wk"], emb @ p["wv"]
+    value = value @ p["wo"] if joined else value
+    own, one = -np.einsum("nd,nd->n", ask, key)[:, None], np.ones((len(emb), 1), emb.dtype)
+    rows = np.concatenate([emb, ask, own, key, one, value, one], axis=1)
+    rows = np.concatenate([rows, np.zeros_like(rows[:1])])
+    return np.ascontiguousarray(rows[:, : 2 * WIDTH + 1]), np.ascontiguousarray(rows[:, 2 * WIDTH + 1 :])
+
+
+def _bias(p: dict[str, np.ndarray]) -> np.ndarray:
+    return (p["near"] - p["near"][0])[_AGO] + _FUTURE.astype(p["near"].dtype)
+
+
+def _weights(x: np.ndarray) -> np.ndarray:
+    """Exponentials of rows in place, up to a factor of each row."""
+    if x.max() > LARGE:
+        x -= x.max(axis=-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
+def _gate(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The gate's weights and biases over those of the successor table."""
+    return p["wg"][:, 1:] - p["wg"][:, :1], p["bg"][1:] - p["bg"][0]
+
+
+def _shares(x: np.ndarray) -> tuple[np.ndarray, np.ndarray | float]:
+    """Exponentials of the learned distributions' logits in place, and that of the successor table's, which is zero."""
+    if x.max() <= LARGE:
+        return np.exp(x, out=x), 1.0
+    top = np.maximum(x.max(axis=-1), 0)
+    x -= top[:, None]
+    return np.exp(x, out=x), np.exp(-top)
+
+
 def score(p: dict[str, np.ndarray], q: np.ndarray, successor: np.ndarray, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Log probability of the targets of windows.
 
     inputs: (windows, SPAN) classes, -1 where there is none; targets: (windows, BLOCK), those of the second
     half, -1 where there is none.
     """
-    blank = np.where(inputs < 0, np.float32(-1e9), np.float32(0))
-    x = p["emb"][np.maximum(inputs, 0)]
-    own = x[:, BLOCK:]
-    a = (own @ (p["wq"] * np.float32(WIDTH**-0.5))) @ (x @ p["wk"]).transpose(0, 2, 1)
-    a += (p["near"][_AGO] + _FUTURE)[BLOCK:]
-    a += blank[:, None, :]
-    h = own + (_softmax(a) @ (x @ p["wv"])) @ p["wo"]
-    h = h + np.maximum(h @ p["w1"] + p["b1"], 0) @ p["w2"]
-    gate = _softmax(h @ p["wg"] + p["bg"])
-    t = np.maximum(targets, 0)
-    prob = gate[..., 0] * successor[np.maximum(inputs[:, BLOCK:], 0), t]
-    prob += np.einsum("wbk,wbk->wb", gate[..., 1:], q[t])
-    return np.where(targets < 0, 0.0, np.log(np.maximum(prob, 1e-30)))
+    asks, offers = _tables(p, joined=True)
+    bias, (wg, bg), ones = _bias(p)[BLOCK:], _gate(p), np.ones(MIX, np.float32)
+    out = np.empty(targets.shape, np.float32)
+    for a in range(0, len(inputs), TOGETHER):
+        given, t = inputs[a : a + TOGETHER], np.maximum(targets[a : a + TOGETHER], 0).reshape(-1)
+        own = given[:, BLOCK:]
+        x, y = asks.take(own, axis=0, mode="wrap"), offers.take(given, axis=0, mode="wrap")
+        e = x[..., WIDTH:] @ y[..., : WIDTH + 1].transpose(0, 2, 1)
+        e += bias
+        o = (_weights(e) @ y[..., WIDTH + 1 :]).reshape(-1, WIDTH + 1)
+        h = o[:, :WIDTH] / np.maximum(o[:, WIDTH:], np.float32(1e-30))
+        h += x.reshape(-1, 2 * WIDTH + 1)[:, :WIDTH]
+        z = h @ p["w1"]
+        z += p["b1"]
+        h += np.maximum(z, 0, out=z) @ p["w2"]
+        g = h @ wg
+        g += bg
+        g, base = _shares(g)
+        total = g @ ones + base
+        g *= q.take(t, axis=0)
+        prob = (g @ ones + base * successor[np.maximum(own, 0).reshape(-1), t]) / total
+        out[a : a + TOGETHER] = np.log(np.maximum(prob, 1e-30)).reshape(own.shape)
+    return np.where(targets < 0, 0.0, out)
+
+
+def _by_class(at: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """Sums of columns (each a row here) over places of one class: (columns, n)."""
+    return np.stack([np.bincount(at, c, n) for c in columns]).astype(columns.dtype)
 
 
 def gradient(p: dict[str, np.ndarray], successor: np.ndarray, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over windows (windows, SPAN) without gaps, and its gradient."""
+    kind, count, classes = p["emb"].dtype, targets.size, len(p["emb"])
+    scale = kind.type(WIDTH**-0.5)
     q = distributions(p)
-    count = np.float32(targets.size)
-    scale = np.float32(WIDTH**-0.5)
-    x = p["emb"][inputs]
-    xq, xk, xv = x @ p["wq"], x @ p["wk"], x @ p["wv"]
-    att = _softmax(xq @ xk.transpose(0, 2, 1) * scale + (p["near"][_AGO] + _FUTURE))
-    o = att @ xv
-    h1 = x + o @ p["wo"]
-    pre = h1 @ p["w1"] + p["b1"]
-    z = np.maximum(pre, 0)
-    h2 = h1 + z @ p["w2"]
-    gate = _softmax(h2 @ p["wg"] + p["bg"])
-    each = np.concatenate([successor[inputs, targets][..., None], q[targets]], axis=-1)
-    part = gate * each
-    prob = np.maximum(part.sum(axis=-1, keepdims=True), 1e-30)
-    resp = part / prob
-    loss = float(-np.log(prob).mean())
-
-    g: dict[str, np.ndarray] = {}
-    dg = (gate - resp) / count
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    g["wg"], g["bg"] = flat(h2).T @ flat(dg), flat(dg).sum(axis=0)
-    dq = np.zeros_like(q)
-    order = np.argsort(targets.reshape(-1), kind="stable")
-    hit = targets.reshape(-1)[order]
-    first = np.flatnonzero(np.append(True, hit[1:] != hit[:-1]))
-    dq[hit[first]] = np.add.reduceat(flat(resp)[order, 1:], first, axis=0)
-    g["logq"] = ((q * flat(resp)[:, 1:].sum(axis=0) - dq) / count).T
-    dh2 = dg @ p["wg"].T
-    g["w2"] = flat(z).T @ flat(dh2)
-    dz = (dh2 @ p["w2"].T) * (pre > 0)
-    g["w1"], g["b1"] = flat(h1).T @ flat(dz), flat(dz).sum(axis=0)
-    dh1 = dh2 + dz @ p["w1"].T
-    g["wo"] = flat(o).T @ flat(dh1)
-    do = dh1 @ p["wo"].T
-    datt = do @ xv.transpose(0, 2, 1)
-    ds = att * (datt - (datt * att).sum(axis=-1, keepdims=True))
-    g["near"] = np.bincount(_AGO.reshape(-1), ds.sum(axis=0).reshape(-1), SPAN).astype(np.float32)
-    dxv = att.transpose(0, 2, 1) @ do
-    dxq, dxk = ds @ xk * scale, ds.transpose(0, 2, 1) @ xq * scale
-    g["wq"], g["wk"], g["wv"] = flat(x).T @ flat(dxq), flat(x).T @ flat(dxk), flat(x).T @ flat(dxv)
-    dx = flat(dh1 + dxq @ p["wq"].T + dxk @ p["wk"].T + dxv @ p["wv"].T)
-    order = np.argsort(inputs.reshape(-1), kind="stable")
-    hit = inputs.reshape(-1)[order]
-    first = np.flatnonzero(np.append(True, hit[1:] != hit[:-1]))
-    g["emb"] = np.zeros_like(p["emb"])
-    g["emb"][hit[first]] = np.add.reduceat(dx[order], first, axis=0)
-    return loss, g
+    (asks, offers), bias, (wg, bg), ones = _tables(p), _bias(p), _gate(p), np.ones(MIX, kind)
+    inputs, targets = inputs.astype(np.intp), targets.astype(np.intp)
+    likely = successor[inputs, targets].reshape(-1)
+    back = np.concatenate([p["wq"].T, p["wk"].T, p["wv"].T])
+    g = {k: np.zeros_like(p[k]) for k in ("w1", "b1", "w2", "wo")}
+    dgate, dbias, dnear, dproject = np.zeros_like(wg), np.zeros_like(bg), np.zeros_like(bias), np.zeros((WIDTH, 3 * WIDTH), kind)
+    # Per place, for sums by class: shares of the learned distributions, and the inputs' gradient.
+    shares, dinputs = np.empty((MIX, count), kind), np.empty((WIDTH, count), kind)
+    loss = 0.0
+    for a in range(0, len(inputs), TOGETHER):
+        here = slice(a * SPAN, (a + TOGETHER) * SPAN)
+        i, t = inputs[a : a + TOGETHER], targets[a : a + TOGETHER].reshape(-1)
+        x, y = asks.take(i, axis=0), offers.take(i, axis=0)
+        ask, key, value = x[..., WIDTH:], y[..., : WIDTH + 1], y[..., WIDTH + 1 :]
+        o, halves = np.empty((len(i), SPAN, WIDTH + 1), kind), []
+        for asking, seen in HALVES:
+            e = ask[:, asking] @ key[:, seen].transpose(0, 2, 1)
+            e += bias[asking, seen]
+            o[:, asking] = _weights(e) @ value[:, seen]
+            halves.append(e)
+        part = 1 / o[..., WIDTH:]
+        o = (o[..., :WIDTH] * part).reshape(-1, WIDTH)
+        x = x.reshape(-1, 2 * WIDTH + 1)[:, :WIDTH]
+        h1 = o @ p["wo"]
+        h1 += x
+        z = h1 @ p["w1"]
+        z += p["b1"]
+        np.maximum(z, 0, out=z)
+        h2 = z @ p["w2"]
+        h2 += h1
+        w = h2 @ wg
+        w += bg
+        w, base = _shares(w)
+        r = q.take(t, axis=0)
+        r *= w
+        prob, total = np.maximum(r @ ones + base * likely[here], 1e-30), w @ ones + base
+        loss -= float(np.log(prob).sum() - np.log(total).sum())
+        r *= (1 / prob)[:, None]
+        shares[:, here] = r.T
+        w *= (1 / total)[:, None]
+        w -= r
+        dgate += h2.T @ w
+        dbias += w.sum(axis=0)
+        dh = w @ wg.T
+        g["w2"] += z.T @ dh
+        dz = dh @ p["w2"].T
+        dz *= z > 0
+        g["w1"] += h1.T @ dz
+        g["b1"] += dz.sum(axis=0)
+        dh += dz @ p["w1"].T
+        g["wo"] += o.T @ dh
+        do = np.empty((len(i), SPAN, WIDTH + 1), kind)
+        do[..., :WIDTH] = (dh @ p["wo"].T).reshape(len(i), SPAN, WIDTH)
+        do[..., WIDTH] = -np.einsum("wsd,wsd->ws", do[..., :WIDTH], o.reshape(len(i), SPAN, WIDTH))
+        do *= part
+        d = np.zeros((len(i), SPAN, 3 * WIDTH), kind)  # by what is asked, keys and values
+        for e, (asking, seen) in zip(halves, HALVES, strict=True):
+            d[:, seen, 2 * WIDTH :] += e.transpose(0, 2, 1) @ do[:, asking, :WIDTH]
+            e *= do[:, asking] @ value[:, seen].transpose(0, 2, 1)
+            dnear[asking, seen] += e.sum(axis=0)
+            d[:, asking, :WIDTH] = (e @ key[:, seen, :WIDTH]) * scale
+            d[:, seen, WIDTH : 2 * WIDTH] += e.transpose(0, 2, 1) @ ask[:, asking, :WIDTH]
+        d = d.reshape(-1, 3 * WIDTH)
+        dproject += x.T @ d
+        dx = d @ back
+        dx += dh
+        dinputs[:, here] = dx.T
+    g["wq"], g["wk"], g["wv"] = np.split(dproject, 3, axis=1)
+    g["near"] = np.bincount(_AGO.reshape(-1), dnear.reshape(-1), SPAN)
+    g["wg"], g["bg"] = np.insert(dgate, 0, -dgate.sum(axis=1), axis=1), np.insert(dbias, 0, -dbias.sum())
+    g["emb"] = _by_class(inputs.reshape(-1), dinputs, classes).T
+    g["logq"] = q.T * shares.sum(axis=1)[:, None] - _by_class(targets.reshape(-1), shares, classes)
+    return loss / count, {k: (x / count).astype(kind) for k, x in g.items()}
 
 
 def learn(p: dict[str, np.ndarray], successor: np.ndarray, windows: np.ndarray, steps: int, batch: int = BATCH, rate: float = 0.004) -> dict[str, np.ndarray]:
     """Some steps of Adam over windows of SPAN + 1 classes, in order and again from the start."""
-    p = {k: v.copy() for k, v in p.items()}
-    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    names = sorted(p)
+    flat = np.concatenate([p[k].reshape(-1) for k in names])
+    ends = np.cumsum([p[k].size for k in names])
+    p = {k: x.reshape(p[k].shape) for k, x in zip(names, np.split(flat, ends[:-1]), strict=True)}  # views of flat
+    pace = np.repeat(np.array([PACE if k == "logq" else 1 for k in names], flat.dtype), np.diff(ends, prepend=0))
+    m, v, work = (np.zeros_like(flat) for _ in range(3))
     for t in range(1, steps + 1):
         at = np.arange((t - 1) * batch, t * batch) % len(windows)
         w = windows[np.unique(at)]
         _, g = gradient(p, successor, w[:, :-1], w[:, 1:])
-        for k in p:
-            m[k] += 0.1 * (g[k] - m[k])
-            v[k] += 0.01 * (g[k] ** 2 - v[k])
-            p[k] -= (rate * (PACE if k == "logq" else 1) * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+        d = np.concatenate([g[k].reshape(-1) for k in names])
+        # m and v are means of d and its square; their shares of steps not yet taken are put right in the rate.
+        m += np.multiply(np.subtract(d, m, out=work), 0.1, out=work)
+        d *= d
+        d -= v
+        d *= 0.01
+        v += d
+        np.sqrt(v, out=work)
+        late = (1 - 0.99**t) ** 0.5
+        work += 1e-8 * late
+        np.divide(m, work, out=work)
+        work *= pace
+        work *= rate * late / (1 - 0.9**t)
+        flat -= work
     return p
