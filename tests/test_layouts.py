@@ -1,7 +1,9 @@
 """Second sort orders: the same answers from fewer rows read."""
 
 import datetime as dt
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tidebook.fixtures import frame
@@ -67,3 +69,16 @@ def test_copies_change_together_and_old_ones_go(spark, live, tmp_path, monkeypat
     table.publish(live.filter("region_id < 3"), files=2)
     assert {table.read(name).count() for name in LAYOUTS} == {live.filter("region_id < 3").count()}
     assert table.vacuum() == 2 and table.read("by_location").count() > n
+
+
+def test_bloom_filters_are_as_large_as_their_row_groups_need(layouts):
+    size = {name: sum(f.stat().st_size for f in Path(layouts.root.removeprefix("file://")).glob(f"data/*/{name}/*.parquet")) for name in LAYOUTS}
+    assert size["by_order"] < 2 * size["by_issue"]
+    files = sorted(Path(layouts.root.removeprefix("file://")).glob("data/*/by_order/*.parquet"))
+    assert sum(pq.read_metadata(f).num_row_groups for f in files) > 8
+    # Between the last row group and the footer lie the filters (and indexes of pages): at least a byte an order.
+    for f in files:
+        meta = pq.read_metadata(f)
+        group = meta.row_group(meta.num_row_groups - 1)
+        last = max(group.column(k).data_page_offset + group.column(k).total_compressed_size for k in range(group.num_columns))
+        assert f.stat().st_size - meta.serialized_size - last > meta.num_rows

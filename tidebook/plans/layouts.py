@@ -55,10 +55,12 @@ class Layouts:
         version = uuid.uuid4().hex
         n = files or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         for name, columns in LAYOUTS.items():
-            sorted_ = orders.select(*ORDER_COLUMNS, F.unix_micros("issued").alias(MICROS)).repartitionByRange(n, *columns).sortWithinPartitions(*columns)
-            out = sorted_.write.option("parquet.block.size", self.row_group).option("parquet.block.row.count.limit", max(1000, self.row_group // 100))
-            if name == "by_order":
-                out = out.option("parquet.bloom.filter.enabled#order_id", "true")
+            by = ["issued" if c == MICROS else c for c in columns]  # of one order, so only one of them is shuffled
+            sorted_ = orders.select(*ORDER_COLUMNS).repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn(MICROS, F.unix_micros("issued"))
+            rows = max(1000, self.row_group // 100)
+            out = sorted_.write.option("compression", "zstd").option("parquet.block.size", self.row_group).option("parquet.block.row.count.limit", rows)
+            if name == "by_order":  # a filter is as large as a row group's orders need; untold, each one takes 1 MB
+                out = out.option("parquet.bloom.filter.enabled#order_id", "true").option("parquet.bloom.filter.expected.ndv#order_id", rows)
             out.parquet(f"{self.root}/data/{version}/{name}")
         numbers = [int(x.split("-")[1]) for x in self._children(f"{self.root}/pointer") if x.startswith("v-")]
         fs, hidden = self._fs(f"{self.root}/pointer/_next-{version}")
