@@ -266,3 +266,49 @@ def test_large_weights_score_and_learn_as_small_ones():
     loss64, g64 = net.gradient(wide, table, w[:, :-1], w[:, 1:])
     assert loss == pytest.approx(loss64, rel=1e-4) and all(np.isfinite(x).all() for x in g.values())
     assert all(np.abs(g[k] - g64[k]).max() < 2e-3 * max(1e-3, np.abs(g64[k]).max()) for k in g)
+
+
+def test_head_words_are_looked_up_without_a_search(monkeypatch):
+    r = np.random.default_rng(12)
+    for bits, n in ((18, 3000), (4, 300), (18, 0)):
+        monkeypatch.setattr(lm.Head, "BITS", bits, raising=False)
+        h = np.unique(np.append(r.integers(0, 2**64, n, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)[: 2 * (n > 0)]))
+        c, order = r.integers(1, 99, len(h)), r.permutation(len(h))
+        head = lm.Head(h[order], c[order], 3)
+        asked = np.concatenate([h, r.integers(0, 2**64, 2000, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        with monkeypatch.context() as within:
+            within.setattr(np, "searchsorted", None)  # seventeen steps for each word of all texts, twice
+            counts, hit = head.of(asked)
+        want = dict(zip(h.tolist(), c.tolist(), strict=True))
+        assert counts.tolist() == [want.get(x, 0) for x in asked.tolist()] and hit.tolist() == [x in want for x in asked.tolist()]
+
+
+def test_half_a_million_words_are_encoded_once():
+    from tidebook.llm.tokens import Encoder
+
+    enc, made = Encoder(public_file("byte_bpe_50k.json")()), []
+    enc.model = SimpleNamespace(tokenize=lambda w: made.append(w) or [SimpleNamespace(id=len(w)), SimpleNamespace(id=ord(w[0]))])
+    h = np.random.default_rng(13).integers(0, 2**64, 500_000, dtype=np.uint64)
+    for part in np.array_split(h, 7):
+        ids, n = enc.ids_of(part, lambda k, part=part: b"a" * (1 + int(part[k] % 5)))
+        assert ids[::2].tolist() == (1 + part % 5).tolist() and set(n.tolist()) == {2}
+    assert len(made) == len(h)
+    ids, _ = enc.ids_of(h, lambda k: b"a" * (1 + int(h[k] % 5)))
+    assert ids[::2].tolist() == (1 + h % 5).tolist()
+    assert len(made) < 1.05 * len(h)  # those without a free place only
+
+
+def test_sums_by_class_equal_plain_ones():
+    r = np.random.default_rng(14)
+    for at in (r.integers(0, 2000, 5000), r.zipf(1.3, 5000) % 2000, np.full(300, 7), np.arange(40), np.zeros(1, int)):
+        rows = r.random((len(at), 3))
+        want = np.zeros((2051, 3))
+        np.add.at(want, at, rows)
+        assert net._by_class(at, rows, 2051) == pytest.approx(want)
+
+
+def test_tables_of_classes_have_rows_of_one_width():
+    """Products of rows of 33 and 34 floats, 17 of them used, took longer."""
+    p, _ = model()
+    for x in net._tables(p):
+        assert x.shape == (31, net.WIDTH) and x.flags.c_contiguous and not x[-1].any()

@@ -57,32 +57,35 @@ def distributions(p: dict[str, np.ndarray]) -> np.ndarray:
 TOGETHER = 16
 #: A window's halves, and what they may look at: the first one sees nothing of the second.
 HALVES = ((slice(0, BLOCK), slice(0, BLOCK)), (slice(BLOCK, SPAN), slice(0, SPAN)))
+#: Classes of which so many are left are summed one by one.
+FEW = 64
 #: Exponents up to here are taken as they are; rows of larger ones are first lowered by their largest.
-LARGE = 80
+LARGE = 40
 
 
-def _tables(p: dict[str, np.ndarray], joined: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """What each class is and asks, and what it offers as key and value; last a row of zeros for no class.
+def _tables(p: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """What each class is, asks, and offers as key and as value for the output; last a row of zeros for no class.
 
-    Each class's own match is taken off all that it asks, which a softmax does not see: its own weight is then one before
-    division, and sums of weights, which a value of one gives, are never small.  joined: values as the output takes them.
+    Tables of their own, so that products are of rows that are WIDTH wide and lie one after another.
     """
     emb = p["emb"]
-    ask, key, value = emb @ p["wq"] * emb.dtype.type(WIDTH**-0.5), emb @ p["wk"], emb @ p["wv"]
-    value = value @ p["wo"] if joined else value
-    own, one = -np.einsum("nd,nd->n", ask, key)[:, None], np.ones((len(emb), 1), emb.dtype)
-    rows = np.concatenate([emb, ask, own, key, one, value, one], axis=1)
-    rows = np.concatenate([rows, np.zeros_like(rows[:1])])
-    return np.ascontiguousarray(rows[:, : 2 * WIDTH + 1]), np.ascontiguousarray(rows[:, 2 * WIDTH + 1 :])
+    rows = emb, emb @ p["wq"] * emb.dtype.type(WIDTH**-0.5), emb @ p["wk"], emb @ p["wv"] @ p["wo"]
+    return [np.concatenate([x, np.zeros_like(x[:1])]) for x in rows]
 
 
 def _bias(p: dict[str, np.ndarray]) -> np.ndarray:
     return (p["near"] - p["near"][0])[_AGO] + _FUTURE.astype(p["near"].dtype)
 
 
-def _weights(x: np.ndarray) -> np.ndarray:
+def _small(ask: np.ndarray, key: np.ndarray, p: dict[str, np.ndarray]) -> bool:
+    """Whether no exponent of any classes at any distance can be large, so that none need be looked at."""
+    most = [np.sqrt(np.einsum("nd,nd->n", x, x).max()) for x in (ask, key)]
+    return bool(most[0] * most[1] + np.abs(p["near"] - p["near"][0]).max() <= LARGE)
+
+
+def _weights(x: np.ndarray, small: bool) -> np.ndarray:
     """Exponentials of rows in place, up to a factor of each row."""
-    if x.max() > LARGE:
+    if not small:
         x -= x.max(axis=-1, keepdims=True)
     return np.exp(x, out=x)
 
@@ -107,18 +110,23 @@ def score(p: dict[str, np.ndarray], q: np.ndarray, successor: np.ndarray, inputs
     inputs: (windows, SPAN) classes, -1 where there is none; targets: (windows, BLOCK), those of the second
     half, -1 where there is none.
     """
-    asks, offers = _tables(p, joined=True)
-    bias, (wg, bg), ones = _bias(p)[BLOCK:], _gate(p), np.ones(MIX, np.float32)
+    emb, ask, key, value = _tables(p)
+    bias, (wg, bg), ones, small = _bias(p)[BLOCK:], _gate(p), np.ones(MIX, np.float32), _small(ask, key, p)
     out = np.empty(targets.shape, np.float32)
     for a in range(0, len(inputs), TOGETHER):
         given, t = inputs[a : a + TOGETHER], np.maximum(targets[a : a + TOGETHER], 0).reshape(-1)
+        there = (given >= 0).astype(np.float32)
+        given = np.where(given < 0, len(emb) - 1, given)
         own = given[:, BLOCK:]
-        x, y = asks.take(own, axis=0, mode="wrap"), offers.take(given, axis=0, mode="wrap")
-        e = x[..., WIDTH:] @ y[..., : WIDTH + 1].transpose(0, 2, 1)
+        e = ask.take(own, axis=0, mode="clip") @ key.take(given, axis=0, mode="clip").transpose(0, 2, 1)
         e += bias
-        o = (_weights(e) @ y[..., WIDTH + 1 :]).reshape(-1, WIDTH + 1)
-        h = o[:, :WIDTH] / np.maximum(o[:, WIDTH:], np.float32(1e-30))
-        h += x.reshape(-1, 2 * WIDTH + 1)[:, :WIDTH]
+        if not small:  # no class is not to be the largest
+            e += (there[:, None] - 1) * np.float32(1e9)
+        total = _weights(e, small) @ there[:, :, None]
+        h = e @ value.take(given, axis=0, mode="clip")
+        h /= np.maximum(total, np.float32(1e-30), out=total)
+        h = h.reshape(-1, WIDTH)
+        h += emb.take(own.reshape(-1), axis=0, mode="clip")
         z = h @ p["w1"]
         z += p["b1"]
         h += np.maximum(z, 0, out=z) @ p["w2"]
@@ -126,15 +134,33 @@ def score(p: dict[str, np.ndarray], q: np.ndarray, successor: np.ndarray, inputs
         g += bg
         g, base = _shares(g)
         total = g @ ones + base
-        g *= q.take(t, axis=0)
-        prob = (g @ ones + base * successor[np.maximum(own, 0).reshape(-1), t]) / total
+        g *= q.take(t, axis=0, mode="clip")
+        prob = (g @ ones + base * successor[np.where(own < len(successor), own, 0).reshape(-1), t]) / total
         out[a : a + TOGETHER] = np.log(np.maximum(prob, 1e-30)).reshape(own.shape)
     return np.where(targets < 0, 0.0, out)
 
 
-def _by_class(at: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
-    """Sums of columns (each a row here) over places of one class: (columns, n)."""
-    return np.stack([np.bincount(at, c, n) for c in columns]).astype(columns.dtype)
+def _by_class(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows over places of one class: (n, columns).
+
+    Rows are sorted by class, and then all classes' first rows are added, all second ones of those that have so many, and
+    so on; what is left of the few frequent classes is summed class by class.
+    """
+    order = at.astype(np.int16).argsort(kind="stable")
+    which, rows = at[order], rows.take(order, axis=0)
+    first = np.flatnonzero(np.append(True, which[1:] != which[:-1]))
+    size = np.diff(np.append(first, len(which)))
+    falling = np.argsort(-size, kind="stable")
+    first, size = first[falling], size[falling]
+    sums, ones, k = rows.take(first, axis=0), np.ones(len(rows), rows.dtype), 1
+    while (left := int(np.searchsorted(-size, -k))) > FEW:
+        sums[:left] += rows.take(first[:left] + k, axis=0)
+        k += 1
+    for j, (a, m) in enumerate(zip(first[:left].tolist(), size[:left].tolist(), strict=True)):
+        sums[j] += ones[k:m] @ rows[a + k : a + m]
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    out[which[first]] = sums
+    return out
 
 
 def gradient(p: dict[str, np.ndarray], successor: np.ndarray, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
@@ -142,31 +168,32 @@ def gradient(p: dict[str, np.ndarray], successor: np.ndarray, inputs: np.ndarray
     kind, count, classes = p["emb"].dtype, targets.size, len(p["emb"])
     scale = kind.type(WIDTH**-0.5)
     q = distributions(p)
-    (asks, offers), bias, (wg, bg), ones = _tables(p), _bias(p), _gate(p), np.ones(MIX, kind)
+    (emb, ask, key, value), bias, (wg, bg), ones = _tables(p), _bias(p), _gate(p), np.ones(TOGETHER * SPAN, kind)
+    small, each = _small(ask, key, p), ones[:MIX]
+    biases = [np.ascontiguousarray(bias[half]) for half in HALVES]
     inputs, targets = inputs.astype(np.intp), targets.astype(np.intp)
     likely = successor[inputs, targets].reshape(-1)
-    back = np.concatenate([p["wq"].T, p["wk"].T, p["wv"].T])
-    g = {k: np.zeros_like(p[k]) for k in ("w1", "b1", "w2", "wo")}
-    dgate, dbias, dnear, dproject = np.zeros_like(wg), np.zeros_like(bg), np.zeros_like(bias), np.zeros((WIDTH, 3 * WIDTH), kind)
+    back = p["wq"].T, p["wk"].T, (p["wv"] @ p["wo"]).T
+    g = {k: np.zeros_like(p[k]) for k in ("w1", "b1", "w2")}
+    dgate, dbias, dnear, dproject = np.zeros_like(wg), np.zeros_like(bg), np.zeros_like(bias), np.zeros((3, WIDTH, WIDTH), kind)
     # Per place, for sums by class: shares of the learned distributions, and the inputs' gradient.
-    shares, dinputs = np.empty((MIX, count), kind), np.empty((WIDTH, count), kind)
+    shares, dinputs = np.empty((count, MIX), kind), np.empty((count, WIDTH), kind)
     loss = 0.0
     for a in range(0, len(inputs), TOGETHER):
         here = slice(a * SPAN, (a + TOGETHER) * SPAN)
         i, t = inputs[a : a + TOGETHER], targets[a : a + TOGETHER].reshape(-1)
-        x, y = asks.take(i, axis=0), offers.take(i, axis=0)
-        ask, key, value = x[..., WIDTH:], y[..., : WIDTH + 1], y[..., WIDTH + 1 :]
-        o, halves = np.empty((len(i), SPAN, WIDTH + 1), kind), []
-        for asking, seen in HALVES:
-            e = ask[:, asking] @ key[:, seen].transpose(0, 2, 1)
-            e += bias[asking, seen]
-            o[:, asking] = _weights(e) @ value[:, seen]
+        x, asks, keys, values = (rows.take(i, axis=0, mode="clip") for rows in (emb, ask, key, value))
+        o, part, halves = np.empty_like(x), np.empty((*i.shape, 1), kind), []
+        for (asking, seen), near in zip(HALVES, biases, strict=True):
+            e = asks[:, asking] @ keys[:, seen].transpose(0, 2, 1)
+            e += near
+            np.matmul(_weights(e, small), values[:, seen], out=o[:, asking])
+            part[:, asking] = e @ ones[: e.shape[2], None]
             halves.append(e)
-        part = 1 / o[..., WIDTH:]
-        o = (o[..., :WIDTH] * part).reshape(-1, WIDTH)
-        x = x.reshape(-1, 2 * WIDTH + 1)[:, :WIDTH]
-        h1 = o @ p["wo"]
-        h1 += x
+        np.divide(1, part, out=part)
+        o *= part
+        x = x.reshape(-1, WIDTH)
+        h1 = o.reshape(-1, WIDTH) + x
         z = h1 @ p["w1"]
         z += p["b1"]
         np.maximum(z, 0, out=z)
@@ -175,46 +202,52 @@ def gradient(p: dict[str, np.ndarray], successor: np.ndarray, inputs: np.ndarray
         w = h2 @ wg
         w += bg
         w, base = _shares(w)
-        r = q.take(t, axis=0)
+        r = q.take(t, axis=0, out=shares[here], mode="clip")
         r *= w
-        prob, total = np.maximum(r @ ones + base * likely[here], 1e-30), w @ ones + base
-        loss -= float(np.log(prob).sum() - np.log(total).sum())
+        prob, total = np.maximum(r @ each + base * likely[here], 1e-30), w @ each + base
+        loss -= float(np.log(prob / total).sum())
         r *= (1 / prob)[:, None]
-        shares[:, here] = r.T
         w *= (1 / total)[:, None]
         w -= r
         dgate += h2.T @ w
-        dbias += w.sum(axis=0)
+        dbias += ones[: len(w)] @ w
         dh = w @ wg.T
         g["w2"] += z.T @ dh
         dz = dh @ p["w2"].T
         dz *= z > 0
         g["w1"] += h1.T @ dz
-        g["b1"] += dz.sum(axis=0)
+        g["b1"] += ones[: len(w)] @ dz
         dh += dz @ p["w1"].T
-        g["wo"] += o.T @ dh
-        do = np.empty((len(i), SPAN, WIDTH + 1), kind)
-        do[..., :WIDTH] = (dh @ p["wo"].T).reshape(len(i), SPAN, WIDTH)
-        do[..., WIDTH] = -np.einsum("wsd,wsd->ws", do[..., :WIDTH], o.reshape(len(i), SPAN, WIDTH))
-        do *= part
-        d = np.zeros((len(i), SPAN, 3 * WIDTH), kind)  # by what is asked, keys and values
-        for e, (asking, seen) in zip(halves, HALVES, strict=True):
-            d[:, seen, 2 * WIDTH :] += e.transpose(0, 2, 1) @ do[:, asking, :WIDTH]
-            e *= do[:, asking] @ value[:, seen].transpose(0, 2, 1)
-            dnear[asking, seen] += e.sum(axis=0)
-            d[:, asking, :WIDTH] = (e @ key[:, seen, :WIDTH]) * scale
-            d[:, seen, WIDTH : 2 * WIDTH] += e.transpose(0, 2, 1) @ ask[:, asking, :WIDTH]
-        d = d.reshape(-1, 3 * WIDTH)
-        dproject += x.T @ d
-        dx = d @ back
-        dx += dh
-        dinputs[:, here] = dx.T
-    g["wq"], g["wk"], g["wv"] = np.split(dproject, 3, axis=1)
+        do = dh.reshape(o.shape) * part
+        o *= do
+        own = o @ ones[:WIDTH, None]
+        d = np.empty((3, *o.shape), kind)  # by what is asked, keys and values
+        for e, (asking, seen) in reversed(list(zip(halves, HALVES, strict=True))):
+            y = do[:, asking] @ values[:, seen].transpose(0, 2, 1)
+            y -= own[:, asking]
+            y *= e
+            dnear[asking, seen] += (ones[: len(y)] @ y.reshape(len(y), -1)).reshape(y.shape[1:])
+            np.matmul(y, keys[:, seen], out=d[0, :, asking])
+            dk, dv = y.transpose(0, 2, 1) @ asks[:, asking], e.transpose(0, 2, 1) @ do[:, asking]
+            if seen.stop == SPAN:
+                d[1], d[2] = dk, dv
+            else:
+                d[1, :, seen] += dk
+                d[2, :, seen] += dv
+        d[0] *= scale
+        d = d.reshape(3, -1, WIDTH)
+        dx = np.matmul(d[0], back[0], out=dinputs[here])
+        for k in range(3):
+            dproject[k] += x.T @ d[k]
+            dx += d[k] @ back[k] if k else dh
+    g["wq"], g["wk"], joined = dproject
+    g["wv"], g["wo"] = joined @ p["wo"].T, p["wv"].T @ joined
     g["near"] = np.bincount(_AGO.reshape(-1), dnear.reshape(-1), SPAN)
     g["wg"], g["bg"] = np.insert(dgate, 0, -dgate.sum(axis=1), axis=1), np.insert(dbias, 0, -dbias.sum())
-    g["emb"] = _by_class(inputs.reshape(-1), dinputs, classes).T
-    g["logq"] = q.T * shares.sum(axis=1)[:, None] - _by_class(targets.reshape(-1), shares, classes)
-    return loss / count, {k: (x / count).astype(kind) for k, x in g.items()}
+    g["emb"] = np.stack([np.bincount(inputs.reshape(-1), c, classes) for c in dinputs.T], axis=1)
+    sums = _by_class(targets.reshape(-1), shares, classes)
+    g["logq"] = (q * sums.sum(axis=0) - sums).T
+    return loss / count, {k: np.asarray(x / count, kind) for k, x in g.items()}
 
 
 def learn(p: dict[str, np.ndarray], successor: np.ndarray, windows: np.ndarray, steps: int, batch: int = BATCH, rate: float = 0.004) -> dict[str, np.ndarray]:

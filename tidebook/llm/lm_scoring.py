@@ -223,18 +223,30 @@ def learn(windows: DataFrame, n: int, unigram: np.ndarray, successor: object, ro
 
 
 class Head:
-    """The most frequent words' counts: bounded by HEAD."""
+    """The most frequent words' counts: bounded by HEAD.  Words are looked up by the first bits of their hash, in which few share a place."""
+
+    BITS = 18
 
     def __init__(self, head: np.ndarray, counts: np.ndarray, docs: int):
         order = np.argsort(head)
-        self.head, self.counts, self.docs = head[order], counts[order], docs
+        # A last entry for places after all words; ``of`` takes a hit there for none.
+        self.head, self.counts, self.docs = np.append(head[order], np.uint64(0)), np.append(counts[order], 0), docs
+        size = np.bincount((head >> np.uint64(64 - self.BITS)).astype(np.int64), minlength=1 << self.BITS)
+        self.first, self.longest = np.append(0, np.cumsum(size)).astype(np.int32), int(size.max())
 
     def of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts of the words that are in the head, and which are."""
-        if not len(self.head):
-            return np.zeros(len(h), np.int64), np.zeros(len(h), dtype=bool)
-        at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
-        hit = self.head[at] == h
+        place = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
+        at = self.first[place]
+        hit = (self.head[at] == h) & (at < len(self.head) - 1)
+        if self.longest > 1:
+            left = np.flatnonzero(~hit)
+            for k in range(1, self.longest):
+                left = left[at[left] + 1 < self.first[place[left] + 1]]
+                at[left] += 1
+                found = self.head[at[left]] == h[left]
+                hit[left[found]] = True
+                left = left[~found]
         return np.where(hit, self.counts[at], 0), hit
 
 

@@ -17,9 +17,9 @@ import numpy as np
 
 from .hashing import range_hashes
 
-#: Places for words in the cache, and ids that it holds before it is cleared.
-CACHE_SLOTS = 1 << 19
-CACHE_IDS = 3_000_000
+#: Places for words in the cache, and ids that it holds before it is cleared: some 100 MB, for two million words.
+CACHE_SLOTS = 1 << 21
+CACHE_IDS = 9_000_000
 #: Letters, digits and white space below this code point are the same in all Unicode versions.
 SURE = 0x590
 OTHER, LETTER, NUMBER, SPACE = range(4)
@@ -68,6 +68,11 @@ def word_starts(code: np.ndarray, row_start: np.ndarray) -> np.ndarray:
     return start
 
 
+def _with_room(x: np.ndarray, n: int) -> np.ndarray:
+    """x, twice as long if n do not fit, so that adding bit by bit copies little."""
+    return x if len(x) >= n else np.concatenate([x, np.zeros(max(n - len(x), len(x)), x.dtype)])
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,6 +92,7 @@ class Encoder:
     def clear(self) -> None:
         self.hashes, self.places = np.zeros(CACHE_SLOTS, np.uint64), np.full(CACHE_SLOTS, -1, np.int32)
         self.bounds, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint16 if self.small else np.uint32)
+        self.n_words, self.n_ids = 0, 0  # used of these
 
     def _slots(self, hashes: np.ndarray) -> Iterator[np.ndarray]:
         for shift in (0, 40):
@@ -94,7 +100,7 @@ class Encoder:
 
     def ids_of(self, hashes: np.ndarray, word: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words given by hash; word(k) gives the bytes of the k-th.  Returns all ids and each word's number."""
-        if len(self.ids) > CACHE_IDS:
+        if self.n_ids > CACHE_IDS:
             self.clear()
         which = np.full(len(hashes), -1, np.int64)
         for slot in self._slots(hashes):
@@ -106,10 +112,13 @@ class Encoder:
             tokenize, signs = self.model.tokenize, self.signs
             found = [[t.id for t in tokenize(word(k).decode("latin-1").translate(signs))] for k in new[first].tolist()]
             n = np.fromiter(map(len, found), np.int64, len(found))
-            own = len(self.bounds) - 1 + np.arange(len(found))
+            own = self.n_words + np.arange(len(found))
             which[new] = own[back]
-            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(n)])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.ids.dtype, int(n.sum()))])
+            words, ids = self.n_words + len(found), self.n_ids + int(n.sum())
+            self.bounds, self.ids = _with_room(self.bounds, words + 1), _with_room(self.ids, ids)
+            self.bounds[self.n_words + 1 : words + 1] = self.n_ids + np.cumsum(n)
+            self.ids[self.n_ids : ids] = np.fromiter(chain.from_iterable(found), self.ids.dtype, ids - self.n_ids)
+            self.n_words, self.n_ids = words, ids
             # A word goes to one of its two places that is free; whoever came first stays, as frequent words come early.
             left = np.ones(len(own), dtype=bool)
             for slot in self._slots(different):
