@@ -5,6 +5,7 @@ import datetime as dt
 import json
 
 import __spark_entry__
+import pytest
 from pyspark.sql import functions as F
 
 from tidebook import file_queries, fixtures, queries
@@ -79,6 +80,39 @@ def test_pages_of_many_orders_are_several_files(spark, sf_dir, monkeypatch):
     assert got == {r["region_id"]: (r["n"], r["v"]) for r in raw} and longest[0] < 5 * 400
 
 
+def test_an_unread_day_file_is_no_result(spark, sf_dir, tmp_path, monkeypatch):
+    """A file whose second stream is damaged is broken rather than cut; the registered scan fails where a file is not read, and its own files are below the caps at any size."""
+    base = tmp_path / "2026"
+    write(base, "2026-08-05", HEADER, ROW)
+    file = base / "market-history-2026-08-05.csv.bz2"
+    second = bz2.compress(ROW.encode() + b"\n")
+    file.write_bytes(file.read_bytes() + second)
+    assert day_files.scan_history(spark, f"file://{base}", whole=True).count() == 2
+    file.write_bytes(file.read_bytes().removesuffix(second) + b"XXXX" + second[4:])
+    got = day_files.scan_history(spark, f"file://{base}").collect()
+    assert [(r["broken"], r["reason"].split(":")[0], r["type_id"]) for r in got] == [(True, "damaged", None)]
+    with pytest.raises(Exception, match="market-history-2026-08-05.*damaged"):
+        day_files.scan_history(spark, f"file://{base}", whole=True).count()
+    write(base, "2026-08-05", HEADER, ROW, "1,2,3")
+    with pytest.raises(Exception, match="ragged row"):
+        day_files.scan_history(spark, f"file://{base}", whole=True).select("day").collect()
+    scan, files = day_files.scan_history, []
+
+    def capped(session, paths, **given):
+        files.append(session.read.format("binaryFile").load(paths).count())
+        return scan(session, paths, **given, cap=cap)
+
+    monkeypatch.setattr(day_files, "scan_history", capped)
+    monkeypatch.setattr(file_queries, "ROWS_A_DAY_FILE", 500, raising=False)
+    cap = 100_000
+    got = {r["day"]: (r["n_rows"], r["volume"]) for r in queries.QUERIES["scan_history_csv"](spark, sf_dir).collect()}
+    raw = frame(spark, sf_dir, "v_history_raw").groupBy("date").agg(F.count("*").alias("n"), F.sum("volume").alias("v")).collect()
+    assert got == {r["date"]: (r["n"], r["v"]) for r in raw} and files[0] >= sum(r["n"] for r in raw) / 500
+    cap = 10
+    with pytest.raises(Exception, match="above its cap"):
+        queries.QUERIES["scan_history_csv"](spark, sf_dir).collect()
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
