@@ -144,6 +144,18 @@ def test_history_takes_one_shuffle(spark, sf_dir, tmp_path):
     assert not {"v_live", "v_history_raw"} & set(fixtures.LANDED)
 
 
+def test_the_lines_move_once(spark, sf_dir):
+    """Landed orders are those of their SQL, and their lines are shuffled once where nothing is small enough for a broadcast."""
+    given, plain = (spark.sql(fixtures._spark_text(spark, sf_dir, t)) for t in (fixtures._derivation(spark, sf_dir, "v_orders_raw"), fixtures.VIEWS["v_orders_raw"]))
+    assert given.count() > 0 and given.columns == plain.columns and given.exceptAll(plain).isEmpty() and plain.exceptAll(given).isEmpty()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(spark.sql(fixtures._spark_text(spark, sf_dir, fixtures._derivation(spark, sf_dir, "v_orders_raw"))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 4 and text.count("Exchange hashpartitioning(l_") + text.count("Exchange hashpartitioning(o_custkey") == 2
+
+
 def test_registered_queries_agree_with_their_twins(spark, sf_dir):
     """A few of the registered queries against DuckDB; the driver compares all of them."""
     import duckdb

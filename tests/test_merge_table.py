@@ -122,6 +122,40 @@ def test_sums_move_with_deltas_and_name_the_damaged_bucket(spark, table):
     assert snapshot.difference(table.read([2]), orders(spark, many, 2)).count() == 0
 
 
+def test_a_repair_moves_the_source_once(spark, table, sf_dir, monkeypatch):
+    """Verify and repair work from one shuffle of the source, the delta is not moved once more when it is written, and what has drifted is worked out once."""
+    live, raw = frame(spark, sf_dir, "v_live"), frame(spark, sf_dir, "v_orders_raw")
+    table.publish(live, every_region(raw))
+    text, write = [], table._write
+
+    def watched(kind, rows, columns):
+        text.append(table._dealt(rows.select(columns))._jdf.queryExecution().executedPlan().toString())
+        return write(kind, rows, columns)
+
+    monkeypatch.setattr(table, "_write", watched)
+    source, asked = table.source(raw), spark.sparkContext.accumulator(0)
+    drifted = table.verify(source).filter("drifted")
+    wrong = spark.createDataFrame(drifted.collect(), drifted.schema)
+    table.repair(source, drifted.rdd.map(lambda r: (asked.add(1), r)[1]).toDF(drifted.schema))
+    assert asked.value == wrong.count() > 0
+    own, below = [], 999  # the steps of the write itself, without those that made what is kept on disk
+    for line in text[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        below = 999 if depth <= below else below
+        if below == 999:
+            own.append(line)
+        if "InMemoryRelation" in line:
+            below = depth
+    assert any("SortMergeJoin" in line for line in own) and not any("Exchange hashpartitioning" in line for line in own)
+    ops = {r["op"]: r["n"] for r in table._table("delta", [table.pointer().first()["deltas"][0]]).groupBy("op").agg(F.count("*").alias("n")).collect()}
+    want = snapshot.dedup_orders(raw)
+    keys = [df.withColumn("bucket", table.bucket()).join(wrong, ["region_id", "bucket"], "left_semi").select("region_id", "order_id") for df in (want, live)]
+    assert ops == {"I": keys[0].exceptAll(keys[1]).count(), "U": keys[0].intersect(keys[1]).count(), "D": keys[1].exceptAll(keys[0]).count()}
+    assert snapshot.difference(table.read(), want).isEmpty() and table.verify(source).filter("drifted").isEmpty() and table.verify().filter("drifted").isEmpty()
+    assert glob.glob(f"{table.path}/delta/version=*/*.zstd.parquet")
+    source.unpersist()
+
+
 def test_null_keys_and_an_empty_table(spark, table):
     assert table.read().count() == 0 and table.verify().count() == 0 and table.compact() == []
     lost = orders(spark, CHURN_LIVE, 1).withColumn("order_id", F.when(F.col("order_id") > 1, F.col("order_id")))

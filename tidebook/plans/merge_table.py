@@ -22,6 +22,7 @@ import datetime as dt
 import hashlib
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,7 +70,7 @@ class MergeTable:
             # A view of the folder for this session; dropping it leaves the files.
             spark.sql(f"DROP TABLE IF EXISTS {self.names[kind]}")
             spark.sql(
-                f"CREATE TABLE {self.names[kind]} ({order}{more}, version string) USING parquet PARTITIONED BY (version) "
+                f"CREATE TABLE {self.names[kind]} ({order}{more}, version string) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (version) "
                 f"CLUSTERED BY (region_id, order_id) SORTED BY (region_id, order_id) INTO {self.buckets} BUCKETS LOCATION '{self.root}/{kind}'"
             )
         self.open: set[tuple[str, str]] = set()
@@ -165,6 +166,11 @@ class MergeTable:
         """Orders as the buckets are dealt, so that a join with published ones moves these only."""
         return orders.repartition(self.buckets, *ORDER_KEY)
 
+    def source(self, staged: DataFrame) -> DataFrame:
+        """Staged rows, one per order, dealt as the buckets are and kept on the executors' disks, for several of ``refresh``, ``verify`` and ``repair``: none
+        of them then moves these rows again.  The caller unpersists it."""
+        return snapshot.dedup_orders(self._dealt(staged.select(ORDER_COLUMNS))).persist(StorageLevel.DISK_ONLY)
+
     def _write(self, kind: str, rows: DataFrame, columns: list[str]) -> tuple[str, int]:
         """Rows as a new version, one file a bucket, and their number as the files' footers have it."""
         version = uuid.uuid4().hex
@@ -270,19 +276,20 @@ class MergeTable:
 
     def repair(self, staged: DataFrame, drifted: DataFrame) -> None:
         """Rewrites the given buckets (region_id, bucket) from staged rows, as a delta that covers every key on either side; no other bucket is written."""
-        at = {r["region_id"]: r["at"] for r in self.pointer().join(drifted.select("region_id").distinct(), "region_id").select("region_id", F.col("refreshed_at").alias("at")).collect()}
-        if not at:
-            return
         key = ["region_id", "bucket"]
-        wrong = drifted.select(key).distinct()
-        inside = lambda df: df.withColumn("bucket", self.bucket()).join(wrong, key, "left_semi")
-        right = snapshot.dedup_orders(self._dealt(inside(staged).drop("bucket")))
-        there = inside(self.merged(list(at))).select(ORDER_KEY).distinct()
-        both = right.withColumn("r", F.lit(True)).join(there.withColumn("l", F.lit(True)), ORDER_KEY, "full_outer")
-        op = F.when(F.col("r").isNull(), "D").when(F.col("l").isNull(), "I").otherwise("U").alias("op")
-        none = [F.lit(None).cast("long").alias(c) for c in HASHES]
-        sums = wrong.join(self._sums_of(right), key, "left").select(*key, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows",)], F.coalesce("hash_sum", _no_sum()).alias("hash_sum"), "first_order", "last_order")
-        self._log(both.select(*ORDER_COLUMNS, op, *none), at, sums)
+        wrong = drifted.select(key).distinct().persist()  # else each step below works out again what has drifted
+        at = {r["region_id"]: r["at"] for r in self.pointer().join(wrong.select("region_id").distinct(), "region_id").select("region_id", F.col("refreshed_at").alias("at")).collect()}
+        if at:
+            inside = lambda df: df.withColumn("bucket", self.bucket()).join(F.broadcast(wrong), key, "left_semi")
+            right = snapshot.dedup_orders(self._dealt(inside(staged).select(ORDER_COLUMNS)))
+            there = inside(self.merged(list(at))).select(ORDER_KEY).distinct()
+            # Two joins in place of a full one, which hides from Spark that its rows are dealt as the buckets are, so that they moved once more.
+            none = [F.lit(None).cast("long").alias(c) for c in HASHES]
+            kept = right.join(there.withColumn("l", F.lit(True)).hint("merge"), ORDER_KEY, "left").select(*ORDER_COLUMNS, F.when(F.col("l").isNull(), "I").otherwise("U").alias("op"), *none)
+            gone = there.join(right.select(ORDER_KEY).hint("merge"), ORDER_KEY, "left_anti").select(*ORDER_KEY, *[F.lit(None).cast(WHOLE[c].dataType).alias(c) for c in ORDER_VALUES], F.lit("D").alias("op"), *none)
+            sums = wrong.join(self._sums_of(right), key, "left").select(*key, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("hash_sum", _no_sum()).alias("hash_sum"), "first_order", "last_order")
+            self._log(kept.unionByName(gone), at, sums)
+        wrong.unpersist()
 
     def vacuum(self) -> int:
         """Deletes versions that the pointer does not name, and older pointers; returns how many versions went."""
