@@ -144,8 +144,10 @@ def test_history_takes_one_shuffle(spark, sf_dir, tmp_path):
     assert not {"v_live", "v_history_raw"} & set(fixtures.LANDED)
 
 
-def test_the_lines_move_once(spark, sf_dir):
-    """Landed orders are those of their SQL, and their lines are shuffled once where nothing is small enough for a broadcast."""
+def test_the_lines_move_once(spark, sf_dir, monkeypatch):
+    """Landed orders are those of their SQL, and of many orders the lines are shuffled once where nothing is small enough for a broadcast."""
+    assert fixtures._derivation(spark, sf_dir, "v_orders_raw") == fixtures.VIEWS["v_orders_raw"]
+    monkeypatch.setattr(fixtures, "MANY_ORDERS", 100)
     given, plain = (spark.sql(fixtures._spark_text(spark, sf_dir, t)) for t in (fixtures._derivation(spark, sf_dir, "v_orders_raw"), fixtures.VIEWS["v_orders_raw"]))
     assert given.count() > 0 and given.columns == plain.columns and given.exceptAll(plain).isEmpty() and plain.exceptAll(given).isEmpty()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
