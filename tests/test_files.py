@@ -7,12 +7,15 @@ import json
 import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidebook import file_queries, fixtures, queries
 from tidebook.fixtures import frame
 from tidebook.operators import history
+from tidebook.plans.merge_table import MergeTable
 from tidebook.plans.tables import Snapshot
 from tidebook.sources import day_files, pages
+from tidebook.streaming import ingest
 
 HEADER = "average,date,highest,lowest,order_count,volume,http_last_modified,region_id,type_id"
 ROW = "5500000.55,2026-08-05,2,1,3,4,2026-08-06T11:02:44Z,10000002,34"
@@ -80,6 +83,29 @@ def test_pages_of_many_orders_are_several_files(spark, sf_dir, monkeypatch):
     assert got == {r["region_id"]: (r["n"], r["v"]) for r in raw} and longest[0] < 5 * 400
 
 
+def test_a_page_of_many_orders_is_several_lines(spark, sf_dir, tmp_path, monkeypatch):
+    """A row of the stream has a bounded part of a page, however many orders that has; a sweep that lacks a part of a page is not published."""
+    landed, start = [], ingest.ingest_sweeps
+
+    def watched(session, path, *rest):
+        landed.append(path)
+        return start(session, path, *rest)
+
+    monkeypatch.setattr(ingest, "ingest_sweeps", watched)
+    monkeypatch.setattr(file_queries, "ORDERS_A_LINE", 5, raising=False)
+    got = {(r["region_id"], r["order_id"], r["price"], r["issued_ms"]) for r in queries.QUERIES["stream_snapshots"](spark, sf_dir).collect()}
+    want = frame(spark, sf_dir, "v_dedup").filter("region_id not in (3, 7, 11)").select("region_id", "order_id", F.col("price").cast("double"), F.unix_millis("issued"))
+    assert got == {tuple(r) for r in want.collect()}
+    lines = pages.scan_envelopes(spark, landed[0])
+    assert lines.agg(F.max(F.size("orders"))).first()[0] == 5 and lines.count() > lines.select("region_id", "page").distinct().count()
+    lost = lines.withColumn("n", F.row_number().over(Window.partitionBy("region_id").orderBy("page", F.col("orders")[0]["order_id"])))
+    lost.filter("region_id in (1, 2) and not (region_id = 1 and n = 1)").drop("n").write.json(f"file://{tmp_path}/lost")
+    table = MergeTable(spark, f"file://{tmp_path}/table", buckets=4)
+    start(spark, f"file://{tmp_path}/lost", table, f"file://{tmp_path}/state").awaitTermination()
+    assert {r["region_id"] for r in table.pointer().collect()} == {2}
+    table.close()
+
+
 def test_an_unread_day_file_is_no_result(spark, sf_dir, tmp_path, monkeypatch):
     """A file whose second stream is damaged is broken rather than cut; the registered scan fails where a file is not read, and its own files are below the caps at any size."""
     base = tmp_path / "2026"

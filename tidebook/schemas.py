@@ -12,9 +12,9 @@ def _struct(text: str) -> T.StructType:
 
 #: An order as the paged interface sends it; region_id is added from the page.
 ORDER = _struct("order_id:long type_id:long location_id:long system_id:long is_buy_order:bool price:price volume_remain:long volume_total:long min_volume:int duration:int range:text issued:ts")
-#: A landed page with its headers.
+#: A landed page with its headers, or a part of a page that has many orders; then page_orders is how many the whole page has.
 PAGE = T.StructType(
-    [*_struct("sweep_id:text region_id:long page:int attempt:int status:int x_pages:text remaining:int last_modified:text expires:text"), T.StructField("orders", T.ArrayType(ORDER))]
+    [*_struct("sweep_id:text region_id:long page:int attempt:int status:int x_pages:text remaining:int last_modified:text expires:text page_orders:long"), T.StructField("orders", T.ArrayType(ORDER))]
 )
 ORDER_KEY = ["region_id", "order_id"]
 #: The columns whose change makes an update.

@@ -24,12 +24,12 @@ def scan_envelopes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def page_headers(pages: DataFrame) -> DataFrame:
-    """Typed headers: a page count that is missing, unreadable or not positive is 1, a bad date is absent."""
+    """Typed headers: a page count that is missing, unreadable or not positive is 1, a bad date is absent.  page_orders stays where it is given."""
     n = values.whole_number(F.col("x_pages")).cast("int")
     return pages.select(
         "sweep_id", "region_id", "page", "attempt", "status", "remaining", F.when(n > 0, n).otherwise(1).alias("x_pages"),
         values.http_date(F.col("last_modified")).alias("last_modified"), values.http_date(F.col("expires")).alias("expires"),
-        F.coalesce(F.size("orders"), F.lit(0)).alias("order_count"),
+        F.coalesce(F.size("orders"), F.lit(0)).alias("order_count"), *[c for c in pages.columns if c == "page_orders"],
     )
 
 

@@ -110,7 +110,8 @@ def outage_gate(log: DataFrame, late: str = "10 minutes") -> DataFrame:
 
 
 def ingest_sweeps(spark: SparkSession, pages_path: str, table: MergeTable, checkpoint: str) -> StreamingQuery:
-    """Landed page envelopes -> published snapshots.  A sweep's pages land in one file; a micro-batch may hold sweeps of many regions.
+    """Landed page envelopes -> published snapshots.  A sweep comes in one micro-batch: its pages land in one file, or in files that are all there
+    when the stream starts.  A micro-batch may hold sweeps of many regions.  A page may be several lines, each with a part of its orders and the number of all.
 
     A whole and consistent sweep whose staged rows are as many as its pages announced is published as a delta.  What was written is then
     read back and compared with the sweep by checksum, and buckets that have drifted are rewritten from it.  Of a region's sweeps the one
@@ -119,26 +120,26 @@ def ingest_sweeps(spark: SparkSession, pages_path: str, table: MergeTable, check
     """
 
     def publish(pages: DataFrame, _: int) -> None:
-        pages = pages.persist()
-        heads = page_headers(pages)
+        heads = page_headers(pages).persist()  # no orders; those are read again below, as they may be many more than memory or a disk holds
         sweep = ["region_id", "sweep_id"]
-        times = heads.groupBy(*sweep).agg(F.max("last_modified").alias("modified"), F.sum("order_count").alias("fetched"))
-        held = pages.select(*sweep, F.explode("orders")).groupBy(*sweep).agg(F.count("*").alias("staged"))
-        whole = snapshot.page_set(heads).filter("consistent and complete").join(times, sweep).join(held, sweep, "left").filter("fetched = coalesce(staged, 0)")
+        held = heads.groupBy(*sweep, "page", "attempt").agg(F.max("last_modified").alias("modified"), F.sum("order_count").alias("staged"), F.max("page_orders").alias("told"))
+        times = held.groupBy(*sweep).agg(F.max("modified").alias("modified"), F.sum(F.coalesce("told", "staged")).alias("fetched"), F.sum("staged").alias("staged"))
+        whole = snapshot.page_set(heads).filter("consistent and complete").join(times, sweep).filter("fetched = staged")
         last = whole.groupBy("region_id").agg(F.max(F.struct("modified", "sweep_id")).alias("s")).select("region_id", "s.sweep_id", F.col("s.modified").alias("modified"))
         seen = table.pointer().select("region_id", F.col("refreshed_at").alias("seen"))
         newer = last.join(seen, "region_id", "left").filter("seen is null or modified is null or modified > seen")
         done = newer.select("region_id", "sweep_id", F.coalesce("modified", "seen").alias("refreshed_at")).collect()  # a row per region
+        heads.unpersist()
         if done:
-            done = spark.createDataFrame(done, "region_id long, sweep_id string, refreshed_at timestamp")
-            staged = snapshot.dedup_orders(stage(pages.join(done, sweep, "left_semi"))).persist()
+            # Sent to all tasks: a join by sweep would gather a region's orders in one of them.
+            done = F.broadcast(spark.createDataFrame(done, "region_id long, sweep_id string, refreshed_at timestamp"))
+            staged = table.source(stage(pages.join(done, sweep, "left_semi")))
             table.refresh(staged, done)
             drifted = table.verify(staged, [r["region_id"] for r in done.select("region_id").collect()]).filter("drifted").persist()
             if not drifted.isEmpty():
                 table.repair(staged, drifted)
             drifted.unpersist()
             staged.unpersist()
-        pages.unpersist()
 
     stream = spark.readStream.schema(PAGE).json(pages_path)
     return stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
