@@ -93,6 +93,7 @@ def test_a_page_of_many_orders_is_several_lines(spark, sf_dir, tmp_path, monkeyp
 
     monkeypatch.setattr(ingest, "ingest_sweeps", watched)
     monkeypatch.setattr(file_queries, "ORDERS_A_LINE", 5, raising=False)
+    monkeypatch.setattr(file_queries, "ORDERS_A_SLICE", 2000, raising=False)
     got = {(r["region_id"], r["order_id"], r["price"], r["issued_ms"]) for r in queries.QUERIES["stream_snapshots"](spark, sf_dir).collect()}
     want = frame(spark, sf_dir, "v_dedup").filter("region_id not in (3, 7, 11)").select("region_id", "order_id", F.col("price").cast("double"), F.unix_millis("issued"))
     assert got == {tuple(r) for r in want.collect()}
